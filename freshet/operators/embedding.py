@@ -19,7 +19,6 @@ from freshet.functions.vectors import as_double, has_width, norm
 from freshet.operators.joins import lookup
 
 DIMS = 64
-PIVOT_DIMS = 128
 BATCH_TEXTS = 25
 
 
@@ -49,21 +48,15 @@ def hash_embed(texts: DataFrame, key: str = "text_hash", text: str = "text", dim
         .otherwise(-1)
         .alias("sign"),
     )
-    if dims <= PIVOT_DIMS:
-        per_bucket = [F.sum(F.when(F.col("bucket") == i, F.col("sign")).otherwise(0)).alias(f"b{i}") for i in range(dims)]
-        packed = words.groupBy(key).agg(*per_bucket).select(
-            key, F.array(*[F.col(f"b{i}").cast("double") for i in range(dims)]).alias("v")
-        )
-    else:
-        sums = words.groupBy(key, "bucket").agg(F.sum("sign").alias("s"))
-        # At most `dims` entries per key are gathered here.
-        packed = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "s"))).alias("m")).select(
-            key,
-            F.transform(
-                F.sequence(F.lit(0), F.lit(dims - 1)),
-                lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("double"),
-            ).alias("v"),
-        )
+    sums = words.groupBy(key, "bucket").agg(F.sum("sign").alias("s"))
+    # At most `dims` entries per key are gathered here.
+    packed = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "s"))).alias("m")).select(
+        key,
+        F.transform(
+            F.sequence(F.lit(0), F.lit(dims - 1)),
+            lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("double"),
+        ).alias("v"),
+    )
     length = F.nullif(norm("v"), F.lit(0.0))
     return packed.select(
         key, F.transform("v", lambda x: F.coalesce(x / length, F.lit(0.0))).alias("embedding")

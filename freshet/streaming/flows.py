@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from freshet.operators.content import with_content
 from freshet.operators.filters import keep_condition
 from freshet.sources.events import from_envelopes
+from freshet.streaming.snapshots import SnapshotTable
 
 TRIGGER = "10 seconds"
 LATENESS = "10 minutes"
@@ -67,41 +66,29 @@ def late_rows(batch: DataFrame, ts: str, watermark) -> DataFrame:
     return batch.where(F.col(ts) < F.lit(watermark).cast("timestamp"))
 
 
-def minute_quota(events: DataFrame, ts: str, key: str, limit: int = 60, lateness: str = LATENESS, spread: int = 64) -> DataFrame:
-    """At most ``limit`` events per minute, in arrival order: ``minute`` and the key.
+def quota_writer(spark: SparkSession, path: str, ts: str, order: Sequence[str], limit: int = 60):
+    """A ``foreachBatch`` function that admits at most ``limit`` events per minute, in arrival order.
 
-    Each minute is split over ``spread`` states by a hash of the key, and every
-    state admits the first events up to the whole limit; a second state per
-    minute, fed with at most ``spread * limit`` rows, makes the final choice.
-    A minute with most of the traffic therefore never meets in one task.
+    Each batch first keeps its own ``limit`` per minute (before the shuffle, so
+    a minute with most of the traffic stays small), then what earlier batches
+    left of the quota. Admitted rows go to ``path/rows``; the number taken per
+    minute is a snapshot under ``path/taken``. Running a batch again changes nothing.
     """
-    rows = events.withWatermark(ts, lateness).select(
-        F.date_trunc("minute", F.col(ts)).alias("minute"),
-        F.col(key).cast("bigint").alias("key"),
-        F.pmod(F.xxhash64(key), F.lit(spread)).cast("int").alias("cell"),
-        F.col(ts).alias("at"),
-    )
-    return rows.groupBy("minute", "cell").applyInPandasWithState(
-        _admit(limit), "minute timestamp, key bigint, at timestamp", "taken int", "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
-def _admit(limit: int):
-    def admit(group, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        taken = state.get[0] if state.exists else 0
-        kept = []
-        for frame in frames:
-            # Arrival order within a micro-batch is the key order.
-            kept.append(frame.nsmallest(limit, "key") if len(frame) > limit else frame)
-        rows = pd.concat(kept).sort_values("key").head(max(0, limit - taken))
-        state.update((taken + len(rows),))
-        mark = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
-        minute = pd.Timestamp(group[0]).tz_localize(None) if pd.Timestamp(group[0]).tzinfo else pd.Timestamp(group[0])
-        close = max(minute + pd.Timedelta(minutes=1), mark + pd.Timedelta(milliseconds=1))
-        state.setTimeoutTimestamp(int(close.timestamp() * 1000))
-        yield pd.DataFrame({"minute": [minute] * len(rows), "key": rows["key"].values, "at": rows["at"].values})
-
-    return admit
+    taken = SnapshotTable(spark, f"{path}/taken", ["minute"], ["minute"], {"taken": "sum"})
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("minute", F.date_trunc("minute", F.col(ts)))
+        w = Window.partitionBy("minute").orderBy(*order)
+        own = rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit)
+        before = taken.read(before=batch_id)
+        if before is not None:
+            own = own.join(before, "minute", "left")
+        else:
+            own = own.withColumn("taken", F.lit(0).cast("bigint"))
+        kept = own.where(F.col("_rank") + F.coalesce("taken", F.lit(0)) <= limit).drop("_rank", "taken")
+        folder = f"{path}/rows/batch_id={batch_id}"
+        kept.write.mode("overwrite").parquet(folder)
+        admitted = spark.read.parquet(folder).groupBy("minute").agg(F.count(F.lit(1)).alias("taken"))
+        taken.apply(admitted, batch_id)
+
+    return write

@@ -43,10 +43,11 @@ class SnapshotTable:
             state = combine_states(previous.unionByName(state), self.keys)
         state.write.mode("overwrite").parquet(self._folder(batch_id))
 
-    def read(self) -> DataFrame:
-        versions = self._versions()
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """The newest complete table, or the newest older than batch ``before``; None when there is none."""
+        versions = [v for v in self._versions() if before is None or v < before]
         if not versions:
-            raise FileNotFoundError(f"no complete snapshot under {self.path}")
+            return None
         return finish(self.spark.read.parquet(self._folder(versions[-1])), self.keys, self.rules)
 
     def writer(self, shape: Callable[[DataFrame], DataFrame] = lambda df: df):
