@@ -12,6 +12,11 @@ from pyspark.sql.types import StringType
 # The code points that count as blank when text is stripped or
 # squeezed, as the inside of a regular-expression class.
 BLANK_CLASS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# The same code points as a string.
+BLANKS = "".join(
+    chr(c)
+    for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+)
 
 # The sentiment word lists, matched as substrings.
 POSITIVE_WORDS = (
@@ -44,11 +49,16 @@ def first_useful(*cols: Column | str) -> Column:
 
 
 def strip_blanks(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"^[{BLANK_CLASS}]+|[{BLANK_CLASS}]+$", "")
+    return F.btrim(_col(c), F.lit(BLANKS))
 
 
 def strip_right(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"[{BLANK_CLASS}]+$", "")
+    return F.rtrim(_col(c), F.lit(BLANKS))
+
+
+def has_text(c: Column | str) -> Column:
+    """Is there anything but blanks and direction marks? Stops at the first such character."""
+    return F.coalesce(_col(c).rlike(f"[^{BLANK_CLASS}‎‏]"), F.lit(False))
 
 
 def drop_tags(c: Column | str) -> Column:
@@ -79,7 +89,9 @@ def strip_html(c: Column | str, full: bool = False) -> Column:
 def normalize_text(c: Column | str) -> Column:
     """Direction marks become blanks, runs of blanks become one, ends are stripped."""
     plain = F.translate(_col(c), "‎‏", "  ")
-    return F.trim(F.regexp_replace(plain, f"[{BLANK_CLASS}]+", " "))
+    # A single plain blank between words is right already and is left alone.
+    other = BLANK_CLASS.replace(r"\x1c-\x20", r"\x1c-\x1f")
+    return F.trim(F.regexp_replace(plain, f"[{BLANK_CLASS}]{{2,}}|[{other}]", " "))
 
 
 def clean_comment(parsed: Column | str, raw: Column | str, full: bool = False) -> Column:
@@ -126,26 +138,37 @@ def sentiment(c: Column | str) -> Column:
     return (pos - neg) / F.greatest(F.lit(1), pos + neg)
 
 
-def parse_kv(c: Column | str) -> Column:
-    """``word=value`` pairs separated by ``|`` as a map; a later key wins.
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    Pairs are few per row. The map is built by asking, for each distinct key,
-    for its last pair, because duplicate keys may not enter a map directly.
-    """
-    pairs = F.regexp_extract_all(_col(c), F.lit(r"([\p{L}\p{N}_]+)=([^|]+)"), F.lit(0))
-    keyed = F.transform(
-        pairs,
-        lambda p: F.struct(
-            F.substring_index(p, "=", 1).alias("key"),
-            strip_blanks(F.regexp_extract(p, r"(?s)^[^=]+=(.*)$", 1)).alias("value"),
+
+def parse_kv(c: Column | str) -> Column:
+    """``word=value`` pairs separated by ``|`` as a map; a later key wins."""
+    pair = r"(?s)([\p{L}\p{N}_]+)=(.+)"
+    entries = F.transform(
+        F.split(_col(c), r"\|"),
+        lambda part: F.struct(
+            F.regexp_extract(part, pair, 1).alias("key"), strip_blanks(F.regexp_extract(part, pair, 2)).alias("value")
         ),
     )
-    newest_first = F.reverse(keyed)
-    keys = F.array_distinct(F.transform(newest_first, lambda e: e["key"]))
-    return F.map_from_arrays(
-        keys,
-        F.transform(keys, lambda k: F.element_at(F.filter(newest_first, lambda e: e["key"] == k), 1)["value"]),
-    )
+
+    def as_map(e: Column) -> Column:
+        # Duplicate keys may not enter a map: each key asks for its last entry.
+        keys = F.array_distinct(F.filter(F.transform(e, lambda x: x["key"]), lambda k: k != ""))
+        return F.map_from_arrays(
+            keys, F.transform(keys, lambda k: F.element_at(F.filter(e, lambda x: x["key"] == k), -1)["value"])
+        )
+
+    return let(entries, as_map)
+
+
+def kv_field(c: Column | str, key: str) -> Column:
+    """One field of a `parse_kv` text without building the map; null when absent or blank."""
+    word = r"[\p{L}\p{N}_]"
+    # The greedy start finds the last part whose first pair has this key.
+    last = rf"(?s)^(?:.*\|)?(?:(?!{word}=[^|])[^|])*?(?<!{word}){key}=([^|]+)"
+    return blank_to_null(strip_blanks(F.regexp_extract(_col(c), last, 1)))
 
 
 def tokens(c: Column | str) -> Column:

@@ -9,11 +9,12 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.vectors import as_double, norm
+from freshet.functions.vectors import as_double
 from freshet.operators.vector_search import BROADCAST_BYTES, HIT, _Best, _matrix, _ranked, batch_topk
 
 # Fixed value: the number of lists of the cosine index.
@@ -26,9 +27,8 @@ MAX_RECORDS_PER_FILE = 1_000_000
 
 def _with_features(df: DataFrame) -> DataFrame:
     """Unit vectors: on them nearest by Euclid is nearest by cosine."""
-    length = F.nullif(norm("embedding"), F.lit(0.0))
-    unit = F.transform(as_double("embedding"), lambda x: F.coalesce(x / length, F.lit(0.0)))
-    return df.withColumn("features", array_to_vector(unit))
+    raw = df.withColumn("raw", array_to_vector(as_double("embedding")))
+    return Normalizer(inputCol="raw", outputCol="features").transform(raw)
 
 
 def ivf_build(df: DataFrame, path: str, lists: int = LISTS, seed: int = 7) -> KMeansModel:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.functions.text import _col, strip_blanks
+from freshet.functions.text import _col, let, strip_blanks
 
 MAX_CHARS = 1200
 OVERLAP = 150
@@ -26,13 +26,19 @@ def windows(text: Column | str, max_chars: int = MAX_CHARS, overlap: int = OVERL
     step = max_chars - overlap
     # A window spans its own step and this many further ones.
     span = 1 + -(-overlap // step)
+
+    def cut(steps: Column) -> Column:
+        # All steps but the last are full, and a window is due until one reaches the end.
+        length = (F.size(steps) - 1) * step + F.char_length(F.element_at(steps, -1))
+        count = 1 + F.ceil(F.greatest(length - max_chars, F.lit(0)) / step).cast("int")
+        pieces = F.transform(
+            F.sequence(F.lit(1), count),
+            lambda i: strip_blanks(F.left(F.array_join(F.slice(steps, i, span), ""), F.lit(max_chars))),
+        )
+        return F.filter(pieces, lambda p: p != "")
+
     steps = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
-    count = 1 + F.ceil(F.greatest(F.char_length(body) - max_chars, F.lit(0)) / step).cast("int")
-    pieces = F.transform(
-        F.sequence(F.lit(1), count),
-        lambda i: strip_blanks(F.left(F.array_join(F.slice(steps, i, span), ""), F.lit(max_chars))),
-    )
-    return F.when(body == "", F.array().cast("array<string>")).otherwise(F.filter(pieces, lambda p: p != ""))
+    return let(steps, lambda s: F.when(F.size(s) > 0, cut(s)).otherwise(F.array().cast("array<string>")))
 
 
 def chunk(

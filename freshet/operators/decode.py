@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from freshet.functions.json_text import is_json, json_kind, lenient_object, unwrap_once
-from freshet.functions.text import _col
 
 # The document message and the fields read from it.
 MESSAGE_SCHEMA = "doc_id string, source string, text string, meta struct<project: string, user: string, ts: string>"
@@ -46,46 +45,55 @@ def flatten_message(df: DataFrame) -> DataFrame:
     )
 
 
-def decode_reason(value: Column | str) -> Column:
-    """Why a possibly double-encoded message cannot be read; null when it is an object."""
-    body = unwrap_once(value)
-    kind = json_kind(body)
-    return (
-        F.when(_col(value).isNull(), "tombstone")
-        .when(F.coalesce(body, F.lit("")) == "", "empty")
-        .when(kind.isNull(), "malformed")
-        .when(~F.startswith(kind, F.lit("OBJECT")), "not_an_object")
-    )
+def with_values(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns as the output of a generator of one row.
+
+    A filter on an ordinary column is evaluated below the projection that
+    defines it, by repeating its whole definition. On these columns it reads
+    the value, so costly parsing happens once.
+    """
+    return df.select(*df.columns, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def decode_double(df: DataFrame, value: str = "value") -> DataFrame:
-    """Adds ``body`` (object text, else null) and ``reason``."""
-    reason = decode_reason(value)
-    return df.withColumn("reason", reason).withColumn(
-        "body", F.when(F.col("reason").isNull(), unwrap_once(value))
+    """Adds ``body`` (object text, else null) and ``reason`` for messages that may be encoded twice.
+
+    Every step is its own projection, so the text is unwrapped and parsed once.
+    """
+    steps = df.withColumn("_text", unwrap_once(value)).withColumn("_kind", json_kind("_text"))
+    reason = (
+        F.when(F.col(value).isNull(), "tombstone")
+        .when(F.coalesce("_text", F.lit("")) == "", "empty")
+        .when(F.col("_kind").isNull(), "malformed")
+        .when(~F.startswith("_kind", F.lit("OBJECT")), "not_an_object")
     )
+    readable = F.startswith("_kind", F.lit("OBJECT"))
+    return with_values(steps, reason=reason, body=F.when(readable, F.col("_text"))).drop("_text", "_kind")
 
 
-def content_reason(body: Column | str, field: str = "content") -> Column:
-    """The required content must be a non-empty JSON string."""
-    body = _col(body)
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), f"$.{field}", "variant"))
-    text = F.get_json_object(body, f"$.{field}")
-    return (
-        F.when(kind.isNull() | (kind == "VOID"), "content_missing")
-        .when(kind != "STRING", "content_not_text")
-        .when(F.coalesce(text, F.lit("")) == "", "content_empty")
-    )
-
+def classify(df: DataFrame, value: str = "value", field: str = "content") -> DataFrame:
+    """One pass over the messages: ``body``, ``reason`` and ``result`` (ok, skipped or error).
 
-def classify(df: DataFrame, value: str = "value") -> DataFrame:
-    """One pass over the messages: ``body``, ``reason`` and ``result`` (ok, skipped or error)."""
+    The required content must be a non-empty JSON string.
+    """
     decoded = decode_double(df, value)
-    reason = F.coalesce(F.col("reason"), content_reason("body"))
-    return decoded.withColumn("reason", reason).withColumn(
+    steps = decoded.withColumn(
+        "_field", F.try_variant_get(F.try_parse_json("body"), f"$.{field}", "variant")
+    ).withColumns({"_kind": F.schema_of_variant("_field"), "_blank": F.try_variant_get("_field", "$", "string") == ""})
+    reason = (
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(F.col("_kind").isNull() | (F.col("_kind") == "VOID"), "content_missing")
+        .when(F.col("_kind") != "STRING", "content_not_text")
+        .when(F.col("_blank"), "content_empty")
+    )
+    named = steps.withColumn("reason", reason).withColumn(
         "result",
         F.when(F.col("reason").isNull(), "ok").when(F.col("reason") == "tombstone", "skipped").otherwise("error"),
     )
+    rest = [c for c in named.columns if c not in ("reason", "result", "_field", "_kind", "_blank")]
+    return with_values(named.select(*rest, F.col("reason").alias("_r"), F.col("result").alias("_s")), reason=F.col("_r"), result=F.col("_s")).drop(
+        "_r", "_s"
+    )
 
 
 def split_valid(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -104,12 +112,14 @@ def drop_malformed(df: DataFrame, value: str = "value") -> DataFrame:
     return df.where(is_json(value))
 
 
-def type_violations(body: Column | str, fields: Mapping[str, str] = DECLARED_FIELDS) -> Column:
-    """Names of the declared fields that hold another JSON type; null and absent are allowed."""
-    variant = F.try_parse_json(_col(body))
+def type_violations(df: DataFrame, value: str = "value", fields: Mapping[str, str] = DECLARED_FIELDS) -> DataFrame:
+    """Adds ``violations``: declared fields that hold another JSON type. Null and absent are allowed."""
+    kinds = df.withColumn("_v", F.try_parse_json(value)).withColumns(
+        {f"_kind_{n}": F.schema_of_variant(F.try_variant_get("_v", f"$.{n}", "variant")) for n in fields}
+    )
     checks = []
     for name, wanted in fields.items():
-        kind = F.schema_of_variant(F.try_variant_get(variant, f"$.{name}", "variant"))
+        kind = F.col(f"_kind_{name}")
         fits = kind == ("BIGINT" if wanted == "integer" else "STRING")
         checks.append(F.when(kind.isNotNull() & (kind != "VOID") & ~fits, F.lit(name)))
-    return F.array_compact(F.array(*checks))
+    return kinds.withColumn("violations", F.array_compact(F.array(*checks))).drop("_v", *[f"_kind_{n}" for n in fields])

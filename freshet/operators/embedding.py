@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.keys import text_sha256
 from freshet.functions.text import strip_blanks, tokens
-from freshet.functions.vectors import as_double, has_width, norm
+from freshet.functions.vectors import as_double, has_width
 from freshet.operators.joins import lookup
 
 DIMS = 64
@@ -39,27 +39,31 @@ def hash_embed(texts: DataFrame, key: str = "text_hash", text: str = "text", dim
     small rows per text travel, however long it is. Texts without words, or
     whose buckets cancel out, get a vector of zeros.
     """
-    word = F.conv(F.left(F.sha1("word"), F.lit(8)), 16, 10).cast("bigint")
-    words = texts.select(key, F.explode_outer(tokens(text)).alias("word")).select(
+    hashed = texts.select(key, F.explode_outer(tokens(text)).alias("word")).select(
+        key, F.conv(F.left(F.sha1("word"), F.lit(8)), 16, 10).cast("bigint").alias("hash")
+    )
+    words = hashed.select(
         key,
-        F.coalesce(F.pmod(word, F.lit(dims)), F.lit(0)).cast("int").alias("bucket"),
-        F.when(F.col("word").isNull(), 0)
-        .when(F.pmod(F.floor(word / dims), F.lit(2)) == 0, 1)
+        F.coalesce(F.pmod("hash", F.lit(dims)), F.lit(0)).cast("int").alias("bucket"),
+        F.when(F.col("hash").isNull(), 0)
+        .when(F.pmod(F.expr(f"hash div {dims}"), F.lit(2)) == 0, 1)
         .otherwise(-1)
         .alias("sign"),
     )
     sums = words.groupBy(key, "bucket").agg(F.sum("sign").alias("s"))
     # At most `dims` entries per key are gathered here.
-    packed = sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("bucket", "s"))).alias("m")).select(
+    packed = sums.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("bucket", "s"))).alias("m"),
+        F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("length"),
+    )
+    return packed.select(
         key,
         F.transform(
             F.sequence(F.lit(0), F.lit(dims - 1)),
-            lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0)).cast("double"),
-        ).alias("v"),
-    )
-    length = F.nullif(norm("v"), F.lit(0.0))
-    return packed.select(
-        key, F.transform("v", lambda x: F.coalesce(x / length, F.lit(0.0))).alias("embedding")
+            lambda i: F.when(F.col("length") == 0, F.lit(0.0)).otherwise(
+                F.coalesce(F.try_element_at("m", i), F.lit(0)) / F.col("length")
+            ),
+        ).alias("embedding"),
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +16,10 @@ STOP_WORDS = (
     "of", "on", "or", "that", "the", "this", "to", "was", "were", "will", "with",
 )
 
-# Query texts up to this size are compared inside one pass over the rows.
-QUERY_BYTES = 64 << 10
+# Plain query texts up to this size are met in one pass over the rows; patterns
+# with wildcards are expressions of the plan and take smaller passes.
+QUERY_BYTES = 4 << 20
+EXPRESSION_BYTES = 16 << 10
 
 
 def matches(query: str | Column, *cols: str, literal: bool = False) -> Column:
@@ -43,36 +48,118 @@ def batch_keyword_topk(
 ) -> DataFrame:
     """``query_id, id, rank``: for each query (``id, query``) the newest ``k`` rows that contain it.
 
-    The query texts are measured, then tested in as many passes as their size
-    asks for; a row emits only the queries it matches. Each task keeps ``k``
-    rows per query before the shuffle.
+    The query texts are measured, then met in as many passes as their size asks
+    for; a row emits only the queries it matches. Each task keeps ``k`` rows per
+    query before the shuffle.
     """
-    queries = queries.where(F.coalesce(F.trim("query"), F.lit("")) != "").select("id", "query")
-    size = queries.agg(F.sum(F.octet_length("query"))).first()[0] or 0
-    passes = max(1, -(-size // query_bytes))
+    # Lower-casing is its own projection: once per row, not once per query.
+    low = chunks.select(F.col("id").cast("bigint").alias("id"), *[F.lower(F.col(c)).alias(f"low_{c}") for c in cols])
+    asked = queries.where(F.coalesce(F.trim("query"), F.lit("")) != "").select(
+        F.col("id").cast("bigint").alias("id"), F.lower("query").alias("query")
+    )
+    wild = F.lit(False) if literal else F.col("query").rlike(r"[%_\\]")
     found = None
-    for i in range(passes):
-        batch = queries.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == i).collect()  # at most query_bytes of text
-        hits = _scan(chunks, [(r["id"], r["query"]) for r in batch], cols, literal)
-        found = hits if found is None else found.unionByName(hits)
+    for plain in (True, False):
+        part = asked.where(~wild if plain else wild)
+        limit = query_bytes if plain else min(query_bytes, EXPRESSION_BYTES)
+        size = part.agg(F.sum(F.octet_length("query"))).first()[0] or 0
+        passes = -(-size // limit)
+        for i in range(passes):
+            rows = part.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == i).collect()  # bounded by `limit`
+            batch = [(r["id"], r["query"]) for r in rows]
+            hits = _scan_words(low, batch) if plain else _scan_patterns(low, batch)
+            found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        found = low.limit(0).select("id", F.lit(0).cast("bigint").alias("query_id"))
     w = Window.partitionBy("query_id").orderBy(F.col("id").desc())
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _scan(chunks: DataFrame, batch: list[tuple[int, str]], cols, literal: bool) -> DataFrame:
-    hits = [F.when(matches(text, *cols, literal=literal), F.lit(i).cast("bigint")) for i, text in batch]
-    ids = F.array_compact(F.array(*hits)) if hits else F.array().cast("array<bigint>")
-    return chunks.select(F.col("id").cast("bigint").alias("id"), F.explode(ids).alias("query_id"))
+def _text_columns(low: DataFrame) -> list[str]:
+    return [c for c in low.columns if c.startswith("low_")]
+
+
+def _scan_patterns(low: DataFrame, batch: list[tuple[int, str]]) -> DataFrame:
+    """Queries with wildcards: one ``LIKE`` per query and column."""
+
+    def hit(text: str) -> Column:
+        out = F.lit(False)
+        for c in _text_columns(low):
+            out |= F.coalesce(F.like(F.col(c), F.lit(f"%{text}%")), F.lit(False))
+        return out
+
+    hits = F.array_compact(F.array(*[F.when(hit(text), F.lit(i).cast("bigint")) for i, text in batch]))
+    return low.select("id", F.explode(hits).alias("query_id"))
+
+
+def _scan_words(low: DataFrame, batch: list[tuple[int, str]]) -> DataFrame:
+    """Plain queries: all of them are found in one walk over each text."""
+    by_text: dict[str, list[int]] = {}
+    for i, text in batch:
+        by_text.setdefault(text, []).append(i)
+    shared = low.sparkSession.sparkContext.broadcast(by_text)
+    columns = _text_columns(low)
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        find = _finder(shared.value)
+        for frame in frames:
+            ids, asked = [], []
+            for row in zip(frame["id"], *[frame[c] for c in columns]):
+                hits = set()
+                for text in row[1:]:
+                    if text:
+                        find(text, hits)
+                ids += [row[0]] * len(hits)
+                asked += hits
+            yield pd.DataFrame({"id": ids, "query_id": asked}, dtype="int64")
+
+    return low.mapInPandas(walk, "id bigint, query_id bigint")
+
 
+def _finder(by_text: dict[str, list[int]]):
+    """``find(text, hits)`` adds the ids of the queries that the text contains."""
+    try:
+        from ahocorasick import Automaton
+    except ImportError:
 
-def token_index(df: DataFrame, key: str = "doc_id", text: str = "text", stop_words=STOP_WORDS) -> DataFrame:
+        def find(text: str, hits: set) -> None:
+            for word, ids in by_text.items():
+                if word in text:
+                    hits.update(ids)
+
+        return find
+
+    automaton = Automaton()
+    for word, ids in by_text.items():
+        automaton.add_word(word, ids)
+    automaton.make_automaton()
+
+    def find(text: str, hits: set) -> None:
+        for _, ids in automaton.iter(text):
+            hits.update(ids)
+
+    return find
+
+
+def token_index(
+    df: DataFrame, key: str = "doc_id", text: str = "text", stop_words=STOP_WORDS, only: DataFrame | None = None
+) -> DataFrame:
     """Postings: one row per word and document with its count.
 
     Kept as rows, not as a list per word, so a word that is in every document
-    is no larger than the tasks it is spread over.
+    is no larger than the tasks it is spread over. With ``only`` (a column
+    ``token``) other words are dropped before anything is counted.
     """
-    words = df.select(key, F.explode(tokens(text)).alias("token"))
-    return words.where(~F.col("token").isin(*stop_words)).groupBy("token", key).agg(F.count(F.lit(1)).alias("n"))
+    words = df.select(key, F.explode(tokens(text)).alias("token")).where(~F.col("token").isin(*stop_words))
+    if only is not None:
+        words = words.join(only.select("token").distinct(), "token", "left_semi")
+    return words.groupBy("token", key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def query_words(queries: DataFrame, stop_words=STOP_WORDS) -> DataFrame:
+    """``query_id, token`` for queries with ``query_id, query``."""
+    words = queries.select("query_id", F.explode(F.array_distinct(tokens("query"))).alias("token"))
+    return words.where(~F.col("token").isin(*stop_words))
 
 
 def token_stats(index: DataFrame) -> DataFrame:
@@ -86,8 +173,7 @@ def fts_search(index: DataFrame, queries: DataFrame, key: str = "doc_id", stop_w
     postings in an equi-join; counts per query and document combine on the map
     side.
     """
-    words = queries.select("query_id", F.explode(F.array_distinct(tokens("query"))).alias("token"))
-    words = words.where(~F.col("token").isin(*stop_words))
+    words = query_words(queries, stop_words)
     needed = words.groupBy("query_id").agg(F.count(F.lit(1)).alias("needed"))
     met = index.join(words, "token").groupBy("query_id", key).agg(
         F.count(F.lit(1)).alias("met"), F.sum("n").alias("occurrences")

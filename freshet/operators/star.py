@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.keys import position_key, surrogate
-from freshet.functions.text import blank_to_null, lenient_bool, parse_kv
+from freshet.functions.text import blank_to_null, kv_field, lenient_bool
 from freshet.functions.times import epoch_time
 from freshet.operators.joins import lookup
 from freshet.operators.merge import merge
@@ -132,20 +132,23 @@ def edits_from_content(chunks: DataFrame) -> DataFrame:
         & F.col("kafka_topic").isNotNull()
         & F.col("kafka_partition").isNotNull()
         & F.col("kafka_offset").isNotNull()
-    ).withColumn("_kv", parse_kv("content"))
-    kv = F.col("_kv")
+    )
+
+    def field(name: str):
+        return kv_field("content", name)
+
     return usable.select(
         *POSITION,
         "ord",
-        F.coalesce(blank_to_null(kv["type"]), F.lit("edit")).alias("event_type"),
-        blank_to_null(kv["wiki"]).alias("wiki"),
+        F.coalesce(field("type"), F.lit("edit")).alias("event_type"),
+        field("wiki").alias("wiki"),
         "title",
         "url",
-        F.coalesce(blank_to_null(kv["user"]), blank_to_null(kv["user_name"])).alias("user_name"),
-        lenient_bool(kv["bot"]).alias("is_bot"),
-        blank_to_null(kv["comment"]).alias("comment"),
-        blank_to_null(kv["server"]).alias("server"),
-        F.coalesce(epoch_time(kv["timestamp"]), F.col("created_at")).alias("edited_at"),
+        F.coalesce(field("user"), field("user_name")).alias("user_name"),
+        lenient_bool(field("bot")).alias("is_bot"),
+        field("comment").alias("comment"),
+        field("server").alias("server"),
+        F.coalesce(epoch_time(field("timestamp")), F.col("created_at")).alias("edited_at"),
         F.col("created_at").alias("ingested_at"),
     )
 

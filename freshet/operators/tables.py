@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.keys import doc_key
-from freshet.functions.text import _col, blank_to_null, normalize_text, strip_blanks
+from freshet.functions.text import _col, blank_to_null, has_text, normalize_text, strip_blanks
 from freshet.functions.times import epoch_time
 from freshet.operators.content import link, with_content
 from freshet.operators.filters import keep_condition
@@ -47,8 +47,8 @@ def gold(docs: DataFrame, text: str = "text", short_chars: int = 200) -> DataFra
 
     ``docs`` has ``doc_id, source, title, url, lang, event_time`` and the text.
     """
-    clean = docs.withColumn("text", normalize_text(F.coalesce(F.col(text), F.lit(""))))
-    keyed = clean.where(F.col("text") != "").withColumn("doc_key", doc_key("source", "title", "url", "text"))
+    clean = docs.where(has_text(text)).withColumn("text", normalize_text(text))
+    keyed = clean.withColumn("doc_key", doc_key("source", "title", "url", "text"))
     flags = F.array_compact(
         F.array(
             F.when(F.char_length("text") < short_chars, F.lit("short")),

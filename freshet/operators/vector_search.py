@@ -41,6 +41,10 @@ def vector_topk(
     Each task keeps its own ``k`` best, so the last step sorts ``k`` rows per
     task. Conditions apply before any distance is computed.
     """
+    if not isinstance(query, Column) and metric == "cosine":
+        # Cosine ignores the query's length; one of length one saves work per row.
+        length = math.sqrt(sum(float(x) ** 2 for x in query)) or 1.0
+        query = [float(x) / length for x in query]
     vector = query if isinstance(query, Column) else vector_lit(query)
     rows = chunks.where(F.col(embedding).isNotNull())
     if where is not None:

@@ -13,14 +13,14 @@ from freshet.operators import filters as L
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
 from freshet.sources.events import common_events, stored_content
-from freshet.sources.tables import table
+from freshet.sources.tables import dealt, table
 
 registry = Registry()
 query = registry.query
 
 
 def _events(spark, d):
-    return common_events(table(spark, d, "events"))
+    return common_events(dealt(table(spark, d, "events")))
 
 
 @query(f"WITH {S.EV} SELECT ord, type, wiki, user_name FROM ev WHERE {S.KEEP}")
@@ -71,7 +71,7 @@ def strip_html_full(spark, d):
 
 @query(f"SELECT doc_id, {S.normalize('text')} AS clean FROM documents")
 def normalize_ws(spark, d):
-    return table(spark, d, "documents").select("doc_id", T.normalize_text("text").alias("clean"))
+    return dealt(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", T.normalize_text("text").alias("clean"))
 
 
 @query(
@@ -237,7 +237,7 @@ def previews(spark, d):
 
 @query(f"SELECT doc_id, round({S.sentiment('text')}, 6) AS score FROM documents")
 def sentiment(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.round(T.sentiment("text"), 6).alias("score"))
+    return dealt(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.round(T.sentiment("text"), 6).alias("score"))
 
 
 @query(

@@ -12,7 +12,7 @@ from freshet.plans import Registry
 from freshet.sources.events import common_events
 from freshet.sources.increments import keyset_page
 from freshet.sources.sinks import edit_rows, keyed_messages
-from freshet.sources.tables import table
+from freshet.sources.tables import dealt, table
 
 registry = Registry()
 query = registry.query
@@ -109,7 +109,7 @@ def _document_messages(spark, d):
         .when(kind == 4, F.to_json(F.struct("source", F.lit("").alias("content"))))
         .otherwise(F.to_json(F.struct("source", F.col("text").alias("content"))))
     )
-    return table(spark, d, "documents").select("doc_id", value.alias("value"))
+    return dealt(table(spark, d, "documents").select("doc_id", "text", "source", "n_chars")).select("doc_id", value.alias("value"))
 
 
 @query(f"WITH {_MESSAGES_SQL} SELECT doc_id, reason FROM r WHERE reason <> 'tombstone'")
@@ -154,7 +154,7 @@ def schema_check(spark, d):
         F.lit(',"timestamp":'), stamp, F.lit(',"extra":true}'),
     )
     messages = table(spark, d, "events").select("event_id", value.alias("value"))
-    return messages.select("event_id", F.array_join(D.type_violations("value"), ",").alias("violations"))
+    return D.type_violations(messages).select("event_id", F.array_join("violations", ",").alias("violations"))
 
 
 @query(

@@ -12,14 +12,14 @@ from freshet.operators.chunking import chunk
 from freshet.operators.merge import first_per_key
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
-from freshet.sources.tables import table
+from freshet.sources.tables import dealt, table
 
 registry = Registry()
 query = registry.query
 
 
 def _documents(spark, d):
-    return table(spark, d, "documents").select("doc_id", "text")
+    return dealt(table(spark, d, "documents").select("doc_id", "text"))
 
 
 @query(
@@ -36,7 +36,7 @@ SELECT d.lang, count(*) AS n_chunks, CAST(sum(length(chunk_text)) AS BIGINT) AS
 FROM ch JOIN documents d USING (doc_id) GROUP BY d.lang"""
 )
 def chunk_stats(spark, d):
-    chunks = chunk(table(spark, d, "documents").select("doc_id", "lang", "text"))
+    chunks = chunk(dealt(table(spark, d, "documents").select("doc_id", "lang", "text")))
     size = F.char_length("chunk_text")
     return chunks.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_chunks"), F.sum(size).alias("n_chars"), F.max(size).cast("bigint").alias("longest")

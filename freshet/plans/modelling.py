@@ -14,7 +14,7 @@ from freshet.operators.merge import first_per_key, merge
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
 from freshet.sources.events import common_events, stored_content
-from freshet.sources.tables import table
+from freshet.sources.tables import dealt, table
 
 registry = Registry()
 query = registry.query
@@ -27,7 +27,7 @@ def _events(spark, d):
 
 
 def _edits(spark, d):
-    return ST.edits_from_content(stored_content(_events(spark, d)))
+    return ST.edits_from_content(stored_content(common_events(dealt(table(spark, d, "events")))))
 
 
 @query(
@@ -50,7 +50,7 @@ def silver_events(spark, d):
 
 @query(
     f"""WITH p AS (SELECT doc_id, source, lang, {S.normalize('text')} AS text,
-    CASE WHEN doc_id % 10 = 3 THEN NULL ELSE left({S.normalize('text')}, 30) END AS title,
+    CASE WHEN doc_id % 10 = 3 THEN NULL ELSE left(text, 30) END AS title,
     CASE WHEN doc_id % 8 = 5 THEN '' ELSE 'https://docs.example.org/' || source END AS url FROM documents),
 k AS (SELECT *, {S.sha1_key('source', 'title', 'url', 'text')} AS doc_key FROM p WHERE text <> '')
 SELECT doc_key, min(doc_id) AS doc_id, arg_min(text, doc_id) AS text, arg_min(lang, doc_id) AS lang,
@@ -60,10 +60,8 @@ SELECT doc_key, min(doc_id) AS doc_id, arg_min(text, doc_id) AS text, arg_min(la
 FROM k GROUP BY doc_key"""
 )
 def gold_documents(spark, d):
-    from freshet.functions.text import normalize_text
-
     doc = F.col("doc_id")
-    docs = table(spark, d, "documents").withColumn("text", normalize_text("text")).select(
+    docs = dealt(table(spark, d, "documents").select("doc_id", "text", "source", "lang")).select(
         "doc_id",
         "text",
         "source",

@@ -20,7 +20,7 @@ from freshet.plans import Registry
 from freshet.plans import shared_sql as S
 from freshet.session import shared_dir, stored
 from freshet.sources.events import common_events
-from freshet.sources.tables import table
+from freshet.sources.tables import dealt, table
 
 registry = Registry()
 query = registry.query
@@ -185,7 +185,7 @@ ix AS (SELECT token, doc_id, count(*) AS n FROM w WHERE token {_STOP} GROUP BY t
 
 @query(f"WITH {_INDEX} SELECT token, count(*) AS documents, CAST(sum(n) AS BIGINT) AS occurrences FROM ix GROUP BY token")
 def token_index(spark, d):
-    return W.token_stats(W.token_index(table(spark, d, "documents")))
+    return W.token_stats(W.token_index(dealt(table(spark, d, "documents").select("doc_id", "text"))))
 
 
 _FIRST_WORDS = r"array_to_string(list_slice(regexp_extract_all(text, '[\p{L}]+'), 1, 3), ' ')"
@@ -202,7 +202,8 @@ def fts_search(spark, d):
     """Documents that hold the leading words of each benchmark text."""
     leading = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\p{L}]+"), F.lit(0)), 1, 3), " ")
     queries = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), leading.alias("query"))
-    return W.fts_search(W.token_index(table(spark, d, "documents")), queries)
+    docs = dealt(table(spark, d, "documents").select("doc_id", "text"))
+    return W.fts_search(W.token_index(docs, only=W.query_words(queries)), queries)
 
 
 # --- gates, modes, approximate ---------------------------------------------------------
@@ -229,8 +230,10 @@ FROM b LEFT JOIN found ON found.query_id = b.id"""
 )
 def gated_search(spark, d):
     """Benchmark texts asked against all documents; gates tightened so that every tier occurs."""
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    docs = dealt(table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content")))
     chunks = docs.join(embed_by_id(docs, "id", "content"), "id").withColumn("title", F.lit(None).cast("string"))
+    # The searchable table is written once; vector and keyword search both read it.
+    chunks = stored(chunks, "chunks")
     hits = gated(chunks, stored(_asked(spark, d), "asked"), k=3, strict=0.05, relaxed=0.12)
     return hits.select("query_id", "mode", F.col("rank").cast("bigint").alias("rank"), "id", F.round("distance", 6).alias("distance"))
 
