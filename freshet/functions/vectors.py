@@ -27,7 +27,7 @@ def dot(a: Column | str, b: Column | str) -> Column:
 
 
 def norm(a: Column | str) -> Column:
-    return F.sqrt(_total(F.transform(as_double(a), lambda x: x * x)))
+    return F.sqrt(F.aggregate(as_double(a), F.lit(0.0), lambda acc, x: acc + x * x))
 
 
 def cosine_distance(a: Column | str, b: Column | str) -> Column:
@@ -37,7 +37,8 @@ def cosine_distance(a: Column | str, b: Column | str) -> Column:
 
 
 def l2_distance(a: Column | str, b: Column | str) -> Column:
-    return F.sqrt(_total(F.zip_with(as_double(a), as_double(b), lambda x, y: (x - y) * (x - y))))
+    apart = F.zip_with(as_double(a), as_double(b), lambda x, y: x - y)
+    return F.sqrt(F.aggregate(apart, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
 def distance(a: Column | str, b: Column | str, metric: str) -> Column:

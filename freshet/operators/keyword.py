@@ -67,6 +67,8 @@ def batch_keyword_topk(
         for i in range(passes):
             rows = part.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == i).collect()  # bounded by `limit`
             batch = [(r["id"], r["query"]) for r in rows]
+            if not batch:
+                continue
             hits = _scan_words(low, batch) if plain else _scan_patterns(low, batch)
             found = hits if found is None else found.unionByName(hits)
     if found is None:

@@ -38,7 +38,7 @@ def vector_topk(
 ) -> DataFrame:
     """The ``k`` nearest rows to one query vector, nearest first, ties by key.
 
-    Each task keeps its own ``k`` best, so the last step sorts ``k`` rows per
+    All vectors must have the query's width (see `embedding.check_width`). Each task keeps its own ``k`` best, so the last step sorts ``k`` rows per
     task. Conditions apply before any distance is computed.
     """
     if not isinstance(query, Column) and metric == "cosine":

@@ -15,8 +15,13 @@ from freshet.sources.tables import table
 registry = Registry()
 query = registry.query
 
-OK = F.col("event_type") != "error"
-FAILED = F.col("event_type") == "error"
+
+def _ok():
+    return F.col("event_type") != "error"
+
+
+def _failed():
+    return F.col("event_type") == "error"
 
 
 def _events(spark, d):
@@ -25,7 +30,7 @@ def _events(spark, d):
 
 @query("SELECT count(*) AS received, count(*) FILTER (event_type <> 'error') AS processed, count(*) FILTER (event_type = 'error') AS failed FROM events")
 def flow_counts(spark, d):
-    return M.flow_counts(_events(spark, d), OK, FAILED)
+    return M.flow_counts(_events(spark, d), _ok(), _failed())
 
 
 @query(
@@ -80,7 +85,7 @@ def p95_buckets(spark, d):
 
 @query("SELECT event_type, max(ts) FILTER (event_type <> 'error') AS last_success FROM events GROUP BY event_type")
 def last_success(spark, d):
-    return M.last_success(_events(spark, d), "ts", OK, ["event_type"])
+    return M.last_success(_events(spark, d), "ts", _ok(), ["event_type"])
 
 
 @query(
@@ -91,7 +96,7 @@ SELECT user_id, age AS age_seconds, coalesce(age > 3600, true) AS stale FROM a""
 def staleness(spark, d):
     events = _events(spark, d)
     newest = events.agg(F.max(as_zoned("ts"))).scalar()
-    last = M.last_success(events, "ts", OK, ["user_id"])
+    last = M.last_success(events, "ts", _ok(), ["user_id"])
     return M.staleness(last, newest, 3600).select("user_id", "age_seconds", "stale")
 
 
@@ -132,7 +137,7 @@ def increase_10m(spark, d):
 FROM events GROUP BY user_id"""
 )
 def error_ratio(spark, d):
-    counts = M.flow_counts(_events(spark, d), OK, FAILED, ["user_id"])
+    counts = M.flow_counts(_events(spark, d), _ok(), _failed(), ["user_id"])
     return counts.select("user_id", "failed", F.round(M.error_ratio(F.col("failed"), F.col("processed")), 6).alias("ratio"))
 
 
@@ -197,5 +202,5 @@ SELECT user_id, n, ok, max_value, round(p50, 6) AS p50, vs[CAST(floor(0.95 * (n
     ok >= CAST(floor(0.9 * n) AS BIGINT) AS passed FROM g"""
 )
 def consistency_report(spark, d):
-    out = M.consistency_report(_events(spark, d), "value", OK, by=["user_id"])
+    out = M.consistency_report(_events(spark, d), "value", _ok(), by=["user_id"])
     return out.select("user_id", "n", "ok", "max_value", F.round("p50", 6).alias("p50"), "p95", "passed")

@@ -33,16 +33,19 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "fre
     return spark
 
 
+_own_folder: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where the cluster names none (tests) is a temporary folder made and
-    recorded in the session.
+    Only where the session names none, as in tests, is a temporary folder made,
+    one per application.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="freshet-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        app = spark.sparkContext.applicationId
+        base = _own_folder.setdefault(app, _own_folder.get(app) or tempfile.mkdtemp(prefix="freshet-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

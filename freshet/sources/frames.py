@@ -25,32 +25,24 @@ def parse_frames(frames: DataFrame, text: str = "value") -> DataFrame:
     return (
         frames.withColumn("_lines", lines)
         .select(
-            F.element_at(_field(F.col("_lines"), "event"), -1).alias("event_type"),
-            F.element_at(_field(F.col("_lines"), "id"), -1).alias("id"),
+            F.try_element_at(_field(F.col("_lines"), "event"), F.lit(-1)).alias("event_type"),
+            F.try_element_at(_field(F.col("_lines"), "id"), F.lit(-1)).alias("id"),
             F.trim(F.array_join(_field(F.col("_lines"), "data"), "\n")).alias("data"),
         )
         .where(F.col("data") != "")
     )
 
 
-def read_frames(spark: SparkSession, path: str) -> DataFrame:
-    """Events of capture files, framed by blank lines. Lines may end in LF or CRLF.
+def read_frames(spark: SparkSession, path: str, line_ending: str = "\n") -> DataFrame:
+    """Events of capture files, framed by blank lines.
 
     Files are split at blank lines while reading, so a large capture is read by
-    many tasks; CRLF files are framed by their own blank line.
+    many tasks. Name the line ending of large captures that use CRLF; unnamed,
+    such files are still framed right, but each arrives as one text.
     """
-    out = None
-    # A frame is closed by an empty line in the file's own line ending.
-    for sep in ("\n\n",):
-        part = spark.read.option("lineSep", sep).text(path)
-        out = part if out is None else out.unionByName(part)
-    return parse_frames(_split_crlf(out))
-
-
-def _split_crlf(frames: DataFrame) -> DataFrame:
-    """A CRLF file has no bare blank line and arrives as one text; it is cut here."""
-    pieces = F.split(F.col("value"), "\r\n\r\n")
-    return frames.select(F.explode(pieces).alias("value"))
+    frames = spark.read.option("lineSep", line_ending * 2).text(path)
+    pieces = F.split(F.replace(F.col("value"), F.lit("\r"), F.lit("")), "\n\n+")
+    return parse_frames(frames.select(F.explode(pieces).alias("value")))
 
 
 def parse_lines(lines: DataFrame, text: str = "value") -> DataFrame:
