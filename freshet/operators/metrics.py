@@ -207,15 +207,21 @@ def inflight_peak(df: DataFrame, start: str, end: str, by: Sequence[str]) -> Dat
 
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (), method: str = "cont") -> DataFrame:
-    """Exact quantiles ``q, value`` per label: ``cont`` interpolates, ``index`` takes element ``int(q * (n - 1))``.
+    """Exact quantiles ``q, value`` per label: ``cont`` interpolates, ``index`` takes element ``int(q * (n - 1))``."""
+    return _selected(df, value, [(q, method) for q in qs], by).drop("method")
+
+
+def _selected(df: DataFrame, value: str, wanted: Sequence[tuple[float, str]], by: Sequence[str]) -> DataFrame:
+    """``q, method, value`` for every wanted quantile, in one pass over the counted values.
 
     Equal values are counted first. Their counts are added up per coarse value
     range, which tells the few ranges that hold the wanted ranks; only those
     are ordered by value. So neither a heavy value nor a heavy label ends in
     one task.
     """
-    if method not in ("cont", "index"):
-        raise ValueError(f"unknown method {method!r}")
+    unknown = {m for _, m in wanted} - {"cont", "index"}
+    if unknown:
+        raise ValueError(f"unknown methods {sorted(unknown)}")
     label = list(by)
     counts = (
         df.where(F.col(value).isNotNull())
@@ -226,30 +232,31 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     )
     cells = counts.groupBy(*label, "cell").agg(F.sum("n").alias("n"))
     up_to = Window.partitionBy(*label).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*label)
-    cells = cells.withColumn("upto", F.sum("n").over(up_to)).withColumn("total", F.sum("n").over(whole))
+    cells = cells.withColumn("upto", F.sum("n").over(up_to)).withColumn("total", F.sum("n").over(Window.partitionBy(*label)))
+    asked = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.lit(m).alias("method")) for q, m in wanted])
     position = F.col("q") * (F.col("total") - 1)
-    ranks = (
-        F.array(F.floor(position), F.ceil(position)) if method == "cont" else F.array(F.floor(position + F.lit(1e-9)))
+    ranks = F.when(F.col("method") == "cont", F.array(F.floor("position"), F.ceil("position"))).otherwise(
+        F.array(F.floor(F.col("position") + F.lit(1e-9)))
     )
-    wanted = (
-        cells.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+    targets = (
+        cells.select("*", F.inline(asked))
         .withColumn("position", position)
         .withColumn("rank", F.explode(F.array_distinct(ranks)))
         .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        .select(*label, "cell", "q", "position", "rank", (F.col("upto") - F.col("n")).alias("below"))
+        .select(*label, "cell", "q", "method", "position", "rank", (F.col("upto") - F.col("n")).alias("below"))
     )
     inside = Window.partitionBy(*label, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    needed = counts.join(wanted.select(*label, "cell").distinct(), [*label, "cell"], "left_semi")
+    needed = counts.join(targets.select(*label, "cell").distinct(), [*label, "cell"], "left_semi")
     ordered = needed.withColumn("upto", F.sum("n").over(inside))
-    hit = ordered.join(wanted, [*label, "cell"]).where(
-        (F.col("rank") - F.col("below") < F.col("upto")) & (F.col("rank") - F.col("below") >= F.col("upto") - F.col("n"))
-    )
+    here = F.col("rank") - F.col("below")
+    hit = ordered.join(targets, [*label, "cell"]).where((here < F.col("upto")) & (here >= F.col("upto") - F.col("n")))
     share = F.col("position") - F.floor("position")
     weight = (
-        F.when(F.col("rank") == F.floor("position"), 1 - share).otherwise(share) if method == "cont" else F.lit(1.0)
+        F.when(F.col("method") == "index", F.lit(1.0))
+        .when(F.col("rank") == F.floor("position"), 1 - share)
+        .otherwise(share)
     )
-    return hit.groupBy(*label, "q").agg(F.sum(F.col("v") * weight).alias("value"))
+    return hit.groupBy(*label, "q", "method").agg(F.sum(F.col("v") * weight).alias("value"))
 
 
 def freshness(df: DataFrame, earlier: str, later: str, qs: Sequence[float] = (0.5, 0.95, 0.99), by: Sequence[str] = ()) -> DataFrame:
@@ -265,9 +272,10 @@ def consistency_report(df: DataFrame, value: str, ok: Column, share: float = 0.9
     base = rows.groupBy(*label).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("ok"), F.max(value).alias("max_value")
     )
-    p50 = exact_quantiles(rows, value, [0.5], label).select(*label, F.col("value").alias("p50"))
-    p95 = exact_quantiles(rows, value, [0.95], label, "index").select(*label, F.col("value").alias("p95"))
-    out = base.join(p50, label, "left").join(p95, label, "left").withColumn(
-        "passed", F.col("ok") >= F.floor(F.lit(share) * F.col("n"))
+    found = _selected(rows, value, [(0.5, "cont"), (0.95, "index")], label)
+    quantiles = found.groupBy(*label).agg(
+        F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("p50"),
+        F.max(F.when(F.col("q") == 0.95, F.col("value"))).alias("p95"),
     )
+    out = base.join(quantiles, label, "left").withColumn("passed", F.col("ok") >= F.floor(F.lit(share) * F.col("n")))
     return out if by else out.drop("_all")

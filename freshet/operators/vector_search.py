@@ -15,6 +15,7 @@ from freshet.functions.vectors import RANK_DIGITS, distance, vector_lit
 
 # A query batch up to this size travels to every task; a larger one is met block by block.
 BROADCAST_BYTES = 32 << 20
+PROBE_ROWS = 1024
 # Rows of either side that meet in one task of the block join.
 BLOCK_ROWS = 20_000
 # Distances held at once inside a task.
@@ -65,6 +66,8 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """A list column of equal widths as a matrix of doubles."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 1))
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
@@ -142,7 +145,7 @@ def _topk_small(chunks: DataFrame, ids: np.ndarray, queries: np.ndarray, k, metr
         query_ids, matrix = shared.value
         best = _Best(query_ids, k, limit, skip_same)
         for batch in batches:
-            if batch.num_rows:
+            if batch.num_rows and len(query_ids):
                 rows = _matrix(batch.column("embedding"))
                 best.meet(matrix, rows, np.asarray(batch.column("id"), dtype=np.int64), metric)
         yield pa.RecordBatch.from_pandas(best.frame(), preserve_index=False)
@@ -198,16 +201,24 @@ def batch_topk(
     """
     chunks = chunks.where(F.col("embedding").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "embedding")
     queries = queries.where(F.col("embedding").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "embedding")
-    n_queries, width = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     limit = None if max_distance is None else round(max_distance, RANK_DIGITS)
-    if not n_queries:
-        return _ranked(queries.limit(0).selectExpr("id AS query_id", "id", "CAST(0 AS double) AS distance"), k)
-    if n_queries * (8 * width + 8) <= broadcast_bytes:
-        # Bounded by the check above.
-        table = queries.toArrow()
-        ids = np.asarray(table.column("id"), dtype=np.int64)
-        return _topk_small(chunks, ids, _matrix(table.column("embedding")), k, metric, limit, skip_same)
-    return _topk_blocks(chunks, queries, chunks.count(), n_queries, k, metric, limit, skip_same)
+    small = _fetch_small(queries, broadcast_bytes)
+    if small is not None:
+        ids = np.asarray(small.column("id"), dtype=np.int64)
+        return _topk_small(chunks, ids, _matrix(small.column("embedding")), k, metric, limit, skip_same)
+    return _topk_blocks(chunks, queries, chunks.count(), queries.count(), k, metric, limit, skip_same)
+
+
+def _fetch_small(queries: DataFrame, broadcast_bytes: int) -> pa.Table | None:
+    """The query batch when it is within the size bound, else None. (An action.)"""
+    if broadcast_bytes <= 0:
+        return None
+    # One job answers for the usual short batch; a longer one is measured before it is fetched.
+    head = queries.limit(PROBE_ROWS).toArrow()
+    if head.num_rows < PROBE_ROWS:
+        return head if head.nbytes <= broadcast_bytes else None
+    n, width = queries.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    return queries.toArrow() if n * (8 * width + 8) <= broadcast_bytes else None
 
 
 def best_match(chunks: DataFrame, queries: DataFrame, min_similarity: float, skip_same: bool = False, **kw) -> DataFrame:

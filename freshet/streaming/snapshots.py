@@ -1,9 +1,10 @@
-"""Upserts without a table format: one complete snapshot per micro-batch.
+"""Upserts without a table format: one small folder per micro-batch, folded now and then.
 
-Snapshot *n* is the merge of snapshot *n - 1* and batch *n*, written under its
-own folder. A batch that is run again rewrites the same folder from the same
-predecessor, so replays change nothing, and readers take the newest folder
-whose success mark is there.
+Batch *n* is written as its own partial merge under ``delta/v=n``, so a batch
+costs what the batch is worth, not what the table is. Every few batches the
+partial merges are folded into ``base/v=n``. Readers combine the newest base
+with the deltas after it, and look only at folders whose success mark is there.
+A batch that is run again rewrites its own folder, so replays change nothing.
 """
 
 from __future__ import annotations
@@ -16,39 +17,66 @@ from freshet.operators.merge import combine_states, finish, merge_state
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], rules: Mapping[str, str]):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        order: Sequence[str],
+        rules: Mapping[str, str],
+        fold_every: int = 10,
+    ):
+        self.spark, self.path, self.fold_every = spark, path.rstrip("/"), fold_every
         self.keys, self.order, self.rules = list(keys), list(order), dict(rules)
 
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.path}/v={batch_id:012d}"
+    def _folder(self, kind: str, version: int) -> str:
+        return f"{self.path}/{kind}/v={version:012d}"
 
-    def _versions(self) -> list[int]:
-        """Complete snapshots only, through the file system the path belongs to."""
+    def versions(self, kind: str) -> list[int]:
+        """Complete folders of one kind, through the file system the path belongs to."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
+        root = hadoop.Path(f"{self.path}/{kind}")
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(root):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = [n for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{self.path}/{n}/_SUCCESS"))]
+        done = [n for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{self.path}/{kind}/{n}/_SUCCESS"))]
         return sorted(int(n[2:]) for n in done)
 
+    def _state(self, before: int | None, base_before: int | None) -> DataFrame | None:
+        bases = [v for v in self.versions("base") if base_before is None or v < base_before]
+        start = bases[-1] if bases else -1
+        deltas = [v for v in self.versions("delta") if v > start and (before is None or v < before)]
+        paths = [self._folder("base", start)] if bases else []
+        paths += [self._folder("delta", v) for v in deltas]
+        if not paths:
+            return None
+        state = self.spark.read.parquet(*paths)
+        return combine_states(state, self.keys) if len(paths) > 1 else state
+
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Merge one batch; calling it twice with the same id gives the same table."""
         state = merge_state(batch, self.keys, self.order, self.rules)
-        older = [v for v in self._versions() if v < batch_id]
-        if older:
-            previous = self.spark.read.parquet(self._folder(older[-1]))
-            state = combine_states(previous.unionByName(state), self.keys)
-        state.write.mode("overwrite").parquet(self._folder(batch_id))
+        state.write.mode("overwrite").parquet(self._folder("delta", batch_id))
+        if (batch_id + 1) % self.fold_every == 0:
+            self._state(batch_id + 1, batch_id).write.mode("overwrite").parquet(self._folder("base", batch_id))
 
     def read(self, before: int | None = None) -> DataFrame | None:
-        """The newest complete table, or the newest older than batch ``before``; None when there is none."""
-        versions = [v for v in self._versions() if before is None or v < before]
-        if not versions:
-            return None
-        return finish(self.spark.read.parquet(self._folder(versions[-1])), self.keys, self.rules)
+        """The merged table, or what it was before batch ``before``; None when nothing is there."""
+        state = self._state(before, before)
+        return None if state is None else finish(state, self.keys, self.rules)
+
+    def vacuum(self) -> None:
+        """Remove folders that the newest two bases make superfluous."""
+        bases = self.versions("base")
+        if len(bases) < 2:
+            return
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        for kind, limit in (("base", bases[-2]), ("delta", bases[-2] + 1)):
+            for version in self.versions(kind):
+                if version < limit:
+                    folder = hadoop.Path(self._folder(kind, version))
+                    folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def writer(self, shape: Callable[[DataFrame], DataFrame] = lambda df: df):
         """A ``foreachBatch`` function."""

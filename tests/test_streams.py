@@ -37,9 +37,9 @@ def test_upsert_stream_equals_batch_and_survives_replay(spark, small, tmp_path):
     flows.drain(stream, str(tmp_path / "cp"), each=target.writer())
     want = _rows(merge(common_events(spark.read.parquet(f"{small}/events.parquet")), ["user_name"], ["ord"], RULES))
     assert _rows(target.read()) == want
-    versions = target._versions()
+    versions = target.versions("delta")
     assert len(versions) >= 3
-    # The last batch again, as after a crash before its commit.
+    # Everything again under the last batch's id, as after a crash before its commit.
     target.apply(from_envelopes(spark.read.parquet(path)), versions[-1])
     assert _rows(target.read()) == want
     # A full replay from the start under a new checkpoint.
@@ -52,10 +52,27 @@ def test_unfinished_snapshot_is_not_read(spark, tmp_path):
     assert target.read() is None
     target.apply(spark.createDataFrame([(1, 1, "a")], "k int, o int, v string"), 0)
     target.apply(spark.createDataFrame([(1, 2, "b")], "k int, o int, v string"), 1)
-    (tmp_path / "v=000000000001" / "_SUCCESS").unlink()
+    (tmp_path / "delta" / "v=000000000001" / "_SUCCESS").unlink()
     assert _rows(target.read()) == [(1, "a")]
 
 
+def test_folding_and_vacuum_keep_the_table(spark, tmp_path):
+    target = SnapshotTable(spark, str(tmp_path), ["k"], ["o"], {"v": "last", "n": "count"}, fold_every=2)
+
+    def batch(i):
+        return spark.createDataFrame([(1, i, f"x{i}"), (10 + i, i, "y")], "k int, o int, v string").withColumn("n", F.lit(1))
+
+    for i in range(7):
+        target.apply(batch(i), i)
+    target.apply(batch(5), 5)  # folded already, runs again
+    want = sorted([(1, "x6", 7), *[(10 + i, "y", 1) for i in range(7)]], key=str)
+    assert _rows(target.read()) == want
+    assert sorted(r["n"] for r in target.read(before=3).collect()) == [1, 1, 1, 3]
+    target.vacuum()
+    assert target.versions("base") == [3, 5] and target.versions("delta") == [4, 5, 6]
+    assert _rows(target.read()) == want
+
+
 def test_cleaned_stream_writes_each_batch_once(spark, small, tmp_path):
     path, sink = str(tmp_path / "in"), str(tmp_path / "out")
     sent = _files(spark, small, path)
