@@ -24,6 +24,11 @@ def _joined(block: Column, sep: str = "\n\n") -> Column:
     return F.array_join(F.transform(ordered, lambda e: e["block"]), sep)
 
 
+def public_rows(hits: DataFrame, content: str = "content", chars: int = 500) -> DataFrame:
+    """What a caller gets to see of a hit."""
+    return hits.select("id", "source", "title", "url", preview(content, chars).alias("content_preview"), "distance")
+
+
 def source_blocks(hits: DataFrame, content: str = "content", chars: int = 240) -> DataFrame:
     """One text per query that numbers its sources."""
     block = F.concat(

@@ -50,6 +50,11 @@ def title_and_url(df: DataFrame, title: str = "title", url: str = "title_url", f
     return df.where(blank_to_null(title).isNotNull() & link.isNotNull())
 
 
+def metadata_equals(metadata: Column | str, key: str, value: str) -> Column:
+    """Does a field of the JSON metadata hold exactly this text?"""
+    return F.coalesce(F.get_json_object(_col(metadata), f"$.{key}") == value, F.lit(False))
+
+
 def recent(df: DataFrame, ts: Column | str, minutes: int, as_of: Column | datetime | str) -> DataFrame:
     """Rows not older than ``minutes`` before ``as_of``; rows without a time drop."""
     now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")

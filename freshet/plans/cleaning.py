@@ -125,8 +125,7 @@ def event_id(spark, d):
 def url_host(spark, d):
     page = F.col("page_id")
     host = F.when(page % 4 == 0, "").otherwise(F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1))
-    title_url = F.when(page % 5 == 0, "  ").when(page % 5 != 0, F.col("url"))
-    title_url = F.when(page % 5 == 0, F.lit("")).otherwise(title_url)
+    title_url = F.when(page % 5 == 0, F.lit("")).otherwise(F.col("url"))
     return table(spark, d, "pages").select(
         "page_id",
         C.domain(host, F.lit(" fallback.example.org ")).alias("domain"),
@@ -164,9 +163,10 @@ def lenient_bool(spark, d):
 
 @query(
     """SELECT event_id, CASE WHEN event_id % 4 = 3 THEN ts ELSE make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000) END AS at,
-    CASE WHEN event_id = 0 THEN NULL ELSE make_timestamp(event_id * 1000000) END AS positive FROM events"""
+    CASE WHEN event_id = 0 THEN NULL ELSE make_timestamp(event_id * 1000000) END AS positive FROM events""",
+    name="epoch_time",
 )
-def epoch_time_fallback(spark, d):
+def _epoch_time(spark, d):
     text = F.when(F.col("event_id") % 4 == 3, "n/a").otherwise(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"))
     return table(spark, d, "events").select(
         "event_id",

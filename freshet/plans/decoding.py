@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from freshet.functions.times import as_zoned, plain_time
 from freshet.operators import decode as D
 from freshet.operators.embedding import pending
+from freshet.operators.filters import recent
+from freshet.operators.merge import evolve
 from freshet.plans import Registry
+from freshet.plans.shared_sql import EV
 from freshet.sources.events import common_events
 from freshet.sources.increments import keyset_page
 from freshet.sources.sinks import edit_rows, keyed_messages
@@ -179,8 +182,8 @@ def flatten_props(spark, d):
     return D.flatten_message(D.decode(messages, D.MESSAGE_SCHEMA)).drop("raw_json")
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events WHERE event_id > 250 ORDER BY event_id LIMIT 500")
-def keyset_page_after(spark, d):
+@query("SELECT event_id, user_id, event_type, value FROM events WHERE event_id > 250 ORDER BY event_id LIMIT 500", name="keyset_page")
+def _keyset_page(spark, d):
     events = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
     return keyset_page(events, "event_id", after=250)
 
@@ -205,21 +208,23 @@ def keyed_json(spark, d):
     )
 
 
-@query(name="json_row")
-def _json_row(spark, d):
+@query(
+    """SELECT event_id, '{"event_id":' || CAST(event_id AS VARCHAR) || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g')
+    || '","user_id":' || CAST(user_id AS VARCHAR) || ',"event_type":"' || event_type || '","value":' || CAST(value AS VARCHAR)
+    || ',"props":' || CAST(to_json(props) AS VARCHAR) || '}' AS content FROM events"""
+)
+def json_row(spark, d):
     events = table(spark, d, "events")
     return events.select("event_id", F.to_json(F.struct(*events.columns)).alias("content"))
 
 
-from freshet.plans.shared_sql import EV  # noqa: E402
-
-
 @query(
     f"""WITH {EV}
 SELECT make_timestamp(ts_epoch * 1000000) AS event_time, wiki, title, user_name, coalesce(bot, false) AS bot, type AS change_type
-FROM ev"""
+FROM ev""",
+    name="edit_rows",
 )
-def edit_rows_appended(spark, d):
+def _edit_rows(spark, d):
     rows = edit_rows(common_events(table(spark, d, "events")))
     return rows.withColumn("event_time", plain_time("event_time"))
 
@@ -250,8 +255,6 @@ UNION ALL SELECT conv_id * 1000 + turn, NULL, role, text FROM conversations
 """
 )
 def schema_evolve(spark, d):
-    from freshet.operators.merge import evolve
-
     old = table(spark, d, "events").select(F.col("event_id").alias("id"), "event_type", F.col("props").alias("text"))
     new = table(spark, d, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text"
@@ -263,8 +266,6 @@ def schema_evolve(spark, d):
     """SELECT event_id, ts FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 720 MINUTE"""
 )
 def recent_minutes(spark, d):
-    from freshet.operators.filters import recent
-
     events = table(spark, d, "events").select("event_id", "ts")
     newest = events.agg(F.max(as_zoned("ts"))).scalar()
     return recent(events.withColumn("at", as_zoned("ts")), "at", 720, newest).drop("at")

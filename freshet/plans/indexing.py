@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.functions.keys import text_sha256
-from freshet.functions.vectors import as_double, norm, to_literal
 from freshet.operators import answer_cache as AC
 from freshet.operators import embedding as E
 from freshet.operators.chunking import chunk
@@ -80,9 +79,6 @@ def dims_check(spark, d):
     return wide.select("vec_id", F.col("width_64").alias("width_ok"), F.col("width_ok").alias("fits_1536"))
 
 
-_VECTOR_SUM = "round(list_sum(list_transform(%s, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 5)"
-
-
 @query(
     f"""WITH m AS (SELECT d.doc_id, d.text FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id WHERE e.embedding IS NULL),
 {S.hash_vectors('hv', 'm', 'doc_id', 'text')}

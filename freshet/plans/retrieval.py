@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.functions.json_text import is_json  # noqa: F401  (kept for callers that filter metadata text)
 from freshet.functions.text import preview
-from freshet.functions.times import as_zoned
+from freshet.functions.times import as_zoned, event_time
 from freshet.functions.vectors import as_double
 from freshet.operators import context as X
 from freshet.operators import keyword as W
 from freshet.operators import vector_search as V
 from freshet.operators.ann import ivf_build, ivf_topk
 from freshet.operators.embedding import embed_by_id
-from freshet.operators.filters import recent
+from freshet.operators.filters import metadata_equals, recent
 from freshet.operators.gates import gated_search as gated
 from freshet.operators.gates import search_modes as modes
 from freshet.plans import Registry
@@ -37,14 +36,14 @@ def _vectors(spark, d):
 
 
 @query(
-    f"""SELECT e.vec_id AS id, left(d.text, 240) AS content_preview, round({_COS}, 6) AS distance, round(1 - {_COS}, 6) AS similarity
+    f"""SELECT e.vec_id AS id, left(coalesce(d.text, ''), 240) AS content_preview, round({_COS}, 6) AS distance, round(1 - {_COS}, 6) AS similarity
 FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id ORDER BY round({_COS}, 9), e.vec_id LIMIT 10"""
 )
 def cosine_topk(spark, d):
     # The text is fetched for the few hits only.
     hits = V.vector_topk(_vectors(spark, d).select("id", "embedding"), QUERY_VECTOR, 10)
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), preview("text").alias("content_preview"))
-    return hits.join(docs, "id", "left").select(
+    shown = X.public_rows(hits.join(_documents(spark, d), "id", "left"), chars=240)
+    return shown.select(
         "id", "content_preview", F.round("distance", 6).alias("distance"), F.round(1 - F.col("distance"), 6).alias("similarity")
     )
 
@@ -63,8 +62,10 @@ ORDER BY round({_COS}, 9), vec_id LIMIT 5"""
 def vector_filtered(spark, d):
     events = table(spark, d, "events")
     newest = events.agg(F.max(as_zoned("ts"))).scalar()
-    rows = common_events(events).withColumn("at", F.timestamp_seconds("ts_epoch"))
-    allowed = recent(rows.where(F.col("wiki") == "enwiki"), "at", 43000, newest).select(F.col("kafka_offset").alias("id"))
+    metadata = F.to_json(F.struct("wiki", F.col("ts_epoch").cast("string").alias("event_time")))
+    rows = common_events(events).select(F.col("kafka_offset").alias("id"), metadata.alias("metadata"))
+    at = event_time(F.get_json_object("metadata", "$.event_time"))
+    allowed = recent(rows.where(metadata_equals("metadata", "wiki", "enwiki")), at, 43000, newest).select("id")
     return V.vector_topk(_vectors(spark, d).join(allowed, "id", "left_semi"), QUERY_VECTOR, 5).select(
         "id", "label", F.round("distance", 6).alias("distance")
     )

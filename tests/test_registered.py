@@ -6,7 +6,7 @@ from compare import difference
 from __spark_entry__ import entry, oracle_sql, queries
 
 QUERIES, SQL = queries(), oracle_sql()
-WITHOUT_SQL = {"json_row", "ivf_topk"}
+WITHOUT_SQL = {"ivf_topk"}
 
 
 def test_only_known_queries_lack_sql():
