@@ -17,6 +17,7 @@ from freshet.functions.keys import text_sha256
 from freshet.functions.text import strip_blanks, tokens
 from freshet.functions.vectors import as_double, has_width
 from freshet.operators.joins import lookup
+from freshet.session import stored
 
 DIMS = 64
 BATCH_TEXTS = 25
@@ -99,11 +100,12 @@ def embed(
 ) -> DataFrame:
     """Adds ``text_hash`` and ``embedding``; each distinct text is embedded once.
 
-    Copies of one text may be a large part of the table, so the way back to
-    the rows keeps hot texts apart.
+    The vectors are written before they are joined back, so that the model runs
+    once per text whatever the plan does. Copies of one text may be a large
+    part of the table, so the way back to the rows keeps hot texts apart.
     """
     distinct = distinct_texts(df, text)
-    vectors = hash_embed(distinct, dims=dims) if model is None else embed_with(distinct, model)
+    vectors = stored(hash_embed(distinct, dims=dims) if model is None else embed_with(distinct, model), "vectors")
     return lookup(df.withColumn("text_hash", text_sha256(text)), vectors, ["text_hash"], split_hot=True)
 
 
@@ -124,7 +126,7 @@ def backfill(
 ) -> DataFrame:
     """Fill null embeddings in one job; rows that have one keep it."""
     missing = distinct_texts(pending(df), text)
-    vectors = hash_embed(missing, dims=dims) if model is None else embed_with(missing, model)
+    vectors = stored(hash_embed(missing, dims=dims) if model is None else embed_with(missing, model), "vectors")
     # Only rows that lack a vector carry the key, the rest cannot match.
     keyed = df.withColumn("_hash", F.when(F.col("embedding").isNull(), text_sha256(text)))
     found = lookup(
