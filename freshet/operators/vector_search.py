@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +69,9 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
         column = column.combine_chunks()
     if not len(column):
         return np.zeros((0, 1))
+    widths = pc.min_max(pc.list_value_length(column)).as_py()
+    if widths["min"] != widths["max"]:
+        raise ValueError(f"vectors of different width: {widths['min']} to {widths['max']}")
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 

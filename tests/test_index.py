@@ -126,6 +126,12 @@ def test_single_query_edges(spark):
     assert [V.clamp_k(k) for k in (None, 0, -4, 7, 99)] == [3, 3, 1, 7, 20]
 
 
+def test_mixed_widths_fail_loudly(spark):
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0])], "id long, embedding array<double>").coalesce(1)
+    with pytest.raises(Exception, match="different width"):
+        V.batch_topk(rows, rows.where("id = 1"), 2).collect()
+
+
 def test_empty_query_batch(spark):
     rows, _ = _data(spark, 10)
     assert V.batch_topk(rows, rows.where("id < 0"), 3).count() == 0
