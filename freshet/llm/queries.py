@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import pii  # noqa: F401
+from freshet.llm import pieces, pii, secrets  # noqa: F401
 from freshet.llm.common import registry
 
 
