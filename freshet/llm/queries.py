@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import language, pieces, pii, secrets  # noqa: F401
+from freshet.llm import language, near, pieces, pii, secrets  # noqa: F401
 from freshet.llm.common import registry
 
 
