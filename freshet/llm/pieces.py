@@ -31,7 +31,8 @@ from freshet.llm.common import documents, query, texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Segments up to this length are remembered, this many at a time.
-REMEMBER_SIGNS, REMEMBER = 48, 200_000
+REMEMBER_SIGNS, REMEMBER = 32, 300_000
+SHORT = 20  # up to this length looking at every neighbour again beats a heap
 
 
 def read_vocabulary(path: str = MODEL, kind: str = "bpe") -> dict:
@@ -70,9 +71,14 @@ class Transducer:
         self.seen: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
+        self.last: dict[str, str] = {}
+        self.score_of = {p: self.scores[i] for p, i in self.id_of.items()}
+        self.longest = max(map(len, self.id_of), default=1)
 
     def merged(self, text: str) -> list[str]:
         """The merge result: of all neighbours that join to a piece the best score first, then the leftmost."""
+        if len(text) <= SHORT:
+            return self._merged_short(list(text))
         part: list[str | None] = list(text)
         after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
         heap: list[tuple[float, int, str]] = []
@@ -95,16 +101,30 @@ class Transducer:
             offer(i)
         return [p for p in part if p is not None]
 
+    def _merged_short(self, part: list[str]) -> list[str]:
+        score_of = self.score_of
+        while True:
+            best, place, left = -1e308, -1, part[0]
+            for i in range(1, len(part)):
+                right = part[i]
+                score = score_of.get(left + right)
+                if score is not None and score > best:
+                    best, place = score, i
+                left = right
+            if place < 0:
+                return part
+            part[place - 1 : place + 1] = [part[place - 1] + part[place]]
+
     def allowed(self, left: str, right: str) -> bool:
         """The second machine: whether ``right`` may follow ``left`` ("" at the start)."""
-        if not self.bpe:
-            return True
-        if (own := self.whole.get(right)) is None:
+        own = self.whole.get(right)
+        if own is None:
             own = self.whole[right] = len(right) == 1 or self.merged(right) == [right]
         if not own or not left:
             return own
         key = (left, right)
-        if (fits := self.pairs.get(key)) is None:
+        fits = self.pairs.get(key)
+        if fits is None:
             if len(self.pairs) >= REMEMBER:
                 self.pairs.clear()
             fits = self.pairs[key] = self.merged(left + right) == [left, right]
@@ -112,33 +132,50 @@ class Transducer:
 
     def shortest(self, segment: str) -> list[str]:
         """The pieces (or single signs without a piece) on the shortest path through ``segment``."""
+        return self.path_of_pairs(segment) if self.bpe else self.path_of_weights(segment)
+
+    def path_of_weights(self, segment: str) -> list[str]:
         n = len(segment)
-        # states[i]: last piece -> (weight, start of that piece, the piece before)
-        states: list[dict[str, tuple[float, int, str]]] = [{"": (0.0, 0, "")}] + [{} for _ in range(n)]
+        best: list[tuple[float, int]] = [(0.0, 0)] + [(float("inf"), 0)] * n
         for i in range(n):
-            if not states[i]:
-                continue
-            j = i + 1
-            while j <= n:
+            so_far = best[i][0]
+            for j in range(i + 1, n + 1):
                 arc = segment[i:j]
                 k = self.id_of.get(arc)
                 if k is not None or j == i + 1:
-                    weight = -(self.worst if k is None else self.scores[k])
-                    for last, (so_far, _, _) in states[i].items():
-                        if self.allowed(last, arc):
-                            key = arc if self.bpe else "*"
-                            old = states[j].get(key)
-                            if old is None or so_far + weight < old[0]:
-                                states[j][key] = (so_far + weight, i, last)
+                    weight = so_far - (self.worst if k is None else self.scores[k])
+                    if weight < best[j][0]:
+                        best[j] = (weight, i)
                 if arc not in self.prefixes:
                     break
-                j += 1
         out, at = [], n
-        last = min(states[n], key=lambda s: states[n][s][0]) if n else ""
         while at:
-            _, start, before = states[at][last]
-            out.append(segment[start:at])
-            at, last = start, before
+            out.append(segment[best[at][1] : at])
+            at = best[at][1]
+        return out[::-1]
+
+    def path_of_pairs(self, segment: str) -> list[str]:
+        """All allowed paths have the same weight, and every prefix has exactly one; its last piece is remembered."""
+        last, id_of, allowed, longest = self.last, self.id_of, self.allowed, self.longest
+        n = len(segment)
+        short = n <= REMEMBER_SIGNS
+        if short and len(last) >= REMEMBER:
+            last.clear()
+        ends = last if short else {}  # of a long segment, by position
+        at = n
+        while at and (segment[:at] if short else at) not in ends:
+            at -= 1
+        for i in range(at + 1, n + 1):
+            for j in range(max(0, i - longest), i):
+                arc = segment[j:i]
+                if (arc in id_of or j == i - 1) and allowed(ends[segment[:j] if short else j] if j else "", arc):
+                    ends[segment[:i] if short else i] = arc
+                    break
+        out, at = [], n
+        while at:
+            piece = ends[segment[:at] if short else at]
+            out.append(piece)
+            at -= len(piece)
         return out[::-1]
 
     def segment_ids(self, segment: str) -> bytes:
@@ -174,6 +211,13 @@ class Transducer:
         return text[1:] if text.startswith(" ") else text
 
 
+def machine_of(vocabulary: dict) -> Transducer:
+    """Compiled once for each worker: kept in the broadcast value, where later tasks of the worker find it."""
+    if "machine" not in vocabulary:
+        vocabulary["machine"] = Transducer(vocabulary)
+    return vocabulary["machine"]
+
+
 def encoded(docs: DataFrame, model: str = MODEL, kind: str = "bpe", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids, n_tokens, n_byte_tokens, ids_sha256, decoded, round_trip`` for every row.
 
@@ -187,7 +231,7 @@ def encoded(docs: DataFrame, model: str = MODEL, kind: str = "bpe", id_col: str
     int_list = pa.list_(pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(vocabulary.value)
+        machine = machine_of(vocabulary.value)
         first_byte = np.isin(np.arange(len(machine.out)), list(machine.byte_id.values()))
         for batch in batches:
             rows = batch.column("text").to_pylist()
@@ -220,7 +264,7 @@ def decoded(tokens: DataFrame, spark: SparkSession, model: str = MODEL, kind: st
 
     @F.pandas_udf("string")
     def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = Transducer(vocabulary.value)
+        machine = machine_of(vocabulary.value)
         for ids in batches:
             yield ids.map(lambda x: None if x is None else machine.decode(np.asarray(x, np.int32)))
 
