@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import language, leaks, near, pieces, pii, secrets, topk, weak  # noqa: F401
+from freshet.llm import language, leaks, near, pieces, pii, recompress, secrets, topk, weak  # noqa: F401
 from freshet.llm.common import registry
 
 
