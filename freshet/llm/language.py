@@ -42,6 +42,7 @@ class Model:
     transitions: np.ndarray  # labels x labels
     first: np.ndarray
     lexicon: dict[str, int]  # word -> bit set of the labels whose common words have it
+    tagger: Tagger | None = None
 
 
 def words_of(text: str | None) -> list[str]:
@@ -65,11 +66,14 @@ def features(word: str, lexicon: dict[str, int]) -> list[int]:
 
 
 def sample(docs: DataFrame, label_col: str, per_label: int = PER_LABEL) -> DataFrame:
-    """``label`` and ``words``: runs of words from at most ``per_label`` documents of each label, by hash of the text."""
+    """``label`` and ``words``: runs of words from at most ``per_label`` different texts of each label, by their hash."""
     small_batches(docs.sparkSession)
     known = docs.select(F.col("text").cast("string").alias("text"), F.col(label_col).cast("string").alias("label")).where("text IS NOT NULL AND label IS NOT NULL")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("text"), "text")
-    chosen = known.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_label).select("label", "text")
+    known = known.withColumn("_h", F.xxhash64("text"))
+    order = Window.partitionBy("label").orderBy("_h")
+    least = known.select("label", "_h").distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_label)
+    last = least.groupBy("label").agg(F.max("_h").alias("_last"))
+    chosen = known.join(last, "label").where("_h <= _last").groupBy("label", "_h").agg(F.min("text").alias("text")).select("label", "text")
     schema = pa.schema([("label", pa.string()), ("words", pa.list_(pa.string()))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +279,9 @@ def labelled(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        tagger = Tagger(m) if m else None
+        if m and m.tagger is None:
+            m.tagger = Tagger(m)  # kept with the broadcast value, where later tasks of the worker find it
+        tagger = m.tagger if m else None
 
         def answer(part: list) -> Iterator[tuple]:
             with_words = [w for _, w in part if w]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, flushed, query, rows_of, texts
 from freshet.llm.near import _MIX1, WordHashes, mix
-from freshet.llm.repeats import NAME_SHIFT, contested, covered, in_filter, removals, runs_of, shared_filter, unit_minima, units_of
+from freshet.llm.repeats import contested, covered, in_filter, removals, runs_of, shared_filter, unit_minima, units_of
 from freshet.session import stored
 
 WINDOW = 13
@@ -33,6 +33,7 @@ REACH = 3  # words of context on each side of a border
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 LEFT = np.uint64(1 << 40)  # the bit of a name that makes it a left symbol
 LONGEST_UNIT = 64
+NAMES_PER_SIGN = 0.04  # about one name for five words
 
 
 def words_of(text: str) -> list[bytes]:
@@ -93,7 +94,7 @@ def _names_maker():
 
     def names(text: str) -> np.ndarray:
         found = window_names(hashes.of(words_of(text)))
-        found = np.sort(found[runs_of(found, len(found) or 1)[0]]) >> np.uint64(NAME_SHIFT)
+        found = np.sort(found[runs_of(found, len(found) or 1)[0]])
         return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
     return names
@@ -108,7 +109,7 @@ def _unit_maker():
         names = window_names(h)
         lo, n = runs_of(names, LONGEST_UNIT)
         name = names[lo]
-        keep = in_filter(bloom, name >> np.uint64(NAME_SHIFT)) if len(name) else np.empty(0, bool)
+        keep = in_filter(bloom, name)
         if not keep.any():
             return empty, empty, lo[:0], n[:0], []
         lo, n, name = lo[keep], n[keep], name[keep]
@@ -145,8 +146,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     other; a row without a doc_id neither loses words nor takes any.
     """
     docs = texts(docs, id_col, text_col)
-    bloom = docs.sparkSession.sparkContext.broadcast(shared_filter(docs, _names_maker))
-    units = units_of(docs, bloom, _unit_maker)
+    bloom = docs.sparkSession.sparkContext.broadcast(shared_filter(docs, _names_maker, NAMES_PER_SIGN))
+    units = units_of(docs, bloom, _unit_maker, bodies=True)
     minima = stored(unit_minima(units), "unit_minima")
     windows = contested(minima).mapInArrow(_windows, "name long, unit long, least long, window long, at int")
     first = windows.groupBy("name", "window").agg(F.min("least").alias("first"))

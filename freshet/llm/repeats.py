@@ -7,7 +7,7 @@ of windows with one anchor form a *unit*. Units with equal symbols are folded
 into one; only where different units share an anchor's name are their windows
 compared one by one. So long copies cost one row per unit, not one per window.
 
-Names that two documents share are put in a Bloom filter of fixed size, which keeps most
+Names that two documents share are put in a bitmap of fixed size, which keeps most
 other units from being shuffled. It decides nothing: when it is too small for
 the data, more rows travel and the result is the same.
 """
@@ -24,60 +24,111 @@ from pyspark.sql import functions as F
 from freshet.session import stored
 
 FILTER_BITS = 27  # 16 MB
-PROBES = 2
-NAME_SHIFT = 16  # the filter's exchange uses the upper 48 bits of a name
+NAME_BITS = 48  # the exchange for the filter uses the upper bits of a name
+PART_NAMES = 1_000_000  # names of a part, about
+FLUSH_NAMES = 1_500_000  # names a task holds before it sends them
 
-Anchors = Callable[[str], np.ndarray]
 
+def _packed(names: np.ndarray) -> bytes:
+    """Sorted numbers as differences, of four bytes where they fit."""
+    gaps = np.diff(names, prepend=np.uint64(0))
+    if len(gaps) > 1 and int(gaps[1:].max()) < 1 << 32:
+        return b"4" + names[:1].tobytes() + gaps[1:].astype(np.uint32).tobytes()
+    return b"8" + names.tobytes()
 
-def _bits(names: np.ndarray) -> np.ndarray:
-    shifts = np.arange(PROBES, dtype=np.uint64)[:, None] * np.uint64(19)
-    return (names[None, :] >> shifts) & np.uint64((1 << FILTER_BITS) - 1)
 
+def _unpacked(raw: bytes) -> np.ndarray:
+    if raw[:1] == b"8":
+        return np.frombuffer(raw, np.uint64, offset=1)
+    gaps = np.frombuffer(raw, np.uint32, offset=9).astype(np.uint64)
+    return np.cumsum(np.concatenate([np.frombuffer(raw, np.uint64, 1, 1), gaps]), dtype=np.uint64)
 
-def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.ndarray]]) -> np.ndarray:
-    """The Bloom filter of anchor names (shifted) that two or more doc_ids have.
+
+def _twice(names: np.ndarray) -> np.ndarray:
+    """Of sorted numbers those that appear more than once, repeated as often as after the first time."""
+    return names[1:][names[1:] == names[:-1]]
+
+
+def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.ndarray]], per_sign: float) -> np.ndarray:
+    """A bitmap of fixed size with the anchor names that two or more documents have.
 
     ``docs`` has ``doc_id`` and ``text``; ``names_of()`` makes, in a task, the function
-    from a text to its distinct names.
+    from a text to its distinct names (64 bits). ``per_sign`` is about how many names a sign
+    of text gives; it sets the number of parts the names are dealt to, by their upper bits,
+    which are also the place in the bitmap. Each task sends a name once, however
+    many of its documents have it, and says which it has seen twice.
     """
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    expected = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) * per_sign
+    part_bits = min(FILTER_BITS - 6, max(4, int(np.ceil(np.log2(max(1.0, expected / PART_NAMES))))))
+    shift = np.uint64(NAME_BITS - part_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = names_of()
+        names, held, size = names_of(), [], 0
+
+        def flush() -> pa.RecordBatch:
+            flat = np.sort(np.concatenate(held)) >> np.uint64(64 - NAME_BITS)
+            again = _twice(flat)
+            rows: dict[str, list] = {"part": [], "names": [], "twice": []}
+            for kind, x in (("names", flat), ("twice", again)):
+                x = x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+                cut = np.flatnonzero(np.diff(x >> shift)) + 1
+                for y in np.split(x, cut) if len(x) else []:
+                    rows["part"].append(int(y[0] >> shift))
+                    rows[kind].append(_packed(y))
+                    rows["twice" if kind == "names" else "names"].append(None)
+            return pa.record_batch([pa.array(rows["part"], pa.int32()), pa.array(rows["names"], pa.binary()), pa.array(rows["twice"], pa.binary())], names=list(rows))
+
         for batch in batches:
-            ids, found = [], []
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for text in batch.column("text").to_pylist():
                 n = names(text)
-                found.append(n)
-                ids.append(np.full(len(n), key, np.int64))
-            if found:
-                for at in range(0, len(flat := np.concatenate(found)), 1 << 18):
-                    part, own = flat[at : at + (1 << 18)], np.concatenate(ids)[at : at + (1 << 18)]
-                    yield pa.record_batch([pa.array(part.view(np.int64)), pa.array(own)], names=["name", "doc_id"])
-
-    pairs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(run, "name long, doc_id long")
-    both = pairs.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name")
+                if len(n):
+                    held.append(n)
+                    size += len(n)
+                if size >= FLUSH_NAMES:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+
+    def met(group: pa.Table) -> pa.Table:
+        part = group.column("part")[0].as_py()
+        flat = np.sort(np.concatenate([np.empty(0, np.uint64)] + [_unpacked(x) for x in group.column("names").to_pylist() if x]))
+        twice = [_unpacked(x) for x in group.column("twice").to_pylist() if x]
+        place = np.concatenate([_twice(flat), *twice]) >> np.uint64(NAME_BITS - FILTER_BITS)
+        width = FILTER_BITS - part_bits
+        bits = np.zeros(1 << width, bool)
+        bits[(place & np.uint64((1 << width) - 1)).astype(np.int64)] = True
+        return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+    sent = docs.select("text").mapInArrow(run, "part int, names binary, twice binary")
+    # 2 ** FILTER_BITS bits come to the driver, whatever the number of names.
+    slices = sent.groupBy("part").applyInArrow(met, "part int, bits binary").toArrow()
+    out = np.zeros((1 << part_bits, 1 << (FILTER_BITS - part_bits - 6)), np.uint64)
+    for part, bits in zip(slices.column("part").to_pylist(), slices.column("bits").to_pylist()):
+        out[part] = np.frombuffer(bits, np.uint64)
+    return out.ravel()
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """The same kind of bitmap of a column ``key`` of well-mixed numbers."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = _bits(batch.column("name").to_numpy().view(np.uint64)).ravel()
-            word = (bits >> np.uint64(6)).astype(np.int32)
-            yield pa.record_batch([pa.array(word), pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))], names=["word", "bits"])
+            place = batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+            word = (place >> np.uint64(6)).astype(np.int32)
+            yield pa.record_batch([pa.array(word), pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64))], names=["word", "bits"])
 
-    # At most 2 ** (FILTER_BITS - 6) rows come to the driver, whatever the number of names.
-    words = both.mapInArrow(mark, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    # At most 2 ** (FILTER_BITS - 6) rows come to the driver, whatever the number of keys.
+    words = keys.select("key").mapInArrow(mark, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return out
 
 
-def in_filter(bloom: np.ndarray, names: np.ndarray) -> np.ndarray:
-    first = names & np.uint64((1 << FILTER_BITS) - 1)
-    out = ((bloom[first >> np.uint64(6)] >> (first & np.uint64(63))) & np.uint64(1)).astype(bool)
-    at = np.flatnonzero(out)
-    bits = _bits(names[at])
-    out[at] = ((bloom[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1)).astype(bool).all(0)
-    return out
+def in_filter(bitmap: np.ndarray, names: np.ndarray) -> np.ndarray:
+    place = names >> np.uint64(64 - FILTER_BITS)
+    return ((bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
 def runs_of(names: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,8 +146,9 @@ def runs_of(names: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def unit_minima(units: DataFrame) -> DataFrame:
-    """``name, unit, least, body``: each different unit with the smallest doc_id that has it."""
-    return units.groupBy("name", "unit").agg(F.min("doc_id").alias("least"), F.any_value("body").alias("body"))
+    """``name, unit, least``, and ``body`` where units have one: each different unit with the smallest doc_id that has it."""
+    body = [F.any_value("body").alias("body")] if "body" in units.columns else []
+    return units.groupBy("name", "unit").agg(F.min("doc_id").alias("least"), *body)
 
 
 def contested(minima: DataFrame) -> DataFrame:
@@ -130,30 +182,33 @@ def covered(removed: list | None, width: int, size: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-UNITS = "name long, unit long, doc_id long, text_key long, lo int, n int, body binary"
+UNITS = "name long, unit long, doc_id long, text_key long, lo int, n int"
 
 
-def units_of(docs: DataFrame, bloom, cut: Callable[[], Callable]) -> DataFrame:
-    """The stored units (``UNITS``) whose name is in the filter.
+def units_of(docs: DataFrame, bitmap, cut: Callable[[], Callable], bodies: bool) -> DataFrame:
+    """The stored units (``UNITS``, and ``body binary`` on demand) whose name is in the filter.
 
     ``cut()`` makes, in a task, the function from (text, filter) to arrays
     (name, unit, lo, n, list of bodies).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, known = cut(), bloom.value
+        units, known = cut(), bitmap.value
         for batch in batches:
+            held: list[list] = [[] for _ in range(6)]
+            found_bodies: list[bytes] = []
             for key, text_key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
-                name, unit, lo, n, bodies = units(text, known)
-                if len(name):
-                    size = len(name)
-                    yield pa.record_batch(
-                        [
-                            pa.array(name.view(np.int64)), pa.array(unit.view(np.int64)), pa.array(np.full(size, key, np.int64)),
-                            pa.array(np.full(size, text_key, np.int64)), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(bodies, pa.binary()),
-                        ],
-                        names=["name", "unit", "doc_id", "text_key", "lo", "n", "body"],
-                    )
-
+                name, unit, lo, n, body = units(text, known)
+                for to, x in zip(held, (name.view(np.int64), unit.view(np.int64), np.full(len(name), key, np.int64), np.full(len(name), text_key, np.int64), lo, n)):
+                    to.append(x)
+                found_bodies += body if bodies else []
+            if held[0]:
+                columns = [np.concatenate(x) for x in held]
+                arrays = [pa.array(x) for x in columns[:4]] + [pa.array(x.astype(np.int32)) for x in columns[4:]]
+                out = pa.record_batch(arrays + ([pa.array(found_bodies, pa.binary())] if bodies else []), names=[f.split()[0] for f in ddl.split(", ")])
+                for at in range(0, out.num_rows, 1 << 16):
+                    yield out.slice(at, 1 << 16)
+
+    ddl = UNITS + (", body binary" if bodies else "")
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return stored(known.mapInArrow(run, UNITS), "units")
+    return stored(known.mapInArrow(run, ddl), "units")
