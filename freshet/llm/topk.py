@@ -23,7 +23,7 @@ from freshet.sources.tables import table
 
 VECTORS, QUERIES = 4096, 512  # in a block
 BINS = 4096
-LIMIT = 2**62
+LIMIT = 2**61
 
 
 def scaled(components: list | None) -> np.ndarray | None:
@@ -143,7 +143,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
     rows but those of the query's own id; ties go to the smaller id. A vector that is
     null, empty, or has null or non-finite components, or no id, takes no part. Vectors of
     another width than the query's are no candidates. Repeated rows are repeated candidates;
-    a repeated query id is answered once. Scores beyond 2**62 count as that far.
+    a repeated query id is answered once. Scores beyond 2**61 count as that far.
     """
     own = vectors.withColumn("_asks", is_query).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("components"), "_asks")
     data = stored(blocks(own, VECTORS), "vector_blocks")
