@@ -1,12 +1,13 @@
 """Near-duplicates: universal-hash minima, bands, signature check, exact check, components.
 
 Texts with equal shingle sets are one class from the start. Classes that share a
-band are candidates. In a band each member is first compared with the smallest
-id, which joins the common groups at once. Bands that still hold several
+band are candidates. Shingles that no other candidate has cannot be shared, so a
+pair is passed over when those that are left could not reach the threshold. In a
+band each member is first compared with the one that has the fewest shingles of
+its own, which joins the common groups at once. Bands that still hold several
 components go on in rounds: a growing share of the members, by a hash of the id,
 is compared with the members of other components, until every pair of a band
-was compared or is connected. So no pair of a band is left out, and a group of
-copies costs one comparison per member, not one per pair.
+was compared, passed over by that bound, or is connected.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, flushed, query, rows_of, texts
 from freshet.llm.components import components
+from freshet.llm.repeats import in_filter, shared_names
 from freshet.session import stored
 
 ROWS = 4  # minima of a band
@@ -165,6 +167,23 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles binary")
 
 
+def _with_common(sets: DataFrame) -> DataFrame:
+    """``id, n, c``: the size of each set, and how many of its shingles another set has too (or a few more)."""
+    size = (sets.agg(F.sum(F.length("shingles"))).first()[0] or 0) / 8
+    read = lambda: lambda raw: np.frombuffer(raw, np.uint64)
+    known = sets.sparkSession.sparkContext.broadcast(shared_names(sets.select(F.col("shingles").alias("part")), read, size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+            yield pa.record_batch(
+                [batch.column("id"), pa.array([len(x) for x in found], pa.int64()), pa.array([int(in_filter(known.value, x).sum()) for x in found], pa.int64())],
+                names=["id", "n", "c"],
+            )
+
+    return sets.mapInArrow(run, "id long, n long, c long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row.
 
@@ -177,30 +196,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     docs = texts(docs, id_col, text_col)
     rows = stored(signatures(docs, k, percent), "signatures")
     known = rows.where("doc_id IS NOT NULL AND cls IS NOT NULL")
-    classes = stored(known.groupBy("cls").agg(F.min("doc_id").alias("id"), F.any_value("sig").alias("sig"), F.any_value("n").alias("n")), "classes")
+    classes = stored(known.groupBy("cls").agg(F.min("doc_id").alias("id"), F.any_value("sig").alias("sig")), "classes")
     named = known.select("doc_id", "cls").join(classes.select("cls", "id"), "cls")
     again = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     links = named.join(again, "doc_id", "left_semi").where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     found = stored(links.distinct(), "links")
 
     bands = classes.select("id", "sig").mapInArrow(_banded, "band long, id long")
-    shared = bands.groupBy("band").agg(F.min("id").alias("least"), F.max("id").alias("_most"), F.count(F.lit(1)).alias("size")).where("least < _most")
-    members = stored(bands.join(shared.drop("_most"), "band"), "members")
-    spread = (F.xxhash64("id").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)) * F.ceil(F.col("size") / FEW)).cast("long")
-    members = members.withColumn("turn", spread)
-    involved = members.select(F.col("id").alias("doc_id")).distinct()
+    shared = bands.groupBy("band").agg(F.min("id").alias("_a"), F.max("id").alias("_b"), F.count(F.lit(1)).alias("size")).where("_a < _b").select("band", "size")
+    met = stored(bands.join(shared, "band"), "met")
+    involved = met.select(F.col("id").alias("doc_id")).distinct()
     sets = stored(_sets(docs.join(involved, "doc_id", "left_semi"), k), "sets")
-    brief = classes.join(involved.withColumnRenamed("doc_id", "id"), "id", "left_semi").select("id", "sig", "n")
+    counts = stored(_with_common(sets), "counts")
+    spread = (F.xxhash64("id").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)) * F.ceil(F.col("size") / FEW)).cast("long")
+    members = stored(met.join(counts, "id").withColumn("turn", spread).drop("size"), "members")
+    brief = classes.join(involved.withColumnRenamed("doc_id", "id"), "id", "left_semi").select("id", "sig")
+
+    def possible(x: str, y: str) -> str:
+        """Whether sets of n signs, c of which others have too, can reach the threshold."""
+        most = f"least({x}.c, {y}.c)"
+        return f"100 * {most} >= {percent} * ({x}.n + {y}.n - {most})"
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b) those whose sets are close enough."""
-        a, b = (brief.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-        close = pairs.join(a, "a").join(b, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        close = close.select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing(percent / 100 - MARGIN), "a long, b long").distinct()
+        a, b = (brief.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
+        close = pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(_agreeing(percent / 100 - MARGIN), "a long, b long").distinct()
         left, right = (sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}")) for x in "ab")
         return close.join(left, "a").join(right, "b").mapInArrow(_confirmed(percent), "a long, b long")
 
-    star = members.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+    pivots = members.groupBy("band").agg(F.min(F.struct((F.col("n") - F.col("c")).alias("own"), "id", "n", "c")).alias("p"))
+    pivots = pivots.select("band", F.col("p.id").alias("id"), F.col("p.n").alias("n"), F.col("p.c").alias("c"))
+    star = members.alias("x").join(pivots.alias("p"), F.expr(f"x.band = p.band AND x.id <> p.id AND {possible('x', 'p')}"))
+    star = star.select(F.greatest("x.id", "p.id").alias("a"), F.least("x.id", "p.id").alias("b")).distinct()
     group = components(found.union(linked(star)))
     limit = members.agg(F.max("turn")).first()[0]
     begin, end = 0, 1
@@ -208,12 +235,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         now = members.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = now.groupBy("band").agg(F.min("component").alias("_c"), F.max("component").alias("_d"), F.max("turn").alias("_t"))
         mixed = mixed.where(f"_c < _d AND _t >= {begin}").select("band")
-        open_ = stored(now.where(f"turn >= {begin}").join(mixed, "band", "left_semi").select("band", "id", "component", "turn"), "open")
+        open_ = stored(now.where(f"turn >= {begin}").join(mixed, "band", "left_semi").select("band", "id", "component", "turn", "n", "c"), "open")
         if open_.isEmpty():
             break
-        asking = open_.where(f"turn < {end}").select("band", F.col("id").alias("a"), F.col("component").alias("_ca"))
-        asked = open_.select("band", F.col("id").alias("b"), F.col("component").alias("_cb"), "turn")
-        pairs = asking.join(asked, "band").where(f"_ca <> _cb AND (turn >= {end} OR a < b)").select("a", "b").distinct()
+        met_by = F.expr(f"x.band = y.band AND x.component <> y.component AND (y.turn >= {end} OR x.id < y.id) AND {possible('x', 'y')}")
+        pairs = open_.where(f"turn < {end}").alias("x").join(open_.alias("y"), met_by)
+        pairs = pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
         more = stored(linked(pairs), "links")
         if not more.isEmpty():
             group = components(group.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))

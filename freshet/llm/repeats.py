@@ -58,8 +58,13 @@ def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.nda
     which are also the place in the bitmap. Each task sends a name once, however
     many of its documents have it, and says which it has seen twice.
     """
-    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     expected = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) * per_sign
+    return shared_names(docs.select(F.col("text").alias("part")), names_of, expected)
+
+
+def shared_names(parts: DataFrame, names_of: Callable[[], Callable], expected: float) -> np.ndarray:
+    """The bitmap of names that two or more rows of ``parts`` (column ``part``) have; about ``expected`` names in all."""
     part_bits = min(FILTER_BITS - 6, max(4, int(np.ceil(np.log2(max(1.0, expected / PART_NAMES))))))
     shift = np.uint64(NAME_BITS - part_bits)
 
@@ -80,8 +85,8 @@ def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.nda
             return pa.record_batch([pa.array(rows["part"], pa.int32()), pa.array(rows["names"], pa.binary()), pa.array(rows["twice"], pa.binary())], names=list(rows))
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                n = names(text)
+            for value in batch.column("part").to_pylist():
+                n = names(value)
                 if len(n):
                     held.append(n)
                     size += len(n)
@@ -101,7 +106,7 @@ def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.nda
         bits[(place & np.uint64((1 << width) - 1)).astype(np.int64)] = True
         return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
-    sent = docs.select("text").mapInArrow(run, "part int, names binary, twice binary")
+    sent = parts.select("part").mapInArrow(run, "part int, names binary, twice binary")
     # 2 ** FILTER_BITS bits come to the driver, whatever the number of names.
     slices = sent.groupBy("part").applyInArrow(met, "part int, bits binary").toArrow()
     out = np.zeros((1 << part_bits, 1 << (FILTER_BITS - part_bits - 6)), np.uint64)
