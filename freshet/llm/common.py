@@ -19,8 +19,13 @@ BATCH_ROWS = 256
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
-    """Arrow batches short enough that whole long texts fit a worker's memory."""
+    """Arrow batches short enough that whole long texts fit a worker's memory, and shuffle files that go with their query.
+
+    Intermediate tables are written to the shared folder, so a finished query's
+    shuffle files are not needed again.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

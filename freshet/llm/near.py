@@ -55,20 +55,45 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def plain_words(text: str | None) -> list[bytes]:
-    """Words between blanks, A-Z in lower case; bytes, because only ASCII letters and blanks count."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+_SIGN = mix(np.arange(1, 257, dtype=np.uint64) * _MIX1)
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-def shingle_set(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; with fewer than ``k`` words, of the whole sequence."""
-    n = len(words)
-    if not n:
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words between blanks: sums of random numbers of the signs times powers of their place."""
+    signs = np.frombuffer(raw, np.uint8)
+    inside = ~_BLANK[signs]
+    at = np.flatnonzero(inside)
+    if not len(at):
         return np.empty(0, np.uint64)
-    w, width = hashes.of(words), min(n, k)
+    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+    size = np.diff(first, append=len(at))
+    place = np.arange(len(at)) - np.repeat(first, size)
+    power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(size.max()) - 1, _STEP)]))
+    return mix(np.add.reduceat(_SIGN[signs[at]] * power[place], first) + size.astype(np.uint64))
+
+
+def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of a pair of hashes."""
+    x = a * _MIX1
+    x += b
+    x ^= x >> np.uint64(32)
+    x *= _MIX2
+    x ^= x >> np.uint64(29)
+    return x
+
+
+def shingle_set(text: str | None, k: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles, A-Z in lower case; with fewer than ``k`` words, of the whole sequence."""
+    w = word_hashes(text.encode("utf-8", "surrogatepass").lower()) if text else np.empty(0, np.uint64)
+    n = len(w)
+    if not n:
+        return w
+    width = min(n, k)
     h = np.full(n - width + 1, width, np.uint64)
     for i in range(width):
-        h = mix(h * _MIX1 + w[i : n - width + 1 + i])
+        h = pair(h, w[i : n - width + 1 + i])
     h.sort()
     return h[np.concatenate([[True], h[1:] != h[:-1]])]
 
@@ -99,12 +124,12 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors, hashes = _factors(minima), WordHashes()
+        factors = _factors(minima)
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for key, text in rows_of(batch, "doc_id", "text"):
-                    s = shingle_set(plain_words(text), k, hashes)
+                    s = shingle_set(text, k)
                     if len(s):
                         yield key, len(s), blake2b(s.tobytes(), digest_size=16).digest(), signature(s, factors).tobytes()
                     else:
@@ -160,8 +185,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        rows = ((key, shingle_set(plain_words(text), k, hashes).tobytes()) for b in batches for key, text in rows_of(b, "doc_id", "text"))
+        rows = ((key, shingle_set(text, k).tobytes()) for b in batches for key, text in rows_of(b, "doc_id", "text"))
         yield from flushed((r for r in rows if r[1]), schema, 256)
 
     return docs.mapInArrow(run, "id long, shingles binary")

@@ -15,8 +15,8 @@ whatever surrounds the window (or lies in a run, and then is its own name).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from hashlib import sha256
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, flushed, query, rows_of, texts
-from freshet.llm.near import _MIX1, WordHashes, mix
+from freshet.llm.near import pair, word_hashes
 from freshet.llm.repeats import contested, covered, in_filter, removals, runs_of, shared_filter, unit_minima, units_of
 from freshet.session import stored
 
@@ -41,41 +41,41 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
-def _joined(h: np.ndarray, size: int) -> np.ndarray:
-    """The name of ``size`` words from each position on."""
-    n = max(0, len(h) - size + 1)
-    out = np.full(n, size, np.uint64)
-    for i in range(size):
-        out = mix(out * _MIX1 + h[i : i + n])
-    return out
-
-
-def borders(h: np.ndarray) -> np.ndarray:
+def borders(h: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """Positions (before a word) of borders that survive both rounds, decided by ``REACH`` words on each side."""
     n = len(h)
-    left = (mix(h) & LEFT) != 0
+    left = (h & LEFT) != 0
     kept = np.ones(n + 1, bool)
     kept[1:n] = (h[1:] != h[:-1]) & ~(left[:-1] & ~left[1:])
     begin = np.flatnonzero(kept)
     size = np.diff(begin)
     begin = begin[:-1]
-    pair = begin[size >= 2]
-    symbol = mix(h[begin] * _MIX1)
-    symbol[size >= 2] = mix(symbol[size >= 2] + h[pair + 1])
+    symbol = h[begin]
+    longer = size >= 2
+    symbol[longer] = pairs[begin[longer]]
     left = (symbol & LEFT) != 0
     stays = (symbol[1:] != symbol[:-1]) & ~(left[:-1] & ~left[1:]) & (size[:-1] <= 2) & (size[1:] <= 2)
     at = begin[1:][stays]
     return at[(at >= REACH) & (at + REACH <= n)]
 
 
-def window_names(h: np.ndarray) -> np.ndarray:
-    """For each window the least name of the borders inside it; the window's own name where it has none."""
+def _window_hashes(h: np.ndarray, two: np.ndarray, four: np.ndarray) -> np.ndarray:
+    """Hashes of ``WINDOW`` = 8 + 4 + 1 words from each position on."""
+    n = len(h) - WINDOW + 1
+    eight = pair(four[:-4], four[4:])
+    return pair(pair(eight[:n], four[8 : 8 + n]), h[12 : 12 + n])
+
+
+def window_names(h: np.ndarray) -> tuple[np.ndarray, Callable[[], np.ndarray]]:
+    """For each window the least name of the borders inside it, or its own hash where it has none; and a function for all hashes."""
     n = len(h) - WINDOW + 1
     if n <= 0:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), lambda: np.empty(0, np.uint64)
+    two = pair(h[:-1], h[1:])
+    four = pair(two[:-2], two[2:])
     value = np.full(len(h) + 1, NONE, np.uint64)
-    at = borders(h)
-    value[at] = _joined(h, 2 * REACH)[at - REACH]
+    at = borders(h, two)
+    value[at] = pair(four[at - REACH], two[at + 1])
     span = WINDOW - 2 * REACH + 1  # borders from REACH to WINDOW - REACH
     least, width = value, 1
     while 2 * width <= span:
@@ -83,17 +83,20 @@ def window_names(h: np.ndarray) -> np.ndarray:
         width *= 2
     least = np.minimum(least[: len(least) - (span - width)], least[span - width :]) if span > width else least
     out = least[REACH : REACH + n].copy()
+    hashes = lambda: _window_hashes(h, two, four)
     lost = np.flatnonzero(out == NONE)
     if len(lost):
-        out[lost] = _joined(h, WINDOW)[lost]
-    return out
+        out[lost] = hashes()[lost]
+    return out, hashes
 
 
-def _names_maker():
-    hashes = WordHashes()
+def _hashed(text: str) -> np.ndarray:
+    return word_hashes(text.encode("utf-8", "surrogatepass"))
 
+
+def _names_maker():
     def names(text: str) -> np.ndarray:
-        found = window_names(hashes.of(words_of(text)))
+        found, _ = window_names(_hashed(text))
         found = np.sort(found[runs_of(found, len(found) or 1)[0]])
         return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
@@ -101,27 +104,20 @@ def _names_maker():
 
 
 def _unit_maker():
-    hashes = WordHashes()
     empty = np.empty(0, np.uint64)
 
     def units(text: str, bloom: np.ndarray) -> tuple:
-        h = hashes.of(words_of(text))
-        names = window_names(h)
+        h = _hashed(text)
+        names, hashes = window_names(h)
         lo, n = runs_of(names, LONGEST_UNIT)
-        name = names[lo]
-        keep = in_filter(bloom, name)
+        keep = in_filter(bloom, names[lo])
         if not keep.any():
             return empty, empty, lo[:0], n[:0], []
-        lo, n, name = lo[keep], n[keep], name[keep]
-        windows = _joined(h, WINDOW)
-        flat = windows[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        unit = mix(n.astype(np.uint64))
-        ends = np.cumsum(n)
-        for i in range(int(n.max())):
-            more = n > i
-            unit[more] = mix(unit[more] * _MIX1 + windows[lo[more] + i])
-        raw = flat.tobytes()
-        return name, unit, lo, n, [raw[8 * (e - k) : 8 * e] for e, k in zip(ends.tolist(), n.tolist())]
+        lo, n = lo[keep], n[keep]
+        raw, windows = h.tobytes(), hashes().tobytes()
+        spans = list(zip(lo.tolist(), n.tolist()))
+        digests = b"".join([blake2b(raw[8 * a : 8 * (a + k + WINDOW - 1)], digest_size=8).digest() for a, k in spans])
+        return names[lo], np.frombuffer(digests, np.uint64), lo, n, [windows[8 * a : 8 * (a + k)] for a, k in spans]
 
     return units
 
@@ -152,7 +148,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     windows = contested(minima).mapInArrow(_windows, "name long, unit long, least long, window long, at int")
     first = windows.groupBy("name", "window").agg(F.min("least").alias("first"))
     late = windows.join(first, ["name", "window"]).where("first < least").select("name", "unit", "at")
-    gone = removals(units, minima, late)
+    gone = stored(removals(units, minima, late), "gone")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -220,7 +220,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     single = marked.where("_hot").select("name", "unit", "least", F.posexplode(each).alias("first", "body"))
     single = single.select(part_of("body"), "name", "unit", "least", "first", "body")
     late = whole.union(single).groupBy("part").applyInArrow(_late, "name long, unit long, at int")
-    gone = removals(units, minima, late)
+    gone = stored(removals(units, minima, late), "gone")
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
