@@ -60,18 +60,34 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
-def word_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hashes of the words between blanks: sums of random numbers of the signs times powers of their place."""
-    signs = np.frombuffer(raw, np.uint8)
-    inside = ~_BLANK[signs]
-    at = np.flatnonzero(inside)
-    if not len(at):
-        return np.empty(0, np.uint64)
-    first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
-    size = np.diff(first, append=len(at))
-    place = np.arange(len(at)) - np.repeat(first, size)
-    power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(int(size.max()) - 1, _STEP)]))
-    return mix(np.add.reduceat(_SIGN[signs[at]] * power[place], first) + size.astype(np.uint64))
+class WordHasher:
+    """64-bit hashes of words: sums of random numbers of the signs times powers of their place in the word."""
+
+    def __init__(self):
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def __call__(self, raw: bytes) -> np.ndarray:
+        """The hashes of the words of ``raw`` between blanks."""
+        n = len(raw)
+        if not n:
+            return np.empty(0, np.uint64)
+        if n > len(self.power):
+            room = 1 << max(16, n.bit_length())
+            back = np.uint64(pow(int(_STEP), -1, 1 << 64))
+            self.power, self.inverse = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(room, x)])) for x in (_STEP, back))
+        signs = np.frombuffer(raw, np.uint8)
+        blank = np.empty(n + 2, bool)
+        blank[0] = blank[-1] = True
+        _BLANK.take(signs, out=blank[1:-1])
+        edge = np.flatnonzero(blank[1:] != blank[:-1])
+        if not len(edge):
+            return np.empty(0, np.uint64)
+        total = np.zeros(n + 1, np.uint64)
+        value = _SIGN.take(signs)
+        value *= self.power[:n]
+        np.cumsum(value, out=total[1:])
+        start, end = edge[::2], edge[1::2]
+        return mix((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -84,9 +100,9 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
-def shingle_set(text: str | None, k: int) -> np.ndarray:
+def shingle_set(text: str | None, k: int, hasher: WordHasher) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles, A-Z in lower case; with fewer than ``k`` words, of the whole sequence."""
-    w = word_hashes(text.encode("utf-8", "surrogatepass").lower()) if text else np.empty(0, np.uint64)
+    w = hasher(text.encode("utf-8", "surrogatepass").lower()) if text else np.empty(0, np.uint64)
     n = len(w)
     if not n:
         return w
@@ -124,12 +140,12 @@ def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.binary()), ("sig", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = _factors(minima)
+        factors, hasher = _factors(minima), WordHasher()
 
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 for key, text in rows_of(batch, "doc_id", "text"):
-                    s = shingle_set(text, k)
+                    s = shingle_set(text, k, hasher)
                     if len(s):
                         yield key, len(s), blake2b(s.tobytes(), digest_size=16).digest(), signature(s, factors).tobytes()
                     else:
@@ -185,7 +201,8 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((key, shingle_set(text, k).tobytes()) for b in batches for key, text in rows_of(b, "doc_id", "text"))
+        hasher = WordHasher()
+        rows = ((key, shingle_set(text, k, hasher).tobytes()) for b in batches for key, text in rows_of(b, "doc_id", "text"))
         yield from flushed((r for r in rows if r[1]), schema, 256)
 
     return docs.mapInArrow(run, "id long, shingles binary")

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, flushed, query, rows_of, texts
-from freshet.llm.near import pair, word_hashes
+from freshet.llm.near import WordHasher, pair
 from freshet.llm.repeats import contested, covered, in_filter, removals, runs_of, shared_filter, unit_minima, units_of
 from freshet.session import stored
 
@@ -90,13 +90,11 @@ def window_names(h: np.ndarray) -> tuple[np.ndarray, Callable[[], np.ndarray]]:
     return out, hashes
 
 
-def _hashed(text: str) -> np.ndarray:
-    return word_hashes(text.encode("utf-8", "surrogatepass"))
-
-
 def _names_maker():
+    hasher = WordHasher()
+
     def names(text: str) -> np.ndarray:
-        found, _ = window_names(_hashed(text))
+        found, _ = window_names(hasher(text.encode("utf-8", "surrogatepass")))
         found = np.sort(found[runs_of(found, len(found) or 1)[0]])
         return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
@@ -104,10 +102,10 @@ def _names_maker():
 
 
 def _unit_maker():
-    empty = np.empty(0, np.uint64)
+    hasher, empty = WordHasher(), np.empty(0, np.uint64)
 
     def units(text: str, bloom: np.ndarray) -> tuple:
-        h = _hashed(text)
+        h = hasher(text.encode("utf-8", "surrogatepass"))
         names, hashes = window_names(h)
         lo, n = runs_of(names, LONGEST_UNIT)
         keep = in_filter(bloom, names[lo])

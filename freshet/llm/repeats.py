@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from freshet.session import stored
 
-FILTER_BITS = 27  # 16 MB
+FILTER_BITS = 28  # 32 MB
 NAME_BITS = 48  # the exchange for the filter uses the upper bits of a name
 PART_NAMES = 1_000_000  # names of a part, about
 FLUSH_NAMES = 1_500_000  # names a task holds before it sends them
