@@ -19,9 +19,6 @@ from freshet.operators.vector_search import BROADCAST_BYTES, HIT, _Best, _matrix
 
 # Fixed value: the number of lists of the cosine index.
 LISTS = 100
-# Rows per list that the cell centres are learnt from; every row is then assigned to a list.
-TRAINING_ROWS_PER_LIST = 50
-FILES_PER_LIST = 16
 MAX_RECORDS_PER_FILE = 1_000_000
 
 
@@ -34,17 +31,17 @@ def _with_features(df: DataFrame) -> DataFrame:
 def ivf_build(df: DataFrame, path: str, lists: int = LISTS, seed: int = 7) -> KMeansModel:
     """Learn ``lists`` centres and write every row of ``df`` (``id, embedding``) under its list.
 
-    The centres come from the rows with the smallest id hashes, a fixed number
-    per list, as an index build does. A list may hold a large part of the rows,
-    so each is spread over several writers. (An action.)
+    The centres come from all rows. A list may hold a large part of the rows, so
+    each is spread over as many writers as its files need. (An action.)
     """
     rows = df.where(F.col("embedding").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "embedding")
-    training = rows.orderBy(F.xxhash64("id"), "id").limit(lists * TRAINING_ROWS_PER_LIST)
-    model = KMeans(k=lists, seed=seed, maxIter=10, featuresCol="features", predictionCol="list").fit(
-        _with_features(training)
-    )
-    assigned = model.transform(_with_features(rows)).select("id", "embedding", "list")
-    spread = assigned.repartition("list", F.pmod(F.xxhash64("id"), F.lit(FILES_PER_LIST)))
+    features = _with_features(rows)
+    model = KMeans(k=lists, seed=seed, maxIter=10, featuresCol="features", predictionCol="list").fit(features)
+    assigned = model.transform(features).select("id", "embedding", "list")
+    # One row per list: as many as there are centres.
+    writers = assigned.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(MAX_RECORDS_PER_FILE)).alias("_writers"))
+    spread = assigned.join(F.broadcast(writers), "list").withColumn("_writer", F.pmod(F.xxhash64("id"), F.col("_writers")))
+    spread = spread.repartition("list", "_writer").drop("_writers", "_writer")
     spread.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("list").parquet(
         f"{path}/rows"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from freshet.functions.text import strip_blanks
 from freshet.functions.json_text import is_json, json_kind, lenient_object, unwrap_once
 
 # The document message and the fields read from it.
@@ -63,7 +64,7 @@ def decode_double(df: DataFrame, value: str = "value") -> DataFrame:
     steps = df.withColumn("_text", unwrap_once(value)).withColumn("_kind", json_kind("_text"))
     reason = (
         F.when(F.col(value).isNull(), "tombstone")
-        .when(F.coalesce("_text", F.lit("")) == "", "empty")
+        .when((strip_blanks(value) == "") | (F.col("_text") == ""), "empty")
         .when(F.col("_kind").isNull(), "malformed")
         .when(~F.startswith("_kind", F.lit("OBJECT")), "not_an_object")
     )

@@ -75,16 +75,27 @@ def embed_with(
     text: str = "text",
     batch: int = BATCH_TEXTS,
 ) -> DataFrame:
-    """Run a custom model over Arrow batches. Blank text gives a null vector."""
+    """Run a custom model over Arrow batches. Blank text gives a null vector.
+
+    A model that answers with too few or too many vectors, or with vectors of
+    different width, fails the job. ``check_width`` compares with a wanted width.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        width = 0
         for frame in frames:
             vectors: list = [None] * len(frame)
             usable = [i for i, t in enumerate(frame[text]) if t is not None and t.strip()]
             for lo in range(0, len(usable), batch):
                 part = usable[lo : lo + batch]
-                for i, v in zip(part, model([frame[text].iloc[i] for i in part])):
+                answers = model([frame[text].iloc[i] for i in part])
+                if len(answers) != len(part):
+                    raise ValueError(f"the model gave {len(answers)} vectors for {len(part)} texts")
+                for i, v in zip(part, answers):
                     vectors[i] = None if v is None else [float(x) for x in v]
+                    width = width or len(vectors[i] or ())
+                    if vectors[i] is not None and len(vectors[i]) != width:
+                        raise ValueError(f"the model gave vectors of {width} and of {len(vectors[i])} values")
             yield pd.DataFrame({key: frame[key], "embedding": vectors})
 
     source = texts.select(key, text)

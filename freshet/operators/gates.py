@@ -27,7 +27,7 @@ def gated_search(
     Every query picks its own tier in the plan. Keyword hits are only looked
     for where the vector gates let nothing through.
     """
-    asked = queries.where(strip_blanks(F.coalesce("query", F.lit(""))) != "")
+    asked = queries.withColumn("query", strip_blanks(F.coalesce("query", F.lit("")))).where("query <> ''")
     if vectors:
         # At most k rows per query; stored, because three later steps read it.
         near = stored(batch_topk(chunks, asked, k), "near")

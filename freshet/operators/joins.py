@@ -38,7 +38,8 @@ def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], split_hot: bool
     any_null = F.lit(False)
     for k in keys:
         any_null |= F.col(k).isNull()
-    spread = F.lit(1) + F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+    # By the place of the row, so that equal rows are spread too.
+    spread = F.lit(1) + F.monotonically_increasing_id() % SALTS
     salted = df.join(F.broadcast(hot_rows), keys, "left").withColumn(
         "_salt", F.when(F.col("_warm").isNotNull() | any_null, spread).otherwise(F.lit(0).cast("bigint"))
     )

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.text import tokens
+from freshet.functions.text import strip_blanks, tokens
 
 # English words that carry no search meaning.
 STOP_WORDS = (
@@ -54,9 +54,7 @@ def batch_keyword_topk(
     """
     # Lower-casing is its own projection: once per row, not once per query.
     low = chunks.select(F.col("id").cast("bigint").alias("id"), *[F.lower(F.col(c)).alias(f"low_{c}") for c in cols])
-    asked = queries.where(F.coalesce(F.trim("query"), F.lit("")) != "").select(
-        F.col("id").cast("bigint").alias("id"), F.lower("query").alias("query")
-    )
+    asked = queries.select(F.col("id").cast("bigint").alias("id"), F.lower(strip_blanks("query")).alias("query")).where("query <> ''")
     wild = F.lit(False) if literal else F.col("query").rlike(r"[%_\\]")
     found = None
     for plain in (True, False):
@@ -120,16 +118,7 @@ def _scan_words(low: DataFrame, batch: list[tuple[int, str]]) -> DataFrame:
 
 def _finder(by_text: dict[str, list[int]]):
     """``find(text, hits)`` adds the ids of the queries that the text contains."""
-    try:
-        from ahocorasick import Automaton
-    except ImportError:
-
-        def find(text: str, hits: set) -> None:
-            for word, ids in by_text.items():
-                if word in text:
-                    hits.update(ids)
-
-        return find
+    from ahocorasick import Automaton
 
     automaton = Automaton()
     for word, ids in by_text.items():
@@ -171,13 +160,16 @@ def token_stats(index: DataFrame) -> DataFrame:
 def fts_search(index: DataFrame, queries: DataFrame, key: str = "doc_id", stop_words=STOP_WORDS) -> DataFrame:
     """Documents that hold every word of a query: ``query_id``, key, ``occurrences``.
 
-    ``queries`` has ``query_id, query``. The words of the queries meet the
-    postings in an equi-join; counts per query and document combine on the map
-    side.
+    ``queries`` has ``query_id, query``. Only documents with a query's rarest word
+    become candidates, so a common word brings no rows of its own; the other words
+    are then looked up by word and document.
     """
     words = query_words(queries, stop_words)
     needed = words.groupBy("query_id").agg(F.count(F.lit(1)).alias("needed"))
-    met = index.join(words, "token").groupBy("query_id", key).agg(
+    spread = index.join(words.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+    rarest = words.join(spread, "token").groupBy("query_id").agg(F.min(F.struct("documents", "token"))["token"].alias("token"))
+    candidates = index.join(rarest, "token").select("query_id", key).join(words, "query_id")
+    met = candidates.join(index, ["token", key]).groupBy("query_id", key).agg(
         F.count(F.lit(1)).alias("met"), F.sum("n").alias("occurrences")
     )
     return met.join(needed, "query_id").where(F.col("met") == F.col("needed")).select("query_id", key, "occurrences")

@@ -40,15 +40,16 @@ def vector_topk(
 ) -> DataFrame:
     """The ``k`` nearest rows to one query vector, nearest first, ties by key.
 
-    All vectors must have the query's width (see `embedding.check_width`). Each task keeps its own ``k`` best, so the last step sorts ``k`` rows per
-    task. Conditions apply before any distance is computed.
+    Rows of another width than the query's are no candidates. Each task keeps its
+    own ``k`` best, so the last step sorts ``k`` rows per task. Conditions apply
+    before any distance is computed.
     """
     if not isinstance(query, Column) and metric == "cosine":
         # Cosine ignores the query's length; one of length one saves work per row.
         length = math.sqrt(sum(float(x) ** 2 for x in query)) or 1.0
         query = [float(x) / length for x in query]
     vector = query if isinstance(query, Column) else vector_lit(query)
-    rows = chunks.where(F.col(embedding).isNotNull())
+    rows = chunks.where(F.col(embedding).isNotNull() & (F.size(embedding) == F.size(vector)))
     if where is not None:
         rows = rows.where(where)
     ranked = rows.withColumn("distance", F.round(distance(embedding, vector, metric), RANK_DIGITS))

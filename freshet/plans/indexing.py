@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.functions.keys import text_sha256
+from freshet.functions.text import normalize_text
 from freshet.operators import answer_cache as AC
 from freshet.operators import embedding as E
 from freshet.operators.chunking import chunk
@@ -114,23 +115,23 @@ def cache_split(spark, d):
 # --- answer cache ----------------------------------------------------------------
 
 # A user turn and the turn that follows it are a question and its answer.
-# Questions are compared by their first word's hash as well as in full, so that hits exist.
-_QA = """
-q AS (SELECT u.conv_id, u.turn, u.conv_id * 1000 + u.turn AS ord, sha256(lower(regexp_extract(u.text, '[\\p{L}]+', 0))) AS query_hash,
+# Questions are compared by the hash of their whole text, with blanks and case made equal.
+_QA = f"""
+q AS (SELECT u.conv_id, u.turn, u.conv_id * 1000 + u.turn AS ord, sha256(lower({S.normalize('u.text')})) AS query_hash,
     a.text AS answer FROM conversations u LEFT JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
     WHERE u.role = 'user'),
 c AS (SELECT query_hash, arg_min(ord, ord) AS cache_id, arg_min(sha1(answer), ord) AS answer_sha1 FROM q WHERE answer IS NOT NULL GROUP BY query_hash)
-""".replace("\\\\", "\\")
+"""
 
 
 def _questions(spark, d):
-    """All questions with their answers, by the hash of the question's leading word."""
+    """All questions with their answers, by the hash of the whole question."""
     talk = table(spark, d, "conversations")
     asked = talk.where(F.col("role") == "user").select(
         "conv_id",
         "turn",
         (F.col("turn") + 1).alias("next"),
-        F.sha2(F.lower(F.regexp_extract("text", r"[\p{L}]+", 0)), 256).alias("query_hash"),
+        F.sha2(F.lower(normalize_text("text")), 256).alias("query_hash"),
     )
     answers = talk.select("conv_id", F.col("turn").alias("next"), F.col("text").alias("answer"))
     # Conversation and turn together are unique, so a long conversation is no hot key.

@@ -8,10 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the one runtime setting that results depend on: the UTC session zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Pin the runtime settings that results depend on: the UTC session zone, and that of repeated JSON fields the last counts."""
+    for key, value in SETTINGS.items():
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -22,7 +26,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "fre
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=SETTINGS)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
@@ -37,13 +41,15 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the cluster's shared folder (``spark.checkpoint.dir``).
+    """A fresh sub-folder of the cluster's shared folder (``spark.checkpoint.dir``, or the set checkpoint folder).
 
-    Only where the session names none, as in tests, is a temporary folder made,
-    one per application.
+    Only in local mode, where all tasks share one machine, is a temporary folder
+    made when none is named, one per application.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         base = _own_folder.setdefault(app, _own_folder.get(app) or tempfile.mkdtemp(prefix="freshet-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

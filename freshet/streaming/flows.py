@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from freshet.operators.content import with_content
 from freshet.operators.filters import keep_condition
 from freshet.sources.events import from_envelopes
-from freshet.streaming.snapshots import SnapshotTable
+from freshet.streaming.snapshots import SnapshotTable, batch_name
 
 TRIGGER = "10 seconds"
 LATENESS = "10 minutes"
@@ -20,20 +21,30 @@ LATENESS = "10 minutes"
 def start(
     df: DataFrame,
     checkpoint: str,
-    each: Callable[[DataFrame, int], None] | None = None,
+    each: Callable[[DataFrame, int, str], None] | None = None,
     path: str | None = None,
     mode: str = "append",
     once: bool = False,
     trigger: str = TRIGGER,
 ) -> StreamingQuery:
-    """Start a stream into a ``foreachBatch`` function or a Parquet folder. ``once`` drains what is there."""
+    """Start a stream into a batch function or a Parquet folder. ``once`` drains what is there.
+
+    ``each`` gets the batch, its number and the id of the run, which the checkpoint keeps:
+    it is the same after a restart from this checkpoint, and another under a new one.
+    """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=trigger)
     if each is not None:
-        return writer.foreachBatch(each).start()
+        spark = df.sparkSession
+        return writer.foreachBatch(lambda batch, number: each(batch, number, run_of(spark, checkpoint))).start()
     return writer.format("parquet").option("path", path).start()
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a started stream has written into its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
+
+
 def drain(df: DataFrame, checkpoint: str, **kw) -> None:
     query = start(df, checkpoint, once=True, **kw)
     query.awaitTermination()
@@ -67,7 +78,7 @@ def late_rows(batch: DataFrame, ts: str, watermark) -> DataFrame:
 
 
 def quota_writer(spark: SparkSession, path: str, ts: str, order: Sequence[str], limit: int = 60):
-    """A ``foreachBatch`` function that admits at most ``limit`` events per minute, in arrival order.
+    """A batch function that admits at most ``limit`` events per minute, in arrival order.
 
     Each batch first keeps its own ``limit`` per minute (before the shuffle, so
     a minute with most of the traffic stays small), then what earlier batches
@@ -76,19 +87,19 @@ def quota_writer(spark: SparkSession, path: str, ts: str, order: Sequence[str],
     """
     taken = SnapshotTable(spark, f"{path}/taken", ["minute"], ["minute"], {"taken": "sum"})
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, run: str = "") -> None:
         rows = batch.withColumn("minute", F.date_trunc("minute", F.col(ts)))
         w = Window.partitionBy("minute").orderBy(*order)
         own = rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit)
-        before = taken.read(before=batch_id)
+        before = taken.read(before=batch_id, run=run)
         if before is not None:
             own = own.join(before, "minute", "left")
         else:
             own = own.withColumn("taken", F.lit(0).cast("bigint"))
         kept = own.where(F.col("_rank") + F.coalesce("taken", F.lit(0)) <= limit).drop("_rank", "taken")
-        folder = f"{path}/rows/batch_id={batch_id}"
+        folder = f"{path}/rows/batch={batch_name(batch_id, run)}"
         kept.write.mode("overwrite").parquet(folder)
         admitted = spark.read.parquet(folder).groupBy("minute").agg(F.count(F.lit(1)).alias("taken"))
-        taken.apply(admitted, batch_id)
+        taken.apply(admitted, batch_id, run)
 
     return write

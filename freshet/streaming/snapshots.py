@@ -1,10 +1,13 @@
 """Upserts without a table format: one small folder per micro-batch, folded now and then.
 
-Batch *n* is written as its own partial merge under ``delta/v=n``, so a batch
-costs what the batch is worth, not what the table is. Every few batches the
-partial merges are folded into ``base/v=n``. Readers combine the newest base
-with the deltas after it, and look only at folders whose success mark is there.
-A batch that is run again rewrites its own folder, so replays change nothing.
+A batch is written as its own partial merge under ``delta/v=<run>-<number>``, so it
+costs what the batch is worth, not what the table is. The run is the id that a
+stream keeps in its checkpoint: a stream started anew under another checkpoint counts
+its batches from 0 again, and its folders stand beside the older ones. When enough
+deltas have gathered they are folded into the next ``base/v=<number>``, which names the
+deltas it holds. Readers combine the newest base with the deltas it does not name,
+and look only at folders whose success mark is there. A batch that is run again
+rewrites its own folder, so replays change nothing.
 """
 
 from __future__ import annotations
@@ -29,10 +32,10 @@ class SnapshotTable:
         self.spark, self.path, self.fold_every = spark, path.rstrip("/"), fold_every
         self.keys, self.order, self.rules = list(keys), list(order), dict(rules)
 
-    def _folder(self, kind: str, version: int) -> str:
-        return f"{self.path}/{kind}/v={version:012d}"
+    def _folder(self, kind: str, version: str) -> str:
+        return f"{self.path}/{kind}/v={version}"
 
-    def versions(self, kind: str) -> list[int]:
+    def versions(self, kind: str) -> list[str]:
         """Complete folders of one kind, through the file system the path belongs to."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs
         root = hadoop.Path(f"{self.path}/{kind}")
@@ -40,53 +43,80 @@ class SnapshotTable:
         if not fs.exists(root):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(root)]
-        done = [n for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{self.path}/{kind}/{n}/_SUCCESS"))]
-        return sorted(int(n[2:]) for n in done)
-
-    def _state(self, before: int | None, base_before: int | None) -> DataFrame | None:
-        bases = [v for v in self.versions("base") if base_before is None or v < base_before]
-        start = bases[-1] if bases else -1
-        deltas = [v for v in self.versions("delta") if v > start and (before is None or v < before)]
-        paths = [self._folder("base", start)] if bases else []
-        paths += [self._folder("delta", v) for v in deltas]
+        return sorted(n[2:] for n in names if n.startswith("v=") and fs.exists(hadoop.Path(f"{self.path}/{kind}/{n}/_SUCCESS")))
+
+    def folded(self, base: str) -> set[str]:
+        """Names of the deltas that a base holds: one per batch since the table began or was vacuumed."""
+        return {r["value"] for r in self.spark.read.text(self._folder("held", base)).collect()}
+
+    def _parts(self, leave_out: Callable[[str], bool] = lambda name: False) -> tuple[str | None, set[str], list[str]]:
+        """The newest base without any left-out delta, what it holds, and the deltas to add."""
+        for base in reversed(self.versions("base")):
+            held = self.folded(base)
+            if not any(map(leave_out, held)):
+                break
+        else:
+            base, held = None, set()
+        return base, held, [v for v in self.versions("delta") if v not in held and not leave_out(v)]
+
+    def _state(self, base: str | None, deltas: list[str]) -> DataFrame | None:
+        paths = ([self._folder("base", base)] if base else []) + [self._folder("delta", v) for v in deltas]
         if not paths:
             return None
         state = self.spark.read.parquet(*paths)
         return combine_states(state, self.keys) if len(paths) > 1 else state
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge one batch; calling it twice with the same id gives the same table."""
+    def apply(self, batch: DataFrame, batch_id: int, run: str = "") -> None:
+        """Merge one batch; calling it twice with the same run and id gives the same table."""
         state = merge_state(batch, self.keys, self.order, self.rules)
-        state.write.mode("overwrite").parquet(self._folder("delta", batch_id))
-        if (batch_id + 1) % self.fold_every == 0:
-            self._state(batch_id + 1, batch_id).write.mode("overwrite").parquet(self._folder("base", batch_id))
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        """The merged table, or what it was before batch ``before``; None when nothing is there."""
-        state = self._state(before, before)
+        state.write.mode("overwrite").parquet(self._folder("delta", batch_name(batch_id, run)))
+        base, held, deltas = self._parts()
+        if len(deltas) >= self.fold_every:
+            following = f"{int(base) + 1 if base else 0:012d}"
+            names = self.spark.createDataFrame([(v,) for v in sorted(held.union(deltas))], "value string")
+            names.coalesce(1).write.mode("overwrite").text(self._folder("held", following))
+            self._state(base, deltas).write.mode("overwrite").parquet(self._folder("base", following))
+
+    def read(self, before: int | None = None, run: str = "") -> DataFrame | None:
+        """The merged table, or what it was without batch ``before`` and later ones of that run; None when nothing is there."""
+        first = None if before is None else batch_name(before, run)
+        same_run = first[: -len(NUMBER.format(0))] if first else ""
+        base, _, deltas = self._parts(
+            lambda name: first is not None and len(name) == len(first) and name.startswith(same_run) and name >= first
+        )
+        state = self._state(base, deltas)
         return None if state is None else finish(state, self.keys, self.rules)
 
     def vacuum(self) -> None:
-        """Remove folders that the newest two bases make superfluous."""
+        """Remove all bases but the newest two, and the deltas that both of these hold."""
         bases = self.versions("base")
         if len(bases) < 2:
             return
         hadoop = self.spark._jvm.org.apache.hadoop.fs
-        for kind, limit in (("base", bases[-2]), ("delta", bases[-2] + 1)):
-            for version in self.versions(kind):
-                if version < limit:
-                    folder = hadoop.Path(self._folder(kind, version))
-                    folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        held = self.folded(bases[-2])
+        gone = [self._folder(kind, v) for kind in ("base", "held") for v in bases[:-2]]
+        gone += [self._folder("delta", v) for v in self.versions("delta") if v in held]
+        for path in gone:
+            folder = hadoop.Path(path)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     def writer(self, shape: Callable[[DataFrame], DataFrame] = lambda df: df):
-        """A ``foreachBatch`` function."""
-        return lambda batch, batch_id: self.apply(shape(batch), batch_id)
+        """A batch function for `flows.start`, which names the run."""
+        return lambda batch, batch_id, run="": self.apply(shape(batch), batch_id, run)
+
+
+NUMBER = "{:012d}"
+
+
+def batch_name(batch_id: int, run: str = "") -> str:
+    """The name of a batch that no other batch of any run has."""
+    return (f"{run}-" if run else "") + NUMBER.format(batch_id)
 
 
 def idempotent_writer(path: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df):
-    """A ``foreachBatch`` function that appends each batch once: its folder is named by the batch."""
+    """A batch function that appends each batch once: its folder is named by run and batch."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    def write(batch: DataFrame, batch_id: int, run: str = "") -> None:
+        shape(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_name(batch_id, run)}")
 
     return write

@@ -169,16 +169,6 @@ def test_keyword(spark, q, literal, want):
         assert [r["id"] for r in hits if r["query_id"] == 3] == [2, 1]
 
 
-def test_finder_without_the_automaton(monkeypatch):
-    import builtins
-
-    real = builtins.__import__
-    monkeypatch.setattr(builtins, "__import__", lambda n, *a, **k: (_ for _ in ()).throw(ImportError()) if n == "ahocorasick" else real(n, *a, **k))
-    hits = set()
-    keyword._finder({"ab": [1], "zz": [2], "b": [3, 4]})("cabd", hits)
-    assert hits == {1, 3, 4}
-
-
 def test_fts_needs_every_word(spark):
     docs = spark.createDataFrame([(1, "red fox and red hen"), (2, "red hen"), (3, None)], "doc_id int, text string")
     queries = spark.createDataFrame([(1, "the RED fox"), (2, "hen"), (3, "cow hen")], "query_id int, query string")

@@ -11,7 +11,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 OWN = re.compile(r"op\d+_|pipeline$")
 QUERIES = {k: v for k, v in queries().items() if not OWN.match(k)}
 SQL = {k: v for k, v in oracle_sql().items() if not OWN.match(k)}
-WITHOUT_SQL = {"ivf_topk"}
+WITHOUT_SQL = set()
 
 
 def test_only_known_queries_lack_sql():
