@@ -82,22 +82,15 @@ def dims_check(spark, d):
 
 @query(
     f"""WITH m AS (SELECT d.doc_id, d.text FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id WHERE e.embedding IS NULL),
-{S.hash_vectors('hv', 'm', 'doc_id', 'text')}
-SELECT d.doc_id, e.embedding IS NULL AS filled,
-    round(coalesce(CAST(e.embedding[1] AS DOUBLE), hv.v[1]), 6) + 0.0 AS first_value,
-    round(coalesce(CAST(e.embedding[64] AS DOUBLE), hv.v[64]), 6) + 0.0 AS last_value
-FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id LEFT JOIN hv ON hv.doc_id = d.doc_id"""
+{S.hash_vectors('hv', 'm', 'doc_id', 'text')},
+f AS (SELECT d.doc_id, e.embedding IS NULL AS filled, coalesce(CAST(e.embedding AS DOUBLE[]), hv.v) AS v
+    FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id LEFT JOIN hv ON hv.doc_id = d.doc_id)
+SELECT doc_id, filled, {_ROUNDED} AS vector FROM f"""
 )
 def backfill_merge(spark, d):
     vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     rows = _documents(spark, d).join(vectors, "doc_id", "left").withColumn("filled", F.col("embedding").isNull())
-    done = E.backfill(rows)
-    return done.select(
-        "doc_id",
-        "filled",
-        (F.round(F.col("embedding")[0], 6) + F.lit(0.0)).alias("first_value"),
-        (F.round(F.col("embedding")[63], 6) + F.lit(0.0)).alias("last_value"),
-    )
+    return E.backfill(rows).select("doc_id", "filled", _rounded("embedding").alias("vector"))
 
 
 @query(
