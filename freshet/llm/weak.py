@@ -12,7 +12,6 @@ scored, over everything.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -43,34 +42,62 @@ DOUBLED = re.compile(r"[^\w\s]{2,}$")
 SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()-]")
 
 
-def votes(text: str | None) -> tuple[int, ...]:
-    """What the labellers say: 1 good, -1 bad, 0 nothing. That one kind of junk is absent says nothing."""
-    text = text or ""
-    tokens = text.split()
-    n = len(tokens)
+class Tokens:
+    """Numbers of tokens between blanks, looked up once for each different token; a bounded number is kept."""
+
+    def __init__(self):
+        self.row: dict[str, int] = {}
+        self.facts = np.empty((1024, len(FACTS)))
+        self.ids = np.empty((1024, 4), np.int64)
+
+    def rows(self, tokens: list[str]) -> np.ndarray:
+        new = set(tokens).difference(self.row)
+        if len(self.row) + len(new) > REMEMBER:
+            self.row.clear()
+            new = set(tokens)
+        need = len(self.row) + len(new)
+        if need > len(self.facts):
+            self.facts, self.ids = np.resize(self.facts, (2 * need, len(FACTS))), np.resize(self.ids, (2 * need, 4))
+        for t in new:
+            i = self.row[t] = len(self.row)
+            word = t.lower().strip(".,;:!?")
+            upper = len(t) > 1 and t.isupper()
+            self.facts[i] = (
+                sum(map(len, WORD.findall(t))), len(SYMBOLS.findall(t)), t.count("|"), upper, word.isalpha() and not upper,
+                DOUBLED.search(t) is not None, word in COMMON,
+            )
+            ids = token_features(t)
+            self.ids[i] = ids + [BUCKETS] * (4 - len(ids))
+        return np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))
+
+
+FACTS = ("letters", "symbols", "bars", "upper", "plain", "doubled", "common")
+
+
+def votes(text: str | None, rows: np.ndarray, table: Tokens) -> tuple[int, ...]:
+    """What the labellers say: 1 good, -1 bad, 0 nothing. That one kind of junk is absent says nothing.
+
+    ``rows`` are those of the text's tokens in ``table``.
+    """
+    n = len(rows)
     if not n:
         return (0,) * len(LABELLERS)
-    letters = sum(map(len, WORD.findall(text))) or 1
-    lower = [t.lower().strip(".,;:!?") for t in tokens]
-    upper = sum(1 for t in tokens if len(t) > 1 and t.isupper())
-    counts = Counter(lower)
-    same = sum(a == b for a, b in zip(lower, lower[1:]))
-    lines = [x for x in text.split("\n") if x.strip()]
-    ended = sum(x.rstrip()[-1] in ".!?:\"'" for x in lines)
-    plain = sum(1 for t in lower if t.isalpha()) - upper
-    doubled = sum(1 for t in tokens if DOUBLED.search(t))
-    common = sum(v for w, v in counts.items() if w in COMMON)
+    letters, symbols, bars, upper, plain, doubled, common = table.facts[rows].sum(0).tolist()
+    same = int(np.count_nonzero(rows[1:] == rows[:-1]))
+    different = len(set(rows.tolist()))
+    ends = [x.rstrip()[-1] for x in text.split("\n") if x.strip()]
+    ended = sum(x in ".!?:\"'" for x in ends)
     return (
-        -1 if len(SYMBOLS.findall(text)) >= 0.08 * letters else 0,
+        -1 if symbols >= 0.08 * max(letters, 1) else 0,
         -1 if upper >= 0.2 * n else 0,
-        -1 if text.count("|") >= 0.1 * n else 0,
+        -1 if bars >= 0.1 * n else 0,
         -1 if same >= 0.1 * n else 0,
         -1 if n >= 20 and common < 0.05 * n else 1 if common > 0.12 * n else 0,
         -1 if plain < 0.6 * n else 1 if plain > 0.8 * n else 0,
         -1 if doubled >= 0.2 * n else 0,
-        -1 if n >= 20 and len(counts) < 2 * n**0.5 else 0,
+        -1 if n >= 20 and different < 2 * n**0.5 else 0,
         -1 if n < 4 else 0,
-        -1 if ended < 0.3 * len(lines) else 1 if ended > 0.8 * len(lines) else 0,
+        -1 if ended < 0.3 * len(ends) else 1 if ended > 0.8 * len(ends) else 0,
     )
 
 
@@ -119,16 +146,11 @@ def token_features(token: str) -> list[int]:
 SAME_AS_LAST = crc32(b"same as the last token") % BUCKETS
 
 
-def text_features(text: str | None) -> dict[int, float]:
-    """Mean feature counts per token."""
-    tokens = (text or "").split()
-    sums: Counter = Counter()
-    for token, c in Counter(tokens).items():
-        for f in token_features(token):
-            sums[f] += c
-    if same := sum(a == b for a, b in zip(tokens, tokens[1:])):
-        sums[SAME_AS_LAST] += same
-    return {f: c / len(tokens) for f, c in sums.items()}
+def feature_shares(rows: np.ndarray, table: Tokens) -> np.ndarray:
+    """Mean count per token of each feature."""
+    counts = np.bincount(table.ids[rows].ravel(), minlength=BUCKETS + 1)[:BUCKETS].astype(float)
+    counts[SAME_AS_LAST] += np.count_nonzero(rows[1:] == rows[:-1])
+    return counts / max(1, len(rows))
 
 
 def fit_scorer(rows: list[tuple[dict[int, float], float]]) -> tuple[np.ndarray, float]:
@@ -155,8 +177,9 @@ def fit_scorer(rows: list[tuple[dict[int, float], float]]) -> tuple[np.ndarray,
 
 
 def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    table = Tokens()
     for batch in batches:
-        found = ["".join("-0+"[v + 1] for v in votes(t)) for t in batch.column("text").to_pylist()]
+        found = ["".join("-0+"[v + 1] for v in votes(t, table.rows((t or "").split()), table)) for t in batch.column("text").to_pylist()]
         yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.string())], names=["doc_id", "votes"])
 
 
@@ -186,12 +209,16 @@ def quality(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("posterior", pa.float64()), ("ids", pa.list_(pa.int32())), ("values", pa.list_(pa.float64()))])
 
+        known = Tokens()
+
         def rows() -> Iterator[tuple]:
             for b in batches:
                 for text in b.column("text").to_pylist():
-                    f = text_features(text)
-                    p = posterior_good(np.array([votes(text)]), prior, table)[0]
-                    yield float(p), list(f), list(f.values())
+                    own = known.rows(text.split())
+                    p = posterior_good(np.array([votes(text, own, known)]), prior, table)[0]
+                    shares = feature_shares(own, known)
+                    ids = np.flatnonzero(shares)
+                    yield float(p), ids.tolist(), shares[ids].tolist()
 
         yield from flushed(rows(), schema, 256)
 
@@ -201,38 +228,23 @@ def quality(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prior, table, weights, bias = model.value
-        seen: dict[str, list[int]] = {}
+        known = Tokens()
         schema = pa.schema(
             [("doc_id", pa.int64()), ("votes", pa.string()), ("posterior", pa.float64()), ("score", pa.float64()), ("abusive", pa.bool_())]
         )
 
-        def score(tokens: list[str]) -> float:
-            counts = Counter(tokens)
-            if len(seen) > REMEMBER:
-                seen.clear()
-            flat: list[int] = []
-            sizes: list[float] = []
-            for token, c in counts.items():
-                ids = seen.get(token)
-                if ids is None:
-                    ids = seen[token] = token_features(token)
-                flat += ids
-                sizes += [c] * len(ids)
-            if same := sum(map(str.__eq__, tokens, tokens[1:])):
-                flat.append(SAME_AS_LAST)
-                sizes.append(same)
-            ids, at = np.unique(np.array(flat), return_inverse=True)
-            z = float((weights[ids] * np.sqrt(np.bincount(at, sizes) / len(tokens))).sum() + bias)
-            return 1 / (1 + np.exp(-max(-30.0, min(30.0, z))))
-
         def rows() -> Iterator[tuple]:
             for b in batches:
                 for key, text in rows_of(b, "doc_id", "text"):
-                    v = votes(text)
-                    tokens = (text or "").split()
+                    own = known.rows((text or "").split())
+                    v = votes(text, own, known)
                     p = float(posterior_good(np.array([v]), prior, table)[0])
-                    abusive = bool(ABUSE.intersection(WORD.findall(text.lower()))) if tokens else False
-                    yield key, "".join("-0+"[x + 1] for x in v), p, float(score(tokens)) if tokens else 0.0, abusive
+                    score, abusive = 0.0, False
+                    if len(own):
+                        z = float(weights @ np.sqrt(feature_shares(own, known)) + bias)
+                        score = 1 / (1 + np.exp(-max(-30.0, min(30.0, z))))
+                        abusive = not ABUSE.isdisjoint(WORD.findall(text.lower()))
+                    yield key, "".join("-0+"[x + 1] for x in v), p, float(score), abusive
 
         yield from flushed(rows(), schema)
 
