@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, flushed, query, rows_of, texts
-from freshet.llm.near import _MIX1, WordHashes, mix
+from freshet.llm.near import pair
 from freshet.session import stored
 from freshet.sources.tables import table
 
@@ -33,11 +33,25 @@ LEAST = 13
 MOST_REPLACED = 0.2
 FILTER_BITS = 25  # 4 MB
 PROBES = 3
+KEEP_WORDS = 500_000
 WORD = re.compile(r"\w+")
 
 
+class WordHashes(dict):
+    """64-bit hashes of words; remembers a bounded number."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KEEP_WORDS:
+            self.clear()
+        h = self[word] = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return h
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
 def hashes_of(text: str | None, seen: WordHashes) -> np.ndarray:
-    return seen.of([w.encode("utf-8", "surrogatepass") for w in WORD.findall(text.lower())]) if text else np.empty(0, np.uint64)
+    return seen.of(WORD.findall(text.lower())) if text else np.empty(0, np.uint64)
 
 
 def seeds(words: np.ndarray, mask: str) -> np.ndarray:
@@ -48,7 +62,7 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     h = np.full(n, int(mask, 2), np.uint64)
     for i, bit in enumerate(mask):
         if bit == "1":
-            h = mix(h * _MIX1 + words[i : i + n])
+            h = pair(h, words[i : i + n])
     return h
 
 
@@ -134,7 +148,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """
     items = stored(texts(items, item_id_col, item_text_col).mapInArrow(_item_rows, "item_id long, n_item int, at int, seed long, item_words binary"), "items")
     known = docs.sparkSession.sparkContext.broadcast(_filter_words(items))
-    masks = (*MASKS, SHORT_MASK)
+    short = not items.where(f"item_words IS NOT NULL AND n_item < {LEAST}").isEmpty()
+    masks = (*MASKS, SHORT_MASK) if short else MASKS
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.binary()), ("words", pa.binary()), ("hits", pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())])))]
     )

@@ -30,7 +30,6 @@ ROWS = 4  # minima of a band
 MISS = 1e-8  # chance that a pair just at the threshold shares no band
 MARGIN = 0.2  # a pair whose signatures agree this much less than the threshold is not looked at further
 FEW = 8  # members of a band compared with all others in its first round
-KEEP_WORDS = 500_000
 
 _MIX1, _MIX2, _MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -42,19 +41,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words (bytes); remembers a bounded number."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEEP_WORDS:
-            self.clear()
-        h = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 _SIGN = mix(np.arange(1, 257, dtype=np.uint64) * _MIX1)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
