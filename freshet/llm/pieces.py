@@ -15,7 +15,6 @@ and there is one such path.
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from hashlib import sha256
@@ -32,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # Segments up to this length are remembered, this many at a time.
 REMEMBER_SIGNS, REMEMBER = 32, 300_000
-SHORT = 20  # up to this length looking at every neighbour again beats a heap
+BEHIND = 1 << 60  # a rank behind all others
 
 
 def read_vocabulary(path: str = MODEL, kind: str = "bpe") -> dict:
@@ -72,54 +71,55 @@ class Transducer:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
         self.last: dict[str, str] = {}
-        self.score_of = {p: self.scores[i] for p, i in self.id_of.items()}
+        by_score = sorted(self.id_of.items(), key=lambda x: -self.scores[x[1]])
+        self.rank_of = {p: i for i, (p, _) in enumerate(by_score)}
+        self.splits: dict[str, tuple[str, str] | None] = {}
         self.longest = max(map(len, self.id_of), default=1)
 
-    def merged(self, text: str) -> list[str]:
-        """The merge result: of all neighbours that join to a piece the best score first, then the leftmost."""
-        if len(text) <= SHORT:
-            return self._merged_short(list(text))
-        part: list[str | None] = list(text)
-        after, before = list(range(1, len(part) + 1)), list(range(-1, len(part) - 1))
-        heap: list[tuple[float, int, str]] = []
-
-        def offer(i: int) -> None:
-            if i >= 0 and after[i] < len(part) and (k := self.id_of.get(part[i] + part[after[i]])) is not None:
-                heapq.heappush(heap, (-self.scores[k], i, part[i] + part[after[i]]))
-
-        for i in range(len(part) - 1):
-            offer(i)
-        while heap:
-            _, i, joined = heapq.heappop(heap)
-            j = after[i]
-            if part[i] is None or j >= len(part) or part[i] + part[j] != joined:
-                continue
-            part[i], part[j], after[i] = joined, None, after[j]
-            if after[i] < len(part):
-                before[after[i]] = i
-            offer(before[i])
-            offer(i)
-        return [p for p in part if p is not None]
-
-    def _merged_short(self, part: list[str]) -> list[str]:
-        score_of = self.score_of
+    def split_of(self, piece: str) -> tuple[str, str] | None:
+        """The two parts whose merge makes ``piece``; None for a piece that merging never makes.
+
+        Of all neighbours that join to a piece the best score goes first, then the leftmost.
+        """
+        if piece in self.splits:
+            return self.splits[piece]
+        part, rank_of = list(piece), self.rank_of
+        while len(part) > 2:
+            ranks = [rank_of.get(x + y, BEHIND) for x, y in zip(part, part[1:])]
+            best = min(ranks)
+            if best == BEHIND:
+                break
+            i = ranks.index(best)
+            part[i : i + 2] = [part[i] + part[i + 1]]
+        self.splits[piece] = (part[0], part[1]) if len(part) == 2 else None
+        return self.splits[piece]
+
+    def neighbours(self, left: str, right: str) -> bool:
+        """Whether merging the joined text of two pieces gives just these two.
+
+        The merges of both are undone from the last one on. While two parts face each
+        other at the border, joining them must not come before the merge just undone;
+        of equal merges the leftmost comes first.
+        """
+        rank_of, limit = self.rank_of, BEHIND
         while True:
-            best, place, left = -1e308, -1, part[0]
-            for i in range(1, len(part)):
-                right = part[i]
-                score = score_of.get(left + right)
-                if score is not None and score > best:
-                    best, place = score, i
-                left = right
-            if place < 0:
-                return part
-            part[place - 1 : place + 1] = [part[place - 1] + part[place]]
+            joined = rank_of.get(left + right)
+            if joined is not None and joined < limit:
+                return False
+            a = rank_of[left] if len(left) > 1 else -1
+            b = rank_of[right] if len(right) > 1 else -1
+            if a > b:
+                limit, left = a, self.split_of(left)[1]
+            elif b < 0:
+                return True
+            else:
+                limit, right = b + 1, self.split_of(right)[0]
 
     def allowed(self, left: str, right: str) -> bool:
         """The second machine: whether ``right`` may follow ``left`` ("" at the start)."""
         own = self.whole.get(right)
         if own is None:
-            own = self.whole[right] = len(right) == 1 or self.merged(right) == [right]
+            own = self.whole[right] = len(right) == 1 or self.split_of(right) is not None
         if not own or not left:
             return own
         key = (left, right)
@@ -127,7 +127,7 @@ class Transducer:
         if fits is None:
             if len(self.pairs) >= REMEMBER:
                 self.pairs.clear()
-            fits = self.pairs[key] = self.merged(left + right) == [left, right]
+            fits = self.pairs[key] = self.neighbours(left, right)
         return fits
 
     def shortest(self, segment: str) -> list[str]:
