@@ -169,6 +169,19 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
-@query()
+SQL = r"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(ws[i:i+12], ' ') AS k FROM (SELECT *, unnest(range(1, len(ws) - 11)) AS i FROM w)),
+f AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS j FROM win JOIN f USING (k) WHERE least < doc_id),
+words AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM w),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM words ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)
+"""
+
+
+@query(SQL)
 def op7_recompress(spark, d):
     return deduplicated(documents(spark, d)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

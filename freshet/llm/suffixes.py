@@ -243,6 +243,20 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-@query()
+SQL = """
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT *, unnest(range(0, length(h) // 2 - 49)) AS i FROM w)),
+f AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS j FROM win JOIN f USING (k) WHERE least < doc_id),
+bytes AS (SELECT r, substr(h, 2 * j + 1, 2) AS b, j FROM (SELECT *, unnest(range(0, length(h) // 2)) AS j FROM w)),
+kept AS (SELECT r, string_agg(b, '' ORDER BY j) AS kept, count(*) AS n FROM bytes ANTI JOIN gone USING (r, j) GROUP BY r),
+spans AS (SELECT g.r, count(*) AS n_spans FROM gone g LEFT JOIN gone b ON b.r = g.r AND b.j = g.j - 1 WHERE b.r IS NULL GROUP BY g.r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(length(h) // 2 - coalesce(n, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM w LEFT JOIN kept USING (r) LEFT JOIN spans USING (r)
+"""
+
+
+@query(SQL)
 def op6_suffixes(spark, d):
     return deduplicated(documents(spark, d)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
