@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.plans import Registry
+from freshet.session import stored
 from freshet.sources.tables import table
 
 registry = Registry()
@@ -29,6 +31,31 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored in the shared folder and read back; what its query left on the executors' disks goes."""
+    out = stored(df, name)
+    _released(df.sparkSession)
+    return out
+
+
+def _released(spark: SparkSession) -> None:
+    """Spark's cleaner removes shuffle files once the driver no longer holds the plan that wrote them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove the folders of stored tables that nothing reads any more.
+
+    What was made from them must be stored itself, so that a lost executor does not ask for them again.
+    """
+    spark = tables[0].sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder in {f.rsplit("/", 1)[0] for t in tables for f in t.inputFiles()}:
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` (long) and ``text`` (string); other columns, whatever their names, stay out."""
     small_batches(docs.sparkSession)

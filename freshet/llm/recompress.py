@@ -23,10 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.common import documents, flushed, query, rows_of, texts
+from freshet.llm.common import documents, dropped, flushed, kept, query, rows_of, texts
 from freshet.llm.near import WordHasher, pair
 from freshet.llm.repeats import contested, covered, in_filter, removals, runs_of, shared_filter, unit_minima, units_of
-from freshet.session import stored
 
 WINDOW = 13
 REACH = 3  # words of context on each side of a border
@@ -142,11 +141,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = texts(docs, id_col, text_col)
     bloom = docs.sparkSession.sparkContext.broadcast(shared_filter(docs, _names_maker, NAMES_PER_SIGN))
     units = units_of(docs, bloom, _unit_maker, bodies=True)
-    minima = stored(unit_minima(units), "unit_minima")
+    minima = kept(unit_minima(units), "unit_minima")
     windows = contested(minima).mapInArrow(_windows, "name long, unit long, least long, window long, at int")
     first = windows.groupBy("name", "window").agg(F.min("least").alias("first"))
     late = windows.join(first, ["name", "window"]).where("first < least").select("name", "unit", "at")
-    gone = stored(removals(units, minima, late), "gone")
+    gone = kept(removals(units, minima, late), "gone")
+    dropped(units, minima)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

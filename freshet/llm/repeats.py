@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.session import stored
+from freshet.llm.common import kept
 
 FILTER_BITS = 28  # 32 MB
 NAME_BITS = 48  # the exchange for the filter uses the upper bits of a name
@@ -216,4 +216,4 @@ def units_of(docs: DataFrame, bitmap, cut: Callable[[], Callable], bodies: bool)
 
     ddl = UNITS + (", body binary" if bodies else "")
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return stored(known.mapInArrow(run, ddl), "units")
+    return kept(known.mapInArrow(run, ddl), "units")

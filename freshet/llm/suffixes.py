@@ -19,10 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.common import documents, flushed, query, rows_of, texts
+from freshet.llm.common import documents, dropped, flushed, kept, query, rows_of, texts
 from freshet.llm.near import _MIX1, mix
 from freshet.llm.repeats import contested, covered, in_filter, key_filter, removals, runs_of, shared_filter, unit_minima, units_of
-from freshet.session import stored
 
 WINDOW = 50
 GRAM = 24
@@ -205,11 +204,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     context = docs.sparkSession.sparkContext
     names = context.broadcast(shared_filter(docs, _names_maker, NAMES_PER_SIGN))
     units = units_of(docs, names, _unit_maker, bodies=False)
-    minima = stored(unit_minima(units), "unit_minima")
-    open_ = stored(contested(minima), "contested")
+    minima = kept(unit_minima(units), "unit_minima")
+    open_ = kept(contested(minima), "contested")
     keys = context.broadcast(key_filter(open_.select("name", "unit").mapInArrow(_keys, "key long")))
     bodies = _bodies(docs, names, keys).groupBy("name", "unit").agg(F.any_value("body").alias("body"))
-    open_bodies = stored(open_.join(bodies, ["name", "unit"]).select("name", "unit", "least", "body"), "bodies")
+    open_bodies = kept(open_.join(bodies, ["name", "unit"]).select("name", "unit", "least", "body"), "bodies")
+    dropped(open_)
     size = open_bodies.agg(F.sum(F.length("body"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     hot = open_bodies.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).where(f"_n >= {HOT_UNITS}").select("name", F.lit(True).alias("_hot"))
@@ -220,7 +220,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     single = marked.where("_hot").select("name", "unit", "least", F.posexplode(each).alias("first", "body"))
     single = single.select(part_of("body"), "name", "unit", "least", "first", "body")
     late = whole.union(single).groupBy("part").applyInArrow(_late, "name long, unit long, at int")
-    gone = stored(removals(units, minima, late), "gone")
+    gone = kept(removals(units, minima, late), "gone")
+    dropped(units, minima, open_bodies)
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
