@@ -168,12 +168,13 @@ def removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
     ``late`` has ``name, unit, at`` for windows (by their number in the unit) of contested
     units that a document smaller than the unit's least one has.
     """
-    known = units.select("name", "unit", "doc_id", "text_key", "lo", "n")
-    whole = known.join(minima.select("name", "unit", "least"), ["name", "unit"])
-    copied = whole.where("doc_id > least").select("doc_id", "text_key", "lo", "n")
-    first = whole.where("doc_id = least").select("name", "unit", "doc_id", "text_key", "lo")
-    single = first.join(late, ["name", "unit"]).select("doc_id", "text_key", (F.col("lo") + F.col("at")).alias("lo"), F.lit(1).alias("n"))
-    return copied.union(single).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("lo", "n")).alias("removed"))
+    by_unit = late.groupBy("name", "unit").agg(F.collect_list("at").alias("ats"))  # at most the windows of a unit
+    known = minima.select("name", "unit", "least").join(by_unit, ["name", "unit"], "left")
+    whole = units.select("name", "unit", "doc_id", "text_key", "lo", "n").join(known, ["name", "unit"])
+    single = F.transform("ats", lambda at: F.struct((F.col("lo") + at).alias("lo"), F.lit(1).alias("n")))
+    gone = whole.withColumn("removed", F.when(F.col("doc_id") > F.col("least"), F.array(F.struct("lo", "n"))).otherwise(single))
+    gone = gone.where("removed IS NOT NULL").select("doc_id", "text_key", "removed")
+    return gone.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("removed")).alias("removed"))
 
 
 def covered(removed: list | None, width: int, size: int) -> np.ndarray:
