@@ -45,7 +45,8 @@ SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()-]")
 class Tokens:
     """Numbers of tokens between blanks, looked up once for each different token; a bounded number is kept."""
 
-    def __init__(self):
+    def __init__(self, features: bool = True):
+        self.features = features
         self.row: dict[str, int] = {}
         self.facts = np.empty((1024, len(FACTS)))
         self.ids = np.empty((1024, 4), np.int64)
@@ -66,8 +67,9 @@ class Tokens:
                 sum(map(len, WORD.findall(t))), len(SYMBOLS.findall(t)), t.count("|"), upper, word.isalpha() and not upper,
                 DOUBLED.search(t) is not None, word in COMMON,
             )
-            ids = token_features(t)
-            self.ids[i] = ids + [BUCKETS] * (4 - len(ids))
+            if self.features:
+                ids = token_features(t)
+                self.ids[i] = ids + [BUCKETS] * (4 - len(ids))
         return np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))
 
 
@@ -177,7 +179,7 @@ def fit_scorer(rows: list[tuple[dict[int, float], float]]) -> tuple[np.ndarray,
 
 
 def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = Tokens()
+    table = Tokens(features=False)
     for batch in batches:
         found = ["".join("-0+"[v + 1] for v in votes(t, table.rows((t or "").split()), table)) for t in batch.column("text").to_pylist()]
         yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.string())], names=["doc_id", "votes"])
