@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.vectors import RANK_DIGITS, distance, vector_lit
+from freshet.session import stored
 
 # A query batch up to this size travels to every task; a larger one is met block by block.
 BROADCAST_BYTES = 32 << 20
@@ -21,6 +22,10 @@ PROBE_ROWS = 1024
 BLOCK_ROWS = 20_000
 # Distances held at once inside a task.
 CELL_VALUES = 4_000_000
+# Rows of a block where all pairs may be in the result.
+PAIR_ROWS = 2_000
+# Parts of a class of equal vectors.
+CLASS_SALTS = 32
 
 MIN_K, MAX_K = 1, 20
 
@@ -226,6 +231,71 @@ def _fetch_small(queries: DataFrame, broadcast_bytes: int) -> pa.Table | None:
     return queries.toArrow() if n * (8 * width + 8) <= broadcast_bytes else None
 
 
+PAIR = "query_id bigint, match_id bigint, distance double"
+
+
+def _usable(rows: DataFrame) -> DataFrame:
+    """``id, embedding`` as doubles, without vectors that have no direction: null, zero, or with a part that is null or not finite."""
+    rows = rows.select(F.col("id").cast("bigint").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return rows.where(F.col("embedding").isNotNull() & ~bad & F.exists("embedding", lambda x: x != 0))
+
+
+def equal_classes(rows: DataFrame) -> DataFrame:
+    """``class_id, id``: the rows (``id, embedding``) by equal vectors; a class is named by its smallest id.
+
+    Only the pairs of class and id are made, whatever the size of a class. Rows
+    without a direction (null, zero or not finite) are in no class.
+    """
+    rows = _usable(rows)
+    # A class may be most of the table, so its rows are dealt over salts to meet its name.
+    spread = rows.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(CLASS_SALTS)).cast("int"))
+    named = spread.groupBy("embedding", "_salt").agg(F.min("id").alias("_least"))
+    names = named.groupBy("embedding").agg(F.min("_least").alias("class_id"), F.collect_list("_salt").alias("_salts"))
+    names = names.select("embedding", "class_id", F.explode("_salts").alias("_salt"))
+    return spread.join(names, ["embedding", "_salt"]).select("class_id", "id")
+
+
+def similar_pairs(rows: DataFrame, min_similarity: float) -> DataFrame:
+    """``query_id, match_id, distance``: every pair of classes of equal vectors at or above the cosine similarity.
+
+    ``rows`` has ``id`` (bigint, unique) and ``embedding`` of one width. A class
+    stands as its smallest id (see ``equal_classes``, whose rows tell which ids it
+    stands for), so copies do not multiply the pairs. Each pair is given once,
+    with ``query_id < match_id``. Two rows of one class have similarity 1.
+    """
+    if not 0 < min_similarity <= 1:
+        raise ValueError("min_similarity must be over 0 and at most 1")
+    limit = round(1.0 - min_similarity, RANK_DIGITS)
+    first = stored(_usable(rows).groupBy("embedding").agg(F.min("id").alias("id")), "vectors")
+    n = max(1, math.ceil(first.count() / PAIR_ROWS))
+    block = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    # Each cell (low, high) of two blocks is met once.
+    low = first.select("id", "embedding", block.alias("low")).withColumn("high", F.explode(F.sequence("low", F.lit(n - 1))))
+    high = first.select("id", "embedding", block.alias("high")).withColumn("low", F.explode(F.sequence(F.lit(0), "high")))
+
+    def meet(cell: tuple, both: pd.DataFrame) -> pd.DataFrame:
+        q, c = both[both["side"] == 0], both[both["side"] == 1]
+        found = []
+        if len(q) and len(c):
+            x, y = (side["id"].to_numpy(np.int64) for side in (q, c))
+            a, b = (np.stack(side["embedding"].to_numpy()).astype(np.float64) for side in (q, c))
+            width = max(1, CELL_VALUES // len(x))
+            for lo in range(0, len(y), width):
+                dist = np.round(_distances(a, b[lo : lo + width], "cosine"), RANK_DIGITS)
+                near = dist <= limit
+                if cell[0] == cell[1]:
+                    near &= x[:, None] < y[None, lo : lo + width]
+                i, j = np.nonzero(near)
+                left, right = x[i], y[lo + j]
+                found.append(pd.DataFrame({"query_id": np.minimum(left, right), "match_id": np.maximum(left, right), "distance": dist[i, j]}))
+        empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "match_id": np.empty(0, np.int64), "distance": np.empty(0)})
+        return pd.concat(found, ignore_index=True) if found else empty
+
+    sides = [df.select("low", "high", "id", "embedding", F.lit(n).alias("side")) for n, df in enumerate((low, high))]
+    return sides[0].union(sides[1]).groupBy("low", "high").applyInPandas(meet, PAIR)
+
+
 def best_match(chunks: DataFrame, queries: DataFrame, min_similarity: float, skip_same: bool = False, **kw) -> DataFrame:
     """For each query the most similar row, when its cosine similarity reaches the threshold."""
     hits = batch_topk(chunks, queries, 1, "cosine", 1.0 - min_similarity, skip_same, **kw)

@@ -192,3 +192,28 @@ def semantic_pairs(spark, d):
     # The block join, as for a query table of any size.
     found = best_match(rows, rows, _LOW, skip_same=True, broadcast_bytes=0)
     return found.select("query_id", "match_id", F.round("similarity", 6).alias("similarity"))
+
+
+# The whole join: classes of equal vectors are compared once, and their rows are listed beside them.
+_CLASSES = """
+c AS (SELECT min(vec_id) AS class_id, embedding FROM embeddings GROUP BY embedding)"""
+
+
+@query(
+    f"""WITH {_CLASSES}, p AS (SELECT a.class_id AS query_id, b.class_id AS match_id,
+    round(list_cosine_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 9) AS dist
+  FROM c a JOIN c b ON a.class_id < b.class_id)
+SELECT query_id, match_id, round(1 - dist, 6) AS similarity FROM p WHERE dist <= {1 - _LOW}"""
+)
+def semantic_pairs_all(spark, d):
+    from freshet.operators.vector_search import similar_pairs
+
+    found = similar_pairs(_vectors(spark, d), _LOW)
+    return found.select("query_id", "match_id", F.round(1 - F.col("distance"), 6).alias("similarity"))
+
+
+@query(f"WITH {_CLASSES} SELECT class_id, vec_id FROM c JOIN embeddings USING (embedding)")
+def semantic_classes(spark, d):
+    from freshet.operators.vector_search import equal_classes
+
+    return equal_classes(_vectors(spark, d)).select("class_id", F.col("id").alias("vec_id"))

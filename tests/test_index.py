@@ -118,6 +118,31 @@ def test_self_match_leaves_itself_out(spark, monkeypatch):
     assert {(r["query_id"], r["match_id"]) for r in hits.collect()} == want
 
 
+def test_similar_pairs_are_all_there(spark, monkeypatch):
+    monkeypatch.setattr(V, "PAIR_ROWS", 20)
+    rng = np.random.default_rng(3)
+    m = rng.normal(size=(90, 8))
+    m[:30] = m[0]  # copies
+    m[30:45] = m[30] + 0.05 * rng.normal(size=(15, 8))  # a group in which every two are close
+    held = [(i, [float(x) for x in v]) for i, v in enumerate(m)]
+    bad = [(90, None), (91, [0.0] * 8), (92, [float("nan")] * 8), (93, [None] * 8), (94, [0.0] * 8)]
+    rows = spark.createDataFrame(held + bad, "id long, embedding array<double>")
+    found = V.similar_pairs(rows, 0.7).collect()
+    classes = {}
+    for r in V.equal_classes(rows).collect():
+        classes.setdefault(r["class_id"], []).append(r["id"])
+    assert len(classes[0]) == 30 and sum(map(len, classes.values())) == 90
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    want = {(a, b) for a in range(90) for b in range(a + 1, 90) if 1 - round(1 - unit[a] @ unit[b], 9) >= 0.7 - 1e-12}
+    got = [(min(a, b), max(a, b)) for r in found for a in classes[r["query_id"]] for b in classes[r["match_id"]]]
+    got += [(a, b) for ids in classes.values() for a in ids for b in ids if a < b]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert all(r["query_id"] < r["match_id"] for r in found)
+    assert V.similar_pairs(rows.where("id > 89"), 0.7).count() == 0
+    # The best match alone is less than that.
+    assert V.best_match(rows.where("id < 90"), rows.where("id < 90"), 0.7, skip_same=True).count() < len(want)
+
+
 def test_single_query_edges(spark):
     rows = spark.createDataFrame([(3, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (4, [0.0, 0.0])], "id int, embedding array<double>")
     got = [(r["id"], r["distance"]) for r in V.vector_topk(rows, [2.0, 0.0], 10).collect()]
