@@ -62,18 +62,6 @@ def luhn(number: Column) -> Column:
     return total % 10 == 0
 
 
-def mod_97(value: Column) -> Column:
-    """Whether an account number leaves 1 when its first four signs go last and letters count from 10."""
-    plain = F.regexp_replace(value, "\x20", "")
-    moved = F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))
-
-    def add(rest: Column, i: Column) -> Column:
-        code = F.ascii(F.substring(moved, i, F.lit(1)))
-        return F.when(code < 58, (rest * 10 + code - 48) % 97).otherwise((rest * 100 + code - 55) % 97)
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add) == 1
-
-
 def valid(kind: str, value: Column) -> Column:
     n = F.length(digits(value))
     if kind == "ip":
@@ -83,11 +71,62 @@ def valid(kind: str, value: Column) -> Column:
         return n.between(14, 19) & luhn(digits(value))
     if kind == "phone":
         return n.between(10, 15)
-    if kind == "iban":
-        return mod_97(value)
     return F.lit(True)
 
 
+# Signs of a whole account number by country code.
+IBAN_SIGNS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 "
+    "GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 "
+    "NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+)
+# Where an account number may begin: no two such places share a sign, though what follows them may.
+IBAN_HEAD = r"[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
+IBAN_LONGEST = 4 + 2 * 30  # with a blank before every sign after the head
+
+
+def iban_length(value: Column) -> Column:
+    """Length of the account number at the start of ``value``, a match of the pattern; 0 if there is none.
+
+    The match may have run on into the words after the number: the signs its
+    country has count first, then all of the match. Both must leave 1 mod 97.
+    """
+    country = F.try_element_at(F.create_map(*[F.lit(x) for c in IBAN_SIGNS.split() for x in (c[:2], int(c[2:]))]), F.substring(value, 1, 2))
+    code = lambda i: F.ascii(F.substring(value, i, F.lit(1)))
+    head = (code(F.lit(1)) - 55) * 10000 + (code(F.lit(2)) - 55) * 100 + F.substring(value, 3, 2).cast("int")
+    state = lambda rest, signs, own, whole: F.struct(rest.alias("rest"), signs.alias("signs"), own.alias("own"), whole.alias("whole"))
+
+    def add(acc: Column, i: Column) -> Column:
+        c, signs = code(i), acc["signs"] + 1
+        rest = F.when(c < 58, (acc["rest"] * 10 + c - 48) % 97).otherwise((acc["rest"] * 100 + c - 55) % 97)
+        fine = (rest * 1000000 + head) % 97 == 1
+        found = state(rest, signs, F.when(fine & (signs == country), i).otherwise(acc["own"]), F.when(fine & (i == F.length(value)), i).otherwise(acc["whole"]))
+        return F.when(c == 32, acc).otherwise(found)
+
+    first = state(F.lit(0), F.lit(4), F.lit(0), F.lit(0))
+    return F.aggregate(F.sequence(F.lit(5), F.length(value)), first, add, lambda a: F.when(a["own"] > 0, a["own"]).otherwise(a["whole"]))
+
+
+def iban_proposals(text: Column, pattern: str) -> Column:
+    """Array of (start, end, value) of account numbers, leftmost and without overlaps.
+
+    Every head is tried, also those within what another head's match ran over.
+    """
+    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
+
+    def tried(s: Column) -> Column:
+        value = F.regexp_extract(F.substring(text, s["start"] + 1, F.lit(IBAN_LONGEST)), "^" + pattern, 0)
+        n = iban_length(value)
+        return F.struct(s["start"].alias("start"), (s["start"] + n).cast("int").alias("end"), F.substring(value, F.lit(1), n).alias("value"))
+
+    def add(acc: Column, s: Column) -> Column:
+        # One span at most for each that is kept: the last one's end decides.
+        last = F.when(F.size(acc) > 0, F.element_at(acc, -1)["end"]).otherwise(0)
+        return F.when((s["end"] > s["start"]) & (s["start"] >= last), F.concat(acc, F.array(s))).otherwise(acc)
+
+    return F.aggregate(F.transform(proposals(text, IBAN_HEAD), tried), empty, add)
+
+
 # A sign without which a pattern cannot match.
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
 
@@ -119,8 +158,9 @@ def with_spans(df: DataFrame, text_col: str, out: str) -> DataFrame:
     text = F.col(held)
     temporary = [held]
     for kind, pattern, *_ in KINDS:
-        need = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike("[0-9]")
-        df = df.withColumn(f"_pii_{kind}", F.when(need, proposals(text, pattern)))
+        need = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else text.rlike(IBAN_HEAD if kind == "iban" else "[0-9]")
+        found = iban_proposals(text, pattern) if kind == "iban" else proposals(text, pattern)
+        df = df.withColumn(f"_pii_{kind}", F.when(need, found))
         temporary.append(f"_pii_{kind}")
     found = [_confirmed(text, no) for no in range(len(KINDS))]
     return df.withColumn(out, F.array_sort(F.concat(*found))).drop(*temporary)
@@ -129,6 +169,7 @@ def with_spans(df: DataFrame, text_col: str, out: str) -> DataFrame:
 def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``spans``, an array of (start, kind_no, end, kind, score) by start and kind.
 
+    An account number ends after the signs its country has, whatever follows it.
     Spans of the four base kinds are always kept; the score (percent) says how
     sure they are. Account and social numbers need ``LEAST_SCORE``. A null text
     counts as empty and has no spans; every input row gives one row, repeated

@@ -48,6 +48,21 @@ def test_pii_added_spans_and_scores(docs):
     assert found[0] == found[1] == []
 
 
+DE, GB, NO = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO9386011117947"
+
+
+@pytest.mark.parametrize("text,want", [
+    (f"IBAN {DE} Bitte", [DE]), (f"iban {GB} Please pay", [GB]), (f"{DE} 2024-01-31", [DE]), (f"{NO} UND MEHR WORTE FOLGEN HIER", [NO]),
+    (f"{DE} {GB} {NO} {DE}", [DE, GB, NO, DE]), (f"ORDER AB12 {DE} A", [DE]), (f"é😀 {DE} X, {DE}Z", [DE, DE]), (f"{DE[:-1]}1 Bitte", []), (f"{DE[:-1]} Bitte", []),
+    (f"{DE}", [DE]), ("LC55 HEMM 0001 0001 0012 0012 0002 3015", ["LC55 HEMM 0001 0001 0012 0012 0002 3015"]), ("COVID19 PANDEMIC RESPONSE WAS SLOW EVERYWHERE", []),
+])
+def test_account_number_before_other_signs(docs, text, want):
+    spans = [s for s in pii.pii_spans(docs([(1, text)])).first()["spans"] if s["kind"] == "iban"]
+    assert [text[s["start"] : s["end"]] for s in spans] == want
+    left = pii.redacted(docs([(1, text)])).first()["text"]
+    assert not any(n in left for n in want) and left.count("<iban>") == len(want)
+
+
 def test_pii_long_texts_without_blanks(docs):
     assert pii.pii_spans(docs([(1, TEXTS[12])])).first()["spans"] == []
 
