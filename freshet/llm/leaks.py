@@ -26,15 +26,23 @@ from freshet.llm.near import pair
 from freshet.session import stored
 from freshet.sources.tables import table
 
-# Every 13 words with at most two replaced have a seed of one of these masks in common (see the tests).
-MASKS = ("101110011", "111010011", "111000111", "101101011")
-SHORT_MASK = "11111"  # for items of fewer than LEAST words, which must appear whole and unchanged
+# Whatever is replaced of 13 words (two), 15 (three), 20 (four) or 25 (five), a seed of one of these masks is left (see the
+# tests). Every other allowed stretch of 13 to 25 words holds one of these, and a longer one can be cut into pieces of 13
+# to 25 words, of which one at least has no larger share replaced than the whole: so none is without a seed.
+MASKS = ("1101111", "11100010011", "1010000101011")
+# The same for whole items of LEAST_SHORT to 12 words.
+SHORT_MASKS = ("1111", "11011", "10111", "11101")
 LEAST = 13
+LEAST_SHORT = 5
 MOST_REPLACED = 0.2
 FILTER_BITS = 25  # 4 MB
 PROBES = 3
 KEEP_WORDS = 500_000
 WORD = re.compile(r"\w+")
+# Scripts without blanks between words; each of their signs counts as a word.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+UNSPACED = re.compile(f"[{_UNSPACED}]")
+WORD_OR_SIGN = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 
 
 class WordHashes(dict):
@@ -50,8 +58,13 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def words_of(text: str | None) -> list[str]:
+    text = (text or "").lower()
+    return (WORD if text.isascii() or not UNSPACED.search(text) else WORD_OR_SIGN).findall(text)
+
+
 def hashes_of(text: str | None, seen: WordHashes) -> np.ndarray:
-    return seen.of(WORD.findall(text.lower())) if text else np.empty(0, np.uint64)
+    return seen.of(words_of(text))
 
 
 def seeds(words: np.ndarray, mask: str) -> np.ndarray:
@@ -109,7 +122,7 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for key, text in rows_of(batch, "doc_id", "text"):
                 w = hashes_of(text, seen)
                 yield key, len(w), None, None, w.tobytes()
-                for mask in MASKS if len(w) >= LEAST else (SHORT_MASK,):
+                for mask in MASKS if len(w) >= LEAST else SHORT_MASKS if len(w) >= LEAST_SHORT else ():
                     for at, s in enumerate(seeds(w, mask).view(np.int64).tolist()):
                         yield key, len(w), at, s, None
 
@@ -139,17 +152,18 @@ SUSPECT = "doc_id long, text_key binary, words binary, hits array<struct<seed:lo
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, doc_start, item_start, n_words, n_replaced``: the longest overlap of each document and test item.
 
-    Words are runs of letters, digits and underscores in lower case. An overlap has at
-    least ``LEAST`` words, at most ``MOST_REPLACED`` of them replaced; ties go to
-    the earlier place in the document, then in the item. Items of fewer words must
-    appear whole and unchanged; items of fewer than five words, and null or empty
-    texts, match nothing. Repeated rows give one row; null ids are kept as null
+    Words are runs of letters, digits and underscores in lower case; in scripts
+    without blanks each sign is one. An overlap has at least ``LEAST`` words, at most
+    ``MOST_REPLACED`` of them replaced; ties go to the earlier place in the document,
+    then in the item. Items of fewer words must appear whole, with the same share
+    replaced at any place; items of fewer than five words, and null or empty texts,
+    match nothing. Repeated rows give one row; null ids are kept as null
     and are told apart by their text.
     """
     items = stored(texts(items, item_id_col, item_text_col).mapInArrow(_item_rows, "item_id long, n_item int, at int, seed long, item_words binary"), "items")
     known = docs.sparkSession.sparkContext.broadcast(_filter_words(items))
-    short = not items.where(f"item_words IS NOT NULL AND n_item < {LEAST}").isEmpty()
-    masks = (*MASKS, SHORT_MASK) if short else MASKS
+    short = not items.where(f"item_words IS NOT NULL AND n_item BETWEEN {LEAST_SHORT} AND {LEAST - 1}").isEmpty()
+    masks = (*MASKS, *SHORT_MASKS) if short else MASKS
     schema = pa.schema(
         [("doc_id", pa.int64()), ("text_key", pa.binary()), ("words", pa.binary()), ("hits", pa.list_(pa.struct([("seed", pa.int64()), ("at", pa.int32())])))]
     )
@@ -205,7 +219,13 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                     same = x == y[first : first + len(x)]
                     start, end = longest_overlap(same)
                     size = end - start
-                    if size >= LEAST or (len(y) < LEAST and size == len(y) and bool(same.all())):
+                    if len(y) < LEAST:
+                        # The whole item counts, replaced words at its ends too.
+                        start, size = 0, len(y)
+                        end = size
+                        if len(same) < size or size - same.sum() > MOST_REPLACED * size:
+                            continue
+                    if size >= LEAST or len(y) < LEAST:
                         yield key, item, diagonal + first + start, first + start, size, int(size - same[start:end].sum())
 
         yield from flushed(rows(), out)

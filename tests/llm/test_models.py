@@ -173,6 +173,36 @@ def test_masks_meet_any_two_replacements():
         ), gone
 
 
+def seedless(masks, n, k):
+    """The first choice of replaced places that leaves no seed."""
+    held = [sum(1 << (at + i) for i, bit in enumerate(m) if bit == "1") for m in masks for at in range(n - len(m) + 1)]
+    return next((gone for gone in itertools.combinations(range(n), k) if not any(h & sum(1 << g for g in gone) == 0 for h in held)), None)
+
+
+@pytest.mark.parametrize("n", range(13, 26))
+def test_masks_meet_every_allowed_replacement(n):
+    assert seedless(leaks.MASKS, n, n // 5) is None
+
+
+@pytest.mark.parametrize("n", range(5, 13))
+def test_short_masks_meet_every_allowed_replacement(n):
+    assert seedless(leaks.SHORT_MASKS, n, n // 5) is None
+
+
+def test_leaks_with_replaced_words(spark, docs):
+    w = [f"word{i}" for i in range(60)]
+    put = lambda words, *gone: " ".join("other" if i in gone else x for i, x in enumerate(words))
+    chinese = "北京是中华人民共和国的首都和政治中心"
+    rows = [
+        (1, put(w[:15], 2, 5, 6)), (2, "a b " + put(w[20:40], 2, 5, 6, 9)), (3, "x " + put(w[50:56], 3) + " y"), (4, put(w[50:56], 2, 3)),
+        (5, put(w[50:56], 0)), (6, f"他说，{chinese}。"), (7, "first " + put(w[40:50], 0, 9) + " last"), (8, " ".join(w[50:55])),
+    ]
+    items = [(1, " ".join(w[:15])), (2, " ".join(w[20:40])), (3, " ".join(w[50:56])), (4, chinese), (5, " ".join(w[40:50]))]
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in leaks.leaks(docs(rows), tests).select("doc_id", "item_id", "doc_start", "item_start", "n_words", "n_replaced").collect()}
+    assert got == {(1, 1, 0, 0, 15, 3), (2, 2, 2, 0, 20, 4), (3, 3, 1, 0, 6, 1), (5, 3, 0, 0, 6, 1), (6, 4, 2, 0, 18, 0), (7, 5, 1, 0, 10, 2)}
+
+
 @pytest.mark.parametrize("bits", ["1", "0", "1101", "11111011110", "1011111111", "000111110", "1" * 9 + "000" + "1" * 12, "10" * 12])
 def test_longest_overlap(bits):
     same = np.array([b == "1" for b in bits])
