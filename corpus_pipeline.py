@@ -23,8 +23,15 @@ def _without(docs: DataFrame, decided: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops text without letters and text of which no language has ``LEAST_SHARE`` of the words."""
-    found = language.labelled(docs, language.learn(language.learnable(docs)))
+    """Drops text without letters and text of which no language has ``LEAST_SHARE`` of the words.
+
+    When there is nothing to learn from (no row that may be learned from has both
+    text and ``lang``), only text that is null or has no letter is dropped.
+    """
+    model = language.learn(language.learnable(docs))
+    if model is None:
+        return _without(docs, docs.where(~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"\p{L}")))
+    found = language.labelled(docs, model)
     return _without(docs, found.where((F.col("lang_pred") == language.UNKNOWN) | (F.col("score") < LEAST_SHARE)))
 
 

@@ -37,6 +37,13 @@ def test_stages(spark, small):
     assert corpus_pipeline.run(spark, small).count() == len(last)
 
 
+def test_language_stage_without_anything_to_learn_from(spark):
+    rows = [(1, "a clean text", None), (2, None, None), (3, "12 - 34!", None), (4, "", None), (5, "été 漢字", None), (None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language_stage(spark, docs, "").collect()
+    assert {r["doc_id"] for r in kept} == {1, 5, None} and len(kept) == 3
+
+
 def _grams(text):
     w = re.findall(r"\w+", text.lower())
     return {tuple(w[i : i + 13]) for i in range(len(w) - 12)}
