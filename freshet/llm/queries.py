@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from freshet.llm import alignment, language, leaks, near, pieces, pii, recompress, secrets, suffixes, topk, weak  # noqa: F401
+from freshet.llm import alignment, jaccard, language, leaks, near, periods, pieces, pii, recompress, secrets, suffixes, topk, weak  # noqa: F401
 from freshet.llm.common import registry
 
 
