@@ -7,6 +7,9 @@ end, moves the one that ends first (both at a cut) and lets go of walkers that a
 done. A text longer than ``LANE`` bytes is walked by several walkers, each from
 its own byte on, so a very long text does not hold up the others.
 
+Both tokenizers cut at a blank that follows a visible sign (each vocabulary is asked
+whether it does), so what stands between such blanks is tokenized once in a task and remembered.
+
 How many documents hold a linked pair of ids is summed within each task before
 the exchange. The most frequent pairs, at most ``FREQUENT``, go to all tasks;
 links of other pairs find their counts by a join.
@@ -14,6 +17,9 @@ links of other pairs find their counts by a join.
 
 from __future__ import annotations
 
+import json
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +36,9 @@ LANE = 1 << 10  # bytes of a text that one walker covers
 SLICE = 1 << 20  # bytes of text walked at once
 FREQUENT = 1 << 20  # pairs of ids sent to all tasks
 HELD_PAIRS = 1 << 21  # different pairs a task holds before it sends their counts
+KNOWN_PARTS = 1 << 19  # parts of texts whose tokens a task remembers, and
+KNOWN_SIGNS = 1 << 24  # how many signs they have in all
+TOGETHER = 512  # parts tokenized as one text
 
 
 def vocabulary(spark: SparkSession, path: str) -> bytes:
@@ -54,6 +63,9 @@ class ByteLevel:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(raw.decode())
+        spec = json.loads(raw)
+        # Words are told apart by the usual pattern, in which a blank opens what follows it.
+        self.cuts_at_blanks = spec["normalizer"] is None and (spec["pre_tokenizer"] or {}).get("type") == "ByteLevel" and spec["pre_tokenizer"].get("use_regex", True)
         self.model.encode_special_tokens = True
         byte = _byte_of_sign()
         known = self.model.get_vocab(with_added_tokens=True)
@@ -74,6 +86,7 @@ class Pieces:
         self.model = SentencePieceProcessor(model_proto=raw)
         size = self.model.get_piece_size()
         pieces = [self.model.id_to_piece(i) for i in range(size)]
+        self.cuts_at_blanks = not any("▁" in p.lstrip("▁") for p in pieces)
         self.tokens = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
 
     def __call__(self, found: list[str]) -> list[list[int]]:
@@ -125,29 +138,103 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(plane.T).view(f"<u{raw[0]}").ravel().astype(np.int64)
 
 
+class Tokens:
+    """The tokens of parts of texts, in one flat array with the begin of each part."""
+
+    def __init__(self, model: ByteLevel | Pieces):
+        self.model = model
+        self.width = np.fromiter(map(len, model.tokens), np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.flat, self.begin = array("i"), array("q", [0])
+        self.whole = bytearray()
+
+    def add(self, parts: list[str]) -> None:
+        """Parts that end in a visible sign are tokenized as one text, which is cut where they meet; others one by one."""
+        at = 0
+        while at < len(parts):
+            size = 1
+            if not parts[at][-1:].isspace():
+                size = next((i for i, p in enumerate(parts[at : at + TOGETHER]) if p[-1:].isspace()), min(TOGETHER, len(parts) - at))
+            self._add(parts[at : at + size])
+            at += size
+
+    def _add(self, parts: list[str]) -> None:
+        ids = self.model([" ".join(parts)])[0]
+        raw = [b" " + p.encode() for p in parts]
+        if b"".join(map(self.model.tokens.__getitem__, ids)) == b"".join(raw):
+            ends = np.searchsorted(np.cumsum(self.width[ids]), np.cumsum([len(r) for r in raw])) + 1
+            self.begin.extend((len(self.flat) + ends).tolist())
+            self.flat.extend(ids)
+            self.whole.extend(b"\1" * len(parts))
+        elif len(parts) > 1:
+            for p in parts:
+                self._add([p])
+        else:
+            self.begin.append(len(self.flat))
+            self.whole.append(0)
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of the numbered parts, one after the other, and how many each has."""
+        begin = np.frombuffer(self.begin, np.int64)
+        first, size = begin[numbers], begin[numbers + 1] - begin[numbers]
+        place = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.array(np.frombuffer(self.flat, np.int32)[place], np.int64) if len(place) else np.empty(0, np.int64), size
+
+
 class Aligner:
     """Aligned tokens of a list of texts."""
 
     def __init__(self, raw_a: bytes, raw_b: bytes):
         self.a, self.b = ByteLevel(raw_a), Pieces(raw_b)
         self.size_a, self.size_b = len(self.a.tokens), len(self.b.tokens)
-        self.len_a, self.len_b = (np.fromiter(map(len, v.tokens), np.int64) for v in (self.a, self.b))
         # Each id in decimal with the sign behind it: "," within a group, "|" or ";" at its end.
         self.written = [f"{i}{s}" for size, signs in ((self.size_a, ",|"), (self.size_b, ",;")) for s in signs for i in range(size)]
+        self.in_parts = self.a.cuts_at_blanks and self.b.cuts_at_blanks
+        self.number: dict[str, int] = {}
+        self.signs = 0
+        self.tokens = Tokens(self.a), Tokens(self.b)
+
+    def parts(self, text: str) -> list[str]:
+        """Space + text, cut before each blank that follows a visible sign; the parts without their first blank."""
+        if not text or not self.in_parts:
+            return [text] if text else []
+        if text[-1] != " " and not re.search(r"(^|\s) ", text):
+            return text.split(" ")
+        out = re.split(r"(?s)(?<=\S) (?=.)", " " + text)
+        return [out[0][1:], *out[1:]]
+
+    def _numbered(self, parts: list[str]) -> np.ndarray:
+        new = [p for p in dict.fromkeys(parts) if p not in self.number]
+        if new:
+            self.signs += sum(map(len, new))
+            if len(self.number) + len(new) > KNOWN_PARTS or self.signs > KNOWN_SIGNS:
+                self.number.clear()
+                new = list(dict.fromkeys(parts))
+                self.signs = sum(map(len, new))
+                for t in self.tokens:
+                    t.clear()
+            base = len(self.number)
+            self.number.update((p, base + i) for i, p in enumerate(new))
+            for t in self.tokens:
+                t.add(new)
+        return np.fromiter(map(self.number.__getitem__, parts), np.int64, len(parts))
 
     def __call__(self, found: list[str]) -> tuple:
         """Per text (n_a, n_b, n_groups, n_links, groups), and number of text, pair, and times of every different link, sorted."""
-        ids = ([], [])
-        sizes = np.zeros((2, len(found)), np.int64)
-        width = np.zeros(len(found), np.int64)
-        for d, (text, x, y) in enumerate(zip(found, self.a(found), self.b(found))):
-            whole = b" " + text.encode()
-            if text and b"".join(map(self.a.tokens.__getitem__, x)) == whole and b"".join(map(self.b.tokens.__getitem__, y)) == whole:
-                width[d], sizes[0, d], sizes[1, d] = len(whole), len(x), len(y)
-                ids[0].extend(x)
-                ids[1].extend(y)
-        a, b = (np.array(x, np.int64) for x in ids)
-        end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        cut = [self.parts(t) for t in found]
+        numbers = self._numbered([p for parts in cut for p in parts])
+        doc = np.repeat(np.arange(len(found)), [len(p) for p in cut])
+        whole = np.ones(len(found), bool)
+        for t in self.tokens:
+            whole[doc[np.frombuffer(t.whole, np.uint8)[numbers] == 0]] = False
+        numbers, doc = numbers[whole[doc]], doc[whole[doc]]
+        (a, of_a), (b, of_b) = (t.of(numbers) for t in self.tokens)
+        sizes = np.stack([np.bincount(doc, n, len(found)).astype(np.int64) for n in (of_a, of_b)])
+        end_a, end_b = np.cumsum(self.tokens[0].width[a]), np.cumsum(self.tokens[1].width[b])
+        ends = np.concatenate([[0], end_a])[np.concatenate([[0], np.cumsum(sizes[0])])]
+        width = np.diff(ends)
         # Walkers: every LANE bytes of every text.
         lanes = -(-width // LANE)
         nth = np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
@@ -164,10 +251,10 @@ class Aligner:
         group[len(a) :] += 1
         sign = np.concatenate([a + self.size_a * cut_a, 2 * self.size_a + b + self.size_b * cut_b])
         order = np.argsort(group, kind="stable")
-        ends = np.cumsum(sizes.sum(0))
+        upto = np.cumsum(sizes.sum(0))
         sign = sign[order].tolist()
         write = self.written.__getitem__
-        groups = ["".join(map(write, sign[e - n : e]))[:-1] for e, n in zip(ends.tolist(), sizes.sum(0).tolist())]
+        groups = ["".join(map(write, sign[e - n : e]))[:-1] for e, n in zip(upto.tolist(), sizes.sum(0).tolist())]
         return (sizes[0], sizes[1], n_groups, n_links, groups), key // pairs, key % pairs, times
 
 

@@ -134,3 +134,20 @@ def test_query_counts_over_all_documents(spark, small, models):
     want = {r[0]: r for r in brute(short, models)}
     assert all(r[:6] == want[r[0]][:6] for r in seen if r[0] in want)
     assert len(seen) == len(rows)
+
+
+def test_parts_give_the_tokens_of_the_whole_text(edges, monkeypatch):
+    """Cut at blanks, remembered, forgotten again: the same tokens as of the text in one go."""
+    monkeypatch.setattr(module, "KNOWN_PARTS", 7)
+    monkeypatch.setattr(module, "TOGETHER", 3)
+    with open(A_VOCABULARY, "rb") as a, open(B_VOCABULARY, "rb") as b:
+        aligner = module.Aligner(a.read(), b.read())
+    assert aligner.in_parts
+    odd = ["a ", " a", "\n b", " \n b\n", "a  b", "a   b ", "x\x1c y", "a\x85 b", " ", "  ", "tab\t x", "a  b", "　 c", "a ́b", "▁ ▁a b▁c d"]
+    for text in [t for _, t in edges + MORE if t] + odd:
+        numbers = aligner._numbered(aligner.parts(text))
+        for tokens, model in zip(aligner.tokens, (aligner.a, aligner.b)):
+            if np.frombuffer(tokens.whole, np.uint8)[numbers].all():
+                assert tokens.of(numbers)[0].tolist() == model([text])[0]
+            else:
+                assert b"".join(model.tokens[i] for i in model([text])[0]) != b" " + text.encode()
