@@ -4,8 +4,8 @@ A run of period q and length l is a longest stretch in which words q apart are e
 q being the smallest such distance and l at least ``max(LEAST, POWER * q)``.
 
 Periods are treated by octave. For B <= q < 2B a text has an anchor at every B-th word,
-and the tile of an anchor reaches one B back and four ahead. Three B of equal pairs
-always hold a tile whose first B words come again between B and 2B later, so
+and the tile of an anchor reaches one B back and four ahead. A run always holds
+tiles in a row whose first B words come again between B and 2B later, so
 only such tiles are solved. Tiles that follow each other travel in one strip
 of bounded size and are dealt out over the cluster, those of one long text as well. In a tile the Z-function
 from the anchor on gives how far each period holds ahead, and the
@@ -32,47 +32,78 @@ STRIP_WORDS = 4096  # words of a strip, but STRIP_TILES tiles at least
 STRIP_TILES = 16
 
 
-def _gram_again(gram: np.ndarray, anchors: np.ndarray, step: int) -> np.ndarray:
-    """For each anchor whether its gram comes again ``step`` to ``2 * step - 1`` places later."""
-    if step <= 4:
-        found = np.zeros(len(anchors), bool)
-        for q in range(step, 2 * step):
-            inside = anchors[: np.searchsorted(anchors, len(gram) - q)]
-            found[: len(inside)] |= gram[inside] == gram[inside + q]
-        return found
+SHORT = 8  # octaves below are looked through period by period
+
+
+def _short_tiles(ids: np.ndarray, step: int) -> np.ndarray:
+    """Numbers of the tiles whose first words lie in a long enough stretch of some period of this octave."""
+    live = np.zeros(len(ids) // step + 1, bool)
+    for q in range(step, min(2 * step, len(ids))):
+        same = ids[:-q] == ids[q:]
+        least = max(LEAST - q, (POWER - 1) * q)
+        if np.count_nonzero(same) < least:
+            continue
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], same, [False]]).view(np.int8)))
+        for begin, end in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if end - begin >= least:
+                live[-(-begin // step) : (end - step) // step + 1] = True
+    return np.flatnonzero(live)
+
+
+def _gram_again(gram: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Numbers of the tiles whose first gram comes again ``step`` to ``2 * step - 1`` places later.
+
+    And which of them have it once more before four steps; None if no gram comes again at all.
+    """
     name, back = np.unique(gram, return_inverse=True)
     n = len(gram)
     if len(name) == n:
-        return np.zeros(len(anchors), bool)
+        return None
     place = np.sort(back * n + np.arange(n))
+    anchors = np.arange(0, n, step)
     base = back[anchors] * n
-    at = np.searchsorted(place, base + np.minimum(anchors + step, n))
-    return (at < n) & (place[np.minimum(at, n - 1)] < base + np.minimum(anchors + 2 * step, n))
+
+    def between(lo: int, hi: int) -> np.ndarray:
+        at = np.searchsorted(place, base + np.minimum(anchors + lo, n))
+        return (at < n) & (place[np.minimum(at, n - 1)] < base + np.minimum(anchors + hi, n))
+
+    again = between(step, 2 * step)
+    return np.flatnonzero(again), between(2 * step, 4 * step)[again]
 
 
 def live_tiles(ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    """(B, first anchor, tiles) for stretches of tiles that may hold a fragment; ``ids`` numbers the words."""
+    """(B, first anchor, tiles) for stretches of tiles that may hold a part of a run; ``ids`` numbers the words.
+
+    A run holds two tiles in a row at least whose first gram comes again within the octave, and one whose gram comes a third time.
+    """
     gram, step, n = ids.astype(np.uint64), 1, len(ids)
     mult = 0x9E3779B97F4A7C15
     while n >= max(LEAST, POWER * step):
-        # gram[i] stands for the words i .. i + step - 1; equal words give equal grams.
-        again = _gram_again(gram, np.arange(0, len(gram), step), step)
-        k = np.flatnonzero(again)
-        if len(k):
-            most = max(STRIP_TILES, STRIP_WORDS // step)
-            for stretch in np.split(k, np.flatnonzero(np.diff(k) != 1) + 1):
-                for at in range(0, len(stretch), most):
-                    part = stretch[at : at + most]
-                    yield step, int(part[0]) * step, len(part)
-        elif step > 4 and len(np.unique(gram)) == len(gram):
-            return  # no longer gram comes again either
+        if step < SHORT:
+            stretches = [(k, True) for k in _stretches(_short_tiles(ids, step))]
+        else:
+            found = _gram_again(gram, step)
+            if found is None:
+                return  # no longer gram comes again either
+            third = dict(zip(found[0].tolist(), found[1].tolist()))
+            stretches = [(k, len(k) > 1 and any(third[i] for i in k.tolist())) for k in _stretches(found[0])]
+        most = max(STRIP_TILES, STRIP_WORDS // step)
+        for stretch, possible in stretches:
+            for at in range(0, len(stretch) if possible else 0, most):
+                part = stretch[at : at + most]
+                yield step, int(part[0]) * step, len(part)
         if len(gram) <= step:
             return
+        # gram[i] stands for twice as many words from i on; equal words give equal grams.
         gram = (gram[:-step] * np.uint64(mult) + gram[step:]) ^ (gram[:-step] >> np.uint64(29))
         mult = (mult * 0xBF58476D1CE4E5B9 + 2) % (1 << 64)
         step *= 2
 
 
+def _stretches(numbers: np.ndarray) -> list[np.ndarray]:
+    return np.split(numbers, np.flatnonzero(np.diff(numbers) != 1) + 1) if len(numbers) else []
+
+
 def z_values(s: list, upto: int, step: int = 0) -> list[int] | None:
     """How many first elements of ``s`` come again from each place below ``upto`` on (0 for the first).
 
@@ -191,7 +222,9 @@ def fragments(strips: DataFrame) -> DataFrame:
                 for found in solve(np.frombuffer(ids, f"<u{ids[:1].decode()}", offset=1).tolist(), lo, step, first, tiles):
                     yield (row, *found)
 
-    dealt = strips.select("row", "step", "first", "tiles", "lo", "ids").repartition("row", "step", "first")
+    # Little data and much work: as many parts as the session has, not as few as would hold it.
+    parts = int(strips.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = strips.select("row", "step", "first", "tiles", "lo", "ids").repartition(parts, "row", "step", "first")
     return dealt.mapInArrow(lambda batches: flushed(rows(batches), schema), "row long, period long, begin long, end long")
 
 
