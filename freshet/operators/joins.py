@@ -50,6 +50,27 @@ def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], split_hot: bool
     )
 
 
+# Rows of a key that stay together; a key with more is dealt out in parts of about this many.
+TOGETHER = 100_000
+# At most this many keys are dealt out; with more rows, the parts grow instead.
+DEALT_KEYS = 1 << 16
+
+
+def spread_join(many: DataFrame, few: DataFrame, key: str, sizes: DataFrame, by: str, together: int = TOGETHER) -> DataFrame:
+    """Inner join on ``key`` where keys may hold any part of the rows of ``many``.
+
+    ``sizes`` has ``key`` and ``n``, how many rows of ``many`` have it. Rows of a large key are dealt out by
+    the column ``by``, the matching rows of ``few`` copied for each part. The list of large keys is broadcast: it has at
+    most ``DEALT_KEYS`` rows, as each of its keys holds more than that share of all rows.     """
+    total = sizes.agg(F.sum("n")).scalar()
+    limit = F.greatest(F.lit(together), F.floor(F.coalesce(total, F.lit(0)) / DEALT_KEYS))
+    large = F.broadcast(sizes.where(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("long").alias("_parts")))
+    parts = F.coalesce("_parts", F.lit(1).cast("long"))
+    left = many.join(large, key, "left").withColumn("_part", F.pmod(F.xxhash64(by), parts)).drop("_parts")
+    right = few.join(large, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+    return left.join(right, [key, "_part"]).drop("_part")
+
+
 def violations(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Fact rows whose non-null key is missing in the dimension."""
     known = dim.select(F.col(dim_key).alias(fact_key)).distinct()

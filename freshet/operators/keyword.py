@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.text import strip_blanks, tokens
+from freshet.functions.text import tokens
+from freshet.operators.grams import batch_match
 
 # English words that carry no search meaning.
 STOP_WORDS = (
@@ -16,11 +16,6 @@ STOP_WORDS = (
     "of", "on", "or", "that", "the", "this", "to", "was", "were", "will", "with",
 )
 
-# Plain query texts up to this size are met in one pass over the rows; patterns
-# with wildcards are expressions of the plan and take smaller passes.
-QUERY_BYTES = 4 << 20
-EXPRESSION_BYTES = 16 << 10
-
 
 def matches(query: str | Column, *cols: str, literal: bool = False) -> Column:
     """Case-blind containment in any column. ``%`` and ``_`` in the query stay wild unless ``literal``."""
@@ -42,96 +37,22 @@ def batch_keyword_topk(
     chunks: DataFrame,
     queries: DataFrame,
     k: int,
-    cols=("content", "title"),
+    cols: Sequence[str] = ("content", "title"),
     literal: bool = False,
-    query_bytes: int = QUERY_BYTES,
+    key: str = "id",
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """``query_id, id, rank``: for each query (``id, query``) the newest ``k`` rows that contain it.
 
-    The query texts are measured, then met in as many passes as their size asks
-    for; a row emits only the queries it matches. Each task keeps ``k`` rows per
-    query before the shuffle.
+    Rows are found through the sequences of signs they share with a query (``grams.batch_match``), with wildcards as
+    without; ``index`` is a stored index of ``chunks``. Ids may be numbers or texts. Each task keeps ``k`` rows
+    per query before the last shuffle.
     """
-    # Lower-casing is its own projection: once per row, not once per query.
-    low = chunks.select(F.col("id").cast("bigint").alias("id"), *[F.lower(F.col(c)).alias(f"low_{c}") for c in cols])
-    asked = queries.select(F.col("id").cast("bigint").alias("id"), F.lower(strip_blanks("query")).alias("query")).where("query <> ''")
-    wild = F.lit(False) if literal else F.col("query").rlike(r"[%_\\]")
-    found = None
-    for plain in (True, False):
-        part = asked.where(~wild if plain else wild)
-        limit = query_bytes if plain else min(query_bytes, EXPRESSION_BYTES)
-        size = part.agg(F.sum(F.octet_length("query"))).first()[0] or 0
-        passes = -(-size // limit)
-        for i in range(passes):
-            rows = part.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == i).collect()  # bounded by `limit`
-            batch = [(r["id"], r["query"]) for r in rows]
-            if not batch:
-                continue
-            hits = _scan_words(low, batch) if plain else _scan_patterns(low, batch)
-            found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = low.limit(0).select("id", F.lit(0).cast("bigint").alias("query_id"))
+    found = batch_match(chunks, queries, cols, key, literal, index)
     w = Window.partitionBy("query_id").orderBy(F.col("id").desc())
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _text_columns(low: DataFrame) -> list[str]:
-    return [c for c in low.columns if c.startswith("low_")]
-
-
-def _scan_patterns(low: DataFrame, batch: list[tuple[int, str]]) -> DataFrame:
-    """Queries with wildcards: one ``LIKE`` per query and column."""
-
-    def hit(text: str) -> Column:
-        out = F.lit(False)
-        for c in _text_columns(low):
-            out |= F.coalesce(F.like(F.col(c), F.lit(f"%{text}%")), F.lit(False))
-        return out
-
-    hits = F.array_compact(F.array(*[F.when(hit(text), F.lit(i).cast("bigint")) for i, text in batch]))
-    return low.select("id", F.explode(hits).alias("query_id"))
-
-
-def _scan_words(low: DataFrame, batch: list[tuple[int, str]]) -> DataFrame:
-    """Plain queries: all of them are found in one walk over each text."""
-    by_text: dict[str, list[int]] = {}
-    for i, text in batch:
-        by_text.setdefault(text, []).append(i)
-    shared = low.sparkSession.sparkContext.broadcast(by_text)
-    columns = _text_columns(low)
-
-    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find = _finder(shared.value)
-        for frame in frames:
-            ids, asked = [], []
-            for row in zip(frame["id"], *[frame[c] for c in columns]):
-                hits = set()
-                for text in row[1:]:
-                    if text:
-                        find(text, hits)
-                ids += [row[0]] * len(hits)
-                asked += hits
-            yield pd.DataFrame({"id": ids, "query_id": asked}, dtype="int64")
-
-    return low.mapInPandas(walk, "id bigint, query_id bigint")
-
-
-def _finder(by_text: dict[str, list[int]]):
-    """``find(text, hits)`` adds the ids of the queries that the text contains."""
-    from ahocorasick import Automaton
-
-    automaton = Automaton()
-    for word, ids in by_text.items():
-        automaton.add_word(word, ids)
-    automaton.make_automaton()
-
-    def find(text: str, hits: set) -> None:
-        for _, ids in automaton.iter(text):
-            hits.update(ids)
-
-    return find
-
-
 def token_index(
     df: DataFrame, key: str = "doc_id", text: str = "text", stop_words=STOP_WORDS, only: DataFrame | None = None
 ) -> DataFrame:
@@ -161,15 +82,20 @@ def fts_search(index: DataFrame, queries: DataFrame, key: str = "doc_id", stop_w
     """Documents that hold every word of a query: ``query_id``, key, ``occurrences``.
 
     ``queries`` has ``query_id, query``. Only documents with a query's rarest word
-    become candidates, so a common word brings no rows of its own; the other words
-    are then looked up by word and document.
+    become candidates, so a common word brings no rows of its own. The words that any
+    query asks for are gathered once per candidate document, and each candidate is compared with
+    its query in one expression. Store ``index`` first: it is read three times.
     """
     words = query_words(queries, stop_words)
-    needed = words.groupBy("query_id").agg(F.count(F.lit(1)).alias("needed"))
-    spread = index.join(words.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
-    rarest = words.join(spread, "token").groupBy("query_id").agg(F.min(F.struct("documents", "token"))["token"].alias("token"))
-    candidates = index.join(rarest, "token").select("query_id", key).join(words, "query_id")
-    met = candidates.join(index, ["token", key]).groupBy("query_id", key).agg(
-        F.count(F.lit(1)).alias("met"), F.sum("n").alias("occurrences")
-    )
-    return met.join(needed, "query_id").where(F.col("met") == F.col("needed")).select("query_id", key, "occurrences")
+    used = index.join(words.select("token").distinct(), "token", "left_semi")
+    spread = used.groupBy("token").agg(F.count(F.lit(1)).alias("documents"))
+    known = words.join(spread, "token", "left")
+    # A word in no document leaves its query without candidates.
+    rarest = known.groupBy("query_id").agg(F.min(F.struct(F.coalesce("documents", F.lit(0)), "token"))["token"].alias("token"))
+    candidates = used.select("token", key).join(rarest, "token").select("query_id", key)
+    held = used.join(candidates.select(key).distinct(), key, "left_semi").groupBy(key)
+    held = held.agg(F.map_from_entries(F.collect_list(F.struct("token", "n"))).alias("_held"))
+    wanted = words.groupBy("query_id").agg(F.collect_set("token").alias("_wanted"))
+    met = candidates.join(held, key).join(wanted, "query_id").where(F.forall("_wanted", lambda w: F.map_contains_key(F.col("_held"), w)))
+    total = F.aggregate("_wanted", F.lit(0).cast("long"), lambda acc, w: acc + F.col("_held")[w])
+    return met.select("query_id", key, total.alias("occurrences"))

@@ -34,10 +34,10 @@ class Registry:
 
 
 def everything() -> Registry:
-    from freshet.plans import cleaning, decoding, flow, indexing, ingest, modelling, retrieval, streams
+    from freshet.plans import cleaning, decoding, flow, indexing, ingest, lookup, modelling, retrieval, streams
 
     whole = Registry()
-    for module in (decoding, ingest, cleaning, modelling, indexing, retrieval, flow, streams):
+    for module in (decoding, ingest, cleaning, modelling, indexing, retrieval, lookup, flow, streams):
         repeated = whole.queries.keys() & module.registry.queries.keys()
         if repeated:
             raise ValueError(f"queries defined twice: {sorted(repeated)}")

@@ -200,7 +200,7 @@ def fts_search(spark, d):
     """Documents that hold all words of a whole benchmark text."""
     queries = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
     docs = dealt(table(spark, d, "documents").select("doc_id", "text"))
-    return W.fts_search(W.token_index(docs, only=W.query_words(queries)), queries)
+    return W.fts_search(stored(W.token_index(docs, only=W.query_words(queries)), "word_index"), queries)
 
 
 # --- gates, modes, approximate ---------------------------------------------------------

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshet.functions import vectors as VF
-from freshet.operators import answer_cache, ann, context, gates, keyword
+from freshet.operators import answer_cache, ann, context, gates, grams, keyword
 from freshet.operators import embedding as E
 from freshet.operators import vector_search as V
 from freshet.operators.chunking import chunk, windows
@@ -188,8 +188,8 @@ def test_keyword(spark, q, literal, want):
     docs = _docs(spark)
     assert [r["id"] for r in keyword.keyword_topk(docs, q, 5, literal=literal).collect()] == want
     queries = spark.createDataFrame([(1, q), (2, " "), (3, "BETA")], "id long, query string")
-    for limit in (1 << 20, 3):
-        hits = keyword.batch_keyword_topk(docs, queries, 5, literal=literal, query_bytes=limit).orderBy("query_id", "rank").collect()
+    for index in (None, grams.gram_index(docs, ["content", "title"])):
+        hits = keyword.batch_keyword_topk(docs, queries, 5, literal=literal, index=index).orderBy("query_id", "rank").collect()
         assert [r["id"] for r in hits if r["query_id"] == 1] == want
         assert [r["id"] for r in hits if r["query_id"] == 3] == [2, 1]
 
