@@ -99,7 +99,7 @@ class _Best:
     def __init__(self, query_ids: np.ndarray, k: int, limit: float | None, skip_same: bool):
         self.query_ids, self.k, self.limit, self.skip_same = query_ids, k, limit, skip_same
         self.dist = np.full((len(query_ids), 0), np.inf)
-        self.ids = np.zeros((len(query_ids), 0), dtype=np.int64)
+        self.ids: np.ndarray | None = None
 
     def meet(self, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, metric: str) -> None:
         """Compare with more rows, in slices that keep the distance matrix small."""
@@ -123,20 +123,23 @@ class _Best:
         if not useful.any():
             return
         all_dist = np.hstack([self.dist, dist[:, useful]])
-        all_ids = np.hstack([self.ids, np.broadcast_to(ids[useful], (len(self.query_ids), int(useful.sum())))])
+        all_ids = np.broadcast_to(ids[useful], (len(self.query_ids), int(useful.sum())))
+        if self.ids is not None:
+            all_ids = np.hstack([self.ids, all_ids])
         order = np.lexsort((all_ids, all_dist), axis=1)[:, : self.k]
         self.dist = np.take_along_axis(all_dist, order, 1)
         self.ids = np.take_along_axis(all_ids, order, 1)
 
     def frame(self) -> pd.DataFrame:
+        """The hits; a block that met no row has none."""
         found = np.isfinite(self.dist)
-        return pd.DataFrame(
-            {
-                "query_id": np.broadcast_to(self.query_ids[:, None], self.ids.shape)[found],
-                "id": self.ids[found],
-                "distance": self.dist[found],
-            }
-        )
+        ids = self.ids if self.ids is not None else np.zeros(found.shape, np.int64)
+        query_ids = np.broadcast_to(self.query_ids[:, None], found.shape)[found]
+        return pd.DataFrame({"query_id": query_ids, "id": ids[found], "distance": self.dist[found]})
+
+    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        frame = self.frame()
+        return pa.record_batch([pa.array(frame[f.name].tolist(), f.type) for f in schema], schema=schema)
 
 
 def _ranked(partial: DataFrame, k: int) -> DataFrame:
@@ -145,10 +148,30 @@ def _ranked(partial: DataFrame, k: int) -> DataFrame:
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-HIT = "query_id bigint, id bigint, distance double"
+def hit_schema(chunks: DataFrame, queries: DataFrame) -> str:
+    """The columns of partial hits; ids keep the types they have."""
+    return f"query_id {queries.schema['id'].dataType.simpleString()}, id {chunks.schema['id'].dataType.simpleString()}, distance double"
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    types = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
+    return pa.schema([(name, types[kind]) for name, kind in (f.split() for f in ddl.split(", "))])
+
+
+def id_array(values) -> np.ndarray:
+    """Ids as an array that sorts as Spark does: whole numbers, or texts by code point."""
+    values = values.to_pylist() if hasattr(values, "to_pylist") else list(values)
+    return np.array(values) if values else np.empty(0, np.int64)
 
 
-def _topk_small(chunks: DataFrame, ids: np.ndarray, queries: np.ndarray, k, metric, limit, skip_same) -> DataFrame:
+def plain_ids(df: DataFrame) -> DataFrame:
+    """``id, embedding`` of rows that have a vector; ids are bigint, or string where they are texts."""
+    kind = "string" if df.schema["id"].dataType.simpleString() == "string" else "bigint"
+    return df.where(F.col("embedding").isNotNull()).select(F.col("id").cast(kind).alias("id"), "embedding")
+
+
+def _topk_small(chunks: DataFrame, ids: np.ndarray, queries: np.ndarray, hit: str, k, metric, limit, skip_same) -> DataFrame:
+    schema = arrow_schema(hit)
     shared = chunks.sparkSession.sparkContext.broadcast((ids, queries))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +180,10 @@ def _topk_small(chunks: DataFrame, ids: np.ndarray, queries: np.ndarray, k, metr
         for batch in batches:
             if batch.num_rows and len(query_ids):
                 rows = _matrix(batch.column("embedding"))
-                best.meet(matrix, rows, np.asarray(batch.column("id"), dtype=np.int64), metric)
-        yield pa.RecordBatch.from_pandas(best.frame(), preserve_index=False)
+                best.meet(matrix, rows, id_array(batch.column("id")), metric)
+        yield best.batch(schema)
 
-    return _ranked(chunks.mapInArrow(scan, HIT), k)
+    return _ranked(chunks.mapInArrow(scan, hit), k)
 
 
 def _topk_blocks(chunks: DataFrame, queries: DataFrame, n_chunks, n_queries, k, metric, limit, skip_same) -> DataFrame:
@@ -180,16 +203,21 @@ def _topk_blocks(chunks: DataFrame, queries: DataFrame, n_chunks, n_queries, k,
     left = cells(queries, "qb", query_blocks, "rb", row_blocks)
     right = cells(chunks, "rb", row_blocks, "qb", query_blocks)
 
+    return _ranked(met_in_cells(left, right, ["qb", "rb"], k, metric, limit, skip_same), k)
+
+
+def met_in_cells(queries: DataFrame, rows: DataFrame, cell: Sequence[str], k, metric, limit=None, skip_same=False) -> DataFrame:
+    """Partial hits of queries and rows (``id, embedding``) that share a cell; a cell's rows and queries fit in a task."""
+    hit = hit_schema(rows, queries)
+
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        best = _Best(q["id"].to_numpy(np.int64), k, limit, skip_same)
+        best = _Best(id_array(q["id"]), k, limit, skip_same)
         if len(q) and len(c):
             matrix = np.stack(q["embedding"].to_numpy()).astype(np.float64)
-            rows = np.stack(c["embedding"].to_numpy()).astype(np.float64)
-            best.meet(matrix, rows, c["id"].to_numpy(np.int64), metric)
+            best.meet(matrix, np.stack(c["embedding"].to_numpy()).astype(np.float64), id_array(c["id"]), metric)
         return best.frame()
 
-    met = left.groupBy("qb", "rb").cogroup(right.groupBy("qb", "rb")).applyInPandas(meet, HIT)
-    return _ranked(met, k)
+    return queries.groupBy(*cell).cogroup(rows.groupBy(*cell)).applyInPandas(meet, hit)
 
 
 def batch_topk(
@@ -203,19 +231,18 @@ def batch_topk(
 ) -> DataFrame:
     """``query_id, id, distance, rank`` of the k nearest rows for every query.
 
-    Both sides have ``id`` (bigint, unique) and ``embedding`` of one width.
+    Both sides have ``id`` (a whole number or a text, unique) and ``embedding`` of one width.
     The query side is measured first: a batch within ``broadcast_bytes`` is
     sent to the tasks, which read the rows once; a larger one is joined block
     by block. Both ways give the same rows. ``skip_same`` leaves out the row
     with the query's own id, for a table compared with itself.
     """
-    chunks = chunks.where(F.col("embedding").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "embedding")
-    queries = queries.where(F.col("embedding").isNotNull()).select(F.col("id").cast("bigint").alias("id"), "embedding")
+    chunks, queries = plain_ids(chunks), plain_ids(queries)
     limit = None if max_distance is None else round(max_distance, RANK_DIGITS)
     small = _fetch_small(queries, broadcast_bytes)
     if small is not None:
-        ids = np.asarray(small.column("id"), dtype=np.int64)
-        return _topk_small(chunks, ids, _matrix(small.column("embedding")), k, metric, limit, skip_same)
+        ids, matrix = id_array(small.column("id")), _matrix(small.column("embedding"))
+        return _topk_small(chunks, ids, matrix, hit_schema(chunks, queries), k, metric, limit, skip_same)
     return _topk_blocks(chunks, queries, chunks.count(), queries.count(), k, metric, limit, skip_same)
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.functions.stems import stem_sql
+from freshet.operators import ann
 from freshet.operators import keyword as W
 from freshet.operators import word_index as X
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
-from freshet.plans.retrieval import _DOCS, _STOP, _documents
+from freshet.plans.retrieval import _DOCS, _HITS, _STOP, _centres, _documents, _vectors
 from freshet.session import shared_dir
 from freshet.sources.tables import dealt, table
 
@@ -94,3 +95,15 @@ def keyword_batch(spark, d):
     docs = dealt(_documents(spark, d))
     found = W.batch_keyword_topk(docs, _patterns(spark, d), 10)
     return found.select("query_id", "id", F.col("rank").cast("bigint").alias("rank"))
+
+
+# --- coded vectors ------------------------------------------------------------------------
+
+
+@query(f"WITH {_HITS} SELECT query_id, id, rank, round(distance, 6) AS distance FROM hits")
+def pq_topk(spark, d):
+    """Product-quantised codes under all lists; the bound of the codes makes the result exact, the recall test probes fewer."""
+    path = shared_dir(spark, "pq")
+    ann.pq_build(_vectors(spark, d), path, lists=16)
+    found = ann.pq_topk(spark, path, _centres(spark, d), 8, nprobe=16)
+    return found.select("query_id", "id", F.col("rank").cast("bigint").alias("rank"), F.round("distance", 6).alias("distance"))

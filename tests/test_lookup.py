@@ -4,11 +4,13 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from freshet.functions.stems import with_stems
-from freshet.operators import grams, joins, keyword, word_index
+from freshet.operators import ann, grams, joins, keyword, word_index
+from freshet.operators import vector_search as V
 
 # Words with their known stems.
 STEMS = """
@@ -153,3 +155,67 @@ def test_rows_of_a_large_key_are_dealt_out(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert largest < 0.3 * 6000
+
+
+def _clouds(n, dims=16, seed=1):
+    """Vectors around a few centres, a third of them equal."""
+    rng = np.random.default_rng(seed)
+    m = rng.normal(size=(12, dims))[rng.integers(0, 12, n)] + 0.4 * rng.normal(size=(n, dims))
+    m[: n // 3] = m[0]
+    return m
+
+
+def _table(spark, m, name="v{:04d}"):
+    return spark.createDataFrame([(name.format(i), [float(x) for x in v]) for i, v in enumerate(m)], "id string, embedding array<double>")
+
+
+def _hits(df):
+    return {(r.query_id, r.id, r["rank"]) for r in df.collect()}
+
+
+def test_vectors_with_text_ids(spark, tmp_path, monkeypatch):
+    m = _clouds(200)
+    rows, queries = _table(spark, m), _table(spark, m[60:75] + 0.1, "q#{}")
+    exact = _hits(V.batch_topk(rows, queries, 4))
+    assert len(exact) == 60 and exact == _hits(V.batch_topk(rows, queries, 4, broadcast_bytes=0))
+    monkeypatch.setattr(V, "BLOCK_ROWS", 20)
+    ann.ivf_build(rows, str(tmp_path / "ivf"), lists=6)
+    assert _hits(ann.ivf_topk(spark, str(tmp_path / "ivf"), queries, 4, nprobe=6)) == exact
+    ann.pq_build(rows, str(tmp_path / "pq"), lists=6, parts=4, codes=8)
+    assert _hits(ann.pq_topk(spark, str(tmp_path / "pq"), queries, 4, nprobe=6)) == exact
+
+
+def test_recall_of_codes_with_fewer_lists(spark, tmp_path):
+    m = _clouds(900, 32, seed=4)
+    rows = _table(spark, m)
+    queries = rows.where("id >= 'v0300' AND id LIKE '%0'")
+    ann.pq_build(rows, str(tmp_path), lists=8, parts=8, codes=16)
+    exact = {(q, i) for q, i, _ in _hits(V.batch_topk(rows, queries, 5))}
+    found = {(q, i) for q, i, _ in _hits(ann.pq_topk(spark, str(tmp_path), queries, 5, nprobe=5, rerank=60))}
+    assert len(found & exact) / len(exact) >= 0.9
+    # Without the second look the codes alone order the rows worse, so the exact distances do decide.
+    poor = {(q, i) for q, i, _ in _hits(ann.pq_topk(spark, str(tmp_path), queries, 5, nprobe=5, rerank=5))}
+    assert len(poor & exact) < len(found & exact)
+
+
+def test_codes_come_from_all_rows_and_bound_the_miss(spark, tmp_path):
+    m = _clouds(300, 16, seed=6)
+    rows = _table(spark, m)
+    books = ann.codebooks(rows, parts=4, codes=8, rounds=6)
+    unit = (m / np.linalg.norm(m, axis=1, keepdims=True)).reshape(300, 4, 4)
+    for s in range(4):
+        near = ((unit[:, s, None] - books[s][None]) ** 2).sum(2).argmin(1)
+        again = np.stack([unit[near == c, s].mean(0) if (near == c).any() else books[s][c] for c in range(8)])
+        assert np.abs(again - books[s]).max() < 0.2
+    ann.pq_build(rows, str(tmp_path), lists=4, parts=4, codes=8)
+    held = spark.read.parquet(f"{tmp_path}/codes").collect()
+    assert len(held) == 300 and {len(r.codes) for r in held} == {4}
+    with pytest.raises(ValueError, match="equal parts"):
+        ann.codebooks(rows, parts=5, codes=8)
+
+
+def test_index_without_usable_queries(spark, tmp_path):
+    rows = _table(spark, _clouds(60))
+    ann.ivf_build(rows, str(tmp_path), lists=3)
+    none = spark.createDataFrame([("q", None)], rows.schema)
+    assert ann.ivf_topk(spark, str(tmp_path), none, 3, 3).collect() == []
