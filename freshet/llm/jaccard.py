@@ -104,10 +104,9 @@ def _tokens(sets: DataFrame) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``key, n, own, most, head`` of the sets that can have a partner at all.
+    """``key, n, own, head`` of the sets that can have a partner at all.
 
-    ``own``: shingles of no other set. ``most``: size of the largest partner they leave possible. ``head``: the
-    shared shingles of the prefix, rarest first.
+    ``own``: shingles of no other set. ``head``: the shared shingles of the prefix, rarest first.
     """
     tokens = _tokens(sets)
     total = (sets.agg(F.sum(F.length("shingles"))).first()[0] or 0) // 8
@@ -118,14 +117,17 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     own = F.col("n") - F.col("c")
     length = F.col("n") - _needed(F.col("n"), percent) + 1 - own
     head = F.transform(F.slice("order", F.lit(1), length.cast("int")), lambda x: x["token"])
-    most = F.expr(f"(100 * c) div {percent}") + F.col("c") - F.col("n")
-    return out.select("key", "n", own.alias("own"), most.alias("most"), head.alias("head"))
+    return out.select("key", "n", own.alias("own"), head.alias("head"))
 
 
 def _possible(x: str, y: str, percent: int) -> str:
-    """Whether the sizes of two sets and their own shingles leave a link possible."""
+    """Whether two sets that meet at a shingle can be linked, were it the first one that they share.
+
+    ``n`` is the size of a set, ``left`` the number of its shared shingles from that one on. At the first
+    shingle that two sets share the bound holds, so no link is lost, and at later ones fewer pairs pass it.
+    """
     sizes = f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
-    return f"{sizes} AND {y}.n <= {x}.most AND {x}.n <= {y}.most"
+    return f"{sizes} AND {100 + percent} * least({x}.left, {y}.left) >= {percent} * ({x}.n + {y}.n)"
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -164,20 +166,22 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     """``id, component`` over the keys of ``sets``: what connects by links, and no link between components."""
     heads = stored(prefixes(sets, percent), "prefixes")
     same = F.md5(F.concat_ws(",", F.col("n").cast("string"), F.col("head").cast("array<string>")))
+    # Members of a group have the same number of own shingles as well, as the rest of the prefix is as long.
     groups = heads.withColumn("same", same).groupBy("same").agg(
-        F.min(F.struct("own", "key")).alias("_r"), F.any_value("n").alias("n"), F.max("most").alias("most"), F.count(F.lit(1)).alias("size"), F.any_value("head").alias("head")
+        F.min("key").alias("rep"), F.any_value("n").alias("n"), F.any_value("own").alias("own"), F.count(F.lit(1)).alias("size"), F.any_value("head").alias("head")
     )
-    groups = stored(groups.select("same", F.col("_r.key").alias("rep"), F.col("_r.own").alias("own"), "n", "most", "size", "head"), "groups")
+    groups = stored(groups, "groups")
     limit = _share_limit(heads.count())
-    members = looked_up(heads.select("key", "n", "own", "most", same.alias("same")), groups.select("same", "rep", "size"), "same", limit)
-    members = stored(members.select("key", "n", "own", "most", "rep"), "members")
+    members = looked_up(heads.select("key", same.alias("same")), groups.select("same", "rep", "size"), "same", limit)
+    members = stored(members.select("key", "rep"), "members")
 
     # Members with the leader of their group; leaders with the best leader of each shingle.
-    postings = stored(groups.select(F.explode("head").alias("token"), "rep", "n", "most", "own"), "postings")
-    best = postings.groupBy("token").agg(F.min(F.struct("own", "rep", "n", "most")).alias("p"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    postings = groups.select("rep", "n", "own", F.posexplode("head").alias("at", "token"))
+    postings = stored(postings.select("token", "rep", "n", "own", (F.col("n") - F.col("own") - F.col("at")).alias("left")), "postings")
+    best = postings.groupBy("token").agg(F.min(F.struct("own", "rep", "n", "left")).alias("p"), F.count(F.lit(1)).alias("size")).where("size > 1")
     star = looked_up(postings, best, "token", _share_limit(postings.count()))
     star = star.alias("x").where(F.expr("rep <> p.rep AND " + _possible("x", "p", percent)))
-    inner = members.where(F.expr("key <> rep AND n <= most"))
+    inner = members.where("key <> rep")
     pairs = _ordered(star, "rep", "p.rep").union(inner.select(F.greatest("key", "rep").alias("a"), F.least("key", "rep").alias("b")))
     found = stored(verified(pairs, sets, percent), "links")
     group = components(found)
@@ -186,18 +190,15 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     while True:
         now = members.join(group.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
         now = stored(now, "now")
-        by_group = now.groupBy("rep").agg(
-            F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("members"), F.min("n").alias("_n"), F.max("most").alias("_most")
-        )
-        lists = postings.select("token", "rep").join(by_group, "rep")
-        lists = lists.groupBy("token").agg(
-            F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("members").alias("size"), F.min("_n").alias("_n"), F.max("_most").alias("_most")
-        )
+        by_group = now.groupBy("rep").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("members"))
+        lists = postings.select("token", "rep", "n").join(by_group, "rep")
+        lists = lists.groupBy("token").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("members").alias("size"), F.min("n").alias("_n"))
         lists = lists.where("_lo < _hi")
-        # Members whose sizes rule out every other one of the list stay out of it.
-        inside = postings.select("token", "rep").join(lists, "token").join(now, "rep").where("n <= _most AND _n <= most")
+        # Groups that cannot be linked even with the smallest set of the list stay out of it.
+        reach = F.expr(f"{100 + percent} * left >= {percent} * (n + _n)")
+        inside = postings.select("token", "rep", "n", "left").join(lists, "token").where(reach).join(now, "rep")
         spread = F.xxhash64("key").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)) * F.ceil(F.col("size") / FEW)
-        inside = inside.select("token", "key", "n", "most", "component", spread.cast("long").alias("turn")).where(F.col("turn") >= begin)
+        inside = inside.select("token", "key", "n", "left", "component", spread.cast("long").alias("turn")).where(F.col("turn") >= begin)
         mixed = inside.groupBy("token").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi")
         open_ = stored(inside.join(mixed.select("token"), "token", "left_semi"), "open")
         limit = open_.agg(F.max("turn")).first()[0]
