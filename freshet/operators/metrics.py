@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.functions.text import _col
+from freshet.session import stored
 
 # Latency bucket bounds in seconds.
 LATENCY_BOUNDS = (0.01, 0.05, 0.1, 0.25, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0)
@@ -211,52 +212,81 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence
     return _selected(df, value, [(q, method) for q in qs], by).drop("method")
 
 
+# Different values that are put in order in one task, at least; and of how many cells there may be at most.
+CELL_VALUES = 10_000
+MOST_CELLS = 1 << 16
+# Parts that a cell is cut into in a round.
+SPLITS = 64
+
+
+def _refined(counts: DataFrame, open_: DataFrame) -> DataFrame:
+    """The parts of open cells that hold a wanted rank: ``_l, lo, hi, below, size, ranks``.
+
+    A cell is cut at about equal numbers of different values, so a round makes it smaller by the same factor however close
+    its values lie. The cells are few (see ``_selected``), their values spread over all tasks.
+    """
+
+    def inside(cells: DataFrame) -> DataFrame:
+        return counts.join(F.broadcast(cells.withColumnRenamed("_l", "_k")), F.expr("_l = _k AND v >= lo AND v <= hi")).drop("_k")
+
+    shares = [i / SPLITS for i in range(1, SPLITS)]
+    cuts = inside(open_.select("_l", "lo", "hi")).groupBy("_l", "lo").agg(F.percentile_approx("v", shares, 20 * SPLITS).alias("cuts"))
+    cells = stored(open_.join(cuts, ["_l", "lo"]), "cells")
+    part = F.size(F.filter("cuts", lambda c: c < F.col("v"))).alias("part")
+    parts = inside(cells.select("_l", "lo", "hi", "cuts")).groupBy("_l", "lo", part)
+    parts = parts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("size"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+    up_to = Window.partitionBy("_l", "lo").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_upto", F.sum("n").over(up_to)).join(cells.select("_l", "lo", "below", "ranks"), ["_l", "lo"])
+    parts = parts.withColumn("_first", F.col("below") + F.col("_upto") - F.col("n"))
+    parts = parts.withColumn("_held", F.filter("ranks", lambda r: (r >= F.col("_first")) & (r < F.col("_first") + F.col("n"))))
+    out = parts.select("_l", F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.col("_first").alias("below"), "size", F.col("_held").alias("ranks"))
+    return out.where(F.size("ranks") > 0)
+
+
 def _selected(df: DataFrame, value: str, wanted: Sequence[tuple[float, str]], by: Sequence[str]) -> DataFrame:
-    """``q, method, value`` for every wanted quantile, in one pass over the counted values.
+    """``q, method, value`` for every wanted quantile and label; a null label is a label.
 
-    Equal values are counted first. Their counts are added up per coarse value
-    range, which tells the few ranges that hold the wanted ranks; only those
-    are ordered by value. So neither a heavy value nor a heavy label ends in
-    one task.
+    Equal values are counted first. A label with more than ``CELL_VALUES`` different values is searched in rounds: its values are
+    cut into parts, and the parts that hold a wanted rank are cut again, until each has few enough to be put in
+    order. So neither a heavy value nor a heavy label nor values close to each other end in one task. At most
+    ``MOST_CELLS`` labels are searched at a time, as each holds more than that share of all counts. (Some small actions.)
     """
     unknown = {m for _, m in wanted} - {"cont", "index"}
     if unknown:
         raise ValueError(f"unknown methods {sorted(unknown)}")
-    label = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*label, F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        # 64 ranges per doubling of the magnitude.
-        .withColumn("cell", F.signum("v") * (1 + F.floor(F.log2(1 + F.abs("v") * 1e6) * 64)))
-    )
-    cells = counts.groupBy(*label, "cell").agg(F.sum("n").alias("n"))
-    up_to = Window.partitionBy(*label).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = cells.withColumn("upto", F.sum("n").over(up_to)).withColumn("total", F.sum("n").over(Window.partitionBy(*label)))
+    label = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    values = df.where(F.col(value).isNotNull()).select(label.alias("_l"), F.col(value).cast("double").alias("v"))
+    counts = stored(values.groupBy("_l", "v").agg(F.count(F.lit(1)).alias("n")), "counted")
+    limit = max(CELL_VALUES, counts.count() // MOST_CELLS)
+    totals = counts.groupBy("_l").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("size"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     asked = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.lit(m).alias("method")) for q, m in wanted])
-    position = F.col("q") * (F.col("total") - 1)
     ranks = F.when(F.col("method") == "cont", F.array(F.floor("position"), F.ceil("position"))).otherwise(
         F.array(F.floor(F.col("position") + F.lit(1e-9)))
     )
-    targets = (
-        cells.select("*", F.inline(asked))
-        .withColumn("position", position)
-        .withColumn("rank", F.explode(F.array_distinct(ranks)))
-        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-        .select(*label, "cell", "q", "method", "position", "rank", (F.col("upto") - F.col("n")).alias("below"))
-    )
-    inside = Window.partitionBy(*label, "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    needed = counts.join(targets.select(*label, "cell").distinct(), [*label, "cell"], "left_semi")
-    ordered = needed.withColumn("upto", F.sum("n").over(inside))
-    here = F.col("rank") - F.col("below")
-    hit = ordered.join(targets, [*label, "cell"]).where((here < F.col("upto")) & (here >= F.col("upto") - F.col("n")))
+    targets = totals.select("*", F.inline(asked)).withColumn("position", F.col("q") * (F.col("total") - 1))
+    targets = stored(targets.withColumn("rank", F.explode(F.array_distinct(ranks))), "targets")
+
+    large = targets.where(F.col("size") > limit)
+    open_ = large.groupBy("_l", "lo", "hi", "size").agg(F.collect_set("rank").alias("ranks"))
+    open_ = open_.select("_l", "lo", "hi", F.lit(0).cast("bigint").alias("below"), "size", "ranks")
+    rows = counts.join(F.broadcast(large.select("_l").distinct()), "_l", "left_anti")
+    rows = rows.select("_l", F.lit(None).cast("double").alias("lo"), F.lit(0).cast("bigint").alias("below"), "v", "n")
+    while not open_.isEmpty():
+        parts = stored(_refined(counts, open_), "parts")
+        few = F.broadcast(parts.where(F.col("size") <= limit).select(F.col("_l").alias("_k"), "lo", "hi", "below"))
+        rows = rows.union(counts.join(few, F.expr("_l = _k AND v >= lo AND v <= hi")).select("_l", "lo", "below", "v", "n"))
+        open_ = parts.where(F.col("size") > limit)
+
+    order = Window.partitionBy("_l", "lo").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = rows.withColumn("_upto", F.col("below") + F.sum("n").over(order)).select("_l", "v", "n", "_upto")
+    hit = ordered.join(targets.select("_l", "q", "method", "position", "rank"), "_l").where("rank < _upto AND rank >= _upto - n")
     share = F.col("position") - F.floor("position")
     weight = (
         F.when(F.col("method") == "index", F.lit(1.0))
         .when(F.col("rank") == F.floor("position"), 1 - share)
         .otherwise(share)
     )
-    return hit.groupBy(*label, "q", "method").agg(F.sum(F.col("v") * weight).alias("value"))
+    return hit.groupBy(*[F.col(f"_l.{c}").alias(c) for c in by], "q", "method").agg(F.sum(F.col("v") * weight).alias("value"))
 
 
 def freshness(df: DataFrame, earlier: str, later: str, qs: Sequence[float] = (0.5, 0.95, 0.99), by: Sequence[str] = ()) -> DataFrame:

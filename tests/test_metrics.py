@@ -102,3 +102,29 @@ def test_staleness_of_a_label_without_success(spark):
 def test_internal_paths_are_not_counted(spark):
     df = spark.createDataFrame([("/query",), ("/metrics",), ("/query",)], "path string")
     assert [tuple(r) for r in M.labelled_counts(df, ["path"], "path").collect()] == [("/query", 2)]
+
+
+def test_quantiles_of_values_close_to_each_other(spark, monkeypatch):
+    """100,000 values between 0.5 and 0.501 of one label, a heavy value, and a label that is null, in cells of few values."""
+    monkeypatch.setattr(M, "CELL_VALUES", 200)
+    rng = np.random.default_rng(5)
+    close = 0.5 + 0.001 * rng.random(100_000)
+    rows = spark.createDataFrame([("close", float(v)) for v in close] + [(None, float(v)) for v in close[:999]], "k string, v double")
+    heavy = spark.range(70_000).select(F.lit("heavy").alias("k"), F.when(F.col("id") % 7 < 5, 1.5).otherwise(F.col("id") * 1e-9).alias("v"))
+    df = rows.union(heavy).repartition(8)
+    qs = [0.0, 0.31, 0.5, 0.95, 0.99, 1.0]
+    found = {(r["k"], r["q"]): r["value"] for r in M.exact_quantiles(df, "v", qs, ["k"]).collect()}
+    own = {"close": close, None: close[:999], "heavy": np.where(np.arange(70_000) % 7 < 5, 1.5, np.arange(70_000) * 1e-9)}
+    assert found.keys() == {(k, q) for k in own for q in qs}
+    for (k, q), v in found.items():
+        assert v == pytest.approx(np.quantile(own[k], q), rel=1e-12, abs=1e-15)
+
+
+def test_no_task_orders_more_than_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(M, "CELL_VALUES", 200)
+    sizes = []
+    refined = M._refined
+    monkeypatch.setattr(M, "_refined", lambda counts, open_: (sizes.append([r["size"] for r in open_.collect()]), refined(counts, open_))[1])
+    df = spark.range(40_000).select((F.lit(0.5) + F.col("id") * 1e-12).alias("v"))
+    assert M.exact_quantiles(df, "v", [0.25], method="index").first()["value"] == 0.5 + 9999 * 1e-12
+    assert sizes[0] == [40_000] and all(len(s) == 1 and s[0] < 1000 for s in sizes[1:]) and len(sizes) <= 3
