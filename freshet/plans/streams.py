@@ -19,17 +19,38 @@ from freshet.streaming.snapshots import SnapshotTable, idempotent_writer
 registry = Registry()
 query = registry.query
 
-FILES = 4
-# A replay reads old files in any order, so its watermark must allow for all of them.
-REPLAY_LATENESS = "60 days"
+BATCHES = 4
+
+
+def _sent(messages, path) -> int:
+    """Messages as files that follow each other in time, so that a replay meets them in that order. The number of files.
+
+    There are as many as the session has shuffle partitions. The time of a file, by which a stream takes them, is set
+    after its place in the range.
+    """
+    spark = messages.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    messages.repartitionByRange(parts, "timestamp", "offset").write.mode("append").parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = sorted((f.getPath().getName(), f) for f in files.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    last = max(f.getModificationTime() for _, f in held)
+    for i, (_, f) in enumerate(held):
+        files.setTimes(f.getPath(), last + 1000 * i, -1)
+    return len(held)
+
+
+def _stream_of(spark, path, files):
+    """The files as a stream of about ``BATCHES`` micro-batches, each of as many tasks as it has files."""
+    return read_stream(spark, "parquet", path, maxFilesPerTrigger=str(max(1, -(-files // BATCHES))), maxFileAge="3650d")
 
 
 def _messages(spark, d):
     """The events table written as envelope files, read as a stream of several micro-batches."""
     path = shared_dir(spark, "messages")
-    sent = envelopes(common_events(table(spark, d, "events")))
-    sent.repartitionByRange(FILES, "timestamp", "offset").write.parquet(path)
-    return read_stream(spark, "parquet", path, maxFilesPerTrigger="1"), shared_dir(spark, "checkpoint"), shared_dir(spark, "sink")
+    files = _sent(envelopes(common_events(table(spark, d, "events"))), path)
+    return _stream_of(spark, path, files), shared_dir(spark, "checkpoint"), shared_dir(spark, "sink")
 
 
 @query(
@@ -61,15 +82,16 @@ def stream_upsert(spark, d):
 def stream_quota(spark, d):
     messages, checkpoint, sink = _messages(spark, d)
     kept = from_envelopes(messages).where(keep_condition()).withColumn("at", F.timestamp_seconds("ts_epoch"))
-    flows.drain(kept, checkpoint, each=flows.quota_writer(spark, sink, "at", ["ts_epoch", "kafka_offset", "ord"], 1))
-    return spark.read.parquet(f"{sink}/rows").select("ord", "ts_epoch")
+    admitted = flows.quota(kept, "at", ["ts_epoch", "kafka_offset", "ord"], 1)
+    flows.drain(admitted.select("ord", "ts_epoch"), checkpoint, path=sink)
+    return spark.read.parquet(sink)
 
 
 @query(f"WITH {S.EV} SELECT kafka_partition, kafka_offset, min(ts_epoch) AS ts_epoch FROM ev GROUP BY 1, 2")
 def stream_dedup(spark, d):
     messages, checkpoint, sink = _messages(spark, d)
     timed = from_envelopes(messages).withColumn("at", F.timestamp_seconds("ts_epoch"))
-    unique = flows.dedup(timed, POSITION, "at", REPLAY_LATENESS).select("kafka_partition", "kafka_offset", "ts_epoch")
+    unique = flows.dedup(timed, POSITION, "at").select("kafka_partition", "kafka_offset", "ts_epoch")
     flows.drain(unique, checkpoint, path=sink)
     return spark.read.parquet(sink)
 
@@ -82,7 +104,7 @@ def stream_windows(spark, d):
     """Each batch writes the windows it changed; the largest count of a window is its last."""
     messages, checkpoint, sink = _messages(spark, d)
     timed = from_envelopes(messages).withColumn("at", F.timestamp_seconds("ts_epoch"))
-    counts = flows.windowed_counts(timed, "at", "10 minutes", by=["type"], lateness=REPLAY_LATENESS)
+    counts = flows.windowed_counts(timed, "at", "10 minutes", by=["type"])
     flows.drain(counts, checkpoint, each=idempotent_writer(sink), mode="update")
     return (
         spark.read.parquet(sink)
@@ -90,3 +112,30 @@ def stream_windows(spark, d):
         .agg(F.max("n").alias("n"))
         .select("type", plain_time("window_start").alias("window_start"), "n")
     )
+
+
+# Every 40th event arrives when all others are there.
+_HELD_BACK = "kafka_offset % 40 = 7"
+
+
+@query(
+    f"""WITH {S.EV}, m AS (SELECT max(ts_epoch) - 600 AS mark FROM ev WHERE NOT {_HELD_BACK}),
+r AS (SELECT type, ts_epoch // 600 * 600 AS window_start, {_HELD_BACK} AND ts_epoch < mark AS late FROM ev, m)
+SELECT type, window_start, count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS late FROM r GROUP BY 1, 2"""
+)
+def stream_late(spark, d):
+    """Counts by window of the rows on time, and of the late ones that went aside; the stream is stopped and goes on in between."""
+    path, checkpoint, sink = (shared_dir(spark, name) for name in ("messages", "checkpoint", "sink"))
+    events = common_events(table(spark, d, "events"))
+    key = ["type", "window_start"]
+    counts = SnapshotTable(spark, f"{sink}/counts", key, ["n"], {"n": "sum"})
+    start = F.floor(F.col("ts_epoch") / 600) * 600
+    counted = counts.writer(lambda df: df.groupBy("type", start.alias("window_start")).agg(F.count(F.lit(1)).alias("n")))
+    aside = idempotent_writer(f"{sink}/late", lambda df: df.select("type", start.alias("window_start"), "ord"))
+    for part in (~F.expr(_HELD_BACK), F.expr(_HELD_BACK)):
+        stream = _stream_of(spark, path, _sent(envelopes(events.where(part)), path))
+        timed = from_envelopes(stream).withColumn("at", F.timestamp_seconds("ts_epoch")).withWatermark("at", flows.LATENESS)
+        flows.drain(timed, checkpoint, each=flows.split_late(checkpoint, "at", counted, aside))
+    late = spark.read.parquet(f"{sink}/late").groupBy(*key).agg(F.count(F.lit(1)).alias("late"))
+    both = counts.read().join(late, key, "full")
+    return both.select(*key, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n", "late")])

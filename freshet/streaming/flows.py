@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from freshet.operators.content import with_content
 from freshet.operators.filters import keep_condition
 from freshet.sources.events import from_envelopes
-from freshet.streaming.snapshots import SnapshotTable, batch_name
 
 TRIGGER = "10 seconds"
 LATENESS = "10 minutes"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def start(
@@ -77,29 +79,79 @@ def late_rows(batch: DataFrame, ts: str, watermark) -> DataFrame:
     return batch.where(F.col(ts) < F.lit(watermark).cast("timestamp"))
 
 
-def quota_writer(spark: SparkSession, path: str, ts: str, order: Sequence[str], limit: int = 60):
-    """A batch function that admits at most ``limit`` events per minute, in arrival order.
+def quota(events: DataFrame, ts: str, order: Sequence[str], limit: int = 60, lateness: str = LATENESS) -> DataFrame:
+    """Admits at most ``limit`` events of each minute, in arrival order: a stream of the admitted ones.
 
-    Each batch first keeps its own ``limit`` per minute (before the shuffle, so
-    a minute with most of the traffic stays small), then what earlier batches
-    left of the quota. Admitted rows go to ``path/rows``; the number taken per
-    minute is a snapshot under ``path/taken``. Running a batch again changes nothing.
+    The state is one counter per minute. A timer lets it go when the watermark has passed the minute, so the state
+    is bounded by the lateness; events behind the watermark are not admitted. Each task sends at most ``limit`` events
+    of a minute per batch, so a minute with most of the traffic stays small. A restart goes on with the counters of the
+    checkpoint.
+    """
+    spark, schema, order = events.sparkSession, events.schema, list(order)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    first = events.mapInPandas(_first_of_each_minute(ts, order, limit), schema).withWatermark(ts, lateness)
+    keyed = first.withColumn("_minute", F.floor(F.unix_seconds(F.col(ts)) / 60).cast("bigint"))
+    return keyed.groupBy("_minute").transformWithStateInPandas(
+        statefulProcessor=MinuteCounter(events.columns, order, limit), outputStructType=schema, outputMode="Append", timeMode="EventTime"
+    )
+
+
+def _first_of_each_minute(ts: str, order: list[str], limit: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            ranked = frame.sort_values(order, kind="stable")
+            yield ranked[ranked.groupby(ranked[ts].dt.floor("min"), sort=False).cumcount() < limit]
+
+    return run
+
+
+class MinuteCounter(StatefulProcessor):
+    """How many events of its minute were admitted."""
+
+    def __init__(self, columns: list[str], order: list[str], limit: int):
+        self.columns, self.order, self.limit = columns, order, limit
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.taken = handle.getValueState("taken", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        before = self.taken.get()[0] if self.taken.exists() else 0
+        # Of each task at most ``limit`` events.
+        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable").head(self.limit - before)
+        if not before:
+            self.handle.registerTimer((key[0] + 1) * 60_000)
+        if len(batch):
+            self.taken.update((before + len(batch),))
+        yield batch[self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.taken.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def watermark_of(spark: SparkSession, checkpoint: str, batch_id: int) -> datetime | None:
+    """The watermark that a batch of a stream runs under, as its checkpoint notes it before the batch begins; None for the first."""
+    noted = spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{batch_id}", wholetext=True).first()["value"]
+    # The second line holds what the batch runs with.
+    millis = json.loads(noted.split("\n")[1])["batchWatermarkMs"]
+    return datetime.fromtimestamp(millis / 1000, timezone.utc) if millis else None
+
+
+def split_late(checkpoint: str, ts: str, on_time: Callable[[DataFrame, int, str], None], late: Callable[[DataFrame, int, str], None]):
+    """A batch function that gives rows behind the stream's watermark to ``late`` and the others to ``on_time``.
+
+    The stream declares the watermark (``withWatermark``); each batch is split by the one that it runs under, the same when
+    it runs again. Rows without a time are on time. Together both sides get every row once.
     """
-    taken = SnapshotTable(spark, f"{path}/taken", ["minute"], ["minute"], {"taken": "sum"})
 
     def write(batch: DataFrame, batch_id: int, run: str = "") -> None:
-        rows = batch.withColumn("minute", F.date_trunc("minute", F.col(ts)))
-        w = Window.partitionBy("minute").orderBy(*order)
-        own = rows.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= limit)
-        before = taken.read(before=batch_id, run=run)
-        if before is not None:
-            own = own.join(before, "minute", "left")
-        else:
-            own = own.withColumn("taken", F.lit(0).cast("bigint"))
-        kept = own.where(F.col("_rank") + F.coalesce("taken", F.lit(0)) <= limit).drop("_rank", "taken")
-        folder = f"{path}/rows/batch={batch_name(batch_id, run)}"
-        kept.write.mode("overwrite").parquet(folder)
-        admitted = spark.read.parquet(folder).groupBy("minute").agg(F.count(F.lit(1)).alias("taken"))
-        taken.apply(admitted, batch_id, run)
+        mark = watermark_of(batch.sparkSession, checkpoint, batch_id)
+        behind = F.lit(False) if mark is None else F.coalesce(F.col(ts) < F.lit(mark), F.lit(False))
+        on_time(batch.where(~behind), batch_id, run)
+        late(batch.where(behind), batch_id, run)
 
     return write

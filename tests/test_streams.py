@@ -1,5 +1,6 @@
 """Streams give what the batch operators give, also after a replay."""
 
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -109,17 +110,52 @@ def test_cleaned_stream_writes_each_batch_once(spark, small, tmp_path):
     assert _rows(spark.read.parquet(sink).select("ord", "content")) == want
 
 
-def test_quota_stream_replay(spark, tmp_path):
-    write = flows.quota_writer(spark, str(tmp_path), "at", ["id"], 3)
-
-    def batch(ids):
-        return spark.createDataFrame([(i,) for i in ids], "id int").withColumn("at", F.timestamp_seconds(F.lit(1700000000) + F.floor(F.col("id") / 10) * 60))
-
-    write(batch([0, 1]), 0)
-    write(batch([2, 3, 4, 10, 11, 12, 13]), 1)
-    write(batch([2, 3, 4, 10, 11, 12, 13]), 1)
-    write(batch([5, 14, 20]), 2)
-    assert sorted(r["id"] for r in spark.read.parquet(f"{tmp_path}/rows").collect()) == [0, 1, 2, 10, 11, 12, 20]
+def _timed(spark, path, rows):
+    """Rows (id, seconds) as one more file of a stream."""
+    df = spark.createDataFrame(rows, "id int, s long").select("id", F.timestamp_seconds(F.lit(1700000040) + F.col("s")).alias("at"))
+    df.coalesce(1).write.mode("append").parquet(path)
+    time.sleep(1.1)  # files are taken by their time
+
+
+def test_quota_goes_on_after_a_restart_and_lets_old_minutes_go(spark, tmp_path):
+    path, cp, sink = (str(tmp_path / n) for n in ("in", "cp", "out"))
+
+    def drain():
+        stream = spark.readStream.schema("id int, at timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+        flows.drain(flows.quota(stream, "at", ["at", "id"], 3, lateness="2 minutes"), cp, path=sink)
+        return sorted(r["id"] for r in spark.read.parquet(sink).collect())
+
+    _timed(spark, path, [(1, 0), (2, 5)])
+    _timed(spark, path, [(i, 10 + i) for i in range(3, 9)] + [(i, 60 + i - 20) for i in range(20, 26)])
+    assert drain() == [1, 2, 3, 20, 21, 22]
+    # The counters come from the checkpoint: minute 0 is full, minute 1 as well, minute 2 is new.
+    _timed(spark, path, [(9, 30), (26, 100), (40, 130), (41, 131)])
+    assert drain() == [1, 2, 3, 20, 21, 22, 40, 41]
+    # Far behind the watermark: not admitted, and the counters of those minutes are gone from the state.
+    _timed(spark, path, [(60, 3600)])
+    _timed(spark, path, [(10, 40), (61, 3601)])
+    assert drain() == [1, 2, 3, 20, 21, 22, 40, 41, 60, 61]
+
+
+def test_late_rows_are_told_by_the_streams_own_watermark(spark, tmp_path):
+    path, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    on_time, late = idempotent_writer(str(tmp_path / "on")), idempotent_writer(str(tmp_path / "late"))
+
+    def drain():
+        stream = spark.readStream.schema("id int, at timestamp").option("maxFilesPerTrigger", 1).parquet(path)
+        flows.drain(stream.withWatermark("at", "1 minute"), cp, each=flows.split_late(cp, "at", on_time, late))
+        return [sorted(r["id"] for r in spark.read.schema("id int").parquet(str(tmp_path / n)).collect()) for n in ("on", "late")]
+
+    _timed(spark, path, [(1, 0), (2, 600), (3, -900)])
+    assert drain() == [[1, 2, 3], []]
+    _timed(spark, path, [(4, 539), (5, 540), (6, 541), (7, None), (8, 2000)])
+    _timed(spark, path, [(9, 1000)])
+    assert drain() == [[1, 2, 3, 5, 6, 7, 8], [4, 9]]
+    # A batch that runs again is split by the same watermark.
+    run = flows.run_of(spark, cp)
+    again = spark.createDataFrame([(4, 539), (5, 540)], "id int, s long").select("id", F.timestamp_seconds(F.lit(1700000040) + F.col("s")).alias("at"))
+    flows.split_late(cp, "at", on_time, late)(again, 1, run)
+    assert [sorted(r["id"] for r in spark.read.parquet(str(tmp_path / n)).collect()) for n in ("on", "late")] == [[1, 2, 3, 5], [4, 9]]
 
 
 def test_dedup_and_windows(spark, small, tmp_path):
