@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.times import as_zoned, plain_time
 from freshet.operators import metrics as M
+from freshet.operators.alerts import RULES, evaluations, rule_alerts
 from freshet.operators.alerts import alert_islands as islands
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
@@ -204,3 +205,45 @@ SELECT user_id, n, ok, max_value, round(p50, 6) AS p50, vs[CAST(floor(0.95 * (n
 def consistency_report(spark, d):
     out = M.consistency_report(_events(spark, d), "value", _ok(), by=["user_id"])
     return out.select("user_id", "n", "ok", "max_value", F.round("p50", 6).alias("p50"), "p95", "passed")
+
+
+def _cumulative_quantile(q: float) -> str:
+    """The bucket quantile of running counts ``le_0 ..`` and ``le_inf``."""
+    cases, lower, before = [], "0.0", "0"
+    for i, bound in enumerate(M.LATENCY_BOUNDS):
+        cases.append(
+            f"WHEN le_{i} >= {q} * le_inf THEN CASE WHEN le_{i} > {before} THEN {lower} + ({bound} - {lower}) * ({q} * le_inf - {before}) / (le_{i} - {before}) ELSE {bound} END"
+        )
+        lower, before = str(bound), f"le_{i}"
+    return f"CASE WHEN le_inf = 0 THEN NULL {' '.join(cases)} ELSE {M.LATENCY_BOUNDS[-1]} END"
+
+
+_LE = [*[f"le_{i}" for i in range(len(M.LATENCY_BOUNDS))], "le_inf"]
+_RULE_ROWS = " UNION ALL ".join(
+    f"SELECT part, t, '{name}' AS rule, {r.hold_seconds} AS hold FROM m WHERE {r.metric} {'=' if r.test == '==' else r.test} CAST({r.limit!r} AS DOUBLE)"
+    for name, r in RULES.items()
+)
+
+
+@query(
+    f"""WITH r AS (SELECT user_id % 3 AS part, CAST(ceil(epoch_us(ts) / 60000000.0) AS BIGINT) * 60 AS t, epoch_us(ts) AS us, event_type, value / 20 AS v FROM events),
+p AS (SELECT part, t, count(*) AS n, count(*) FILTER (event_type <> 'error') AS processed, count(*) FILTER (event_type = 'error') AS failures,
+    max(us) FILTER (event_type <> 'error') AS last_ok, count(v) AS le_inf, {', '.join(f'count(*) FILTER (v <= {b}) AS le_{i}' for i, b in enumerate(M.LATENCY_BOUNDS))}
+    FROM r GROUP BY 1, 2),
+g AS (SELECT part, unnest(range((SELECT min(t) FROM p), (SELECT max(t) FROM p) + 1, 60)) AS t FROM (SELECT DISTINCT part FROM p)),
+s AS (SELECT g.part, g.t, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END AS up, last_value(last_ok IGNORE NULLS) OVER (PARTITION BY g.part ORDER BY g.t) AS last_ok,
+    coalesce(sum(failures) OVER w5, 0) AS failures_5m, coalesce(sum(processed) OVER w10, 0) AS processed_10m,
+    {', '.join(f'CAST(coalesce(sum({c}) OVER w5, 0) AS BIGINT) AS {c}' for c in _LE)}
+    FROM g LEFT JOIN p ON p.part = g.part AND p.t = g.t
+    WINDOW w5 AS (PARTITION BY g.part ORDER BY g.t RANGE BETWEEN 240 PRECEDING AND CURRENT ROW), w10 AS (PARTITION BY g.part ORDER BY g.t RANGE BETWEEN 540 PRECEDING AND CURRENT ROW)),
+m AS (SELECT part, t, up, t - last_ok / 1e6 AS seconds_since_success, failures_5m, failures_5m / 300.0 AS failure_rate_5m, processed_10m, {_cumulative_quantile(0.95)} AS p95_5m FROM s),
+h AS ({_RULE_ROWS}),
+i AS (SELECT *, t - 60 * row_number() OVER (PARTITION BY part, rule ORDER BY t) AS run FROM h)
+SELECT part, rule, make_timestamp(min(t) * 1000000) AS started, make_timestamp(max(t) * 1000000) AS ended, count(*) AS evaluations,
+    max(t) - min(t) >= any_value(hold) AS fires FROM i GROUP BY part, rule, run"""
+)
+def alert_rules(spark, d):
+    """The shipped rules over the events of three parts, evaluated every minute."""
+    rows = _events(spark, d).withColumn("part", F.col("user_id") % 3)
+    found = rule_alerts(evaluations(rows, "ts", _ok(), _failed(), F.col("value") / 20, ["part"]), by=["part"])
+    return found.select("part", "rule", plain_time("started").alias("started"), plain_time("ended").alias("ended"), "evaluations", "fires")

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from freshet.operators import metrics as M
+from freshet.operators import alerts as A
 from freshet.operators.alerts import alert_islands
 
 
@@ -128,3 +129,38 @@ def test_no_task_orders_more_than_a_cell(spark, monkeypatch):
     df = spark.range(40_000).select((F.lit(0.5) + F.col("id") * 1e-12).alias("v"))
     assert M.exact_quantiles(df, "v", [0.25], method="index").first()["value"] == 0.5 + 9999 * 1e-12
     assert sizes[0] == [40_000] and all(len(s) == 1 and s[0] < 1000 for s in sizes[1:]) and len(sizes) <= 3
+
+
+def test_rules_on_a_grid(spark):
+    """Every rule against windows counted one by one at every minute; a null label, rows without a time, a quiet hour."""
+    rng = np.random.default_rng(8)
+    moments = np.concatenate([rng.integers(0, 2400, 90), rng.integers(6000, 7200, 60), [0, 60, 6060]])
+    rows = [(None if i % 2 else "a", int(t), ["view", "error"][int(rng.random() < 0.3)], float(rng.random())) for i, t in enumerate(moments)]
+    df = spark.createDataFrame(rows + [("a", None, "view", 0.1)], "k string, s long, kind string, v double").withColumn("at_", F.timestamp_seconds(F.col("s") + 1_700_000_040))
+    found = A.evaluations(df, "at_", F.col("kind") == "view", F.col("kind") == "error", F.col("v"), ["k"]).collect()
+    grid = range(0, max(-(-t // 60) * 60 for _, t, *_ in rows) + 1, 60)
+    assert len(found) == 2 * len(grid)
+    for r in found:
+        t = int(r["at"].timestamp()) - 1_700_000_040
+        own = [x for x in rows if x[0] == r["k"]]
+
+        def within(w):
+            return [x for x in own if t - w < x[1] <= t]
+
+        done = [x[1] for x in own if x[1] <= t and x[2] == "view"]
+        assert r["up"] == float(bool(within(60)))
+        assert r["failures_5m"] == sum(x[2] == "error" for x in within(300)) == round(300 * r["failure_rate_5m"])
+        assert r["processed_10m"] == sum(x[2] == "view" for x in within(600))
+        assert r["seconds_since_success"] == (pytest.approx(t - max(done)) if done else None)
+        assert (r["p95_5m"] is None) == (not within(300))
+    evaluated = spark.createDataFrame(found, "k string, at timestamp, up double, seconds_since_success double, failures_5m long, failure_rate_5m double, processed_10m long, p95_5m double")
+    alerts = A.rule_alerts(evaluated, by=["k"]).collect()
+    assert {r["rule"] for r in alerts} == set(A.RULES)
+    for name, rule in A.RULES.items():
+        for k in (None, "a"):
+            met = [{"==": lambda x, y: x == y, ">": lambda x, y: x > y}[rule.test](r[rule.metric], rule.limit) if r[rule.metric] is not None else False
+                   for r in sorted((r for r in found if r["k"] == k), key=lambda r: r["at"])]
+            runs = [len(x) for x in "".join("x" if m else " " for m in met).split()]
+            own = sorted((r["started"], r["evaluations"], r["fires"]) for r in alerts if r["k"] == k and r["rule"] == name)
+            assert [n for _, n, _ in own] == runs
+            assert [f for *_, f in own] == [60 * (n - 1) >= rule.hold_seconds for n in runs]
