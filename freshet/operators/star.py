@@ -153,25 +153,48 @@ def edits_from_content(chunks: DataFrame) -> DataFrame:
     )
 
 
+def _wiki_rows(edits: DataFrame) -> DataFrame:
+    return edits.where(F.col("wiki").isNotNull()).withColumn("first_seen_at", F.col("edited_at"))
+
+
+def _user_rows(edits: DataFrame) -> DataFrame:
+    return edits.where(F.col("user_name").isNotNull()).withColumn("first_seen_at", F.col("edited_at"))
+
+
+def _page_rows(edits: DataFrame) -> DataFrame:
+    rows = edits.where(F.col("wiki").isNotNull() & blank_to_null("url").isNotNull())
+    return rows.withColumn("first_seen_at", F.col("edited_at"))
+
+
+_FACT = ("event_type", "wiki", "title", "url", "user_name", "is_bot", "comment", "server", "edited_at", "ingested_at")
+# The tables of the star: the rows each takes from the edits, its keys and its rules.
+SEEN = {
+    "dim_wiki": (_wiki_rows, ["wiki"], {"server": "last_non_null", "first_seen_at": "first"}),
+    "dim_user": (_user_rows, ["user_name"], {"first_seen_at": "first"}),
+    "dim_page": (_page_rows, ["wiki", "url"], {"title": "last", "first_seen_at": "first"}),
+    "fact_edit": (lambda edits: edits, POSITION, {c: "first" for c in _FACT}),
+}
+
+
+def _seen(edits: DataFrame, name: str) -> DataFrame:
+    rows, keys, rules = SEEN[name]
+    return merge(rows(edits), keys, ORDER, rules)
+
+
 def dim_wiki_seen(edits: DataFrame) -> DataFrame:
-    rows = edits.where(F.col("wiki").isNotNull()).withColumn("first_seen_at", F.col("edited_at"))
-    return merge(rows, ["wiki"], ORDER, {"server": "last_non_null", "first_seen_at": "first"})
+    return _seen(edits, "dim_wiki")
 
 
 def dim_user_seen(edits: DataFrame) -> DataFrame:
-    rows = edits.where(F.col("user_name").isNotNull()).withColumn("first_seen_at", F.col("edited_at"))
-    return merge(rows, ["user_name"], ORDER, {"first_seen_at": "first"})
+    return _seen(edits, "dim_user")
 
 
 def dim_page_seen(edits: DataFrame) -> DataFrame:
-    rows = edits.where(F.col("wiki").isNotNull() & blank_to_null("url").isNotNull())
-    rows = rows.withColumn("first_seen_at", F.col("edited_at"))
-    return merge(rows, ["wiki", "url"], ORDER, {"title": "last", "first_seen_at": "first"})
+    return _seen(edits, "dim_page")
 
 
 def fact_edit_seen(edits: DataFrame) -> DataFrame:
-    payload = [c for c in edits.columns if c not in (*POSITION, "ord")]
-    return merge(edits, POSITION, ORDER, {c: "first" for c in payload})
+    return _seen(edits, "fact_edit")
 
 
 def inserted_counts(edits: DataFrame) -> DataFrame:

@@ -9,12 +9,14 @@ from freshet.operators.filters import keep_condition
 from freshet.operators.star import POSITION
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
+from freshet.plans.modelling import _EDITS
 from freshet.session import shared_dir
-from freshet.sources.events import common_events, envelopes, from_envelopes
+from freshet.sources.events import common_events, envelopes, from_envelopes, stored_content
 from freshet.sources.tables import table
 from freshet.streaming import flows
 from freshet.streaming.reader import read_stream
 from freshet.streaming.snapshots import SnapshotTable, idempotent_writer
+from freshet.streaming.star import advance, star_tables
 
 registry = Registry()
 query = registry.query
@@ -139,3 +141,28 @@ def stream_late(spark, d):
     late = spark.read.parquet(f"{sink}/late").groupBy(*key).agg(F.count(F.lit(1)).alias("late"))
     both = counts.read().join(late, key, "full")
     return both.select(*key, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n", "late")])
+
+
+@query(
+    f"""WITH {S.EV}, {_EDITS},
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kafka_topic, kafka_partition, kafka_offset ORDER BY ord) AS n FROM e) WHERE n = 1),
+w AS (SELECT wiki, arg_max(server, ord) FILTER (server IS NOT NULL) AS wiki_server FROM e WHERE wiki IS NOT NULL GROUP BY wiki),
+u AS (SELECT user_name, arg_min(edited_at, ord) AS user_since FROM e GROUP BY user_name),
+p AS (SELECT wiki, url, arg_max_null(title, ord) AS page_title FROM e WHERE wiki IS NOT NULL AND url IS NOT NULL GROUP BY wiki, url)
+SELECT f.kafka_partition, f.kafka_offset, f.event_type, f.edited_at, w.wiki_server, u.user_since, p.page_title
+FROM f LEFT JOIN w ON w.wiki = f.wiki LEFT JOIN u ON u.user_name = f.user_name LEFT JOIN p ON p.wiki = f.wiki AND p.url = f.url"""
+)
+def star_incremental(spark, d):
+    """The star built over several batches of stored rows, the table growing in between, and joined again."""
+    rows = stored_content(common_events(table(spark, d, "events")))
+    star = star_tables(spark, shared_dir(spark, "star"), fold_every=3)
+    low, high = rows.agg(F.min("ord"), F.max("ord")).first()
+    page = max(1, (high - low) // 4) if high is not None else 1
+    advance(star, rows.where(F.col("ord") <= (low or 0) + 2 * page), page)
+    advance(star, rows, page)
+    wiki, user, place = (star.read(f"dim_{name}") for name in ("wiki", "user", "page"))
+    facts = star.read("fact_edit").join(wiki.select("wiki", F.col("server").alias("wiki_server")), "wiki", "left")
+    facts = facts.join(user.select("user_name", F.col("first_seen_at").alias("user_since")), "user_name", "left")
+    facts = facts.join(place.select("wiki", "url", F.col("title").alias("page_title")), ["wiki", "url"], "left")
+    times = [plain_time(c).alias(c) for c in ("edited_at", "user_since")]
+    return facts.select("kafka_partition", "kafka_offset", "event_type", "wiki_server", "page_title", *times)

@@ -68,15 +68,29 @@ class SnapshotTable:
 
     def apply(self, batch: DataFrame, batch_id: int, run: str = "") -> None:
         """Merge one batch; calling it twice with the same run and id gives the same table."""
+        self.write(batch, batch_id, run)
+        self.fold()
+
+    def write(self, batch: DataFrame, batch_id: int, run: str = "") -> None:
+        """The batch's own partial merge, which readers see from now on."""
         state = merge_state(batch, self.keys, self.order, self.rules)
         state.write.mode("overwrite").parquet(self._folder("delta", batch_name(batch_id, run)))
-        base, held, deltas = self._parts()
+
+    def fold(self, leave_out: Callable[[str], bool] = lambda name: False) -> None:
+        """Combine the newest base with the deltas after it, when there are enough of them."""
+        base, held, deltas = self._parts(leave_out)
         if len(deltas) >= self.fold_every:
             following = f"{int(base) + 1 if base else 0:012d}"
             names = self.spark.createDataFrame([(v,) for v in sorted(held.union(deltas))], "value string")
             names.coalesce(1).write.mode("overwrite").text(self._folder("held", following))
             self._state(base, deltas).write.mode("overwrite").parquet(self._folder("base", following))
 
+    def read_only(self, names: set[str]) -> DataFrame | None:
+        """The merged table of the batches named; None when none of them is there."""
+        base, _, deltas = self._parts(lambda name: name not in names)
+        state = self._state(base, deltas)
+        return None if state is None else finish(state, self.keys, self.rules)
+
     def read(self, before: int | None = None, run: str = "") -> DataFrame | None:
         """The merged table, or what it was without batch ``before`` and later ones of that run; None when nothing is there."""
         first = None if before is None else batch_name(before, run)
@@ -105,6 +119,47 @@ class SnapshotTable:
         return lambda batch, batch_id, run="": self.apply(shape(batch), batch_id, run)
 
 
+class TableGroup:
+    """Several upsert tables and a cursor that move together.
+
+    A batch first writes its part of every table, then one marker that holds the cursor. Readers follow the
+    markers: a batch that was cut off between two tables has none, so nothing of it is seen, and when it is run again it
+    writes the same folders once more. ``tables``: name to (keys, order, rules).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, tables: Mapping[str, tuple], fold_every: int = 10):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.tables = {n: SnapshotTable(spark, f"{self.path}/{n}", *spec, fold_every=fold_every) for n, spec in tables.items()}
+        self.marks = SnapshotTable(spark, f"{self.path}/commits", [], [], {})
+
+    def committed(self) -> set[str]:
+        return set(self.marks.versions("mark"))
+
+    def cursor(self) -> int | None:
+        """The largest cursor that was committed."""
+        names = self.committed()
+        if not names:
+            return None
+        folders = [self.marks._folder("mark", n) for n in names]
+        return self.spark.read.schema("cursor bigint").json(folders).agg({"cursor": "max"}).first()[0]
+
+    def apply(self, parts: Mapping[str, DataFrame], cursor: int, batch_id: int, run: str = "") -> None:
+        """Commit one batch of rows per table, and the cursor; a batch that is committed already is passed over."""
+        name = batch_name(batch_id, run)
+        if name in self.committed():
+            return
+        for table, rows in parts.items():
+            self.tables[table].write(rows, batch_id, run)
+        mark = self.spark.createDataFrame([(cursor,)], "cursor bigint").coalesce(1)
+        mark.write.mode("overwrite").json(self.marks._folder("mark", name))
+        done = self.committed()
+        for table in self.tables.values():
+            table.fold(lambda version: version not in done)
+
+    def read(self, table: str) -> DataFrame | None:
+        return self.tables[table].read_only(self.committed())
+
+
 NUMBER = "{:012d}"
 
 

@@ -3,15 +3,18 @@
 import time
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from freshet.operators.decode import MESSAGE_SCHEMA, decode
 from freshet.operators.merge import merge
-from freshet.sources.events import common_events, envelopes, from_envelopes
+from freshet.operators.star import SEEN, edits_from_content
+from freshet.sources.events import common_events, envelopes, from_envelopes, stored_content
 from freshet.sources.sinks import batch_writer
 from freshet.streaming import flows
 from freshet.streaming.reader import ENVELOPE, read_stream, topic_options
 from freshet.streaming.snapshots import SnapshotTable, idempotent_writer
+from freshet.streaming.star import advance, star_tables
 
 RULES = {"bot": "last_non_null", "title": "last", "ord": "max"}
 
@@ -188,3 +191,46 @@ def test_topic_options():
     options = topic_options("b:9092", "t", "earliest", 100)
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "100" and options["failOnDataLoss"] == "false"
     assert "offset bigint" in ENVELOPE
+
+
+def _star(spark, small, upto=None):
+    rows = stored_content(common_events(spark.read.parquet(f"{small}/events.parquet")))
+    return rows if upto is None else rows.where(F.col("ord") <= upto)
+
+
+def _star_rows(star):
+    return {name: sorted((tuple(r[c] for c in sorted(r.asDict())) for r in star.read(name).collect()), key=str) for name in SEEN}
+
+
+def _batch_star(rows):
+    edits = edits_from_content(rows)
+    return {
+        name: sorted((tuple(r[c] for c in sorted(r.asDict())) for r in merge(take(edits), keys, ["ord"], rules).collect()), key=str)
+        for name, (take, keys, rules) in SEEN.items()
+    }
+
+
+def test_star_cut_off_between_two_tables(spark, small, tmp_path, monkeypatch):
+    star = star_tables(spark, str(tmp_path), fold_every=2)
+    assert star.cursor() is None and star.read("fact_edit") is None
+    assert advance(star, _star(spark, small, 500), 300) == 2
+    assert star.cursor() == 500 and _star_rows(star) == _batch_star(_star(spark, small, 500))
+    # Two of four tables of the third batch are written, then the job dies.
+    write, calls = SnapshotTable.write, []
+
+    def dying(self, *args):
+        calls.append(self.path)
+        if len(calls) == 3:
+            raise RuntimeError("killed")
+        write(self, *args)
+
+    monkeypatch.setattr(SnapshotTable, "write", dying)
+    with pytest.raises(RuntimeError):
+        advance(star, _star(spark, small), 300)
+    monkeypatch.setattr(SnapshotTable, "write", write)
+    assert len(set(calls)) == 3
+    assert star.cursor() == 500 and _star_rows(star) == _batch_star(_star(spark, small, 500))
+    # The next run covers other ids in its first batch, and ends at the same star.
+    assert advance(star, _star(spark, small), 700) >= 2
+    assert _star_rows(star) == _batch_star(_star(spark, small))
+    assert advance(star, _star(spark, small), 700) == 0
