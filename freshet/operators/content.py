@@ -115,10 +115,10 @@ def event_id(meta_id: Column | str, id_: Column | str, wiki: Column | str, title
 
 def with_content(df, max_chars: int = MAX_CONTENT_CHARS):
     """Adds ``comment`` and ``content`` to rows of the common event shape."""
-    return df.withColumn("comment", clean_comment("parsedcomment", F.lit(""))).withColumn(
+    return df.withColumn("comment", clean_comment("parsedcomment", "raw_comment")).withColumn(
         "content",
         build_lines(
-            "title", "type", "wiki", domain(F.lit(None).cast("string"), "server_name"), "comment", F.lit(""),
+            "title", "type", "wiki", domain(F.lit(None).cast("string"), "server_name"), "comment", "notify_url",
             "rev_old", "rev_new", "bytes_old", "bytes_new", max_chars,
         ),
     )

@@ -35,7 +35,8 @@ def _surrogate_input(events: DataFrame) -> DataFrame:
         blank_to_null("user_name").alias("username"),
         F.col("bot").alias("is_bot"),
         F.col("minor").alias("is_minor"),
-        blank_to_null("parsedcomment").alias("comment"),
+        blank_to_null("raw_comment").alias("comment"),
+        blank_to_null("notify_url").alias("notify_url"),
         blank_to_null("type").alias("event_type"),
         epoch_time("ts_epoch", positive_only=True).alias("occurred_at"),
         "rev_old",
@@ -95,7 +96,7 @@ def fact_edit(events: DataFrame) -> DataFrame:
         "rev_new",
         "bytes_old",
         "bytes_new",
-        F.lit(None).cast("string").alias("notify_url"),
+        "notify_url",
         F.col("domain").alias("server"),
     )
 
@@ -124,7 +125,7 @@ def star_view(star: dict[str, DataFrame]) -> DataFrame:
 def edits_from_content(chunks: DataFrame) -> DataFrame:
     """Typed edit columns read back from ``content``.
 
-    Needs ``kafka_*``, ``ord``, ``title``, ``url``, ``content``, ``created_at``.
+    Needs ``kafka_*``, ``ord``, ``id`` (of the stored row), ``title``, ``url``, ``content``, ``created_at``.
     Rows without content or without a full position are left out.
     """
     usable = chunks.where(
@@ -140,6 +141,7 @@ def edits_from_content(chunks: DataFrame) -> DataFrame:
     return usable.select(
         *POSITION,
         "ord",
+        F.col("id").alias("chunk_id"),
         F.coalesce(field("type"), F.lit("edit")).alias("event_type"),
         field("wiki").alias("wiki"),
         "title",
@@ -166,7 +168,7 @@ def _page_rows(edits: DataFrame) -> DataFrame:
     return rows.withColumn("first_seen_at", F.col("edited_at"))
 
 
-_FACT = ("event_type", "wiki", "title", "url", "user_name", "is_bot", "comment", "server", "edited_at", "ingested_at")
+_FACT = ("chunk_id", "event_type", "wiki", "title", "url", "user_name", "is_bot", "comment", "server", "edited_at", "ingested_at")
 # The tables of the star: the rows each takes from the edits, its keys and its rules.
 SEEN = {
     "dim_wiki": (_wiki_rows, ["wiki"], {"server": "last_non_null", "first_seen_at": "first"}),

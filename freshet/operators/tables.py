@@ -18,8 +18,8 @@ POSITION = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
 def bronze(envelopes: DataFrame, order: str = "ord") -> DataFrame:
-    """The newest payload at each position (a repeat replaces it)."""
-    return merge(envelopes, POSITION, [order], {"payload": "last", "ingested_at": "last"})
+    """The newest payload at each position (a repeat replaces it) and the source that came first."""
+    return merge(envelopes, POSITION, [order], {"source": "first", "payload": "last", "ingested_at": "last"})
 
 
 def silver(events: DataFrame, **filters) -> DataFrame:
@@ -32,7 +32,7 @@ def silver(events: DataFrame, **filters) -> DataFrame:
         "type",
         strip_blanks(F.coalesce("wiki", F.lit(""))).alias("wiki"),
         strip_blanks(F.coalesce("title", F.lit(""))).alias("title"),
-        link("title_url", F.lit(None).cast("string")).alias("url"),
+        link("title_url", "meta_uri").alias("url"),
         "user_name",
         F.coalesce("bot", F.lit(False)).alias("bot"),
         F.coalesce("minor", F.lit(False)).alias("minor"),

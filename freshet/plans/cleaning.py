@@ -139,11 +139,11 @@ _KV_FIELD = r"""trim(list_last(list_transform(list_filter(regexp_extract_all(con
 
 @query(
     f"""WITH {S.EV}, c AS (SELECT ord, {S.KV} AS content FROM ev)
-SELECT ord, {', '.join((_KV_FIELD % k) + f' AS kv_{k}' for k in ('type', 'wiki', 'title', 'user', 'bot', 'server', 'timestamp'))}
+SELECT ord, {', '.join((_KV_FIELD % k) + f' AS kv_{k}' for k in ('type', 'wiki', 'title', 'user', 'bot', 'comment', 'server', 'timestamp'))}
 FROM c"""
 )
 def kv_parse(spark, d):
-    names = ("type", "wiki", "title", "user", "bot", "server", "timestamp")
+    names = ("type", "wiki", "title", "user", "bot", "comment", "server", "timestamp")
     parsed = stored_content(_events(spark, d)).select("ord", T.parse_kv("content").alias("kv"))
     return parsed.select("ord", *[F.col("kv")[n].alias(f"kv_{n}") for n in names])
 

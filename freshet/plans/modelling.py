@@ -29,18 +29,26 @@ def _edits(spark, d):
     return ST.edits_from_content(stored_content(common_events(dealt(table(spark, d, "events")))))
 
 
+# The whole event as JSON, missing fields as null.
+_PAYLOAD = "ord type wiki server_name namespace title title_url user_name bot minor parsedcomment raw_comment notify_url meta_uri ts_epoch rev_old rev_new bytes_old bytes_new".split()
+
+
 @query(
-    f"""WITH {S.EV} SELECT {POSITION}, arg_max(rev_old, ord) AS payload, max(ord) AS ingested_at FROM ev GROUP BY {POSITION}"""
+    f"""WITH {S.EV}, j AS (SELECT *, to_json({{{', '.join(f"'{c}': {c}" for c in _PAYLOAD)}}})::VARCHAR AS payload,
+    CASE WHEN ord % 2 = 1 THEN 'replay' ELSE 'live' END AS source FROM ev)
+SELECT {POSITION}, arg_min(source, ord) AS source, sha256(arg_max(payload, ord)) AS payload_sha256, max(ord) AS ingested_at FROM j GROUP BY {POSITION}"""
 )
 def bronze_latest(spark, d):
-    rows = _events(spark, d).select(*TB.POSITION, "ord", F.col("rev_old").alias("payload"), F.col("ord").alias("ingested_at"))
-    return TB.bronze(rows)
+    payload = F.to_json(F.struct(*_PAYLOAD), {"ignoreNullFields": "false"})
+    source = F.when(F.col("ord") % 2 == 1, "replay").otherwise("live")
+    rows = _events(spark, d).select(*TB.POSITION, "ord", source.alias("source"), payload.alias("payload"), F.col("ord").alias("ingested_at"))
+    return TB.bronze(rows).select(*TB.POSITION, "source", F.sha2("payload", 256).alias("payload_sha256"), "ingested_at")
 
 
 @query(
     f"""WITH {S.EV}, k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {POSITION} ORDER BY ord) AS n FROM ev WHERE {S.KEEP}) WHERE n = 1),
 c AS (SELECT *, {S.content()} AS x, {S.COMMENT} AS comment FROM k)
-SELECT {POSITION}, ord, type, wiki, title, coalesce(title_url, '') AS url, user_name, coalesce(bot, false) AS bot, minor,
+SELECT {POSITION}, ord, type, wiki, title, trim(coalesce(title_url, meta_uri, '')) AS url, user_name, coalesce(bot, false) AS bot, minor,
     make_timestamp(ts_epoch * 1000000) AS event_time, comment, {S.truncate('x', 700)} AS content FROM c"""
 )
 def silver_events(spark, d):
@@ -91,53 +99,71 @@ def retention_deleted(spark, d):
 # Titles differ in blanks only, and only some arrivals carry a vector.
 _CHUNK_IN = f"""
 a AS (SELECT d.doc_id AS ord, d.source, CASE WHEN d.doc_id % 2 = 0 THEN ' Doc ' ELSE 'Doc' END AS title,
-    'https://docs.example.org/' || d.source AS url, d.text AS content, e.label AS embedding
+    'https://docs.example.org/' || d.source AS url, d.text AS content, e.embedding
   FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id),
 k AS (SELECT *, {S.sha1_key('source', 'title', 'url', 'content')} AS doc_key FROM a)"""
 
 
+def _vector_hash(x: str) -> str:
+    return f"sha256(array_to_string(list_transform({x}, lambda y: printf('%.8f', y)), ','))"
+
+
+def _with_vectors(spark, d):
+    """Documents, some of them with the vector of the same number."""
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    return table(spark, d, "documents").join(vectors, "doc_id", "left")
+
+
+def _hashed(df, name: str = "embedding"):
+    text = F.array_join(F.transform(F.col(name).cast("array<double>"), lambda y: F.format_string("%.8f", y)), ",")
+    return df.withColumn(name, F.sha2(text, 256))
+
+
 @query(
-    f"""WITH {_CHUNK_IN}
-SELECT doc_key, arg_max(title, ord) AS title, max(ord) AS last_ord, arg_max(embedding, ord) FILTER (embedding IS NOT NULL) AS embedding,
-    min(ord) AS created_at FROM k GROUP BY doc_key"""
+    f"""WITH {_CHUNK_IN}, m AS (SELECT doc_key, arg_max(source, ord) AS source, arg_max(title, ord) AS title, arg_max(url, ord) AS url, arg_max(content, ord) AS content,
+    max(ord) AS last_ord, arg_max(embedding, ord) FILTER (embedding IS NOT NULL) AS embedding, min(ord) AS created_at FROM k GROUP BY doc_key)
+SELECT * REPLACE ({_vector_hash('embedding')} AS embedding) FROM m"""
 )
 def chunk_upsert(spark, d):
-    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("embedding"))
-    docs = table(spark, d, "documents").select("doc_id", "source", F.col("text").alias("content"))
-    rows = docs.join(vectors, "doc_id", "left").select(
-        F.col("doc_id").alias("ord"),
-        F.col("doc_id").alias("last_ord"),
-        F.col("doc_id").alias("created_at"),
-        F.when(F.col("doc_id") % 2 == 0, " Doc ").otherwise("Doc").alias("title"),
+    """Whole rows through the merge; vectors are shown by their hash."""
+    doc = F.col("doc_id")
+    rows = _with_vectors(spark, d).select(
+        doc.alias("ord"),
+        doc.alias("last_ord"),
+        doc.alias("created_at"),
+        F.when(doc % 2 == 0, " Doc ").otherwise("Doc").alias("title"),
         F.concat(F.lit("https://docs.example.org/"), "source").alias("url"),
         "source",
-        "content",
+        F.col("text").alias("content"),
         "embedding",
     )
     keyed = rows.withColumn("doc_key", doc_key("source", "title", "url", "content"))
-    # Source, url and content are part of the key, so any arrival has the last ones.
-    rules = {"title": "last", "last_ord": "max", "embedding": "last_non_null", "created_at": "min"}
-    return merge(keyed, ["doc_key"], ["ord"], rules)
+    rules = {"source": "last", "title": "last", "url": "last", "content": "last", "last_ord": "max", "embedding": "last_non_null", "created_at": "min"}
+    return _hashed(merge(keyed, ["doc_key"], ["ord"], rules))
 
 
 @query(
-    """WITH a AS (SELECT d.doc_id AS ord, sha1(d.text) AS id, d.source, CAST(d.doc_id % 5 AS INT) AS chunk_index, d.lang AS metadata,
-    e.label AS embedding FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id)
-SELECT id, arg_min(source, ord) AS source, arg_min(chunk_index, ord) AS chunk_index, arg_max(metadata, ord) AS metadata,
-    arg_max_null(embedding, ord) AS embedding FROM a GROUP BY id"""
+    f"""WITH a AS (SELECT d.doc_id AS ord, sha1(d.text) AS id, d.source, CAST(d.doc_id AS VARCHAR) AS doc_id, CAST(d.doc_id % 5 AS INT) AS chunk_index, d.text,
+    to_json({{'lang': d.lang, 'n_chars': d.n_chars}})::VARCHAR AS metadata, e.embedding FROM documents d LEFT JOIN embeddings e ON e.vec_id = d.doc_id),
+m AS (SELECT id, arg_min(source, ord) AS source, arg_min(doc_id, ord) AS doc_id, arg_min(chunk_index, ord) AS chunk_index, arg_max(text, ord) AS text,
+    arg_max(metadata, ord) AS metadata, arg_max_null(embedding, ord) AS embedding FROM a GROUP BY id)
+SELECT * REPLACE ({_vector_hash('embedding')} AS embedding) FROM m"""
 )
 def rag_chunk_upsert(spark, d):
-    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("embedding"))
-    rows = table(spark, d, "documents").join(vectors, "doc_id", "left").select(
-        F.col("doc_id").alias("ord"),
+    """Whole rows; the last text, metadata and vector stay, and a missing vector replaces one that was there."""
+    doc = F.col("doc_id")
+    rows = _with_vectors(spark, d).select(
+        doc.alias("ord"),
         F.sha1("text").alias("id"),
         "source",
-        (F.col("doc_id") % 5).cast("int").alias("chunk_index"),
-        F.col("lang").alias("metadata"),
+        doc.cast("string").alias("doc_id"),
+        (doc % 5).cast("int").alias("chunk_index"),
+        "text",
+        F.to_json(F.struct("lang", "n_chars")).alias("metadata"),
         "embedding",
     )
-    rules = {"source": "first", "chunk_index": "first", "metadata": "last", "embedding": "last"}
-    return merge(rows, ["id"], ["ord"], rules)
+    rules = {"source": "first", "doc_id": "first", "chunk_index": "first", "text": "last", "metadata": "last", "embedding": "last"}
+    return _hashed(merge(rows, ["id"], ["ord"], rules))
 
 
 @query("SELECT min(doc_id) AS doc_id, arg_min(source, doc_id) AS source, sha256(text) AS text_hash FROM documents GROUP BY sha256(text)")
@@ -176,8 +202,8 @@ fact AS (SELECT {POSITION}, kafka_topic || '/' || CAST(kafka_partition AS VARCHA
     make_timestamp(nullif(greatest(ts_epoch, 0), 0) * 1000000) AS occurred_at,
     CASE WHEN wiki <> '' THEN {S.surrogate('wiki')} END AS wiki_id,
     CASE WHEN wiki <> '' THEN {S.surrogate('wiki', 'namespace', 'title')} END AS page_id,
-    {S.surrogate('user_name')} AS user_id, type AS event_type, parsedcomment AS comment, bot AS is_bot, minor AS is_minor,
-    rev_old, rev_new, bytes_old, bytes_new, CAST(NULL AS VARCHAR) AS notify_url, server_name AS server FROM f)"""
+    {S.surrogate('user_name')} AS user_id, type AS event_type, raw_comment AS comment, bot AS is_bot, minor AS is_minor,
+    rev_old, rev_new, bytes_old, bytes_new, notify_url, server_name AS server FROM f)"""
 
 
 @query(f"WITH {S.EV}, {_FACT} SELECT * FROM fact")
@@ -247,8 +273,8 @@ def new_only(spark, d):
 
 # The text of the key=value content is checked by `kv_parse`; here its fields are taken from the event.
 _EDITS = f"""
-e AS (SELECT {POSITION}, ord, type AS event_type, nullif(wiki, '') AS wiki, title, title_url AS url, user_name, bot AS is_bot,
-    CAST(NULL AS VARCHAR) AS comment, server_name AS server, make_timestamp(ts_epoch * 1000000) AS edited_at,
+e AS (SELECT {POSITION}, ord, ord AS chunk_id, type AS event_type, nullif(wiki, '') AS wiki, title, title_url AS url, user_name, bot AS is_bot,
+    {S.strip('raw_comment')} AS comment, server_name AS server, make_timestamp(ts_epoch * 1000000) AS edited_at,
     make_timestamp((ts_epoch + 60) * 1000000) AS ingested_at FROM ev)"""
 
 
@@ -290,7 +316,7 @@ def dim_page_title_pages(spark, d):
 
 
 @query(
-    f"""WITH {S.EV}, {_EDITS} SELECT {POSITION}, event_type, wiki, title, url, user_name, is_bot, comment, server, edited_at, ingested_at
+    f"""WITH {S.EV}, {_EDITS} SELECT {POSITION}, chunk_id, event_type, wiki, title, url, user_name, is_bot, comment, server, edited_at, ingested_at
 FROM (SELECT *, row_number() OVER (PARTITION BY {POSITION} ORDER BY ord) AS n FROM e) WHERE n = 1"""
 )
 def fact_edit_kv(spark, d):

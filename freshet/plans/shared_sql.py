@@ -23,6 +23,9 @@ ev AS (SELECT 'events' AS kafka_topic, CAST(user_id % 3 AS INT) AS kafka_partiti
   CASE WHEN event_id % 17 = 0 THEN NULL ELSE user_id % 10 = 0 END AS bot,
   event_id % 2 = 0 AS minor,
   CASE WHEN event_id % 7 = 0 THEN NULL ELSE '  changed  <b>' || props || '</b>&amp; more ' END AS parsedcomment,
+  CASE WHEN event_id % 14 = 3 THEN NULL ELSE ' plain' || chr(160) || ' note ' || props || ' ' END AS raw_comment,
+  CASE WHEN event_id % 4 = 0 THEN 'https://h.example.org/w/index.php?diff=' || CAST(event_id AS VARCHAR) END AS notify_url,
+  CASE WHEN event_id % 8 = 6 THEN NULL ELSE ' https://h.example.org/uri/' || CAST(event_id % 200 AS VARCHAR) END AS meta_uri,
   CAST(floor(epoch(ts)) AS BIGINT) AS ts_epoch,
   CASE WHEN replay = 1 THEN event_id ELSE event_id - 1 END AS rev_old, event_id AS rev_new,
   CAST(floor(value * 10) AS INT) AS bytes_old,
@@ -61,13 +64,13 @@ def truncate(x: str, n: int) -> str:
     return f"CASE WHEN length({x}) > {n} THEN {cut} || '…' ELSE {x} END"
 
 
-COMMENT = f"CASE WHEN parsedcomment IS NULL THEN '' ELSE {normalize(unescape(drop_tags('parsedcomment')))} END"
+COMMENT = f"CASE WHEN parsedcomment IS NULL THEN {normalize("coalesce(raw_comment, '')")} ELSE {normalize(unescape(drop_tags('parsedcomment')))} END"
 
 
 def content(comment: str = COMMENT) -> str:
     return f"""concat_ws(chr(10), 'Title: ' || title, 'Type: ' || type,
       'Wiki: ' || wiki || coalesce(' (' || server_name || ')', ''),
-      CASE WHEN {comment} <> '' THEN 'Comment: ' || {comment} END,
+      CASE WHEN {comment} <> '' THEN 'Comment: ' || {comment} END, 'Diff: ' || notify_url,
       CASE WHEN rev_old <> 0 OR rev_new <> 0 THEN
         'Revision: ' || coalesce(CAST(rev_old AS VARCHAR), 'None') || ' -> ' || coalesce(CAST(rev_new AS VARCHAR), 'None') END,
       CASE WHEN bytes_old IS NOT NULL AND bytes_new IS NOT NULL THEN
@@ -76,6 +79,7 @@ def content(comment: str = COMMENT) -> str:
 
 KV = """concat_ws(' | ', 'type=' || coalesce(type, 'None'), 'wiki=' || coalesce(wiki, 'None'), 'title=' || coalesce(title, 'None'),
       'user=' || coalesce(user_name, 'None'), 'bot=' || CASE WHEN bot THEN 'True' WHEN NOT bot THEN 'False' ELSE 'None' END,
+      'comment=' || raw_comment,
       'server=' || server_name, CASE WHEN ts_epoch <> 0 THEN 'timestamp=' || CAST(ts_epoch AS VARCHAR) END)"""
 
 

@@ -37,6 +37,9 @@ def common_events(events: DataFrame) -> DataFrame:
         F.when(e % 17 != 0, F.col("user_id") % 10 == 0).alias("bot"),
         (e % 2 == 0).alias("minor"),
         F.when(e % 7 != 0, F.concat(F.lit("  changed  <b>"), F.col("props"), F.lit("</b>&amp; more "))).alias("parsedcomment"),
+        F.when(e % 14 != 3, F.concat(F.lit(" plain\u00a0 note "), F.col("props"), F.lit(" "))).alias("raw_comment"),
+        F.when(e % 4 == 0, F.concat(F.lit("https://h.example.org/w/index.php?diff="), e.cast("string"))).alias("notify_url"),
+        F.when(e % 8 != 6, F.concat(F.lit(" https://h.example.org/uri/"), page)).alias("meta_uri"),
         epoch_seconds("ts").alias("ts_epoch"),
         F.when(F.col("replay") == 1, e).otherwise(e - 1).alias("rev_old"),
         e.alias("rev_new"),
@@ -54,9 +57,10 @@ def stored_content(events: DataFrame) -> DataFrame:
         "kafka_partition",
         "kafka_offset",
         "ord",
+        F.col("ord").alias("id"),
         "title",
         F.col("title_url").alias("url"),
-        build_kv("type", "wiki", "title", "user_name", "bot", F.lit(None).cast("string"), "server_name", "ts_epoch").alias("content"),
+        build_kv("type", "wiki", "title", "user_name", "bot", "raw_comment", "server_name", "ts_epoch").alias("content"),
         F.timestamp_seconds(F.col("ts_epoch") + 60).alias("created_at"),
     )
 
@@ -77,8 +81,8 @@ def envelopes(events: DataFrame) -> DataFrame:
 # The JSON value of an envelope.
 PAYLOAD_SCHEMA = (
     "ord bigint, type string, wiki string, server_name string, namespace int, title string, title_url string, "
-    "user_name string, bot boolean, minor boolean, parsedcomment string, ts_epoch bigint, rev_old bigint, "
-    "rev_new bigint, bytes_old int, bytes_new int"
+    "user_name string, bot boolean, minor boolean, parsedcomment string, raw_comment string, notify_url string, meta_uri string, "
+    "ts_epoch bigint, rev_old bigint, rev_new bigint, bytes_old int, bytes_new int"
 )
 
 
