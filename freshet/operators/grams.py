@@ -16,31 +16,31 @@ from freshet.functions.text import strip_blanks
 from freshet.operators.joins import spread_join
 from freshet.session import stored
 
-RAREST = 4  # sequences of a query that its candidates must have
+RAREST = 8  # sequences of a query that its candidates must have
 LONGEST = 3
+WIDTHS = tuple(range(LONGEST + 1))
 
 
-def _windows(signs: Column, width: int) -> Column:
-    """All stretches of ``width`` elements, each joined to one text."""
-    count = F.greatest(F.size(signs) - (width - 1), F.lit(0))
-    shifted = [F.slice(signs, F.lit(i + 1), count) for i in range(width)]
-    return F.transform(F.arrays_zip(*[s.alias(f"_{i}") for i, s in enumerate(shifted)]), lambda x: F.concat(*[x[f"_{i}"] for i in range(width)]))
+def _windows(text: Column, width: int) -> Column:
+    """All stretches of ``width`` signs of a text, each from its own place on."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{width}}}))"), F.lit(1))
 
 
-def gram_index(df: DataFrame, cols: Sequence[str], key: str = "id", only: DataFrame | None = None) -> DataFrame:
+def gram_index(df: DataFrame, cols: Sequence[str], key: str = "id", only: DataFrame | None = None, widths: Sequence[int] = WIDTHS) -> DataFrame:
     """``gram, id``: the different sequences of signs of each row; null texts have none but the empty one.
 
-    With ``only`` (a column ``gram``) others are dropped before anything is shuffled.
+    With ``only`` (a column ``gram``) others are dropped before anything is shuffled, and ``widths`` may leave out
+    lengths that nobody asks for; 0 stands for the empty one.
     """
-    rows = df.select(F.col(key).alias("id"), *[F.split(F.lower(F.coalesce(c, F.lit(""))), "").alias(f"_s{i}") for i, c in enumerate(cols)])
-    found = [_windows(F.col(f"_s{i}"), width) for i in range(len(cols)) for width in range(1, LONGEST + 1)]
-    grams = F.array_distinct(F.concat(F.array(F.lit("")), *found))
-    index = rows.select("id", F.explode(grams).alias("gram"))
+    low = [F.lower(F.coalesce(c, F.lit(""))) for c in cols]
+    found = [_windows(text, width) for text in low for width in widths if width]
+    empty = F.array(F.lit("")) if 0 in widths else F.array().cast("array<string>")
+    index = df.select(F.col(key).alias("id"), F.explode(F.array_distinct(F.concat(empty, *found))).alias("gram"))
     return index if only is None else index.join(only.select("gram").distinct(), "gram", "left_semi")
 
 
 def pattern_grams(pattern: Column | str, literal: bool = False) -> Column:
-    """The sequences every text must have that holds ``pattern``; longest ones only, the empty one without any."""
+    """The sequences that every text must have that holds ``pattern``; longest ones only, the empty one without any."""
     whole = F.lower(F.col(pattern) if isinstance(pattern, str) else pattern)
     if literal:
         parts = F.array(whole)
@@ -50,15 +50,15 @@ def pattern_grams(pattern: Column | str, literal: bool = False) -> Column:
         parts = F.transform(parts, lambda p: F.regexp_replace(p, r"(?s)\\(.)", "$1"))
 
     def of(part: Column) -> Column:
-        signs, length = F.split(part, ""), F.char_length(part)
-        return F.when(length >= LONGEST, _windows(signs, LONGEST)).otherwise(F.array(part))
+        return F.when(F.char_length(part) >= LONGEST, _windows(part, LONGEST)).otherwise(F.array(part))
 
     return F.array_distinct(F.flatten(F.transform(F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit(""))), of)))
 
 
 def holds(text: Column, pattern: Column, literal: bool) -> Column:
-    """Does a text hold the pattern, whatever the case?"""
-    found = F.contains(F.lower(text), F.lower(pattern)) if literal else F.ilike(text, F.concat(F.lit("%"), pattern, F.lit("%")))
+    """Does a lower-cased text hold the lower-cased pattern? Only patterns with wildcards are matched sign by sign."""
+    plain = F.lit(True) if literal else ~pattern.rlike(r"[%_\\]")
+    found = F.when(plain, F.contains(text, pattern)).otherwise(F.like(text, F.concat(F.lit("%"), pattern, F.lit("%"))))
     return F.coalesce(found, F.lit(False))
 
 
@@ -79,18 +79,22 @@ def batch_match(rows: DataFrame, queries: DataFrame, cols: Sequence[str], key: s
     """
     asked = stored(asked_patterns(queries, literal), "asked")
     wild = F.col("query") if literal else F.concat(F.lit("%"), F.col("query"), F.lit("%"))
-    keys = asked.select("query_id", F.explode(pattern_grams(wild, literal)).alias("gram"))
+    keys = stored(asked.select("query_id", F.explode(pattern_grams(wild, literal)).alias("gram")), "asked_grams")
     if index is None:
-        index = stored(gram_index(rows, cols, key, only=keys), "grams")
+        # Short sequences are asked for by patterns with little between their wildcards only.
+        widths = [r[0] for r in keys.select(F.char_length("gram")).distinct().collect()]  # at most four
+        index = stored(gram_index(rows, cols, key, only=keys, widths=widths), "grams")
     sizes = stored(index.join(keys.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram_sizes")
     order = Window.partitionBy("query_id").orderBy(F.coalesce("n", F.lit(0)), "gram")
     rarest = keys.join(sizes, "gram", "left").withColumn("_at", F.row_number().over(order)).where(F.col("_at") <= RAREST)
     rarest = stored(rarest.select("query_id", "gram"), "rarest")
     needed = rarest.groupBy("query_id").agg(F.count(F.lit(1)).alias("needed"))
-    met = spread_join(index, rarest, "gram", sizes, by="id").groupBy("query_id", "id").agg(F.count(F.lit(1)).alias("met"))
+    # A short list of queries goes to the entries; of a long one, both sides meet by sequence.
+    used, picked = (df.join(rarest.select("gram").distinct(), "gram", "left_semi") for df in (index, sizes))
+    met = spread_join(used, rarest, "gram", picked, by="id").groupBy("query_id", "id").agg(F.count(F.lit(1)).alias("met"))
     candidates = met.join(needed, "query_id").where("met = needed").select("query_id", "id").join(asked, "query_id")
-    texts = rows.select(F.col(key).alias("id"), *[F.col(c).alias(f"_t{i}") for i, c in enumerate(cols)])
+    texts = rows.select(F.col(key).alias("id"), *[F.lower(c).alias(f"_t{i}") for i, c in enumerate(cols)])
     found = F.lit(False)
     for i in range(len(cols)):
-        found |= holds(F.col(f"_t{i}"), F.col("query"), literal)
+        found |= holds(F.col(f"_t{i}"), F.lower("query"), literal)
     return candidates.join(texts, "id").where(found).select("query_id", "id").distinct()

@@ -22,12 +22,6 @@ TITLE_WEIGHT, TEXT_WEIGHT = 1.0, 0.1
 ALL_PLACES = 1.64493406685
 
 
-def _places(col: str, after: Column) -> Column:
-    """``position, token`` for every word of a text, counted from ``after`` + 1."""
-    words = tokens(col)
-    return F.transform(words, lambda w, i: F.struct((i + 1 + after).cast("int").alias("position"), w.alias("token")))
-
-
 def _stems(words: DataFrame) -> DataFrame:
     """The different words with their stems, written once: filters on the stem would else be pushed into all its rules."""
     return stored(with_stems(words.select("token").distinct()), "stems")
@@ -49,10 +43,9 @@ def word_index(
     once for each different word.
     """
     begin = F.size(tokens(title)) if title else F.lit(0)
-    rows = docs.select(F.col(key).alias("id"), begin.alias("_t"), *[F.col(c) for c in (title, text) if c])
-    parts = [_places(c, F.lit(0) if c == title else F.col("_t")) for c in (title, text) if c]
-    words = rows.select("id", "_t", F.explode(F.concat(*parts)).alias("_p")).select("id", "_t", "_p.position", "_p.token")
-    words = words.where(~F.col("token").isin(*stop_words))
+    placed = F.posexplode(F.concat(*[tokens(c) for c in (title, text) if c])).alias("_at", "token")
+    words = docs.select(F.col(key).alias("id"), begin.alias("_t"), placed).where(~F.col("token").isin(*stop_words))
+    words = words.select("id", "_t", (F.col("_at") + 1).alias("position"), "token")
     by_word = words.groupBy("token", "id").agg(
         F.collect_list("position").alias("positions"), F.sum((F.col("position") <= F.col("_t")).cast("int")).cast("int").alias("in_title")
     )
@@ -77,8 +70,7 @@ def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def query_stems(queries: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """``query_id, stem, places``: the different stems of each query (``query_id, query``) and where they stand in it."""
-    words = queries.select("query_id", F.explode(_places("query", F.lit(0))).alias("_p")).select("query_id", "_p.position", "_p.token")
-    words = words.where(~F.col("token").isin(*stop_words))
+    words = queries.select("query_id", F.posexplode(tokens("query")).alias("position", "token")).where(~F.col("token").isin(*stop_words))
     stems = _stems(words)
     return words.join(stems, "token").groupBy("query_id", "stem").agg(F.sort_array(F.collect_list("position")).alias("places"))
 

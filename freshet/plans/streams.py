@@ -10,7 +10,7 @@ from freshet.operators.star import POSITION
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
 from freshet.plans.modelling import _EDITS
-from freshet.session import shared_dir
+from freshet.session import shared_dir, stored
 from freshet.sources.events import common_events, envelopes, from_envelopes, stored_content
 from freshet.sources.tables import table
 from freshet.streaming import flows
@@ -154,7 +154,7 @@ FROM f LEFT JOIN w ON w.wiki = f.wiki LEFT JOIN u ON u.user_name = f.user_name L
 )
 def star_incremental(spark, d):
     """The star built over several batches of stored rows, the table growing in between, and joined again."""
-    rows = stored_content(common_events(table(spark, d, "events")))
+    rows = stored(stored_content(common_events(table(spark, d, "events"))), "rows")
     star = star_tables(spark, shared_dir(spark, "star"), fold_every=3)
     low, high = rows.agg(F.min("ord"), F.max("ord")).first()
     page = max(1, (high - low) // 4) if high is not None else 1

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.operators.star import ORDER, SEEN, edits_from_content
+from freshet.session import stored
 from freshet.streaming.snapshots import TableGroup
 
 PAGE = 1_000_000  # stored ids that one batch covers
@@ -28,7 +29,8 @@ def advance(star: TableGroup, stored_rows: DataFrame, page: int = PAGE, key: str
     at = (low - 1 if low is not None else 0) if done is None else done
     while high is not None and at < high:
         upto = min(at + page, high)
-        edits = edits_from_content(stored_rows.where((F.col(key) > at) & (F.col(key) <= upto)))
+        # Read back by four tables, worked out once.
+        edits = stored(edits_from_content(stored_rows.where((F.col(key) > at) & (F.col(key) <= upto))), "edits")
         # A batch is named by where it begins: run again, it writes the same folders.
         star.apply({name: rows(edits) for name, (rows, _, _) in SEEN.items()}, upto, at + 1)
         at, batches = upto, batches + 1
