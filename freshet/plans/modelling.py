@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from freshet.functions.keys import doc_key
@@ -12,6 +14,7 @@ from freshet.operators.joins import lookup, only_new, violations
 from freshet.operators.merge import first_per_key, merge
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
+from freshet.session import shared_dir
 from freshet.sources.events import common_events, stored_content
 from freshet.sources.tables import dealt, table
 
@@ -93,6 +96,31 @@ def retention_deleted(spark, d):
     return TB.pruned_count(table(spark, d, "events"), "ts", 7, "2024-01-31 00:00:00")
 
 
+@query(
+    f"""WITH {S.EV}, k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {POSITION} ORDER BY ord) AS n FROM ev WHERE {S.KEEP}) WHERE n = 1)
+SELECT {POSITION}, ord, CAST(make_timestamp(ts_epoch * 1000000) AS DATE) AS event_date, {S.truncate(S.content(), 700)} AS content FROM k"""
+)
+def silver_daily(spark, d):
+    """Silver by date, filled by three batches that all touch most dates; repeats meet across batches."""
+    path = shared_dir(spark, "silver")
+    for part in range(3):
+        rows = TB.silver(_events(spark, d).where(F.col("ord") % 3 == part))
+        TB.upsert_dates(rows, path, "event_time", TB.POSITION, ["ord"])
+    return spark.read.parquet(path).select(*TB.POSITION, "ord", "event_date", "content")
+
+
+@query(
+    """SELECT CAST(ts AS DATE) AS event_date, count(*) AS n, min(event_id) AS first_id FROM events
+WHERE ts >= TIMESTAMP '2024-01-30 05:30:00' - INTERVAL 7 DAY GROUP BY 1"""
+)
+def retention_partitions(spark, d):
+    """What is left of the events by date after the old ones were dropped by folder."""
+    path = shared_dir(spark, "dated")
+    TB.replace_dates(table(spark, d, "events").select("event_id", "ts"), path, "ts")
+    TB.expire_dates(spark, path, "ts", 7, datetime(2024, 1, 30, 5, 30))
+    return spark.read.parquet(path).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"))
+
+
 # --- merge ---------------------------------------------------------------------
 
 # Documents arrive by id; copies of one text from one source are the same chunk.

@@ -1,3 +1,5 @@
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from freshet.operators import joins as J
@@ -81,3 +83,32 @@ def test_write_by_date_prunes(spark, tmp_path):
     assert [r["id"] for r in back.collect()] == [1]
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_dates_are_replaced_and_expired_by_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "k string, o int, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def held():
+        return sorted((tuple(r) for r in spark.read.parquet(path).select("k", "o").collect()), key=str)
+
+    def files(day):
+        return sorted(p.name for p in (tmp_path / "t" / f"event_date={day}").iterdir())
+
+    T.upsert_dates(batch([("a", 5, "2024-01-01 10:00:00"), ("b", 1, "2024-01-02 01:00:00"), ("c", 1, "2024-01-02 09:00:00"), ("n", 1, None)]), path, "ts", ["k"], ["o"])
+    before = files("2024-01-02")
+    again = [("a", 3, "2024-01-01 10:00:00"), ("a", 9, "2024-01-01 10:00:00"), ("d", 1, "2024-01-03 00:00:00")]
+    for _ in range(2):
+        T.upsert_dates(batch(again), path, "ts", ["k"], ["o"])
+        assert held() == [("a", 3), ("b", 1), ("c", 1), ("d", 1), ("n", 1)]
+    # A date that the batch does not have is not written again.
+    assert files("2024-01-02") == before
+    plan = spark.read.parquet(path).where("event_date = date'2024-01-02'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert T.expire_dates(spark, path, "ts", 1, datetime(2024, 1, 3, 5)) == 1
+    assert held() == [("c", 1), ("d", 1), ("n", 1)]
+    # The whole edge date goes; without a time a row stays.
+    assert T.expire_dates(spark, path, "ts", 0, datetime(2024, 1, 3, 0, 0, 1)) == 1
+    assert held() == [("n", 1)]
