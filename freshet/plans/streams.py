@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from freshet.functions.times import plain_time
 from freshet.operators.filters import keep_condition
+from freshet.operators.metrics import LATENCY_BOUNDS
 from freshet.operators.star import POSITION
 from freshet.plans import Registry
 from freshet.plans import shared_sql as S
+from freshet.plans.flow import _cumulative_quantile
 from freshet.plans.modelling import _EDITS
 from freshet.session import shared_dir, stored
 from freshet.sources.events import common_events, envelopes, from_envelopes, stored_content
@@ -116,6 +118,28 @@ def stream_windows(spark, d):
     )
 
 
+_BUCKETS = ", ".join(f"count(*) FILTER (v <= {b}) AS le_{i}" for i, b in enumerate(LATENCY_BOUNDS))
+
+
+@query(
+    f"""WITH {S.EV}, r AS (SELECT wiki, type, bytes_old / 200.0 AS v, ts_epoch // 7200 * 7200 - 7200 * unnest([0, 1, 2]) AS w FROM ev),
+bk AS (SELECT wiki, w, {_BUCKETS}, count(v) AS le_inf, count(*) AS n, count(*) FILTER (type = 'categorize') AS failures FROM r GROUP BY 1, 2)
+SELECT wiki, make_timestamp(w * 1000000) AS window_start, n, round({_cumulative_quantile(0.95)}, 6) AS p95,
+    round(100.0 * failures / greatest(CAST(n - failures AS DOUBLE), 1e-9), 6) AS error_ratio FROM bk"""
+)
+def stream_p95(spark, d):
+    """Latency and failures of six hours, every two hours, kept as bucket counts with a lateness of minutes."""
+    messages, checkpoint, sink = _messages(spark, d)
+    timed = from_envelopes(messages).withColumn("at", F.timestamp_seconds("ts_epoch"))
+    found = flows.windowed_latency(timed, "at", F.col("bytes_old") / 200, F.col("type") == "categorize", "6 hours", "2 hours", ["wiki"])
+    flows.drain(found, checkpoint, each=idempotent_writer(sink), mode="update")
+    # Each batch writes the windows it changed; the one with most rows is a window's last.
+    last = spark.read.parquet(sink).groupBy("wiki", "window_start").agg(F.max(F.struct("n", "quantile", "error_ratio")).alias("x"))
+    return last.select(
+        "wiki", plain_time("window_start").alias("window_start"), "x.n", F.round("x.quantile", 6).alias("p95"), F.round("x.error_ratio", 6).alias("error_ratio")
+    )
+
+
 # Every 40th event arrives when all others are there.
 _HELD_BACK = "kafka_offset % 40 = 7"
 

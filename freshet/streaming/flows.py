@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator, Sequence
 from datetime import datetime, timezone
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from freshet.operators.content import with_content
 from freshet.operators.filters import keep_condition
+from freshet.operators.metrics import LATENCY_BOUNDS, bucket_quantile, error_ratio
 from freshet.sources.events import from_envelopes
 
 TRIGGER = "10 seconds"
@@ -74,6 +75,24 @@ def windowed_counts(events: DataFrame, ts: str, width: str, slide: str | None =
     )
 
 
+def windowed_latency(
+    events: DataFrame, ts: str, latency: Column, failed: Column, width: str, slide: str | None = None, by: Sequence[str] = (), q: float = 0.95, lateness: str = LATENESS
+) -> DataFrame:
+    """``window_start, n, quantile, error_ratio`` of each window that a batch changed.
+
+    The state of a window is its bucket counts, whatever its traffic; the quantile and the failures per hundred successes are
+    taken from them at output. Rows behind the watermark no longer count.
+    """
+    window = F.window(F.col(ts), width, slide) if slide else F.window(F.col(ts), width)
+    rows = events.withWatermark(ts, lateness).withColumn("_v", latency).withColumn("_failed", F.coalesce(failed, F.lit(False)))
+    counts = [F.count_if(F.col("_v") <= b).alias(f"le_{i}") for i, b in enumerate(LATENCY_BOUNDS)]
+    found = rows.groupBy(*by, window.alias("w")).agg(
+        *counts, F.count("_v").alias("le_inf"), F.count(F.lit(1)).alias("n"), F.count_if("_failed").alias("failures")
+    )
+    ratio = error_ratio(F.col("failures"), F.col("n") - F.col("failures"))
+    return found.select(*by, F.col("w.start").alias("window_start"), "n", bucket_quantile(q).alias("quantile"), ratio.alias("error_ratio"))
+
+
 def late_rows(batch: DataFrame, ts: str, watermark) -> DataFrame:
     """Rows of a micro-batch behind the watermark, for a side table."""
     return batch.where(F.col(ts) < F.lit(watermark).cast("timestamp"))
