@@ -63,6 +63,11 @@ def gold(docs: DataFrame, text: str = "text", short_chars: int = 200) -> DataFra
     return merged.withColumn("quality_flags", flags)
 
 
+def newest_rows(df: DataFrame, ts: str, tie: str, k: int = 10) -> DataFrame:
+    """The newest ``k`` whole rows; rows without a time come last. Each task sends ``k`` rows at most."""
+    return df.orderBy(F.col(ts).desc_nulls_last(), F.col(tie).desc()).limit(k)
+
+
 def write_by_date(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
     """Parquet under one folder per event date, which time filters prune."""
     df.withColumn("event_date", F.to_date(F.col(ts))).write.mode(mode).partitionBy("event_date").parquet(path)

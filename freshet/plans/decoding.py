@@ -10,6 +10,7 @@ from freshet.operators import decode as D
 from freshet.operators.embedding import pending
 from freshet.operators.filters import recent
 from freshet.operators.merge import evolve
+from freshet.operators.tables import newest_rows
 from freshet.plans import Registry
 from freshet.plans.shared_sql import EV
 from freshet.sources.events import common_events
@@ -248,6 +249,12 @@ def table_snapshot(spark, d):
     return out
 
 
+@query("SELECT * FROM orders ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC LIMIT 10")
+def newest_orders(spark, d):
+    """Whole rows, as a look at a table's newest ones."""
+    return newest_rows(table(spark, d, "orders"), "o_orderdate", "o_orderkey")
+
+
 @query(
     """
 SELECT event_id AS id, event_type, CAST(NULL AS VARCHAR) AS role, props AS text FROM events
