@@ -68,8 +68,10 @@ def _in_lists(rows: DataFrame, probed: DataFrame) -> tuple[DataFrame, DataFrame]
     """Rows of probed lists, and queries by list, both dealt to cells ``list, rb, qb`` of bounded size.
 
     Of a list with many rows or many queries there are several cells; its number of either comes from counts by
-    list, a table of as many rows as the index has lists.
+    list, a table of as many rows as the index has lists. The columns of a cell have one type on both sides: cells are met
+    by hash, and a whole number of another width has another hash.
     """
+    rows, probed = (df.withColumn("list", F.col("list").cast("int")) for df in (rows, probed))
     many = probed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / V.BLOCK_ROWS).cast("int").alias("_qs"))
     held = rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / V.BLOCK_ROWS).cast("int").alias("_rs"))
     sizes = F.broadcast(stored(many.join(held, "list"), "list_sizes"))

@@ -243,3 +243,19 @@ def test_cache_touch_and_semantic(spark):
     asked = spark.createDataFrame([(1, [0.99, 0.1]), (2, [0.7, 0.7])], "id long, embedding array<double>")
     got = {r["query_id"]: r["match_id"] for r in answer_cache.semantic_lookup(asked, stored).collect()}
     assert got == {1: 7, 2: None}
+
+
+def test_ivf_topk_meets_its_lists_in_any_number_of_partitions(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(400, 8)))]
+    chunks = spark.createDataFrame(rows, "id bigint, embedding array<double>")
+    queries = chunks.where("id < 5")
+    ann.ivf_build(chunks, str(tmp_path), lists=6)
+    # Small shuffles are otherwise read as one partition, where every cell meets.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ann.ivf_topk(spark, str(tmp_path), queries, 7, nprobe=6).select("query_id", "id", "rank", "distance").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = V.batch_topk(chunks, queries, 7).select("query_id", "id", "rank", "distance").collect()
+    assert sorted(got) == sorted(want)
