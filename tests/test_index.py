@@ -151,6 +151,34 @@ def test_single_query_edges(spark):
     assert [V.clamp_k(k) for k in (None, 0, -4, 7, 99)] == [3, 3, 1, 7, 20]
 
 
+def test_decimals_are_those_of_printf(spark):
+    rng = np.random.default_rng(3)
+    values = [-0.103515625, 0.0703125, -0.0703125, 2.5e-8, 1e-10, -1e-10, -0.0, 0.0, *(float(x) for x in rng.integers(-(2**14), 2**14, 500) / 2**13)]
+    values += [float(x) for x in np.round(rng.uniform(-1, 1, 500), 9)]
+    df = spark.createDataFrame([(values,)], "v array<double>")
+    for digits in (6, 8):
+        got = df.select(F.transform("v", lambda x: VF.fixed(x, digits))).first()[0]
+        assert got == [f"{x:.{digits}f}" for x in values]
+    assert df.select(VF.to_literal("v")).first()[0] == "[" + ",".join(f"{x:.8f}" for x in values) + "]"
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
+    assert [r[0] for r in odd.select(VF.fixed("x", 8)).collect()] == ["nan", "inf", "-inf"]
+
+
+@pytest.mark.parametrize("name", ["backfill_merge", "chunk_upsert", "rag_chunk_upsert"])
+def test_queries_show_vectors_as_their_sql_does(spark, tmp_path, name):
+    from __spark_entry__ import oracle_sql, queries
+    from compare import difference, duck
+
+    # Parts that lie halfway between two decimals, below zero and above.
+    docs = [(1, "one", "en", "web", 3), (2, "two", "de", "web", 3), (3, "three", None, "news", 5)]
+    vectors = [(1, [-0.103515625, 0.0703125, 0.001953125]), (2, [0.103515625, -0.0703125, -0.005859375])]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").toPandas().to_parquet(tmp_path / "documents.parquet")
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").toPandas().to_parquet(tmp_path / "embeddings.parquet")
+    for table in "region nation customer supplier part orders lineitem events pages benchmark labels conversations".split():
+        (tmp_path / f"{table}.parquet").symlink_to(f"/root/testdata/sf0.001/{table}.parquet")
+    assert difference(queries()[name](spark, str(tmp_path)), duck(str(tmp_path)), oracle_sql()[name]) is None
+
+
 def test_mixed_widths_fail_loudly(spark):
     rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0])], "id long, embedding array<double>").coalesce(1)
     with pytest.raises(Exception, match="different width"):
