@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions.keys import doc_key
 from freshet.functions.times import plain_time
+from freshet.functions.vectors import fixed
 from freshet.operators import star as ST
 from freshet.operators import tables as TB
 from freshet.operators.joins import lookup, only_new, violations
@@ -143,7 +144,7 @@ def _with_vectors(spark, d):
 
 
 def _hashed(df, name: str = "embedding"):
-    text = F.array_join(F.transform(F.col(name).cast("array<double>"), lambda y: F.format_string("%.8f", y)), ",")
+    text = F.array_join(F.transform(F.col(name).cast("array<double>"), lambda y: fixed(y, 8)), ",")
     return df.withColumn(name, F.sha2(text, 256))
 
 
