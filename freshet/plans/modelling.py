@@ -188,7 +188,7 @@ def rag_chunk_upsert(spark, d):
         doc.cast("string").alias("doc_id"),
         (doc % 5).cast("int").alias("chunk_index"),
         "text",
-        F.to_json(F.struct("lang", "n_chars")).alias("metadata"),
+        F.to_json(F.struct("lang", "n_chars"), {"ignoreNullFields": "false"}).alias("metadata"),
         "embedding",
     )
     rules = {"source": "first", "doc_id": "first", "chunk_index": "first", "text": "last", "metadata": "last", "embedding": "last"}
