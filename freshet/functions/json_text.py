@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from freshet.functions.text import _col, strip_blanks
+from freshet.functions.text import _col, let, strip_blanks
+
+
+def parse_whole(c: Column | str) -> Column:
+    """A variant when all of the text is one JSON value, else null.
+
+    ``try_parse_json`` reads the first value and passes over whatever follows it. Here the text stands in an
+    array before its own hash, which is only reached, as the second entry, when the text is one value.
+    """
+    c = _col(c)
+    mark = F.xxhash64(c)
+
+    def first(both: Column) -> Column:
+        alone = F.try_variant_get(both, "$[1]", "bigint").eqNullSafe(mark) & F.try_variant_get(both, "$[2]", "variant").isNull()
+        return F.when(alone, F.try_variant_get(both, "$[0]", "variant"))
+
+    return let(F.try_parse_json(F.concat(F.lit("["), c, F.lit(","), mark.cast("string"), F.lit("]"))), first)
 
 
 def is_json(c: Column | str) -> Column:
-    return F.try_parse_json(_col(c)).isNotNull()
+    return parse_whole(c).isNotNull()
 
 
 def json_kind(c: Column | str) -> Column:
     """Variant type name of the text (``OBJECT<...>``, ``STRING``, ``BIGINT`` ...), null when malformed."""
-    return F.schema_of_variant(F.try_parse_json(_col(c)))
+    return F.schema_of_variant(parse_whole(c))
 
 
 def is_object(c: Column | str) -> Column:
@@ -24,7 +40,7 @@ def is_object(c: Column | str) -> Column:
 def unwrap_once(c: Column | str) -> Column:
     """Strip blanks; when the text is a JSON string, return the text inside it."""
     body = strip_blanks(c)
-    return F.when(F.startswith(body, F.lit('"')), F.get_json_object(body, "$")).otherwise(body)
+    return F.when(F.startswith(body, F.lit('"')) & is_json(body), F.get_json_object(body, "$")).otherwise(body)
 
 
 def lenient_object(c: Column | str) -> Column:

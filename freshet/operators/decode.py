@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from freshet.functions.text import strip_blanks
-from freshet.functions.json_text import is_json, json_kind, lenient_object, unwrap_once
+from freshet.functions.json_text import is_json, json_kind, lenient_object, parse_whole, unwrap_once
 
 # The document message and the fields read from it.
 MESSAGE_SCHEMA = "doc_id string, source string, text string, meta struct<project: string, user: string, ts: string>"
@@ -115,7 +115,7 @@ def drop_malformed(df: DataFrame, value: str = "value") -> DataFrame:
 
 def type_violations(df: DataFrame, value: str = "value", fields: Mapping[str, str] = DECLARED_FIELDS) -> DataFrame:
     """Adds ``violations``: declared fields that hold another JSON type. Null and absent are allowed."""
-    kinds = df.withColumn("_v", F.try_parse_json(value)).withColumns(
+    kinds = df.withColumn("_v", parse_whole(value)).withColumns(
         {f"_kind_{n}": F.schema_of_variant(F.try_variant_get("_v", f"$.{n}", "variant")) for n in fields}
     )
     checks = []

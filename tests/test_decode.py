@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from freshet.functions.json_text import lenient_object, repair_utf8
+from freshet.functions.json_text import is_json, json_kind, lenient_object, repair_utf8
 from freshet.operators import decode as D
 from freshet.operators import filters as L
 from freshet.sources import frames as R
@@ -56,6 +56,22 @@ def test_decode_keeps_raw_text(spark):
     assert rows[1]["doc_id"] is None and rows[1]["raw_json"] == "nope"
 
 
+@pytest.mark.parametrize(
+    "text,kind",
+    [
+        ('4703 is no "number"', None), ('{"content":"x"} and more', None), ('{"content":"x"}{}', None), ('"{\\"content\\":\\"x\\"}" more', None),
+        ("1,2", None), ("1],[2", None), ("1,0],[2", None), ("null x", None), ("null", "VOID"), (" 7 ", "BIGINT"), ("[1,2]", "ARRAY<BIGINT>"), ('"a]"', "STRING"),
+    ],
+)
+def test_text_after_a_value_is_not_json(spark, text, kind):
+    df = spark.createDataFrame([(1, text)], "id int, value string")
+    assert df.select(json_kind("value"), is_json("value")).first() == (kind, kind is not None)
+    assert D.classify(df).first()["reason"] == ("malformed" if kind is None or kind == "STRING" else "not_an_object")
+    if kind is None:
+        assert df.select(lenient_object("value")).first()[0] == json.dumps({"raw": text}, separators=(",", ":"))
+        assert D.type_violations(df, fields={"content": "integer"}).first()["violations"] == []
+
+
 def test_utf8_repair(spark):
     df = spark.createDataFrame([(bytearray(b"a\xffb"),)], "v binary")
     assert df.select(repair_utf8("v"), repair_utf8("v", "ignore")).first() == ("a�b", "ab")
