@@ -76,14 +76,29 @@ def _unescape_all(texts: pd.Series) -> pd.Series:
     return texts.map(unescape, na_action="ignore")
 
 
-def strip_html(c: Column | str, full: bool = False) -> Column:
+@F.pandas_udf(StringType())
+def _unescape_closed(texts: pd.Series) -> pd.Series:
+    import re
+    from html import unescape
+    from html.entities import html5
+
+    closed = re.compile(r"&(#[0-9]+;|#[xX][0-9a-fA-F]+;|[0-9A-Za-z]{1,32};)")
+    # A name that is not in the table may begin with one that needs no semicolon: it stays whole.
+    known = lambda m: unescape(m[0]) if m[1][0] == "#" else html5.get(m[1], m[0])
+    return texts.map(lambda t: closed.sub(known, t), na_action="ignore")
+
+
+def strip_html(c: Column | str, full: bool = False, closed: bool = False) -> Column:
     """Tags become a space, then entities are resolved.
 
     ``full=True`` knows every named and numeric entity; that table exists only
     in Python, so it runs as an Arrow batch function. The default stays in the JVM.
+    Like a browser it also resolves old names without their semicolon (``&amp``); with ``closed`` those stay.
     """
     bare = drop_tags(c)
-    return _unescape_all(bare) if full else unescape_core(bare)
+    if not full:
+        return unescape_core(bare)
+    return _unescape_closed(bare) if closed else _unescape_all(bare)
 
 
 def normalize_text(c: Column | str) -> Column:

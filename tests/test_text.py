@@ -28,6 +28,13 @@ def test_strip_html_full(spark, s):
     assert one(spark, s, text.strip_html("x", full=True)) == html.unescape(re.sub("<[^>]+>", " ", s))
 
 
+@pytest.mark.parametrize(
+    "s,want", [("<b>a</b>&amp", " a &amp"), ("&copy;&ampx;&copy", "©&ampx;&copy"), ("&&amp;lt;&#233;&#xe9;&eacute;", "&&lt;ééé"), ("&semi;&nosuch;", ";&nosuch;")]
+)
+def test_strip_html_closed_keeps_names_without_semicolon(spark, s, want):
+    assert one(spark, s, text.strip_html("x", full=True, closed=True)) == want
+
+
 def test_core_entities_resolve_once(spark):
     assert one(spark, "&amp;lt;&quot;&#39;", text.strip_html("x")) == "&lt;\"'"
 
