@@ -39,6 +39,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def upper_each(c: Column | str) -> Column:
+    """Upper case sign by sign: a sign whose capital is written with several, like ``ß``, stays as it is."""
+    big = lambda x: F.when(F.char_length(F.upper(x)) == 1, F.upper(x)).otherwise(x)
+    return F.array_join(F.transform(F.regexp_extract_all(_col(c), F.lit("(?s)."), F.lit(0)), big), "")
+
+
 def blank_to_null(c: Column | str) -> Column:
     return F.nullif(_col(c), F.lit(""))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.functions.stems import stem_sql
+from freshet.functions.text import upper_each
 from freshet.operators import ann
 from freshet.operators import keyword as W
 from freshet.operators import word_index as X
@@ -76,7 +77,7 @@ def _patterns(spark, d):
     shapes = {
         0: text,
         1: F.when(F.char_length(text) > 30, F.concat(F.left(text, F.lit(20)), F.lit("_"), F.expr("substring(text, 22)"))),
-        2: F.concat(F.upper(F.left(text, F.lit(12))), F.lit("%"), F.right(text, F.lit(9))),
+        2: F.concat(upper_each(F.left(text, F.lit(12))), F.lit("%"), F.right(text, F.lit(9))),
         3: F.concat(F.expr("substring(text, 3, 2)"), F.lit("_"), F.expr("substring(text, 6, 5)")),
     }
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), q.alias("query")) for i, q in shapes.items()])).alias("p")

@@ -219,3 +219,12 @@ def test_index_without_usable_queries(spark, tmp_path):
     ann.ivf_build(rows, str(tmp_path), lists=3)
     none = spark.createDataFrame([("q", None)], rows.schema)
     assert ann.ivf_topk(spark, str(tmp_path), none, 3, 3).collect() == []
+
+
+def test_patterns_keep_signs_without_a_single_capital(spark, tmp_path):
+    from freshet.plans.lookup import _patterns
+
+    rows = [(1, "Erßie entech und noch mehr, hzu chte.")]
+    spark.createDataFrame(rows, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {r["id"]: r["query"] for r in _patterns(spark, str(tmp_path)).collect()}
+    assert got[6] == "ERßIE ENTECH%hzu chte."

@@ -35,6 +35,11 @@ def test_strip_html_closed_keeps_names_without_semicolon(spark, s, want):
     assert one(spark, s, text.strip_html("x", full=True, closed=True)) == want
 
 
+def test_upper_each_keeps_the_number_of_signs(spark):
+    assert one(spark, "Erßie\nŉ é%", text.upper_each("x")) == "ERßIE\nŉ É%"
+    assert one(spark, None, text.upper_each("x")) is None
+
+
 def test_core_entities_resolve_once(spark):
     assert one(spark, "&amp;lt;&quot;&#39;", text.strip_html("x")) == "&lt;\"'"
 
