@@ -151,6 +151,33 @@ def test_single_query_edges(spark):
     assert [V.clamp_k(k) for k in (None, 0, -4, 7, 99)] == [3, 3, 1, 7, 20]
 
 
+def test_best_rows_are_exact_where_single_precision_is_not(monkeypatch):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 16))
+    rows = np.concatenate([base + rng.normal(size=base.shape) * 1e-6 for _ in range(10)])
+    ids = rng.permutation(len(rows))
+    monkeypatch.setattr(V, "CELL_VALUES", 40 * 32)
+    for limit, skip in ((None, False), (0.5, True)):
+        best = V._Best(np.arange(40), 3, limit, skip)
+        best.meet(base, rows, ids, "cosine")
+        dist = np.round(V._distances(base, rows, "cosine"), 9)
+        want = set()
+        for q in range(40):
+            near = sorted((d, int(i)) for d, i in zip(dist[q], ids) if (limit is None or d <= limit) and not (skip and i == q))
+            want |= {(q, i, d) for d, i in near[:3]}
+        assert {(int(a), int(b), float(c)) for a, b, c in best.frame().itertuples(index=False)} == want
+
+
+def test_few_of_all_pairs_are_sorted(monkeypatch):
+    m = np.random.default_rng(6).normal(size=(1500, 16))
+    seen, sort = [], np.lexsort
+    monkeypatch.setattr(V.np, "lexsort", lambda keys, **kw: (seen.append(np.size(keys[0])), sort(keys, **kw))[1])
+    monkeypatch.setattr(V, "CELL_VALUES", 1500 * 50)
+    best = V._Best(np.arange(len(m)), 1, 0.65, True)
+    best.meet(m, m, np.arange(len(m)), "cosine")
+    assert sum(seen) < 0.1 * len(m) ** 2
+
+
 def test_decimals_are_those_of_printf(spark):
     rng = np.random.default_rng(3)
     values = [-0.103515625, 0.0703125, -0.0703125, 2.5e-8, 1e-10, -1e-10, -0.0, 0.0, *(float(x) for x in rng.integers(-(2**14), 2**14, 500) / 2**13)]
