@@ -46,12 +46,10 @@ def word_index(
     placed = F.posexplode(F.concat(*[tokens(c) for c in (title, text) if c])).alias("_at", "token")
     words = docs.select(F.col(key).alias("id"), begin.alias("_t"), placed).where(~F.col("token").isin(*stop_words))
     words = words.select("id", "_t", (F.col("_at") + 1).alias("position"), "token")
-    by_word = words.groupBy("token", "id").agg(
-        F.collect_list("position").alias("positions"), F.sum((F.col("position") <= F.col("_t")).cast("int")).cast("int").alias("in_title")
+    # Words meet their stems where they are, so that places are gathered once, by stem.
+    by_stem = words.join(_stems(words), "token").groupBy("stem", "id").agg(
+        F.sort_array(F.collect_list("position")).alias("positions"), F.sum((F.col("position") <= F.col("_t")).cast("int")).cast("int").alias("in_title")
     )
-    stems = _stems(by_word)
-    by_stem = by_word.join(stems, "token").groupBy("stem", "id")
-    by_stem = by_stem.agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"), F.sum("in_title").cast("int").alias("in_title"))
     return by_stem.withColumn("score", occurrence_score(F.size("positions"), "in_title"))
 
 

@@ -228,3 +228,14 @@ def test_patterns_keep_signs_without_a_single_capital(spark, tmp_path):
     spark.createDataFrame(rows, "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = {r["id"]: r["query"] for r in _patterns(spark, str(tmp_path)).collect()}
     assert got[6] == "ERßIE ENTECH%hzu chte."
+
+
+def test_places_are_gathered_by_one_aggregation(spark):
+    from freshet.operators.word_index import word_index
+
+    docs = spark.createDataFrame([(1, "t", "Runs run, running"), (2, None, "a run")], "id bigint, title string, content string")
+    index = word_index(docs)
+    got = {(r["stem"], r["id"]): (r["positions"], r["in_title"]) for r in index.collect()}
+    assert got == {("t", 1): ([1], 1), ("run", 1): ([2, 3, 4], 0), ("run", 2): ([2], 0)}
+    plan = index._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate ") == 1
