@@ -40,40 +40,91 @@ ABUSE = frozenset("idiot moron stupid trash scum loser pathetic disgusting worth
 WORD = re.compile(r"[^\W\d_]+")
 DOUBLED = re.compile(r"[^\w\s]{2,}$")
 SYMBOLS = re.compile(r"[^\w\s.,;:!?'\"()-]")
+REPEATED = re.compile(r"(.)\1+")
+
+
+class _Signs(dict):
+    """What a sign becomes in a shape: a digit 0, a capital X, another letter x, all else itself."""
+
+    def __missing__(self, code: int) -> str:
+        sign = chr(code)
+        if re.match(r"\d", sign):
+            kind = "0"
+        elif WORD.match(sign):
+            kind = "X" if sign.isupper() else "x"
+        else:
+            kind = sign
+        self[code] = kind
+        return kind
+
+
+_SIGNS = _Signs()
 
 
 class Tokens:
-    """Numbers of tokens between blanks, looked up once for each different token; a bounded number is kept."""
+    """Numbers of tokens between blanks, looked up once for each different token; a bounded number is kept.
+
+    Most of what is asked of a token is told by its shape (``_SIGNS``), and there are
+    far fewer shapes, beginnings and ends than tokens, so these are remembered too.
+    """
 
     def __init__(self, features: bool = True):
         self.features = features
         self.row: dict[str, int] = {}
         self.facts = np.empty((1024, len(FACTS)))
         self.ids = np.empty((1024, 4), np.int64)
+        self.shapes: dict[str, tuple] = {}
+        self.hashes: dict[str, int] = {}
+
+    def hashed(self, name: str) -> int:
+        found = self.hashes.get(name)
+        if found is None:
+            found = self.hashes[name] = crc32(name.encode("utf-8", "surrogatepass")) % BUCKETS
+        return found
+
+    def shape(self, drawn: str) -> tuple:
+        found = self.shapes.get(drawn)
+        if found is None:
+            letters = drawn.count("X") + drawn.count("x")
+            found = letters, len(SYMBOLS.findall(drawn)), drawn.count("|"), DOUBLED.search(drawn) is not None
+            found = self.shapes[drawn] = (*found, self.hashed("h" + REPEATED.sub(r"\1+", drawn)))
+        return found
 
     def rows(self, tokens: list[str]) -> np.ndarray:
         new = set(tokens).difference(self.row)
         if len(self.row) + len(new) > REMEMBER:
             self.row.clear()
             new = set(tokens)
-        need = len(self.row) + len(new)
+        for known in (self.shapes, self.hashes):
+            if len(known) > REMEMBER:
+                known.clear()
+        begin = len(self.row)
+        need = begin + len(new)
         if need > len(self.facts):
             self.facts, self.ids = np.resize(self.facts, (2 * need, len(FACTS))), np.resize(self.ids, (2 * need, 4))
-        for t in new:
-            i = self.row[t] = len(self.row)
-            word = t.lower().strip(".,;:!?")
-            upper = len(t) > 1 and t.isupper()
-            self.facts[i] = (
-                sum(map(len, WORD.findall(t))), len(SYMBOLS.findall(t)), t.count("|"), upper, word.isalpha() and not upper,
-                DOUBLED.search(t) is not None, word in COMMON,
-            )
+        if new:
+            facts, ids, shape, hashed = [], [], self.shape, self.hashed
+            for t in new:
+                low = t.lower()
+                word = low.strip(".,;:!?")
+                upper = len(t) > 1 and t.isupper()
+                letters, symbols, bars, doubled, drawn = shape(t.translate(_SIGNS))
+                plain = word.isalpha()
+                abuse = word in ABUSE if plain else not ABUSE.isdisjoint(WORD.findall(low))
+                facts.append((letters, symbols, bars, upper, plain and not upper, doubled, word in COMMON, abuse))
+                if self.features:
+                    if len(t) > 40:
+                        ids.append(token_features(t) + [BUCKETS])
+                    else:
+                        ids.append((drawn, hashed("s" + t[-2:].lower()), hashed("p" + t[:2].lower()), hashed("t" + low) if len(t) <= 5 else BUCKETS))
+            self.row.update(zip(new, range(begin, need)))
+            self.facts[begin:need] = facts
             if self.features:
-                ids = token_features(t)
-                self.ids[i] = ids + [BUCKETS] * (4 - len(ids))
+                self.ids[begin:need] = ids
         return np.fromiter(map(self.row.__getitem__, tokens), np.int64, len(tokens))
 
 
-FACTS = ("letters", "symbols", "bars", "upper", "plain", "doubled", "common")
+FACTS = ("letters", "symbols", "bars", "upper", "plain", "doubled", "common", "abuse")
 
 
 def votes(text: str | None, rows: np.ndarray, table: Tokens) -> tuple[int, ...]:
@@ -84,7 +135,7 @@ def votes(text: str | None, rows: np.ndarray, table: Tokens) -> tuple[int, ...]:
     n = len(rows)
     if not n:
         return (0,) * len(LABELLERS)
-    letters, symbols, bars, upper, plain, doubled, common = table.facts[rows].sum(0).tolist()
+    letters, symbols, bars, upper, plain, doubled, common, _ = table.facts[rows].sum(0).tolist()
     same = int(np.count_nonzero(rows[1:] == rows[:-1]))
     different = len(set(rows.tolist()))
     ends = [x.rstrip()[-1] for x in text.split("\n") if x.strip()]
@@ -140,7 +191,7 @@ def posterior_good(v: np.ndarray, prior: float, table: np.ndarray) -> np.ndarray
 def token_features(token: str) -> list[int]:
     """Hashed shape, first and last signs, and the token itself when short."""
     cut = token if len(token) <= 40 else token[:20] + token[-20:]
-    shape = re.sub(r"(.)\1+", r"\1+", re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", re.sub(r"\d", "0", cut)))
+    shape = REPEATED.sub(r"\1+", re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", re.sub(r"\d", "0", cut)))
     names = ["h" + shape, "s" + cut[-2:].lower(), "p" + cut[:2].lower()] + (["t" + cut.lower()] if len(cut) <= 5 else [])
     return [crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in names]
 
@@ -230,7 +281,7 @@ def quality(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prior, table, weights, bias = model.value
-        known = Tokens()
+        known, said = Tokens(), {}
         schema = pa.schema(
             [("doc_id", pa.int64()), ("votes", pa.string()), ("posterior", pa.float64()), ("score", pa.float64()), ("abusive", pa.bool_())]
         )
@@ -240,12 +291,15 @@ def quality(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_
                 for key, text in rows_of(b, "doc_id", "text"):
                     own = known.rows((text or "").split())
                     v = votes(text, own, known)
-                    p = float(posterior_good(np.array([v]), prior, table)[0])
-                    score, abusive = 0.0, False
+                    if v not in said:
+                        said[v] = float(posterior_good(np.array([v]), prior, table)[0])
+                    p, score, abusive = said[v], 0.0, False
                     if len(own):
-                        z = float(weights @ np.sqrt(feature_shares(own, known)) + bias)
+                        shares = feature_shares(own, known)
+                        at = np.flatnonzero(shares)
+                        z = float((weights[at] * np.sqrt(shares[at])).sum() + bias)
                         score = 1 / (1 + np.exp(-max(-30.0, min(30.0, z))))
-                        abusive = not ABUSE.isdisjoint(WORD.findall(text.lower()))
+                        abusive = bool(known.facts[own, FACTS.index("abuse")].any())
                     yield key, "".join("-0+"[x + 1] for x in v), p, float(score), abusive
 
         yield from flushed(rows(), schema)

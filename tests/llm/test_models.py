@@ -209,3 +209,26 @@ def test_longest_overlap(bits):
     start, end = leaks.longest_overlap(same)
     fine = [(b - a, -a) for a in range(len(same)) for b in range(a + 1, len(same) + 1) if same[a] and same[b - 1] and (b - a - same[a:b].sum()) <= 0.2 * (b - a) + 1e-9]
     assert (end - start, -start if end else 0) == max(fine, default=(0, 0))
+
+
+def test_tokens_by_shape_are_as_token_by_token():
+    tokens = ["you", "TRASH!", "idiot2", "trash-idiot", "a" * 41, "A" * 45 + "_x", "x|y||", "9,99€", "ΣΑΣ", "中文", "--", "été...", "x_1", "Ⅷ"]
+    known = weak.Tokens()
+    at = known.rows(tokens)
+    for i, t in zip(at, tokens):
+        ids = weak.token_features(t)
+        assert sorted(known.ids[i]) == sorted(ids + [weak.BUCKETS] * (4 - len(ids)))
+        letters, symbols, bars, upper, plain, doubled, common, abuse = known.facts[i]
+        word = t.lower().strip(".,;:!?")
+        assert letters == sum(map(len, weak.WORD.findall(t))) and symbols == len(weak.SYMBOLS.findall(t)) and bars == t.count("|")
+        assert upper == (len(t) > 1 and t.isupper()) and plain == (word.isalpha() and not upper) and common == (word in weak.COMMON)
+        assert doubled == (weak.DOUBLED.search(t) is not None) and abuse == (not weak.ABUSE.isdisjoint(weak.WORD.findall(t.lower())))
+
+
+def test_tokens_of_one_shape_are_drawn_once(monkeypatch):
+    """Patterns are asked once a shape, not once a token."""
+    asked = []
+    monkeypatch.setattr(weak, "token_features", lambda t: asked.append(t) or [0])
+    known = weak.Tokens()
+    known.rows([f"{a}{b}{c}{d}est" for a in "bcdf" for b in "aeio" for c in "lmnr" for d in "stvw"])
+    assert len(known.row) == 256 and len(known.shapes) == 1 and not asked
