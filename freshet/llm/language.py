@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -52,17 +53,32 @@ def words_of(text: str | None) -> list[str]:
     return found
 
 
+class _Buckets(dict):
+    """The bucket of a feature's name; a bounded number is remembered, as words share most of their affixes and n-grams."""
+
+    def __missing__(self, name: str) -> int:
+        if len(self) >= REMEMBER:
+            self.clear()
+        found = self[name] = crc32(name.encode()) % BUCKETS
+        return found
+
+
+_BUCKET = _Buckets()
+
+
 def features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Hashed affixes of one to four signs, n-grams of two and three, and the word's lexicons."""
     marked = f"^{word[:64]}$" if len(word) <= 64 else f"^{word[:32]}{word[-32:]}$"
-    names = {f"p{word[:n]}" for n in (1, 2, 3, 4)} | {f"s{word[-n:]}" for n in (1, 2, 3, 4)} | {f"w{marked}"}
-    names |= {marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)}
+    names = {f"p{word[:n]}" for n in (1, 2, 3, 4)} | {f"s{word[-n:]}" for n in (1, 2, 3, 4)}
+    names.update([marked[i : i + 2] for i in range(len(marked) - 1)], [marked[i : i + 3] for i in range(len(marked) - 2)])
     bits, label = lexicon.get(word, 0), 0
     while bits:
         if bits & 1:
             names.add(f"l{label}")
         bits, label = bits >> 1, label + 1
-    return [crc32(x.encode()) % BUCKETS for x in names]
+    found = [_BUCKET[x] for x in names]
+    found.append(crc32(f"w{marked}".encode()) % BUCKETS)  # of one word only, not worth remembering
+    return found
 
 
 def sample(docs: DataFrame, label_col: str, per_label: int = PER_LABEL) -> DataFrame:
@@ -188,10 +204,12 @@ class Tagger:
         need = len(self.index) + len(new)
         if need > len(self.rows):
             self.rows = np.resize(self.rows, (2 * need, self.k))
-        for w in new:
-            s = self.m.weights[features(w, self.m.lexicon)].sum(0)
-            self.rows[len(self.index)] = np.exp(np.maximum(s - s.max(), -30))
-            self.index[w] = len(self.index)
+        if new:
+            found = [features(w, self.m.lexicon) for w in new]
+            ends = np.cumsum([len(f) for f in found])
+            s = np.add.reduceat(self.m.weights[np.fromiter(chain.from_iterable(found), np.int64, ends[-1])], ends - [len(f) for f in found], axis=0)
+            self.rows[len(self.index) : need] = np.exp(np.maximum(s - s.max(1, keepdims=True), -30))
+            self.index.update(zip(new, range(len(self.index), need)))
         return self.rows[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))]
 
     def posteriors(self, documents: list[list[str]]) -> list[np.ndarray]:

@@ -232,3 +232,20 @@ def test_tokens_of_one_shape_are_drawn_once(monkeypatch):
     known = weak.Tokens()
     known.rows([f"{a}{b}{c}{d}est" for a in "bcdf" for b in "aeio" for c in "lmnr" for d in "stvw"])
     assert len(known.row) == 256 and len(known.shapes) == 1 and not asked
+
+
+def test_features_are_hashed_once_for_all_words(monkeypatch):
+    """The buckets are those of the names one by one; a word asks for no name that an earlier one had."""
+    def plainly(word, bits):
+        marked = f"^{word[:64]}$" if len(word) <= 64 else f"^{word[:32]}{word[-32:]}$"
+        names = {f"p{word[:n]}" for n in (1, 2, 3, 4)} | {f"s{word[-n:]}" for n in (1, 2, 3, 4)} | {f"w{marked}"}
+        names |= {marked[i : i + n] for n in (2, 3) for i in range(len(marked) - n + 1)} | {f"l{i}" for i in range(3) if bits >> i & 1}
+        return sorted(language.crc32(x.encode()) % language.BUCKETS for x in names)
+
+    lexicon = {"haus": 5}
+    for word in ("a", "haus", "über", "日本語", "x" * 65, "ab" * 40):
+        assert sorted(language.features(word, lexicon)) == plainly(word, lexicon.get(word, 0))
+    asked = []
+    monkeypatch.setattr(language, "crc32", lambda x: asked.append(x) or 1)
+    language.features("haus", lexicon)
+    assert len(asked) == 1
