@@ -88,8 +88,9 @@ def sample(docs: DataFrame, label_col: str, per_label: int = PER_LABEL) -> DataF
     known = known.withColumn("_h", F.xxhash64("text"))
     order = Window.partitionBy("label").orderBy("_h")
     least = known.select("label", "_h").distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_label)
+    # A row per label, as the model has; the texts need not be dealt by label for it.
     last = least.groupBy("label").agg(F.max("_h").alias("_last"))
-    chosen = known.join(last, "label").where("_h <= _last").groupBy("label", "_h").agg(F.min("text").alias("text")).select("label", "text")
+    chosen = known.join(F.broadcast(last), "label").where("_h <= _last").groupBy("label", "_h").agg(F.min("text").alias("text")).select("label", "text")
     schema = pa.schema([("label", pa.string()), ("words", pa.list_(pa.string()))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,8 @@ band each member is first compared with the one that has the fewest shingles of
 its own, which joins the common groups at once. Bands that still hold several
 components go on in rounds: a growing share of the members, by a hash of the id,
 is compared with the members of other components, until every pair of a band
-was compared, passed over by that bound, or is connected.
+was compared, passed over by that bound, or is connected. These pairs are also
+passed over when the places of their first common shingle, the rarest first, rule them out.
 """
 
 from __future__ import annotations
@@ -21,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.common import documents, flushed, query, rows_of, texts
+from freshet.llm.common import documents, flushed, kept, query, rows_of, texts
 from freshet.llm.components import components
-from freshet.llm.repeats import in_filter, shared_names
+from freshet.llm.repeats import filter_bits, in_filter, shared_names
 from freshet.session import stored
 
 ROWS = 4  # minima of a band
 MISS = 1e-8  # chance that a pair just at the threshold shares no band
 MARGIN = 0.2  # a pair whose signatures agree this much less than the threshold is not looked at further
-FEW = 8  # members of a band compared with all others in its first round
+FEW = 8  # members of a band compared with all others in its first round; bands under FEW**4 members have two rounds
 
 _MIX1, _MIX2, _MIX3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -195,10 +196,10 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _with_common(sets: DataFrame) -> DataFrame:
-    """``id, n, c``: the size of each set, and how many of its shingles another set has too (or a few more)."""
+    """``id, n, c``, stored: the size of each set, and how many of its shingles another set has too (or a few more)."""
     size = (sets.agg(F.sum(F.length("shingles"))).first()[0] or 0) / 8
     read = lambda: lambda raw: np.frombuffer(raw, np.uint64)
-    known = sets.sparkSession.sparkContext.broadcast(shared_names(sets.select(F.col("shingles").alias("part")), read, size))
+    known = sets.sparkSession.sparkContext.broadcast(shared_names(sets.select(F.col("shingles").alias("part")), read, size, filter_bits(size)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,7 +209,52 @@ def _with_common(sets: DataFrame) -> DataFrame:
                 names=["id", "n", "c"],
             )
 
-    return sets.mapInArrow(run, "id long, n long, c long")
+    out = kept(sets.mapInArrow(run, "id long, n long, c long"), "counts")
+    known.destroy()
+    return out
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (id, n, shingle) for every shingle of every set of n."""
+    for batch in batches:
+        for key, raw in rows_of(batch, "id", "shingles"):
+            found = np.frombuffer(raw, np.int64)
+            for at in range(0, len(found), 1 << 16):
+                part = found[at : at + (1 << 16)]
+                yield pa.record_batch([pa.array(np.full(len(part), x, np.int64)) for x in (key, len(found))] + [pa.array(part)], names=["id", "n", "shingle"])
+
+
+def earliest(sets: DataFrame, percent: int) -> DataFrame:
+    """``id, early``: of each set (``id, shingles``) as many of its rarest shingles, in order, as a close enough set must share one of.
+
+    The order, by the number of sets and then by the hash, is the same for all sets. An id with several sets is left out.
+    """
+    each = sets.mapInArrow(_each, "id long, n long, shingle long")
+    counted = each.join(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")), "shingle")
+    # At most a set's shingles are gathered; several sets of one id have more than the largest of them.
+    ordered = counted.groupBy("id").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("all")).where("n = size(all)")
+    return ordered.select("id", F.expr(f"slice(all.shingle, 1, size(all) - cast(ceil({percent} * size(all) / 100) as int) + 1)").alias("early"))
+
+
+def _possible(x: str, y: str, percent: int) -> str:
+    """Whether sets of n signs, c of which others have too, can reach the threshold."""
+    most = f"least({x}.c, {y}.c)"
+    return f"100 * {most} >= {percent} * ({x}.n + {y}.n - {most})"
+
+
+def crossing(open_: DataFrame, early: DataFrame, end: int, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of a band with different components that may be close enough; one of each has a turn before ``end``.
+
+    Nothing before the first shingle that two sets share in the common order is in both. So its place in either
+    tells how many they can share at most, and sets without such a shingle in their ``early`` parts are too far apart.
+    """
+    rows = open_.join(early, "id", "left")
+    first = "get(array_intersect(x.early, y.early), 0)"
+    most = f"1 + least(x.n - array_position(x.early, {first}), y.n - array_position(y.early, {first}))"
+    met_by = f"x.band = y.band AND x.component <> y.component AND (y.turn >= {end} OR x.id < y.id) AND {_possible('x', 'y', percent)}"
+    met_by = F.expr(f"{met_by} AND (x.early IS NULL OR y.early IS NULL OR {100 + percent} * ({most}) >= {percent} * (x.n + y.n))")
+    pairs = rows.where(f"turn < {end}").alias("x").join(rows.alias("y"), met_by)
+    return pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,7 +267,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     doc_id takes no part: its ``component_id`` is null and it is kept.
     """
     docs = texts(docs, id_col, text_col)
-    rows = stored(signatures(docs, k, percent), "signatures")
+    rows = kept(signatures(docs, k, percent), "signatures")
     known = rows.where("doc_id IS NOT NULL AND cls IS NOT NULL")
     classes = stored(known.groupBy("cls").agg(F.min("doc_id").alias("id"), F.any_value("sig").alias("sig")), "classes")
     named = known.select("doc_id", "cls").join(classes.select("cls", "id"), "cls")
@@ -231,19 +277,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     bands = classes.select("id", "sig").mapInArrow(_banded, "band long, id long")
     shared = bands.groupBy("band").agg(F.min("id").alias("_a"), F.max("id").alias("_b"), F.count(F.lit(1)).alias("size")).where("_a < _b").select("band", "size")
-    met = stored(bands.join(shared, "band"), "met")
+    met = kept(bands.join(shared, "band"), "met")
     involved = met.select(F.col("id").alias("doc_id")).distinct()
-    sets = stored(_sets(docs.join(involved, "doc_id", "left_semi"), k), "sets")
-    counts = stored(_with_common(sets), "counts")
+    sets = kept(_sets(docs.join(involved, "doc_id", "left_semi"), k), "sets")
+    counts = _with_common(sets)
     spread = (F.xxhash64("id").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)) * F.ceil(F.col("size") / FEW)).cast("long")
-    members = stored(met.join(counts, "id").withColumn("turn", spread).drop("size"), "members")
+    members = kept(met.join(counts, "id").withColumn("turn", spread).drop("size"), "members")
     brief = classes.join(involved.withColumnRenamed("doc_id", "id"), "id", "left_semi").select("id", "sig")
 
-    def possible(x: str, y: str) -> str:
-        """Whether sets of n signs, c of which others have too, can reach the threshold."""
-        most = f"least({x}.c, {y}.c)"
-        return f"100 * {most} >= {percent} * ({x}.n + {y}.n - {most})"
-
     def linked(pairs: DataFrame) -> DataFrame:
         """Of distinct pairs (a, b) those whose sets are close enough."""
         a, b = (brief.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
@@ -253,11 +294,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     pivots = members.groupBy("band").agg(F.min(F.struct((F.col("n") - F.col("c")).alias("own"), "id", "n", "c")).alias("p"))
     pivots = pivots.select("band", F.col("p.id").alias("id"), F.col("p.n").alias("n"), F.col("p.c").alias("c"))
-    star = members.alias("x").join(pivots.alias("p"), F.expr(f"x.band = p.band AND x.id <> p.id AND {possible('x', 'p')}"))
+    star = members.alias("x").join(pivots.alias("p"), F.expr(f"x.band = p.band AND x.id <> p.id AND {_possible('x', 'p', percent)}"))
     star = star.select(F.greatest("x.id", "p.id").alias("a"), F.least("x.id", "p.id").alias("b")).distinct()
     group = components(found.union(linked(star)))
     limit = members.agg(F.max("turn")).first()[0]
-    begin, end = 0, 1
+    begin, end, early = 0, 1, None
     while limit is not None and begin <= limit:
         now = members.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = now.groupBy("band").agg(F.min("component").alias("_c"), F.max("component").alias("_d"), F.max("turn").alias("_t"))
@@ -265,13 +306,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         open_ = stored(now.where(f"turn >= {begin}").join(mixed, "band", "left_semi").select("band", "id", "component", "turn", "n", "c"), "open")
         if open_.isEmpty():
             break
-        met_by = F.expr(f"x.band = y.band AND x.component <> y.component AND (y.turn >= {end} OR x.id < y.id) AND {possible('x', 'y')}")
-        pairs = open_.where(f"turn < {end}").alias("x").join(open_.alias("y"), met_by)
-        pairs = pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+        if early is None:  # components only grow together, so later rounds have no other ids
+            ids = open_.select("id").distinct()
+            early = kept(earliest(sets.join(ids, "id", "left_semi"), percent), "early")
+        pairs = crossing(open_, early, end, percent)
         more = stored(linked(pairs), "links")
         if not more.isEmpty():
             group = components(group.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
-        begin, end = end, end * FEW
+        begin, end = end, end * FEW if limit >= FEW**3 else limit + 1
     named = classes.select("cls", "id").join(group, "id", "left").select("cls", F.coalesce("component", "id").alias("_c"))
     out = rows.select("doc_id", "n", "cls").join(named, "cls", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_c", "doc_id"))

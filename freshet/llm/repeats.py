@@ -63,9 +63,14 @@ def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.nda
     return shared_names(docs.select(F.col("text").alias("part")), names_of, expected)
 
 
-def shared_names(parts: DataFrame, names_of: Callable[[], Callable], expected: float) -> np.ndarray:
+def filter_bits(expected: float) -> int:
+    """The size of a bitmap for about ``expected`` names: 16 bits or more for each, up to ``FILTER_BITS``."""
+    return min(FILTER_BITS, max(16, int(np.ceil(np.log2(16 * max(1.0, expected))))))
+
+
+def shared_names(parts: DataFrame, names_of: Callable[[], Callable], expected: float, log_bits: int = FILTER_BITS) -> np.ndarray:
     """The bitmap of names that two or more rows of ``parts`` (column ``part``) have; about ``expected`` names in all."""
-    part_bits = min(FILTER_BITS - 6, max(4, int(np.ceil(np.log2(max(1.0, expected / PART_NAMES))))))
+    part_bits = min(log_bits - 6, max(4, int(np.ceil(np.log2(max(1.0, expected / PART_NAMES))))))
     shift = np.uint64(NAME_BITS - part_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,18 +105,18 @@ def shared_names(parts: DataFrame, names_of: Callable[[], Callable], expected: f
         part = group.column("part")[0].as_py()
         flat = np.sort(np.concatenate([np.empty(0, np.uint64)] + [_unpacked(x) for x in group.column("names").to_pylist() if x]))
         twice = [_unpacked(x) for x in group.column("twice").to_pylist() if x]
-        place = np.concatenate([_twice(flat), *twice]) >> np.uint64(NAME_BITS - FILTER_BITS)
-        width = FILTER_BITS - part_bits
+        place = np.concatenate([_twice(flat), *twice]) >> np.uint64(NAME_BITS - log_bits)
+        width = log_bits - part_bits
         bits = np.zeros(1 << width, bool)
         bits[(place & np.uint64((1 << width) - 1)).astype(np.int64)] = True
         return pa.table({"part": pa.array([part], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
     sent = parts.select("part").mapInArrow(run, "part int, names binary, twice binary")
-    # 2 ** FILTER_BITS bits come to the driver, whatever the number of names.
+    # 2 ** log_bits bits come to the driver, whatever the number of names.
     slices = sent.groupBy("part").applyInArrow(met, "part int, bits binary").toArrow()
-    out = np.zeros((1 << part_bits, 1 << (FILTER_BITS - part_bits - 6)), np.uint64)
-    for part, bits in zip(slices.column("part").to_pylist(), slices.column("bits").to_pylist()):
-        out[part] = np.frombuffer(bits, np.uint64)
+    out = np.zeros((1 << part_bits, 1 << (log_bits - part_bits - 6)), np.uint64)
+    for part, bits in zip(slices.column("part"), slices.column("bits")):
+        out[part.as_py()] = np.frombuffer(bits.as_buffer(), np.uint64)
     return out.ravel()
 
 
@@ -132,7 +137,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
 
 
 def in_filter(bitmap: np.ndarray, names: np.ndarray) -> np.ndarray:
-    place = names >> np.uint64(64 - FILTER_BITS)
+    place = names >> np.uint64(64 - (int(len(bitmap)).bit_length() + 5))  # 64 bits in each of 2 ** n entries
     return ((bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 

@@ -1,11 +1,13 @@
 """Near-duplicates and components against all pairs."""
 
+import random
 import re
 
 import pytest
 
 from freshet.llm.components import components
-from freshet.llm.near import bands_for, near_duplicates
+from freshet.llm.near import WordHasher, bands_for, crossing, earliest, near_duplicates, shingle_set
+from freshet.llm.repeats import filter_bits, in_filter, shared_names
 
 
 def find(parent, x):
@@ -56,6 +58,45 @@ def test_bands_with_several_components(docs):
     assert got(docs(rows), 5, 80) == brute(rows, 5, 80)
 
 
+def edited(n, words=120, seed=5):
+    """Copies of one text with some words replaced, by few words that others take too."""
+    rng = random.Random(seed)
+    base = [f"v{i}" for i in range(words)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(words), rng.randrange(1, 9)):
+            w[at] = f"u{rng.randrange(3)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_one_large_group_of_near_copies(docs):
+    rows = edited(150)
+    rows += [(40, "another text of an id that has one " * 9), (41, rows[3][1]), (41, rows[90][1])]
+    assert got(docs(rows), 3, 85) == brute(rows, 3, 85)
+    assert got(docs(rows), 5, 80) == brute(rows, 5, 80)
+
+
+def test_few_pairs_of_a_large_group_cross(spark):
+    """In one band of far copies little more than the pairs that are close enough leave the join."""
+    sets = {i: set(shingle_set(text, 3, WordHasher()).tolist()) for i, text in edited(200)}
+    close = {(a, b) for a in sets for b in range(a) if 100 * (m := len(sets[a] & sets[b])) >= 85 * (len(sets[a]) + len(sets[b]) - m)}
+    rows = spark.createDataFrame([(1, i, i, 0, len(s), len(s)) for i, s in sets.items()], "band long, id long, component long, turn long, n long, c long")
+    raw = spark.createDataFrame([(i, bytearray(shingle_set(text, 3, WordHasher()).tobytes())) for i, text in edited(200)], "id long, shingles binary")
+    found = {tuple(r) for r in crossing(rows, earliest(raw, 85), 1, 85).collect()}
+    assert close <= found and len(found) < len(close) + 0.2 * (200 * 199 // 2 - len(close))
+
+
+def test_bitmaps_of_small_tables_are_small(spark):
+    names = [bytes(8 * [i]) for i in range(1, 60)]
+    read = lambda: lambda raw: __import__("numpy").frombuffer(raw, "u8")
+    rows = spark.createDataFrame([(bytearray(x),) for x in names + names[::2]], "part binary")
+    bitmap = shared_names(rows, read, 90, filter_bits(90))
+    assert bitmap.nbytes <= 1 << 13 and filter_bits(1e9) == 28
+    assert all(in_filter(bitmap, read()(x))[0] for x in names[::2]) and sum(in_filter(bitmap, read()(x))[0] for x in names) == 30
+
+
 def test_empty_table(docs):
     assert got(docs([]), 3, 85) == []
 
