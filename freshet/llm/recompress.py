@@ -144,9 +144,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     minima = kept(unit_minima(units), "unit_minima")
     windows = contested(minima).mapInArrow(_windows, "name long, unit long, least long, window long, at int")
     first = windows.groupBy("name", "window").agg(F.min("least").alias("first"))
-    late = windows.join(first, ["name", "window"]).where("first < least").select("name", "unit", "at")
-    gone = kept(removals(units, minima, late), "gone")
-    dropped(units, minima)
+    late = kept(windows.join(first, ["name", "window"]).where("first < least").select("name", "unit", "at"), "late")
+    gone = removals(units, minima, late)
+    dropped(units, minima, late)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,18 +15,20 @@ the data, more rows travel and the result is the same.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.common import kept
+from freshet.llm.common import dropped, kept
 
 FILTER_BITS = 28  # 32 MB
 NAME_BITS = 48  # the exchange for the filter uses the upper bits of a name
 PART_NAMES = 1_000_000  # names of a part, about
 FLUSH_NAMES = 1_500_000  # names a task holds before it sends them
+SLICES = 4  # parts of the names whose units are joined one after the other
 
 
 def _packed(names: np.ndarray) -> bytes:
@@ -168,11 +170,21 @@ def contested(minima: DataFrame) -> DataFrame:
 
 
 def removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
-    """``doc_id, text_key, removed``: an array of (first window, number of windows) for each text with any.
+    """``doc_id, text_key, removed``: a stored array of (first window, number of windows) for each text with any.
 
     ``late`` has ``name, unit, at`` for windows (by their number in the unit) of contested
-    units that a document smaller than the unit's least one has.
+    units that a document smaller than the unit's least one has. The names go through in ``SLICES`` parts, one
+    after the other, so that only one part of the units is on the executors' disks as shuffle files. Store ``late`` first.
     """
+    own = F.pmod(F.xxhash64("name"), F.lit(SLICES))
+    parts = [kept(_removals(*(t.where(own == i) for t in (units, minima, late))), "removals") for i in range(SLICES)]
+    gone = reduce(DataFrame.unionAll, parts).groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("removed")).alias("removed"))
+    gone = kept(gone, "gone")
+    dropped(*parts)
+    return gone
+
+
+def _removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
     by_unit = late.groupBy("name", "unit").agg(F.collect_list("at").alias("ats"))  # at most the windows of a unit
     known = minima.select("name", "unit", "least").join(by_unit, ["name", "unit"], "left")
     whole = units.select("name", "unit", "doc_id", "text_key", "lo", "n").join(known, ["name", "unit"])

@@ -219,9 +219,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = F.transform(F.sequence(F.lit(1), F.length("body") - WINDOW + 1), lambda i: F.substring("body", i, F.lit(WINDOW)))
     single = marked.where("_hot").select("name", "unit", "least", F.posexplode(each).alias("first", "body"))
     single = single.select(part_of("body"), "name", "unit", "least", "first", "body")
-    late = whole.union(single).groupBy("part").applyInArrow(_late, "name long, unit long, at int")
-    gone = kept(removals(units, minima, late), "gone")
-    dropped(units, minima, open_bodies)
+    late = kept(whole.union(single).groupBy("part").applyInArrow(_late, "name long, unit long, at int"), "late")
+    dropped(open_bodies)
+    gone = removals(units, minima, late)
+    dropped(units, minima, late)
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

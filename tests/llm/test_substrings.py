@@ -100,3 +100,30 @@ def test_every_window_of_words_has_a_name_of_its_content():
     for i in range(len(names)):
         key = tuple(h[i : i + recompress.WINDOW])
         assert seen.setdefault(key, names[i]) == names[i]
+
+
+def test_units_are_joined_part_by_part(docs, edges, monkeypatch):
+    """When a part of the names is joined, neither the other parts nor the bodies of units take disk."""
+    parts, stages = [], []
+    real, drop = repeats.kept, suffixes.dropped
+
+    def kept(df, name):
+        stages.append(name)
+        out = real(df, name)
+        if name == "removals":
+            parts.append(out.select(F.sum(F.size("removed"))).first()[0] or 0)
+        return out
+
+    def dropped(*tables):
+        stages.append("dropped")
+        drop(*tables)
+
+    for module in (suffixes, recompress, repeats):
+        monkeypatch.setattr(module, "kept", kept)
+        monkeypatch.setattr(module, "dropped", dropped)
+    assert bytes_of(docs(edges)) == ordered(by_bytes(edges))
+    assert stages[stages.index("late") : stages.index("gone")] == ["late", "dropped", *["removals"] * repeats.SLICES]
+    assert len(parts) == repeats.SLICES and max(parts) < 0.7 * sum(parts)
+    parts.clear()
+    assert words_of(docs(edges)) == ordered(by_words(edges))
+    assert len(parts) == repeats.SLICES and max(parts) < 0.7 * sum(parts)
