@@ -1,26 +1,32 @@
 """The embedding step: once per distinct text, with a pluggable model.
 
 The default model hashes words into signed buckets and scales to length one.
-It needs no Python. A custom model is a function from a list of texts to a list
+A custom model is a function from a list of texts to a list
 of vectors and runs over Arrow batches (`embed_with`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
+from hashlib import sha1
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions.keys import text_sha256
 from freshet.functions.text import strip_blanks, tokens
 from freshet.functions.vectors import as_double, has_width
-from freshet.operators.joins import lookup
+from freshet.operators.joins import HOT_SHARE, lookup
 from freshet.session import stored
 
 DIMS = 64
 BATCH_TEXTS = 25
+SUM_ROWS = 1024  # texts whose words are summed at once
 
 
 def distinct_texts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -32,40 +38,54 @@ def distinct_texts(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def _word_sums(texts: DataFrame, text: str, dims: int) -> DataFrame:
+    """``texts`` with ``_sums``, what the words of a row add to each of ``dims`` buckets, in the place of ``text``.
+
+    Spark cuts the words; a task hashes each different word of some rows once.
+    """
+    others = [c for c in texts.columns if c != text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(1 << 18)
+        def hashed(word: bytes) -> int:
+            return int.from_bytes(sha1(word).digest()[:4])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SUM_ROWS):
+                part = batch.slice(lo, SUM_ROWS)
+                words = part.column("_words")
+                found = words.flatten().dictionary_encode()
+                hashes = np.array([hashed(w) for w in found.dictionary.cast(pa.large_binary()).to_pylist()], np.int64)
+                at = found.indices.to_numpy()
+                row = np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy())
+                sign = 1 - 2 * (hashes // dims % 2)
+                sums = np.bincount(row * dims + (hashes % dims)[at], sign[at], len(words) * dims).astype(np.int64)
+                offsets = pa.array(np.arange(len(words) + 1, dtype=np.int32) * dims)
+                columns = [part.column(c) for c in others] + [pa.ListArray.from_arrays(offsets, pa.array(sums))]
+                yield pa.record_batch(columns, names=[*others, "_sums"])
+
+    source = texts.select(*others, tokens(text).alias("_words"))
+    kinds = [f"{c} {texts.schema[c].dataType.simpleString()}" for c in others]
+    return source.mapInArrow(run, ", ".join([*kinds, "_sums array<bigint>"]))
+
+
+def _unit(sums: DataFrame) -> DataFrame:
+    """``_sums`` as ``embedding`` of length one; zeros stay zeros."""
+    length = F.sqrt(F.aggregate("_sums", F.lit(0).cast("bigint"), lambda acc, s: acc + s * s))
+    scaled = F.transform("_sums", lambda s: F.when(F.col("_length") == 0, F.lit(0.0)).otherwise(s / F.col("_length")))
+    return sums.withColumn("_length", length).withColumn("embedding", scaled).drop("_sums", "_length")
+
+
 def hash_embed(texts: DataFrame, key: str = "text_hash", text: str = "text", dims: int = DIMS) -> DataFrame:
-    """``key`` and ``embedding`` for a table of texts with unique keys.
+    """``key`` and ``embedding`` for a table of texts; the words of all rows of a key count together.
 
     Every word adds +1 or -1 to one of ``dims`` buckets, both taken from its
-    hash. Words of one text are summed before any shuffle, so at most ``dims``
-    small rows per text travel, however long it is. Texts without words, or
+    hash. Words of one text are summed in its task, so one row of ``dims``
+    numbers per text travels, however long it is. Texts without words, or
     whose buckets cancel out, get a vector of zeros.
     """
-    hashed = texts.select(key, F.explode_outer(tokens(text)).alias("word")).select(
-        key, F.conv(F.left(F.sha1("word"), F.lit(8)), 16, 10).cast("bigint").alias("hash")
-    )
-    words = hashed.select(
-        key,
-        F.coalesce(F.pmod("hash", F.lit(dims)), F.lit(0)).cast("int").alias("bucket"),
-        F.when(F.col("hash").isNull(), 0)
-        .when(F.pmod(F.expr(f"hash div {dims}"), F.lit(2)) == 0, 1)
-        .otherwise(-1)
-        .alias("sign"),
-    )
-    sums = words.groupBy(key, "bucket").agg(F.sum("sign").alias("s"))
-    # At most `dims` entries per key are gathered here.
-    packed = sums.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("bucket", "s"))).alias("m"),
-        F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("length"),
-    )
-    return packed.select(
-        key,
-        F.transform(
-            F.sequence(F.lit(0), F.lit(dims - 1)),
-            lambda i: F.when(F.col("length") == 0, F.lit(0.0)).otherwise(
-                F.coalesce(F.try_element_at("m", i), F.lit(0)) / F.col("length")
-            ),
-        ).alias("embedding"),
-    )
+    sums = _word_sums(texts.select(key, text), text, dims).groupBy(key).agg(*[F.sum(F.col("_sums")[i]).alias(f"_{i}") for i in range(dims)])
+    return _unit(sums.select(key, F.array(*[f"_{i}" for i in range(dims)]).alias("_sums")))
 
 
 def embed_with(
@@ -103,6 +123,15 @@ def embed_with(
     return source.mapInPandas(run, f"{key} {kind}, embedding array<double>")
 
 
+def _vectors_once(distinct: DataFrame, dims: int, model: Callable | None) -> tuple[DataFrame, DataFrame | None]:
+    """The stored vectors of ``distinct_texts``, and which texts hold a large share of the rows, where their copies were kept."""
+    if model is not None:
+        return stored(embed_with(distinct, model), "vectors"), None
+    vectors = stored(_unit(_word_sums(distinct, "text", dims)), "vectors")
+    total = vectors.agg(F.sum("copies")).scalar()
+    return vectors.drop("copies"), vectors.where(F.col("copies") >= total * F.lit(HOT_SHARE)).select("text_hash")
+
+
 def embed(
     df: DataFrame,
     text: str = "text",
@@ -115,9 +144,8 @@ def embed(
     once per text whatever the plan does. Copies of one text may be a large
     part of the table, so the way back to the rows keeps hot texts apart.
     """
-    distinct = distinct_texts(df, text)
-    vectors = stored(hash_embed(distinct, dims=dims) if model is None else embed_with(distinct, model), "vectors")
-    return lookup(df.withColumn("text_hash", text_sha256(text)), vectors, ["text_hash"], split_hot=True)
+    vectors, hot = _vectors_once(distinct_texts(df, text), dims, model)
+    return lookup(df.withColumn("text_hash", text_sha256(text)), vectors, ["text_hash"], split_hot=True, hot=hot)
 
 
 def embed_by_id(df: DataFrame, key: str, text: str = "text", dims: int = DIMS) -> DataFrame:
@@ -136,8 +164,7 @@ def backfill(
     model: Callable[[list[str]], list[Sequence[float] | None]] | None = None,
 ) -> DataFrame:
     """Fill null embeddings in one job; rows that have one keep it."""
-    missing = distinct_texts(pending(df), text)
-    vectors = stored(hash_embed(missing, dims=dims) if model is None else embed_with(missing, model), "vectors")
+    vectors, hot = _vectors_once(distinct_texts(pending(df), text), dims, model)
     # Only rows that lack a vector carry the key, the rest cannot match.
     keyed = df.withColumn("_hash", F.when(F.col("embedding").isNull(), text_sha256(text)))
     found = lookup(
@@ -145,6 +172,7 @@ def backfill(
         vectors.select(F.col("text_hash").alias("_hash"), F.col("embedding").alias("_new")),
         ["_hash"],
         split_hot=True,
+        hot=hot.withColumnRenamed("text_hash", "_hash") if hot is not None else None,
     )
     return found.withColumn("embedding", F.coalesce(as_double("embedding"), "_new")).drop("_hash", "_new")
 

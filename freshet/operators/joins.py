@@ -20,20 +20,21 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> Da
     return counts.where(F.col("_n") >= total * F.lit(share)).select(*keys)
 
 
-def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], split_hot: bool = False) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str], split_hot: bool = False, hot: DataFrame | None = None) -> DataFrame:
     """Left join to a table with unique keys, such as a dimension or a cache.
 
     By default the adaptive planner splits skewed partitions and broadcasts a
     table that turns out small. With ``split_hot`` the work is made even by
     construction: rows of hot keys are answered from a broadcast of those few
     table rows, and (like rows with a null key) spread over ``SALTS`` keys
-    that match nothing in the shuffled join.
+    that match nothing in the shuffled join. ``hot`` names these keys where they are
+    known (few, see ``hot_keys``); otherwise ``df`` is counted first.
     """
     keys = list(keys)
     if not split_hot:
         return df.join(table, keys, "left")
     added = [c for c in table.columns if c not in keys]
-    hot = hot_keys(df.select(*keys), keys)
+    hot = hot_keys(df.select(*keys), keys) if hot is None else hot
     hot_rows = table.join(F.broadcast(hot), keys, "left_semi").select(*keys, F.struct(*added).alias("_warm"))
     any_null = F.lit(False)
     for k in keys:

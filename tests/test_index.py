@@ -1,4 +1,6 @@
+import hashlib
 import math
+import re
 
 import numpy as np
 import pytest
@@ -66,6 +68,32 @@ def test_hash_vectors_have_length_one(spark):
     assert math.isclose(sum(x * x for x in got["a"]), 1.0) and set(got["b"]) == set(got["c"]) == {0.0}
 
 
+def test_words_are_summed_in_their_task(spark, monkeypatch):
+    """One row of sums a text is shuffled, whatever its words; rows of one key count together."""
+    monkeypatch.setattr(E, "SUM_ROWS", 2)
+    texts = [(1, "One two  one_3 ÉTÉ 東京 " * 50), (2, None), (1, "two"), (None, "x"), (3, "..."), (4, "a " * 9000), (5, "x y")]
+    df = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    out = E.hash_embed(df, "id", dims=8)
+    assert "Generate" not in out._jdf.queryExecution().toString()
+    want = {}
+    for key, text in texts:
+        sums = want.setdefault(key, [0] * 8)
+        for w in re.findall(r"\w+", (text or "").lower()):
+            h = int(hashlib.sha1(w.encode()).hexdigest()[:8], 16)
+            sums[h % 8] += 1 if h // 8 % 2 == 0 else -1
+    length = {k: math.sqrt(sum(x * x for x in s)) for k, s in want.items()}
+    assert {r["id"]: r["embedding"] for r in out.collect()} == {k: [x / length[k] if length[k] else 0.0 for x in s] for k, s in want.items()}
+
+
+def test_copies_are_counted_once(spark, monkeypatch):
+    """Which texts are frequent is known from the distinct texts; the rows are not counted again."""
+    monkeypatch.setattr("freshet.operators.joins.hot_keys", lambda *a: pytest.fail("the rows are counted again"))
+    df = spark.createDataFrame([(i, "copy" if i % 2 else f"text {i}") for i in range(40)] + [(40, None), (41, " ")], "id int, text string")
+    got = {r["id"]: r["embedding"] for r in E.embed(df, dims=4).collect()}
+    alone = {r["id"]: r["embedding"] for r in E.embed_by_id(df.where("trim(text) <> ''"), "id", dims=4).collect()}
+    assert got == alone | {40: None, 41: None}
+
+
 def test_width_check(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0]), (3, None)], "id int, embedding array<double>")
     assert [r["width_ok"] for r in E.check_width(df, 2).orderBy("id").collect()] == [False, True, False]
