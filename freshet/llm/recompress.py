@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, dropped, flushed, kept, query, rows_of, texts
 from freshet.llm.near import WordHasher, pair
-from freshet.llm.repeats import contested, covered, in_filter, removals, runs_of, shared_filter, unit_minima, units_of
+from freshet.llm.repeats import contested, covered, in_filter, removals, removed_of, runs_of, shared_filter, unit_minima, units_of
 
 WINDOW = 13
 REACH = 3  # words of context on each side of a border
@@ -144,7 +144,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     minima = kept(unit_minima(units), "unit_minima")
     windows = contested(minima).mapInArrow(_windows, "name long, unit long, least long, window long, at int")
     first = windows.groupBy("name", "window").agg(F.min("least").alias("first"))
-    late = kept(windows.join(first, ["name", "window"]).where("first < least").select("name", "unit", "at"), "late")
+    late = kept(windows.join(first, ["name", "window"]).where("first < least").select("name", "unit", "at", F.lit(1).alias("n")), "late")
     gone = removals(units, minima, late)
     dropped(units, minima, late)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
@@ -152,9 +152,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for key, text, removed in rows_of(batch, "doc_id", "text", "removed"):
+                for (key, text), removed in zip(rows_of(batch, "doc_id", "text"), removed_of(batch)):
                     words = words_of(text or "")
-                    if removed:
+                    if removed is not None:
                         out = covered(removed, WINDOW, len(words))
                         kept = [w for w, x in zip(words, out.tolist()) if not x]
                     else:

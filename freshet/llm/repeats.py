@@ -19,6 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,7 +173,7 @@ def contested(minima: DataFrame) -> DataFrame:
 def removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
     """``doc_id, text_key, removed``: a stored array of (first window, number of windows) for each text with any.
 
-    ``late`` has ``name, unit, at`` for windows (by their number in the unit) of contested
+    ``late`` has ``name, unit, at, n`` for runs of windows (first number in the unit, how many) of contested
     units that a document smaller than the unit's least one has. The names go through in ``SLICES`` parts, one
     after the other, so that only one part of the units is on the executors' disks as shuffle files. Store ``late`` first.
     """
@@ -185,24 +186,29 @@ def removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
 
 
 def _removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
-    by_unit = late.groupBy("name", "unit").agg(F.collect_list("at").alias("ats"))  # at most the windows of a unit
+    by_unit = late.groupBy("name", "unit").agg(F.collect_list(F.struct("at", "n")).alias("runs"))  # at most the windows of a unit
     known = minima.select("name", "unit", "least").join(by_unit, ["name", "unit"], "left")
     whole = units.select("name", "unit", "doc_id", "text_key", "lo", "n").join(known, ["name", "unit"])
-    single = F.transform("ats", lambda at: F.struct((F.col("lo") + at).alias("lo"), F.lit(1).alias("n")))
+    single = F.transform("runs", lambda run: F.struct((F.col("lo") + run["at"]).alias("lo"), run["n"].alias("n")))
     gone = whole.withColumn("removed", F.when(F.col("doc_id") > F.col("least"), F.array(F.struct("lo", "n"))).otherwise(single))
     gone = gone.where("removed IS NOT NULL").select("doc_id", "text_key", "removed")
     return gone.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("removed")).alias("removed"))
 
 
-def covered(removed: list | None, width: int, size: int) -> np.ndarray:
+def removed_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+    """For each row the first windows and numbers of windows in its column ``removed``, None without any."""
+    column = batch.column("removed")
+    lo, n = (x.to_numpy() for x in column.flatten().flatten())
+    end = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy()).tolist()
+    for a, b in zip([0, *end], end):
+        yield (lo[a:b], n[a:b]) if b > a else None
+
+
+def covered(removed: tuple[np.ndarray, np.ndarray], width: int, size: int) -> np.ndarray:
     """Which of ``size`` symbols a removed window of ``width`` covers."""
-    change = np.zeros(size + 1, np.int64)
-    if removed:
-        lo = np.fromiter((r["lo"] for r in removed), np.int64, len(removed))
-        n = np.fromiter((r["n"] for r in removed), np.int64, len(removed))
-        np.add.at(change, lo, 1)
-        np.add.at(change, lo + n + width - 1, -1)
-    return np.cumsum(change[:-1]) > 0
+    lo, n = removed
+    begin, end = (np.bincount(x, minlength=size + 1) for x in (lo, lo + n + width - 1))
+    return np.cumsum(begin - end)[:-1] > 0
 
 
 UNITS = "name long, unit long, doc_id long, text_key long, lo int, n int"

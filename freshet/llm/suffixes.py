@@ -11,7 +11,7 @@ by byte. Names need not be unique: the recursion ends when they tell 50 bytes ap
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -20,15 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, dropped, flushed, kept, query, rows_of, texts
-from freshet.llm.near import _MIX1, mix
-from freshet.llm.repeats import contested, covered, in_filter, key_filter, removals, runs_of, shared_filter, unit_minima, units_of
+from freshet.llm.near import mix
+from freshet.llm.repeats import contested, covered, in_filter, key_filter, removals, removed_of, runs_of, shared_filter, unit_minima, units_of
 
 WINDOW = 50
 GRAM = 24
 LONGEST_UNIT = 64
 NAMES_PER_SIGN = 2 / (WINDOW - GRAM + 2)
-PART_BYTES = 500_000  # of one suffix sort, about
-HOT_UNITS = 2000  # from so many units of one name on, its windows are dealt out one by one
+PART_BYTES = 100_000  # of one suffix sort, about
+HOT_UNITS = 8000  # from so many units of one name on (half a megabyte, about), its windows are dealt out one by one
 _K = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -65,11 +65,11 @@ def _names_maker():
     return names
 
 
-def _cut(text: str, bitmap: np.ndarray) -> tuple:
+def _cut(text: str, bitmap: np.ndarray, key: Callable[[np.ndarray], np.ndarray] = lambda names: names) -> tuple:
     raw = raw_of(text)
     names = window_names(raw)
     lo, n = runs_of(names, LONGEST_UNIT)
-    keep = in_filter(bitmap, names[lo])
+    keep = in_filter(bitmap, key(names[lo]))
     lo, n = lo[keep], n[keep]
     digests = b"".join([blake2b(raw[a : a + k + WINDOW - 1], digest_size=8).digest() for a, k in zip(lo.tolist(), n.tolist())])
     return names[lo], np.frombuffer(digests, np.uint64), lo, n, []
@@ -79,31 +79,25 @@ def _unit_maker():
     return _cut
 
 
-def _key(name: np.ndarray, unit: np.ndarray) -> np.ndarray:
-    return mix(name * _MIX1 + unit)
-
-
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.record_batch([pa.array(_key(b.column("name").to_numpy().view(np.uint64), b.column("unit").to_numpy().view(np.uint64)).view(np.int64))], names=["key"])
+        yield pa.record_batch([pa.array(mix(b.column("name").to_numpy().view(np.uint64)).view(np.int64))], names=["key"])
 
 
-def _bodies(docs: DataFrame, names, keys) -> DataFrame:
-    """``name, unit, body`` of the units whose key is in the filter; the same unit may come several times."""
+def _bodies(docs: DataFrame, keys) -> DataFrame:
+    """``name, unit, body`` of the units whose name's key is in the filter; the same unit may come several times."""
     schema = pa.schema([("name", pa.int64()), ("unit", pa.int64()), ("body", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for b in batches:
                 for text in b.column("text").to_pylist():
-                    name, unit, lo, n, _ = _cut(text, names.value)
-                    at = np.flatnonzero(in_filter(keys.value, _key(name, unit)))
-                    if len(at):
-                        raw, seen = raw_of(text), set()
-                        for x, u, a, k in zip(name[at].view(np.int64).tolist(), unit[at].view(np.int64).tolist(), lo[at].tolist(), n[at].tolist()):
-                            if (x, u) not in seen:
-                                seen.add((x, u))
-                                yield x, u, raw[a : a + k + WINDOW - 1]
+                    name, unit, lo, n, _ = _cut(text, keys.value, mix)
+                    raw, seen = raw_of(text), set()
+                    for x, u, a, k in zip(name.view(np.int64).tolist(), unit.view(np.int64).tolist(), lo.tolist(), n.tolist()):
+                        if (x, u) not in seen:
+                            seen.add((x, u))
+                            yield x, u, raw[a : a + k + WINDOW - 1]
 
         yield from flushed(rows(), schema, 8192)
 
@@ -121,8 +115,24 @@ def _packed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 def _dense(x: np.ndarray) -> np.ndarray:
     """Ranks from 1 on; equal numbers have equal ranks."""
-    order = np.sort(x)
-    return np.searchsorted(order[np.concatenate([[True], order[1:] != order[:-1]])], x) + 1 if len(x) else x
+    if not len(x):
+        return x
+    order, own = _sorted(x)
+    out = np.empty(len(x), np.int64)
+    out[order] = np.cumsum(np.concatenate([[True], own[1:] != own[:-1]]))
+    return out
+
+
+def _sorted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(x)
+    return order, x[order]
+
+
+def _less(own: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """For each of some ``_sorted`` numbers how many others are smaller; sorted numbers are looked up side by side."""
+    out = np.empty(len(own[0]), np.int64)
+    out[own[0]] = np.searchsorted(others[1], own[1])
+    return out
 
 
 def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
@@ -145,18 +155,16 @@ def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
     rank = np.zeros(n + 3, np.int64)
     rank[sampled] = names
 
-    def less(own: np.ndarray, others: np.ndarray) -> np.ndarray:
-        return np.searchsorted(np.sort(others), own)
-
     big = int(rank.max()) + 1
-    key_one = lambda x: p[x] * big + rank[x + 1]
+    key_zero, key_one = (_sorted(p[x] * big + rank[x + 1]) for x in (zero, one))
     triples = _packed(*(np.concatenate([f(zero), f(two)]) for f in (lambda x: p[x], lambda x: p[x + 1], lambda x: rank[x + 2])))
-    zero_two, two_two = triples[: len(zero)], triples[len(zero) :]
+    zero_two, two_two = _sorted(triples[: len(zero)]), _sorted(triples[len(zero) :])
     out = np.empty(n, np.int64)
-    out[zero] = less(key_one(zero), key_one(zero)) + less(key_one(zero), key_one(one)) + less(zero_two, two_two)
-    before = less(names, names)
-    out[one] = before[: len(one)] + less(key_one(one), key_one(zero))
-    out[two] = before[len(one) :] + less(two_two, zero_two)
+    out[zero] = _less(key_zero, key_zero) + _less(key_zero, key_one) + _less(zero_two, two_two)
+    names = _sorted(names)
+    before = _less(names, names)
+    out[one] = before[: len(one)] + _less(key_one, key_zero)
+    out[two] = before[len(one) :] + _less(two_two, zero_two)
     return out
 
 
@@ -166,7 +174,7 @@ def _tiny(s: np.ndarray, depth: int) -> np.ndarray:
 
 
 def late_windows(names: np.ndarray, units: np.ndarray, least: np.ndarray, first: np.ndarray, bodies: list[bytes]) -> tuple:
-    """(name, unit, number in the unit) of the windows that a unit with a smaller ``least`` has too.
+    """(name, unit, number in the unit, how many) of the runs of windows that a unit with a smaller ``least`` has too.
 
     ``first`` is the number in its unit of each body's first window.
     """
@@ -182,14 +190,16 @@ def late_windows(names: np.ndarray, units: np.ndarray, least: np.ndarray, first:
     new = np.concatenate([[True], (seen[1:] != seen[:-1]).any(1)])
     own = least[each[order]]
     smallest = np.minimum.reduceat(own, np.flatnonzero(new))[np.cumsum(new) - 1]
-    late = order[smallest < own]
-    return names[each[late]], units[each[late]], first[each[late]] + at[late]
+    late = np.sort(order[smallest < own])
+    begin = np.flatnonzero(np.concatenate([[True], (np.diff(late) != 1) | (np.diff(each[late]) != 0)])[: len(late)])
+    run, size = late[begin], np.diff(np.concatenate([begin, [len(late)]]))
+    return names[each[run]], units[each[run]], first[each[run]] + at[run], size
 
 
 def _late(group: pa.Table) -> pa.Table:
     get = lambda c: group.column(c).to_numpy()
     found = late_windows(get("name"), get("unit"), get("least"), get("first"), group.column("body").to_pylist())
-    return pa.table([pa.array(x.astype(t)) for x, t in zip(found, (np.int64, np.int64, np.int32))], names=["name", "unit", "at"])
+    return pa.table([pa.array(x.astype(t)) for x, t in zip(found, (np.int64, np.int64, np.int32, np.int32))], names=["name", "unit", "at", "n"])
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -206,8 +216,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     units = units_of(docs, names, _unit_maker, bodies=False)
     minima = kept(unit_minima(units), "unit_minima")
     open_ = kept(contested(minima), "contested")
-    keys = context.broadcast(key_filter(open_.select("name", "unit").mapInArrow(_keys, "key long")))
-    bodies = _bodies(docs, names, keys).groupBy("name", "unit").agg(F.any_value("body").alias("body"))
+    names.destroy()
+    keys = context.broadcast(key_filter(open_.select("name").distinct().mapInArrow(_keys, "key long")))
+    bodies = _bodies(docs, keys).groupBy("name", "unit").agg(F.any_value("body").alias("body"))
     open_bodies = kept(open_.join(bodies, ["name", "unit"]).select("name", "unit", "least", "body"), "bodies")
     dropped(open_)
     size = open_bodies.agg(F.sum(F.length("body"))).first()[0] or 0
@@ -219,7 +230,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     each = F.transform(F.sequence(F.lit(1), F.length("body") - WINDOW + 1), lambda i: F.substring("body", i, F.lit(WINDOW)))
     single = marked.where("_hot").select("name", "unit", "least", F.posexplode(each).alias("first", "body"))
     single = single.select(part_of("body"), "name", "unit", "least", "first", "body")
-    late = kept(whole.union(single).groupBy("part").applyInArrow(_late, "name long, unit long, at int"), "late")
+    late = kept(whole.union(single).groupBy("part").applyInArrow(_late, "name long, unit long, at int, n int"), "late")
     dropped(open_bodies)
     gone = removals(units, minima, late)
     dropped(units, minima, late)
@@ -228,9 +239,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                for key, text, removed in rows_of(batch, "doc_id", "text", "removed"):
+                for (key, text), removed in zip(rows_of(batch, "doc_id", "text"), removed_of(batch)):
                     raw = raw_of(text)
-                    if not removed:
+                    if removed is None:
                         yield key, len(raw), 0, 0, raw
                         continue
                     out = covered(removed, WINDOW, len(raw))

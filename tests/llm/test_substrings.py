@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,29 @@ def test_windows_of_common_names_are_dealt_out_alone(docs, monkeypatch):
     assert words_of(docs(rows)) == ordered(by_words(rows))
 
 
+def test_late_windows_are_runs_and_names_of_many_units_meet_in_one_sort(docs):
+    """Windows that an earlier unit has come as runs; thousands of units of one name are no reason to send a row for each window."""
+    bodies = [b"a" * 3 + bytes(range(97, 123)) * 3 + b"b", bytes(range(97, 123)) * 3 + b"c", b"z" * 60]
+    n = np.arange(3)
+    got = suffixes.late_windows(n, n + 10, np.array([5, 7, 5]), np.array([0, 100, 0]), bodies)
+    assert [x.tolist() for x in got] == [[1], [11], [100], [29]]
+    assert [len(x) for x in suffixes.late_windows(n, n, np.array([5, 5, 5]), n, bodies)] == [0] * 4
+    rng = np.random.default_rng(3)
+    common = "a passage of the length of one window, it has a name. "
+    letters = rng.integers(97, 123, (2500, 60)).astype(np.uint8)
+    rows = [(i, f"{x[:30].tobytes().decode()}{common}{x[30:].tobytes().decode()}") for i, x in enumerate(letters)]
+    assert bytes_of(docs(rows)) == ordered(by_bytes(rows))
+
+
+def test_removed_runs_are_read_as_arrays():
+    kind = pa.list_(pa.struct([("lo", pa.int32()), ("n", pa.int32())]))
+    rows = [None, [{"lo": 2, "n": 1}, {"lo": 4, "n": 2}], [], [{"lo": 0, "n": 1}], None]
+    batch = pa.record_batch([pa.array(rows, kind)], names=["removed"])
+    got = [x and [y.tolist() for y in x] for x in repeats.removed_of(batch.slice(1))]
+    assert got == [[[2, 4], [1, 2]], None, [[0], [1]], None]
+    assert np.flatnonzero(repeats.covered((np.array([2, 4]), np.array([1, 2])), 3, 9)).tolist() == [2, 3, 4, 5, 6, 7]
+
+
 def test_empty_table(docs):
     assert bytes_of(docs([])) == [] and words_of(docs([])) == []
 
