@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, dropped, flushed, kept, query, rows_of, texts
 from freshet.llm.near import WordHasher, pair
-from freshet.llm.repeats import contested, covered, in_filter, removals, removed_of, runs_of, shared_filter, unit_minima, units_of
+from freshet.llm.repeats import contested, covered, in_filter, removals, removed_of, runs_of, shared_filter, spread, unit_minima, units_of
 
 WINDOW = 13
 REACH = 3  # words of context on each side of a border
@@ -107,7 +107,7 @@ def _unit_maker():
         h = hasher(text.encode("utf-8", "surrogatepass"))
         names, hashes = window_names(h)
         lo, n = runs_of(names, LONGEST_UNIT)
-        keep = in_filter(bloom, names[lo])
+        keep = in_filter(bloom, spread(names[lo]))
         if not keep.any():
             return empty, empty, lo[:0], n[:0], []
         lo, n = lo[keep], n[keep]

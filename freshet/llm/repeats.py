@@ -29,6 +29,7 @@ FILTER_BITS = 28  # 32 MB
 NAME_BITS = 48  # the exchange for the filter uses the upper bits of a name
 PART_NAMES = 1_000_000  # names of a part, about
 FLUSH_NAMES = 1_500_000  # names a task holds before it sends them
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 SLICES = 4  # parts of the names whose units are joined one after the other
 
 
@@ -52,18 +53,28 @@ def _twice(names: np.ndarray) -> np.ndarray:
     return names[1:][names[1:] == names[:-1]]
 
 
+def spread(names: np.ndarray) -> np.ndarray:
+    """One to one, and even in the upper bits: anchors are the least of many hashes, so that their names lie close to zero."""
+    return names * _SPREAD
+
+
 def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.ndarray]], per_sign: float) -> np.ndarray:
-    """A bitmap of fixed size with the anchor names that two or more documents have.
+    """A bitmap of fixed size with the anchor names, ``spread``, that two or more documents have.
 
     ``docs`` has ``doc_id`` and ``text``; ``names_of()`` makes, in a task, the function
     from a text to its distinct names (64 bits). ``per_sign`` is about how many names a sign
-    of text gives; it sets the number of parts the names are dealt to, by their upper bits,
+    of text gives; it sets the number of parts the names are dealt to, by the upper bits of ``spread``,
     which are also the place in the bitmap. Each task sends a name once, however
     many of its documents have it, and says which it has seen twice.
     """
     docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     expected = (docs.agg(F.sum(F.length("text"))).first()[0] or 0) * per_sign
-    return shared_names(docs.select(F.col("text").alias("part")), names_of, expected)
+
+    def even() -> Callable[[str], np.ndarray]:
+        names = names_of()
+        return lambda text: spread(names(text))
+
+    return shared_names(docs.select(F.col("text").alias("part")), even, expected)
 
 
 def filter_bits(expected: float) -> int:

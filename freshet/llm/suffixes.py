@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, dropped, flushed, kept, query, rows_of, texts
 from freshet.llm.near import mix
-from freshet.llm.repeats import contested, covered, in_filter, key_filter, removals, removed_of, runs_of, shared_filter, unit_minima, units_of
+from freshet.llm.repeats import contested, covered, in_filter, key_filter, removals, removed_of, runs_of, shared_filter, spread, unit_minima, units_of
 
 WINDOW = 50
 GRAM = 24
@@ -65,7 +65,7 @@ def _names_maker():
     return names
 
 
-def _cut(text: str, bitmap: np.ndarray, key: Callable[[np.ndarray], np.ndarray] = lambda names: names) -> tuple:
+def _cut(text: str, bitmap: np.ndarray, key: Callable[[np.ndarray], np.ndarray] = spread) -> tuple:
     raw = raw_of(text)
     names = window_names(raw)
     lo, n = runs_of(names, LONGEST_UNIT)

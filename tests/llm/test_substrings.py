@@ -151,3 +151,16 @@ def test_units_are_joined_part_by_part(docs, edges, monkeypatch):
     parts.clear()
     assert words_of(docs(edges)) == ordered(by_words(edges))
     assert len(parts) == repeats.SLICES and max(parts) < 0.7 * sum(parts)
+
+
+@pytest.mark.parametrize("module", [suffixes, recompress])
+def test_filter_is_filled_evenly(docs, module):
+    """Anchors are least hashes; in the upper bits of the hashes alone most names would share the first part and the first places."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join("".join(map(chr, rng.integers(97, 123, 6))) for _ in range(300)) for _ in range(30)]
+    df = docs(list(enumerate(texts + texts)))
+    bitmap = repeats.shared_filter(df.select("doc_id", "text"), module._names_maker, module.NAMES_PER_SIGN)
+    filled = np.unpackbits(bitmap.view(np.uint8)).reshape(16, -1).sum(1)
+    assert filled.sum() > 1000 and filled.max() < 2 * filled.mean()
+    names = module._names_maker()(texts[7])
+    assert repeats.in_filter(bitmap, repeats.spread(names)).all()
