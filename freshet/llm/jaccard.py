@@ -145,9 +145,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (n - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    pairs = stored(pairs, "pairs")
+    pairs = kept(pairs, "pairs")
+    total = pairs.count()
+    if not total:
+        return pairs
     sizes = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("size"))
-    limit = _share_limit(pairs.count())
+    limit = _share_limit(total)
     hot = stored(sizes.where(F.col("size") > limit).withColumn("copies", F.expr(f"1 + size div {limit}")).select("b", "copies"), "hot")
     salted = pairs.join(F.broadcast(hot), "b", "left").withColumn("salt", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("set_b")).join(sizes.select("b"), "b", "left_semi")
@@ -164,56 +167,64 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """``id, component`` over the keys of ``sets``: what connects by links, and no link between components."""
-    heads = stored(prefixes(sets, percent), "prefixes")
+    heads = kept(prefixes(sets, percent), "prefixes")
     same = F.md5(F.concat_ws(",", F.col("n").cast("string"), F.col("head").cast("array<string>")))
     # Members of a group have the same number of own shingles as well, as the rest of the prefix is as long.
     groups = heads.withColumn("same", same).groupBy("same").agg(
         F.min("key").alias("rep"), F.any_value("n").alias("n"), F.any_value("own").alias("own"), F.count(F.lit(1)).alias("size"), F.any_value("head").alias("head")
     )
-    groups = stored(groups, "groups")
+    groups = kept(groups, "groups")
     limit = _share_limit(heads.count())
     members = looked_up(heads.select("key", same.alias("same")), groups.select("same", "rep", "size"), "same", limit)
-    members = stored(members.select("key", "rep"), "members")
+    members = kept(members.select("key", "rep"), "members")
 
     # Members with the leader of their group; leaders with the best leader of each shingle.
     postings = groups.select("rep", "n", "own", F.posexplode("head").alias("at", "token"))
-    postings = stored(postings.select("token", "rep", "n", "own", (F.col("n") - F.col("own") - F.col("at")).alias("left")), "postings")
+    postings = kept(postings.select("token", "rep", "n", "own", (F.col("n") - F.col("own") - F.col("at")).alias("left")), "postings")
     best = postings.groupBy("token").agg(F.min(F.struct("own", "rep", "n", "left")).alias("p"), F.count(F.lit(1)).alias("size")).where("size > 1")
     star = looked_up(postings, best, "token", _share_limit(postings.count()))
     star = star.alias("x").where(F.expr("rep <> p.rep AND " + _possible("x", "p", percent)))
     inner = members.where("key <> rep")
     pairs = _ordered(star, "rep", "p.rep").union(inner.select(F.greatest("key", "rep").alias("a"), F.least("key", "rep").alias("b")))
-    found = stored(verified(pairs, sets, percent), "links")
+    found = kept(verified(pairs, sets, percent), "links")
     group = components(found)
 
-    begin, end = 0, 1
+    begin, end, open_ = 0, 1, None
     while True:
-        now = members.join(group.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        now = stored(now, "now")
-        by_group = now.groupBy("rep").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("members"))
-        lists = postings.select("token", "rep", "n").join(by_group, "rep")
-        lists = lists.groupBy("token").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("members").alias("size"), F.min("n").alias("_n"))
-        lists = lists.where("_lo < _hi")
-        # Groups that cannot be linked even with the smallest set of the list stay out of it.
-        reach = F.expr(f"{100 + percent} * left >= {percent} * (n + _n)")
-        inside = postings.select("token", "rep", "n", "left").join(lists, "token").where(reach).join(now, "rep")
-        spread = F.xxhash64("key").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)) * F.ceil(F.col("size") / FEW)
-        inside = inside.select("token", "key", "n", "left", "component", spread.cast("long").alias("turn")).where(F.col("turn") >= begin)
-        mixed = inside.groupBy("token").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi")
-        open_ = stored(inside.join(mixed.select("token"), "token", "left_semi"), "open")
-        limit = open_.agg(F.max("turn")).first()[0]
+        if open_ is None:
+            open_ = kept(_open(members, postings, group, begin, percent), "open")
+        rest = open_.where(F.col("turn") >= begin)
+        limit = rest.agg(F.max("turn")).first()[0]
         if limit is None:
             return group
         met = F.expr(f"x.token = y.token AND x.component <> y.component AND (y.turn >= {end} OR x.key < y.key) AND {_possible('x', 'y', percent)}")
-        pairs = open_.where(F.col("turn") < end).alias("x").join(open_.alias("y"), met)
-        more = stored(verified(_ordered(pairs, "x.key", "y.key"), sets, percent), "links")
+        pairs = rest.where(F.col("turn") < end).alias("x").join(rest.alias("y"), met)
+        more = kept(verified(_ordered(pairs, "x.key", "y.key"), sets, percent), "links")
         if not more.isEmpty():
             group = components(group.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
+            open_ = None  # without new links the same rows stay open
         if limit < end:
             return group
         begin, end = end, end * FEW
 
 
+def _open(members: DataFrame, postings: DataFrame, group: DataFrame, begin: int, percent: int) -> DataFrame:
+    """``token, key, n, left, component, turn``: members with a turn from ``begin`` on that share a shingle with another component."""
+    now = members.join(group.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    now = kept(now, "now")
+    by_group = now.groupBy("rep").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count(F.lit(1)).alias("members"))
+    lists = postings.select("token", "rep", "n").join(by_group, "rep")
+    lists = lists.groupBy("token").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.sum("members").alias("size"), F.min("n").alias("_n"))
+    lists = lists.where("_lo < _hi")
+    # Groups that cannot be linked even with the smallest set of the list stay out of it.
+    reach = F.expr(f"{100 + percent} * left >= {percent} * (n + _n)")
+    inside = postings.select("token", "rep", "n", "left").join(lists, "token").where(reach).join(now, "rep")
+    spread = F.xxhash64("key").bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)) * F.ceil(F.col("size") / FEW)
+    inside = inside.select("token", "key", "n", "left", "component", spread.cast("long").alias("turn")).where(F.col("turn") >= begin)
+    mixed = inside.groupBy("token").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi")
+    return inside.join(mixed.select("token"), "token", "left_semi")
+
+
 def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
@@ -228,16 +239,23 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "
     some = found.where("cls IS NOT NULL")
     named = some.groupBy("cls").agg(F.min("doc_id").alias("id"), F.any_value("n").alias("n"), F.count(F.lit(1)).alias("size"))
     whole = some.where("shingles IS NOT NULL").groupBy("cls").agg(F.any_value("shingles").alias("shingles"))
-    sets = stored(named.join(whole, "cls").withColumn("key", F.monotonically_increasing_id()), "classes")
+    sets = kept(named.join(whole, "cls").withColumn("key", F.monotonically_increasing_id()), "classes")
     group = links(sets, percent)
 
-    # From classes to documents: a class is known by its smallest doc_id.
-    ids = sets.select("key", "id")
-    ends = group.select(F.col("id").alias("key"), F.col("component").alias("to")).join(ids, "key")
-    ends = ends.select(F.col("id").alias("a"), F.col("to").alias("key")).join(ids, "key").select("a", F.col("id").alias("b"))
-    copies = looked_up(some.select("doc_id", "cls"), sets.select("cls", "id", "size"), "cls", _share_limit(some.count()))
-    known = components(ends.union(copies.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))))
-    out = found.select("doc_id", F.col("n").alias("n_shingles")).join(known.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    # From classes to documents: what connects is known by the smallest doc_id of its classes.
+    ends = sets.select("key", "cls", "id", F.col("size").alias("rows")).join(group.withColumnRenamed("id", "key"), "key", "left")
+    ends = ends.select("cls", "id", "rows", F.coalesce("component", "key").alias("to"))
+    first = ends.groupBy("to").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size"))
+    ends = looked_up(ends, first, "to", _share_limit(sets.count())).select("cls", F.col("rows").alias("size"), "first")
+    known = kept(looked_up(some.select("doc_id", "cls"), ends, "cls", _share_limit(some.count())).select("doc_id", "first").distinct(), "known")
+    # Only documents of several texts connect further.
+    again = known.groupBy("doc_id").agg(F.min("first").alias("_a"), F.max("first").alias("_b")).where("_a < _b").select("doc_id")
+    joined = kept(known.join(again, "doc_id").select(F.col("doc_id").alias("a"), F.col("first").alias("b")), "links")
+    known = known.withColumnRenamed("first", "component")
+    if not joined.isEmpty():
+        more = components(joined).select(F.col("id").alias("component"), F.col("component").alias("_to"))
+        known = known.join(more, "component", "left").select("doc_id", F.coalesce("_to", "component").alias("component")).distinct()
+    out = found.select("doc_id", F.col("n").alias("n_shingles")).join(known, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 

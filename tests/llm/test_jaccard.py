@@ -111,6 +111,26 @@ def test_no_task_reads_all_pairs_of_a_hot_group(docs, monkeypatch):
     assert sum(sizes) < 500 * 12
 
 
+def test_rounds_without_links_make_few_jobs(spark, docs, monkeypatch):
+    """Plans and jobs stay in the driver's memory: rounds that link nothing look at the same rows, and only ids of several texts connect further."""
+    monkeypatch.setattr(jaccard, "FEW", 2)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(60):
+        one = changed(rng, base, 4).split()
+        rows += [(2 * i, " ".join(one)), (2 * i + 1, changed(rng, one, 2))]
+    want = brute(rows, 5, 80)
+    df = docs(rows)
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    try:
+        assert got(df) == want
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 100  # 104 when each round gathered the rows again and all documents went through the components
+
+
 def test_query_against_brute(spark, small):
     rows = [(r.doc_id, r.text) for r in documents(spark, small).select("doc_id", "text").collect()]
     assert sorted(map(tuple, op13_jaccard(spark, small).collect()), key=str) == brute(rows, 5, 80)
