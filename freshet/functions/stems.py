@@ -2,11 +2,14 @@
 
 Each step is one expression that Spark and other engines understand alike, but for the
 name of the regular-expression test, which the caller gives. Steps build on each other,
-so they are applied one after the other, to distinct words.
+so they are applied one after the other, to distinct words. ``stem_of`` takes the same steps
+for one word inside a task; a test compares both.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,3 +143,90 @@ def stem_sql(table: str, word: str = "token") -> str:
     for step in stem_steps("regexp_matches"):
         out = f"SELECT * REPLACE ({step} AS w) FROM ({out})"
     return out
+
+
+_LETTERS, _VOWEL = re.compile("[a-z]+"), re.compile(V)
+_R1_WORDS, _R1 = re.compile(R1_WORDS), re.compile(V + C)
+_R2_WORDS, _R2 = re.compile(R1_WORDS + ".*" + V + C), re.compile(V + C + ".*" + V + C)
+_SHORT_END, _PLURAL = re.compile(f"{C}{V}[^aeiouywxY]$|^{V}{C}$"), re.compile(V + ".+s$")
+_Y_END, _LONG = re.compile("." + C + "[yY]$"), re.compile(f"{R1_WORDS}.|{V}{C}.")
+_KEPT = {*INVARIANT, *IRREGULAR.values()}
+_BY_LENGTH = [tuple((x, d.get(x)) for x in sorted(d, key=len, reverse=True)) for d in (STEP_2, STEP_3)]
+_STEP_3 = (*_BY_LENGTH[1][:2], ("ative", ""), *_BY_LENGTH[1][2:])
+
+
+def _in_r1(w: str, x: str) -> bool:
+    return bool(_R1_WORDS.search(x) or (not _R1_WORDS.search(w) and _R1.search(x)))
+
+
+def _in_r2(w: str, x: str) -> bool:
+    return bool(_R2_WORDS.search(x) or (not _R1_WORDS.search(w) and _R2.search(x)))
+
+
+def _past(w: str) -> str:
+    for suffix in ("eedly", "eed"):
+        if w.endswith(suffix):
+            bare = w[: -len(suffix)]
+            return bare + "ee" if _in_r1(w, bare) else w
+    for suffix in ("ingly", "edly", "ing", "ed"):
+        if w.endswith(suffix):
+            bare = w[: -len(suffix)]
+            if not _VOWEL.search(bare):
+                return w
+            if bare.endswith(("at", "bl", "iz")) or (not _LONG.search(bare) and _SHORT_END.search(bare)):
+                return bare + "e"
+            return bare[:-1] if bare.endswith(("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")) else bare
+    return w
+
+
+def _step_2(w: str) -> str:
+    for suffix, by in _BY_LENGTH[0]:
+        if w.endswith(suffix):
+            return w[: -len(suffix)] + by if _in_r1(w, w[: -len(suffix)]) else w
+    if w.endswith("ogi"):
+        return w[:-1] if w.endswith("logi") and _in_r1(w, w[:-3]) else w
+    return w[:-2] if w.endswith("li") and w[-3:-2] in tuple("cdeghkmnrt") and _in_r1(w, w[:-2]) else w
+
+
+def _step_3(w: str) -> str:
+    for suffix, by in _STEP_3:
+        if w.endswith(suffix):
+            bare = w[: -len(suffix)]
+            return bare + by if (_in_r2 if suffix == "ative" else _in_r1)(w, bare) else w
+    return w
+
+
+def _step_4(w: str) -> str:
+    for suffix in STEP_4:
+        if w.endswith(suffix):
+            return w[: -len(suffix)] if _in_r2(w, w[: -len(suffix)]) else w
+    return w[:-3] if w.endswith(("sion", "tion")) and _in_r2(w, w[:-3]) else w
+
+
+def stem_of(word: str) -> str:
+    """The stem of a lower-case word, as ``with_stems`` gives it."""
+    w = IRREGULAR.get(word, word)
+    if len(w) <= 2 or w in _KEPT or not _LETTERS.fullmatch(w):
+        return w.lower()
+    if "y" in w:
+        w = "Y" + w[1:] if w[0] == "y" else w
+        for vowel in "aeiouy":
+            w = w.replace(vowel + "y", vowel + "Y")
+    if w.endswith("sses"):
+        w = w[:-2]
+    elif w.endswith(("ied", "ies")):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif w.endswith("s") and not w.endswith(("us", "ss")) and _PLURAL.search(w):
+        w = w[:-1]
+    if w in INVARIANT_AFTER_PLURAL:
+        return w.lower()
+    w = _past(w)
+    if w.endswith(("y", "Y")) and _Y_END.search(w):
+        w = w[:-1] + "i"
+    w = _step_4(_step_3(_step_2(w)))
+    bare = w[:-1]
+    if w.endswith("e"):
+        w = bare if _in_r2(w, bare) or (_in_r1(w, bare) and not _SHORT_END.search(bare)) else w
+    elif w.endswith("ll") and _in_r2(w, bare):
+        w = bare
+    return w.lower()

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from freshet.functions import stems
 from freshet.functions.stems import with_stems
 from freshet.operators import ann, grams, joins, keyword, word_index
 from freshet.operators import vector_search as V
@@ -292,3 +293,46 @@ def test_patterns_meet_the_rows_in_their_tasks(spark, monkeypatch, sent):
 
     want = {(q, i) for q, p in enumerate(asked) for i, *both in rows if any(t is not None and re.fullmatch(".*" + expression(p), t, re.S) for t in both)}
     assert len(want) > 1000 and sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_only_gathered_places_are_shuffled(spark, monkeypatch):
+    """Words are gathered by stem in their tasks, so that few rows are stored and shuffled; rows of one id and of none count together."""
+    sizes, real = {}, word_index.stored
+
+    def stored(df, name):
+        out = real(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(word_index, "stored", stored)
+    monkeypatch.setattr(word_index, "FLUSH_WORDS", 3000)
+    monkeypatch.setattr(word_index, "KNOWN_WORDS", 4)
+    monkeypatch.setattr(word_index, "ENTRY_WORDS", 500)
+    monkeypatch.setattr(word_index, "PART_SIGNS", 20_000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    rows = [(f"k{i // 2 if i % 50 == 1 else i}", "Run of runs" if i % 3 else None, "the runs are running 東京 run " * (1 + i % 4)) for i in range(900)] + [(None, "cat", "a cat"), (None, None, "cats")]
+    try:
+        got = word_index.word_index(spark.createDataFrame(rows, "id string, title string, content string").coalesce(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    stem = {"run": "run", "runs": "run", "running": "run", "東京": "東京", "cat": "cat", "cats": "cat"}
+    places, in_title = {}, {}
+    for key, title, text in rows:
+        words = _words(title) + _words(text)
+        for i, w in enumerate(words, 1):
+            if w in stem:
+                places.setdefault((stem[w], key), []).append(i)
+                in_title[stem[w], key] = in_title.get((stem[w], key), 0) + (i <= len(_words(title)))
+    assert {(r.stem, r.id): (list(r.positions), r.in_title) for r in got} == {k: (sorted(v), in_title[k]) for k, v in places.items()}
+    assert len(got) == len(places) > 1700 and sizes["gathered"] < 200
+
+
+def test_stems_of_tasks_are_those_of_the_expressions(spark):
+    rng = random.Random(3)
+    ends = ["", "ing", "ed", "edly", "ingly", "eed", "eedly", "s", "ies", "ied", "sses", "us", "logi", "ogi", "li", "ion", "tion", "e", "ll", "y", "ative"]
+    ends += [*stems.STEP_2, *stems.STEP_3, *stems.STEP_4]
+    begins = ["gener", "commun", "arsen", "hop", "fil", "a", "e", "y", "ay", "yy", "b", "tt", "con", "str", "ab", "iz", "bl", "at", "u", "x", "oy", "é"]
+    words = {"".join(rng.choice(begins) for _ in range(rng.randrange(4))) + rng.choice(ends) + rng.choice(ends) for _ in range(6000)}
+    words |= {*stems.IRREGULAR, *stems.IRREGULAR.values(), *stems.INVARIANT, *stems.INVARIANT_AFTER_PLURAL}
+    rows = with_stems(spark.createDataFrame([(w,) for w in sorted(words) if w], "token string")).collect()
+    assert {r.token: stems.stem_of(r.token) for r in rows} == {r.token: r.stem for r in rows}
