@@ -116,7 +116,12 @@ def _unit_maker():
         digests = b"".join([blake2b(raw[8 * a : 8 * (a + k + WINDOW - 1)], digest_size=8).digest() for a, k in spans])
         return names[lo], np.frombuffer(digests, np.uint64), lo, n, [windows[8 * a : 8 * (a + k)] for a, k in spans]
 
-    return units
+    def many(texts: list[str], bloom: np.ndarray) -> Iterator[tuple]:
+        for i, text in enumerate(texts):
+            name, *rest = units(text, bloom)
+            yield np.full(len(name), i), name, *rest
+
+    return many
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -72,7 +72,10 @@ def shared_filter(docs: DataFrame, names_of: Callable[[], Callable[[str], np.nda
 
     def even() -> Callable[[str], np.ndarray]:
         names = names_of()
-        return lambda text: spread(names(text))
+        out = lambda text: spread(names(text))
+        if many := getattr(names, "many", None):
+            out.many = lambda texts: map(spread, many(texts))
+        return out
 
     return shared_names(docs.select(F.col("text").alias("part")), even, expected)
 
@@ -83,7 +86,10 @@ def filter_bits(expected: float) -> int:
 
 
 def shared_names(parts: DataFrame, names_of: Callable[[], Callable], expected: float, log_bits: int = FILTER_BITS) -> np.ndarray:
-    """The bitmap of names that two or more rows of ``parts`` (column ``part``) have; about ``expected`` names in all."""
+    """The bitmap of names that two or more rows of ``parts`` (column ``part``) have; about ``expected`` names in all.
+
+    A function with an attribute ``many`` takes a list of values at once and gives the names of some values after the other.
+    """
     part_bits = min(log_bits - 6, max(4, int(np.ceil(np.log2(max(1.0, expected / PART_NAMES))))))
     shift = np.uint64(NAME_BITS - part_bits)
 
@@ -104,8 +110,8 @@ def shared_names(parts: DataFrame, names_of: Callable[[], Callable], expected: f
             return pa.record_batch([pa.array(rows["part"], pa.int32()), pa.array(rows["names"], pa.binary()), pa.array(rows["twice"], pa.binary())], names=list(rows))
 
         for batch in batches:
-            for value in batch.column("part").to_pylist():
-                n = names(value)
+            values = batch.column("part").to_pylist()
+            for n in names.many(values) if hasattr(names, "many") else map(names, values):
                 if len(n):
                     held.append(n)
                     size += len(n)
@@ -161,12 +167,17 @@ def runs_of(names: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     begin = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
     size = np.diff(np.concatenate([begin, [len(names)]]))
-    if size.max() <= longest:
-        return begin, size
+    return split(begin, size, longest)[:2]
+
+
+def split(begin: np.ndarray, size: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs cut after ``longest``, and which run each part is of."""
+    if not len(size) or size.max() <= longest:
+        return begin, size, np.arange(len(size))
     parts = -(-size // longest)
-    nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    begin = np.repeat(begin, parts) + nth * longest
-    return begin, np.minimum(np.repeat(size, parts) - nth * longest, longest)
+    of = np.repeat(np.arange(len(size)), parts)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+    return begin[of] + nth * longest, np.minimum(size[of] - nth * longest, longest), of
 
 
 def unit_minima(units: DataFrame) -> DataFrame:
@@ -199,7 +210,8 @@ def removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
 def _removals(units: DataFrame, minima: DataFrame, late: DataFrame) -> DataFrame:
     by_unit = late.groupBy("name", "unit").agg(F.collect_list(F.struct("at", "n")).alias("runs"))  # at most the windows of a unit
     known = minima.select("name", "unit", "least").join(by_unit, ["name", "unit"], "left")
-    whole = units.select("name", "unit", "doc_id", "text_key", "lo", "n").join(known, ["name", "unit"])
+    # A unit is once in ``known``: the units are streamed along it and need no sort.
+    whole = units.select("name", "unit", "doc_id", "text_key", "lo", "n").join(known.hint("shuffle_hash"), ["name", "unit"])
     single = F.transform("runs", lambda run: F.struct((F.col("lo") + run["at"]).alias("lo"), run["n"].alias("n")))
     gone = whole.withColumn("removed", F.when(F.col("doc_id") > F.col("least"), F.array(F.struct("lo", "n"))).otherwise(single))
     gone = gone.where("removed IS NOT NULL").select("doc_id", "text_key", "removed")
@@ -228,8 +240,8 @@ UNITS = "name long, unit long, doc_id long, text_key long, lo int, n int"
 def units_of(docs: DataFrame, bitmap, cut: Callable[[], Callable], bodies: bool) -> DataFrame:
     """The stored units (``UNITS``, and ``body binary`` on demand) whose name is in the filter.
 
-    ``cut()`` makes, in a task, the function from (text, filter) to arrays
-    (name, unit, lo, n, list of bodies).
+    ``cut()`` makes, in a task, the function from (texts, filter) to arrays
+    (number of the text, name, unit, lo, n) and a list of bodies, for some texts after the other.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,9 +249,9 @@ def units_of(docs: DataFrame, bitmap, cut: Callable[[], Callable], bodies: bool)
         for batch in batches:
             held: list[list] = [[] for _ in range(6)]
             found_bodies: list[bytes] = []
-            for key, text_key, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))):
-                name, unit, lo, n, body = units(text, known)
-                for to, x in zip(held, (name.view(np.int64), unit.view(np.int64), np.full(len(name), key, np.int64), np.full(len(name), text_key, np.int64), lo, n)):
+            ids, text_keys = (batch.column(c).to_numpy() for c in ("doc_id", "text_key"))
+            for at, name, unit, lo, n, body in units(batch.column("text").to_pylist(), known):
+                for to, x in zip(held, (name.view(np.int64), unit.view(np.int64), ids[at], text_keys[at], lo, n)):
                     to.append(x)
                 found_bodies += body if bodies else []
             if held[0]:

@@ -11,8 +11,7 @@ by byte. Names need not be unique: the recursion ends when they tell 50 bytes ap
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from hashlib import blake2b
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import documents, dropped, flushed, kept, query, rows_of, texts
 from freshet.llm.near import mix
-from freshet.llm.repeats import contested, covered, in_filter, key_filter, removals, removed_of, runs_of, shared_filter, spread, unit_minima, units_of
+from freshet.llm.repeats import contested, covered, in_filter, key_filter, removals, removed_of, shared_filter, split, spread, unit_minima, units_of
 
 WINDOW = 50
 GRAM = 24
@@ -29,6 +28,8 @@ LONGEST_UNIT = 64
 NAMES_PER_SIGN = 2 / (WINDOW - GRAM + 2)
 PART_BYTES = 100_000  # of one suffix sort, about
 HOT_UNITS = 8000  # from so many units of one name on (half a megabyte, about), its windows are dealt out one by one
+BLOCK_BYTES = 1 << 15  # of texts whose windows are named at once, about
+BASE = 0x9FB21C651E98DF25
 _K = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -36,47 +37,120 @@ def raw_of(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
-def window_names(raw: bytes) -> np.ndarray:
-    """For each window the least hash of the ``GRAM``-byte strings in it."""
-    n = len(raw) - WINDOW + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
+def _gram_hashes(raw: bytes) -> np.ndarray:
+    """Hashes of the ``GRAM``-byte strings from each place on."""
+    grams = max(0, len(raw) - GRAM + 1)
+    h = np.zeros(grams, np.uint64)
+    if not grams:
+        return h
     eight = np.array(np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,)))
     eight ^= eight >> np.uint64(32)
-    grams = len(raw) - GRAM + 1
-    h = np.zeros(grams, np.uint64)
     for i, k in enumerate(_K):
         x = eight[8 * i : 8 * i + grams] * k
         x ^= x >> np.uint64(29)
-        h += x * _K[i - 1]
-    least, width, span = mix(h), 1, WINDOW - GRAM + 1
+        x *= _K[i - 1]
+        h += x
+    return mix(h)
+
+
+def _least(hashes: np.ndarray) -> np.ndarray:
+    """For each window the least hash in it."""
+    least, width, span = hashes, 1, WINDOW - GRAM + 1
+    if len(hashes) < span:
+        return np.empty(0, np.uint64)
     while 2 * width <= span:
         least = np.minimum(least[: len(least) - width], least[width:])
         width *= 2
     return np.minimum(least[: len(least) - (span - width)], least[span - width :])
 
 
+class _Powers:
+    """Powers of an odd number and of its inverse, as far as they were asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.empty(0, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            self.up, self.down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(2 * n, b, np.uint64)]), dtype=np.uint64) for b in (BASE, pow(BASE, -1, 1 << 64)))
+        return self.up[:n], self.down[:n]
+
+
+class _Block:
+    """Some texts one behind the other, and the runs of windows with one anchor in each."""
+
+    def __init__(self, raws: list[bytes], longest: int):
+        sizes = np.array([len(r) for r in raws], np.int64)
+        self.raw, self.start = b"".join(raws), np.cumsum(sizes) - sizes
+        self.hashes = _gram_hashes(self.raw)
+        names = _least(self.hashes)
+        # No run goes on in the next text; windows that would reach into it are left out.
+        windows = np.maximum(sizes - WINDOW + 1, 0)
+        new = np.empty(len(names) + 1, bool)
+        new[:1] = True
+        new[1:-1] = names[1:] != names[:-1]
+        ends = np.concatenate([self.start, self.start + windows])
+        new[ends[ends < len(names)]] = True
+        begin = np.flatnonzero(new[:-1])
+        size = np.diff(begin, append=len(names))
+        text = np.searchsorted(self.start, begin, "right") - 1
+        some = begin < (self.start + windows)[text]
+        self.lo, self.n, nth = split(begin[some], size[some], longest)
+        self.text, self.name = text[some][nth], names[self.lo]
+
+    def keep(self, some: np.ndarray) -> None:
+        self.lo, self.n, self.text, self.name = self.lo[some], self.n[some], self.text[some], self.name[some]
+
+    def units(self, powers: _Powers) -> np.ndarray:
+        """64 bits of the content of each run: the sum of its hashes times powers of their place."""
+        up, down = powers(len(self.hashes) + 1)
+        total = np.concatenate([[np.uint64(0)], np.cumsum(self.hashes * up[:-1], dtype=np.uint64)])
+        size = self.n + (WINDOW - GRAM)
+        own = (total[self.lo + size] - total[self.lo]) * down[self.lo]
+        return mix(own ^ (size.astype(np.uint64) * _K[0]))
+
+
+def _blocks(texts: list[str], longest: int) -> Iterator[tuple[int, _Block]]:
+    """Texts of about ``BLOCK_BYTES`` at once, with the number of the first."""
+    held, size, first = [], 0, 0
+    for i, text in enumerate(texts):
+        held.append(raw_of(text))
+        size += len(held[-1])
+        if size >= BLOCK_BYTES or i + 1 == len(texts):
+            yield first, _Block(held, longest)
+            held, size, first = [], 0, i + 1
+
+
 def _names_maker():
+    def many(texts: list[str]) -> Iterator[np.ndarray]:
+        for _, block in _blocks(texts, 1 << 62):
+            order = np.argsort(block.name)
+            name = block.name[order]
+            same = name[1:] == name[:-1]
+            # Only names that come again have to be told apart by their texts.
+            again = np.concatenate([same, [False]])[: len(name)] | np.concatenate([[False], same])[: len(name)]
+            few = order[again]
+            few = few[np.lexsort((block.text[few], block.name[few]))]
+            own, text = block.name[few], block.text[few]
+            new = np.concatenate([[True], (own[1:] != own[:-1]) | (text[1:] != text[:-1])])[: len(own)]
+            yield np.concatenate([name[~again], own[new]])
+
     def names(text: str) -> np.ndarray:
-        found = window_names(raw_of(text))
-        found = np.sort(found[runs_of(found, len(found) or 1)[0]])
-        return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
+        return next(many([text]))
 
+    names.many = many
     return names
 
 
-def _cut(text: str, bitmap: np.ndarray, key: Callable[[np.ndarray], np.ndarray] = spread) -> tuple:
-    raw = raw_of(text)
-    names = window_names(raw)
-    lo, n = runs_of(names, LONGEST_UNIT)
-    keep = in_filter(bitmap, key(names[lo]))
-    lo, n = lo[keep], n[keep]
-    digests = b"".join([blake2b(raw[a : a + k + WINDOW - 1], digest_size=8).digest() for a, k in zip(lo.tolist(), n.tolist())])
-    return names[lo], np.frombuffer(digests, np.uint64), lo, n, []
+def _unit_maker():
+    powers = _Powers()
 
+    def units(texts: list[str], bitmap: np.ndarray) -> Iterator[tuple]:
+        for first, block in _blocks(texts, LONGEST_UNIT):
+            block.keep(in_filter(bitmap, spread(block.name)))
+            yield block.text + first, block.name, block.units(powers), block.lo - block.start[block.text], block.n, []
 
-def _unit_maker():
-    return _cut
+    return units
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,24 +158,33 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(mix(b.column("name").to_numpy().view(np.uint64)).view(np.int64))], names=["key"])
 
 
-def _bodies(docs: DataFrame, keys) -> DataFrame:
-    """``name, unit, body`` of the units whose name's key is in the filter; the same unit may come several times."""
-    schema = pa.schema([("name", pa.int64()), ("unit", pa.int64()), ("body", pa.binary())])
+def _slices(raw: bytes, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The bytes from each place on."""
+    end = np.cumsum(size)
+    at = np.arange(int(size.sum())) + np.repeat(begin - end + size, size)
+    offsets = np.concatenate([[0], end]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.frombuffer(raw, np.uint8)[at])])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for b in batches:
-                for text in b.column("text").to_pylist():
-                    name, unit, lo, n, _ = _cut(text, keys.value, mix)
-                    raw, seen = raw_of(text), set()
-                    for x, u, a, k in zip(name.view(np.int64).tolist(), unit.view(np.int64).tolist(), lo.tolist(), n.tolist()):
-                        if (x, u) not in seen:
-                            seen.add((x, u))
-                            yield x, u, raw[a : a + k + WINDOW - 1]
 
-        yield from flushed(rows(), schema, 8192)
+def _bodies(docs: DataFrame, keys) -> DataFrame:
+    """``name, unit, doc_id, body`` of the units whose name's key is in the filter, once for each text."""
 
-    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("text").mapInArrow(run, "name long, unit long, body binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = _Powers()
+        for b in batches:
+            ids = b.column("doc_id").to_numpy()
+            for first, block in _blocks(b.column("text").to_pylist(), LONGEST_UNIT):
+                block.keep(in_filter(keys.value, mix(block.name)))
+                unit = block.units(powers)
+                order = np.lexsort((unit, block.name, block.text))
+                same = np.all([x[order][1:] == x[order][:-1] for x in (unit, block.name, block.text)], axis=0)
+                one = order[np.concatenate([[True], ~same])[: len(order)]]
+                body = _slices(block.raw, block.lo[one], block.n[one] + WINDOW - 1)
+                held = [block.name[one].view(np.int64), unit[one].view(np.int64), ids[block.text[one] + first]]
+                yield pa.record_batch([*map(pa.array, held), body], names=["name", "unit", "doc_id", "body"])
+
+    known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
+    return known.mapInArrow(run, "name long, unit long, doc_id long, body binary")
 
 
 def _packed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -218,8 +301,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     open_ = kept(contested(minima), "contested")
     names.destroy()
     keys = context.broadcast(key_filter(open_.select("name").distinct().mapInArrow(_keys, "key long")))
-    bodies = _bodies(docs, keys).groupBy("name", "unit").agg(F.any_value("body").alias("body"))
-    open_bodies = kept(open_.join(bodies, ["name", "unit"]).select("name", "unit", "least", "body"), "bodies")
+    # A body comes from the document of the least id, so that units in many documents are neither sorted nor meet in one task.
+    bodies = _bodies(docs, keys).withColumnRenamed("doc_id", "least")
+    open_bodies = kept(bodies.join(open_.hint("shuffle_hash"), ["name", "unit", "least"]).select("name", "unit", "least", "body"), "bodies")
     dropped(open_)
     size = open_bodies.agg(F.sum(F.length("body"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
@@ -252,7 +336,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     keyed = docs.withColumn("_k", F.xxhash64("text"))
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "removed")
-    found = keyed.join(gone, (F.col("doc_id") == F.col("_d")) & (F.col("_k") == F.col("_t")), "left").select("doc_id", "text", "removed")
+    found = keyed.join(gone.hint("shuffle_hash"), (F.col("doc_id") == F.col("_d")) & (F.col("_k") == F.col("_t")), "left").select("doc_id", "text", "removed")
     return found.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

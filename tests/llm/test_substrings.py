@@ -164,3 +164,42 @@ def test_filter_is_filled_evenly(docs, module):
     assert filled.sum() > 1000 and filled.max() < 2 * filled.mean()
     names = module._names_maker()(texts[7])
     assert repeats.in_filter(bitmap, repeats.spread(names)).all()
+
+
+def test_texts_are_named_side_by_side(monkeypatch):
+    """Many texts at once give what each gives alone; equal runs of windows have equal numbers, others not."""
+    rng = np.random.default_rng(8)
+    common = "".join(map(chr, rng.integers(97, 123, 400)))
+    texts = ["", "x" * 49, "x" * 50, "y" * 700, common, "é" * 40 + common[:200], common[7:] + "z", "", common + common, "ab" * 300, ""]
+    full = np.full(1 << 22, ~np.uint64(0))
+    found = {}
+    for size in (1, 1000, 1 << 20):
+        monkeypatch.setattr(suffixes, "BLOCK_BYTES", size)
+        parts = [x[:5] for x in suffixes._unit_maker()(texts, full)]
+        found[size] = [np.concatenate(x).tolist() for x in zip(*parts)]
+        assert len(parts) == {1: len([t for t in texts if t]) + 1, 1 << 20: 1}.get(size, len(parts))
+        names = np.sort(np.concatenate([*suffixes._names_maker().many(texts)]))
+        assert names.tolist() == sorted(x for t in texts for x in set(suffixes._names_maker()(t).tolist()))
+    assert found[1] == found[1000] == found[1 << 20]
+    bodies = {}
+    for text, name, unit, lo, n in zip(*found[1]):
+        raw = texts[text].encode()
+        assert 0 <= lo <= len(raw) - n - suffixes.WINDOW + 1 and n <= suffixes.LONGEST_UNIT
+        bodies.setdefault((name, unit), set()).add(raw[lo : lo + n + suffixes.WINDOW - 1])
+    assert {len(b) for b in bodies.values()} == {1} and len(set.union(*bodies.values())) == len(bodies)
+    assert sum(found[1][4]) == sum(max(0, len(t.encode()) - 49) for t in texts)
+
+
+def test_units_and_bodies_are_not_sorted_to_be_joined(docs, edges, monkeypatch):
+    """The side of which a key is unique is hashed; a body comes from the document of the least id, not from a sorted aggregation."""
+    plans, real = {}, suffixes.kept
+
+    def kept(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().sparkPlan().toString())
+        return real(df, name)
+
+    for module in (suffixes, repeats):
+        monkeypatch.setattr(module, "kept", kept)
+    assert bytes_of(docs(edges)) == ordered(by_bytes(edges))
+    assert "SortAggregate" not in plans["bodies"] and "any_value" not in plans["bodies"]
+    assert "ShuffledHashJoin" in plans["bodies"] and "ShuffledHashJoin" in plans["removals"]
